@@ -28,7 +28,7 @@ from strata.plans.refined import add_continent, add_horoscope, enrich_users, use
 from strata.session import ensure_settings, scratch_path
 from strata.sinks.writers import ensure_database, save_catalog_table, write_table
 from strata.sources import driver_tables as V
-from strata.sources.readers import read_countries, read_facts, read_layer_table, read_users
+from strata.sources.readers import read_countries, read_facts, read_partitioned_strings, read_users
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -555,11 +555,11 @@ def partitioned_round_trip(spark, sf_dir):
     """Facts written partitioned by user (null user -> the
     default partition), read back with a string key, counted per user."""
     path = scratch_path(spark, "facts-partitioned")
-    write_table(_facts_parsed(spark, sf_dir), path, partition_by=["user_id"])
-    write_table(_facts_parsed(spark, sf_dir), path, partition_by=["user_id"])  # overwrite: same contents
-    schema = spark.read.parquet(path).schema
-    schema = T.StructType([f for f in schema.fields if f.name != "user_id"] + [T.StructField("user_id", T.StringType())])
-    back = read_layer_table(spark, path, schema)
+    facts = _facts_parsed(spark, sf_dir)
+    # A stale table at the target first: the overwrite must replace it whole.
+    write_table(facts.limit(1).withColumn("user_id", F.lit("stale-user")), path, partition_by=["user_id"])
+    write_table(facts, path, partition_by=["user_id"])
+    back = read_partitioned_strings(spark, path)
     return back.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_facts"), F.count("fact_timestamp").alias("n_timed"))
 
 

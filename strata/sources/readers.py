@@ -108,6 +108,23 @@ def read_layer_table(spark: SparkSession, path: str, schema: T.StructType | None
     return reader.parquet(path)
 
 
+def read_partitioned_strings(spark: SparkSession, path: str) -> DataFrame:
+    """Partitioned Parquet table whose partition keys stay strings.
+
+    Partition-value type inference is switched off for this one read (the
+    file listing and partition spec are built when the relation is
+    created), so a key such as ``001`` is not turned into the number 1 and
+    the directory tree is listed only once.
+    """
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(key, previous)
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | Sequence[str]) -> DataFrame:
     """A handful of fixed rows shipped from the driver (S5); bounded by the
     caller's literal list, never by data."""
