@@ -108,13 +108,17 @@ def exclude_keys(
     DataFrame, never collected to the driver.
     """
     ek = excluded_key or key
-    bad = excluded.select(col(ek).alias("__excluded_key")).where(F.col("__excluded_key").isNotNull()).distinct()
+    bad = excluded.select(col(ek).alias("__excluded_key")).where(F.col("__excluded_key").isNotNull())
     kept = df.where(col(key).isNotNull())
+    # Row count (not distinct keys): an upper bound, with no shuffle.
     n_bad = bad.count()
     if n_bad == 0:
         return kept
     if n_bad <= broadcast_max_rows:
         bad = F.broadcast(bad)
+    # No distinct() on the excluded side: repeated keys do not change an
+    # anti join, and a plain shuffle below the sort-merge join lets AQE
+    # split the partition of a hot key.
     return kept.join(bad, col(key) == F.col("__excluded_key"), "left_anti")
 
 
@@ -127,14 +131,14 @@ def anti_join(
     """Left rows without a match on the right.
 
     Plain ``left_anti`` semantics: a left row with a null key has no match
-    and is therefore returned. Only the distinct right keys take part, so
-    the right side shrinks before any exchange; Spark (and AQE from
-    measured sizes) decides whether to broadcast them.
+    and is therefore returned. Only the right key columns take part; Spark
+    (and AQE from measured sizes) decides whether to broadcast them, and
+    with a shuffle join AQE splits a skewed left partition.
     """
     left_keys = _as_list(left_on)
     right_keys = _as_list(right_on) if right_on is not None else list(left_keys)
     tmp = [f"__anti_key_{i}" for i in range(len(right_keys))]
-    keys = right.select(*[col(r).alias(t) for r, t in zip(right_keys, tmp)]).distinct()
+    keys = right.select(*[col(r).alias(t) for r, t in zip(right_keys, tmp)])
     cond = [col(lk) == F.col(t) for lk, t in zip(left_keys, tmp)]
     return left.join(keys, on=cond, how="left_anti")
 

@@ -115,3 +115,61 @@ def test_union_dedup_distinct(spark):
     assert u.count() == 2
     assert drop_duplicate_rows(u).count() == 1  # nulls compare equal
     assert rows(distinct_values(u, "c")) == [("Congo",)]
+
+
+def _skew_session_settings(spark):
+    keys = {
+        # With only 8 test partitions a key holding a third of the rows is
+        # ~3.5x the median partition; at cluster scale it is far above the
+        # default factor of 5.
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    return old
+
+
+def test_exclusion_shuffle_path_splits_a_hot_user(spark):
+    """One user owns a third of the facts: the sort-merge anti join's hot
+    partition is split by AQE instead of landing in one task."""
+    from pyspark.sql import functions as F
+
+    old = _skew_session_settings(spark)
+    try:
+        facts = spark.range(300_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 5000).cast("string")).alias("user_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        bad = spark.range(0, 5000, 7).select(F.col("id").cast("string").alias("uid"))
+        out = exclude_keys(facts, bad, "user_id", "uid", broadcast_max_rows=0)
+        n = len(out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "LeftAnti" in plan
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+        expected = facts.where(~F.col("user_id").isin([str(i) for i in range(0, 5000, 7)])).count()
+        assert n == expected
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_rebalanced_partitioned_write_splits_a_hot_user(spark):
+    """The partitioned sink's REBALANCE shuffle splits the hot key too."""
+    from pyspark.sql import functions as F
+
+    old = _skew_session_settings(spark)
+    try:
+        facts = spark.range(300_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("user_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        out = facts.hint("rebalance", F.col("user_id"))
+        out.collect()
+        assert "AQEShuffleRead skewed" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
