@@ -652,6 +652,21 @@ def refined_facts_published(spark, sf_dir):
     return facts.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_facts"))
 
 
+@register("facts_curated_stream", "SELECT * FROM facts_curated")
+def facts_curated_stream(spark, sf_dir):
+    """C4 on Structured Streaming: raw fact files cleaned incrementally into
+    the partitioned curated table (exactly-once file sink), read back."""
+    from strata.streaming import start_curated_facts
+
+    raw = scratch_path(spark, "raw-facts")
+    V.raw_facts(spark, sf_dir).write.options(sep="\t", header="false", quote="").csv(raw)
+    target = scratch_path(spark, "facts-stream")
+    query = start_curated_facts(spark, raw, V.raw_users(spark, sf_dir), target, extra_columns=["event_id"])
+    query.awaitTermination()
+    back = read_partitioned_strings(spark, target)
+    return back.withColumn("event_id", col("event_id").cast("bigint"))
+
+
 @register("run_log_rows", None)
 def run_log_rows(spark, sf_dir):
     """K5: run-log rows of a curated and a refined run (no time column)."""
