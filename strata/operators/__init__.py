@@ -20,12 +20,15 @@ from strata.operators.quality import (
 from strata.operators.relational import (
     DEFAULT_BROADCAST_MAX_ROWS,
     DuplicateKeyError,
+    Lookup,
     anti_join,
     distinct_values,
     drop_duplicate_rows,
     exclude_keys,
     key_stats,
+    key_stats_many,
     lookup_join,
+    lookup_joins,
     rows_missing_lookup,
     union_rows,
 )
@@ -34,6 +37,7 @@ __all__ = [
     "DEFAULT_BROADCAST_MAX_ROWS",
     "CheckFailed",
     "DuplicateKeyError",
+    "Lookup",
     "anti_join",
     "distinct_counts",
     "distinct_values",
@@ -46,8 +50,10 @@ __all__ = [
     "gate",
     "group_counts",
     "key_stats",
+    "key_stats_many",
     "key_uniqueness",
     "lookup_join",
+    "lookup_joins",
     "missing_country_with_date",
     "null_profile",
     "null_rows",

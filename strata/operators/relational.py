@@ -17,6 +17,8 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,19 +38,97 @@ def _as_list(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def key_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(number of distinct non-null keys, largest number of rows per key).
-
-    One aggregate job; partial aggregation collapses repeated keys before
-    the shuffle, and only a single summary row reaches the driver.
-    """
+def _key_summary(df: DataFrame, keys: Sequence[str], tag: int) -> DataFrame:
+    """One row: (tag, distinct non-null keys, largest number of rows per key)."""
     non_null = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))) if keys else df
     per_key = non_null.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("copies"))
-    row = per_key.agg(
+    return per_key.agg(
+        F.lit(tag).alias("tag"),
         F.count(F.lit(1)).alias("keys"),
         F.coalesce(F.max("copies"), F.lit(0)).alias("max_copies"),
-    ).first()
-    return int(row["keys"]), int(row["max_copies"])
+    )
+
+
+def key_stats_many(frames: Sequence[tuple[DataFrame, Sequence[str]]]) -> list[tuple[int, int]]:
+    """``key_stats`` of several tables in a single job.
+
+    The one-row summaries are unioned, so one action returns one small row
+    per table; partial aggregation collapses repeated keys before each
+    shuffle.
+    """
+    if not frames:
+        return []
+    parts = [_key_summary(df, keys, i) for i, (df, keys) in enumerate(frames)]
+    union = reduce(lambda a, b: a.unionByName(b), parts)
+    found = {r["tag"]: (int(r["keys"]), int(r["max_copies"])) for r in union.collect()}
+    return [found[i] for i in range(len(frames))]
+
+
+def key_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(number of distinct non-null keys, largest number of rows per key),
+    from one aggregate job; only the summary row reaches the driver."""
+    return key_stats_many([(df, keys)])[0]
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """One lookup: ``dim`` joined on ``left_on`` = ``right_on``."""
+
+    dim: DataFrame
+    left_on: str | Sequence[str]
+    right_on: str | Sequence[str] | None = None
+    how: str = "left"
+
+
+def _prepare(df_columns: Sequence[str], lk: Lookup, index: int) -> tuple[DataFrame, list[str], list[str]]:
+    left_keys = _as_list(lk.left_on)
+    right_keys = _as_list(lk.right_on) if lk.right_on is not None else list(left_keys)
+    if len(left_keys) != len(right_keys):
+        raise ValueError("left_on and right_on need the same number of keys")
+    missing = [k for k in left_keys if k not in df_columns]
+    if missing:
+        raise ValueError(f"left side lacks key columns {missing}")
+    tmp = [f"__lookup{index}_key_{i}" for i in range(len(right_keys))]
+    payload = [c for c in lk.dim.columns if c not in right_keys]
+    clash = sorted(set(payload) & set(df_columns))
+    if clash:
+        raise ValueError(f"lookup columns {clash} already exist on the left side; rename or drop them first")
+    right = lk.dim.select(*[col(r).alias(t) for r, t in zip(right_keys, tmp)], *[col(c) for c in payload])
+    right = right.where(F.expr(" AND ".join(f"`{t}` IS NOT NULL" for t in tmp)))
+    return right, left_keys, tmp
+
+
+def lookup_joins(
+    df: DataFrame,
+    lookups: Sequence[Lookup],
+    check_unique: bool = True,
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """Apply several lookups in order, checking all of them in one job.
+
+    Each lookup side is proven key-unique (so no fact row is multiplied)
+    and broadcast only when its number of keys is within
+    ``broadcast_max_rows``; above the bound it is a shuffle join that AQE
+    may still convert or split at run time.
+    """
+    columns = list(df.columns)
+    prepared = []
+    for i, lk in enumerate(lookups):
+        right, left_keys, tmp = _prepare(columns, lk, i)
+        prepared.append((lk, right, left_keys, tmp))
+        columns += [c for c in right.columns if c not in tmp]
+    stats = key_stats_many([(right, tmp) for _, right, _, tmp in prepared])
+    out = df
+    for (lk, right, left_keys, tmp), (n_keys, max_copies) in zip(prepared, stats):
+        if check_unique and max_copies > 1:
+            raise DuplicateKeyError(
+                f"lookup key {_as_list(lk.right_on or lk.left_on)} is not unique ({max_copies} rows for one key)"
+            )
+        if n_keys <= broadcast_max_rows:
+            right = F.broadcast(right)
+        cond = [col(lk_) == F.col(t) for lk_, t in zip(left_keys, tmp)]
+        out = out.join(right, on=cond, how=lk.how).drop(*tmp)
+    return out
 
 
 def lookup_join(
@@ -69,28 +149,7 @@ def lookup_join(
     Raises :class:`DuplicateKeyError` when ``check_unique`` and a key has
     more than one row.
     """
-    left_keys = _as_list(left_on)
-    right_keys = _as_list(right_on) if right_on is not None else list(left_keys)
-    if len(left_keys) != len(right_keys):
-        raise ValueError("left_on and right_on need the same number of keys")
-    missing = [k for k in left_keys if k not in df.columns]
-    if missing:
-        raise ValueError(f"left side lacks key columns {missing}")
-    tmp = [f"__lookup_key_{i}" for i in range(len(right_keys))]
-    payload = [c for c in dim.columns if c not in right_keys]
-    clash = sorted(set(payload) & set(df.columns))
-    if clash:
-        raise ValueError(f"lookup columns {clash} already exist on the left side; rename or drop them first")
-    right = dim.select(*[col(r).alias(t) for r, t in zip(right_keys, tmp)], *[col(c) for c in payload])
-    right = right.where(F.expr(" AND ".join(f"`{t}` IS NOT NULL" for t in tmp)))
-
-    n_keys, max_copies = key_stats(right, tmp)
-    if check_unique and max_copies > 1:
-        raise DuplicateKeyError(f"lookup key {right_keys} is not unique ({max_copies} rows for one key)")
-    if n_keys <= broadcast_max_rows:
-        right = F.broadcast(right)
-    cond = [col(lk) == F.col(t) for lk, t in zip(left_keys, tmp)]
-    return df.join(right, on=cond, how=how).drop(*tmp)
+    return lookup_joins(df, [Lookup(dim, left_on, right_on, how)], check_unique, broadcast_max_rows)
 
 
 def exclude_keys(

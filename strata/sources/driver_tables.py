@@ -43,8 +43,22 @@ FACT_TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 REGISTERED_TEXT = "MMM d, yyyy"
 
 
+_RESOLVED: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, resolved (listed, schema read) once per session.
+
+    The returned DataFrame is only a plan over the file; no data is cached.
+    The tables are read-only, so the resolved relation stays valid.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    hit = _RESOLVED.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _RESOLVED[key] = hit
+    return hit[1]
 
 
 def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:

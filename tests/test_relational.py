@@ -173,3 +173,17 @@ def test_rebalanced_partitioned_write_splits_a_hot_user(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_lookup_joins_checks_all_lookups_in_one_job(spark):
+    from strata.operators import Lookup, key_stats_many, lookup_joins
+
+    users = spark.createDataFrame([("u1", "Spain", 4, 2)], "user_id string, country string, d int, m int")
+    countries = spark.createDataFrame([("Spain", "Europe")], "country string, continent string")
+    signs = spark.createDataFrame([(4, 2, "Aquarius")], "day int, month int, horoscope string")
+    out = lookup_joins(users, [Lookup(countries, "country"), Lookup(signs, ["d", "m"], ["day", "month"])])
+    assert rows(out) == [("u1", "Spain", 4, 2, "Europe", "Aquarius")]
+    assert key_stats_many([(countries, ["country"]), (signs, ["day", "month"])]) == [(1, 1), (1, 1)]
+    dup = signs.unionByName(signs)
+    with pytest.raises(DuplicateKeyError):
+        lookup_joins(users, [Lookup(countries, "country"), Lookup(dup, ["d", "m"], ["day", "month"])])
