@@ -26,7 +26,7 @@ from strata.plans.curated import clean_countries, clean_facts, clean_users, inva
 from strata.plans.layers import read_layer
 from strata.plans.refined import add_continent, add_horoscope, enrich_users, users_without_sign, with_register_parts
 from strata.session import ensure_settings, scratch_path
-from strata.sinks.writers import ensure_database, save_catalog_table, write_table
+from strata.sinks.writers import ensure_database, save_catalog_table, table_name, write_table
 from strata.sources import driver_tables as V
 from strata.sources.readers import read_countries, read_facts, read_partitioned_strings, read_users
 
@@ -617,8 +617,8 @@ def catalog_round_trip(spark, sf_dir):
     """Curated users saved as a catalog table, read back by name."""
     root = scratch_path(spark, "catalog")
     ensure_database(spark, "strata_curated", f"{root}/_db")
-    name = save_catalog_table(_users_curated(spark, sf_dir), "strata_curated", "users", path=f"{root}/users")
-    return spark.table(name)
+    save_catalog_table(_users_curated(spark, sf_dir), "strata_curated", "users", path=f"{root}/users")
+    return spark.table(table_name("strata_curated", "users"))
 
 
 def _run_layers(spark: SparkSession, sf_dir: str):
@@ -667,12 +667,25 @@ def facts_curated_stream(spark, sf_dir):
     return back.withColumn("event_id", col("event_id").cast("bigint"))
 
 
-@register("run_log_rows", None)
+def _run_log_sql() -> str:
+    entries = []
+    for job, first, users in (("curated", "read_raw", "users_curated"), ("refined", "read_curated", "users_refined")):
+        tables = (("countries", "countries_curated"), ("horoscopes", "calendar"), ("users", users), ("facts", "facts_curated"))
+        steps = [(first, None), ("transform", None)] + [(f"write_{t}", view) for t, view in tables]
+        for i, (step, view) in enumerate(steps):
+            rows = f"(SELECT count(*) FROM {view})" if view else "CAST(NULL AS BIGINT)"
+            entries.append(f"('{job}', {2 * i + 1}, '{step}', 'INFO', 'started', CAST(NULL AS BIGINT))")
+            entries.append(f"('{job}', {2 * i + 2}, '{step}', 'INFO', 'finished', {rows})")
+    return "SELECT * FROM (VALUES\n  " + ",\n  ".join(entries) + "\n) AS t(job, seq, step, level, message, rows)"
+
+
+@register("run_log_rows", _run_log_sql())
 def run_log_rows(spark, sf_dir):
-    """K5: run-log rows of a curated and a refined run (no time column)."""
+    """K5: run-log rows of a curated and a refined run, with the rows each
+    write step published (time and run id left out)."""
     root, _, _ = _run_layers(spark, sf_dir)
     log = spark.read.parquet(f"{root}/run_log")
-    return log.select("job", "seq", "step", "level", "message")
+    return log.select("job", "seq", "step", "level", "message", "rows")
 
 
 __all__ = ["ORACLE_SQL", "QUERIES", "as_ntz", "register"]

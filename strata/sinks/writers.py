@@ -9,13 +9,21 @@ contents as part of the job instead of deleting a prefix first.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from strata.functions.columns import col
 
 
+def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count the written rows inside the write job itself (no extra pass)."""
+    obs = Observation(f"rows_written_{uuid.uuid4().hex[:8]}")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 def _prepare(df: DataFrame, partition_by: Sequence[str], rebalance: bool) -> DataFrame:
     """Cluster rows by partition key before a partitioned write.
 
@@ -38,8 +46,9 @@ def write_table(
     dynamic_partition_overwrite: bool = False,
     rebalance: bool = True,
     max_records_per_file: int | None = None,
-) -> str:
-    """Write ``df`` as Parquet at ``path`` (K1, K2, K4). Returns ``path``.
+) -> int:
+    """Write ``df`` as Parquet at ``path`` (K1, K2, K4). Returns the number
+    of rows written, observed by the write job itself.
 
     ``dynamic_partition_overwrite`` replaces only the partitions present in
     ``df`` (incremental loads); the default replaces the whole table.
@@ -47,7 +56,8 @@ def write_table(
     back as null.
     """
     partition_by = list(partition_by)
-    writer = _prepare(df, partition_by, rebalance).write.mode(mode).option("compression", compression)
+    counted, obs = _observed(df)
+    writer = _prepare(counted, partition_by, rebalance).write.mode(mode).option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         if dynamic_partition_overwrite:
@@ -55,7 +65,7 @@ def write_table(
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     writer.parquet(path)
-    return path
+    return int(obs.get["rows"])
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -72,15 +82,17 @@ def save_catalog_table(
     partition_by: Sequence[str] = (),
     compression: str = "snappy",
     rebalance: bool = True,
-) -> str:
+) -> int:
     """Overwrite a catalog table, stored at ``path`` when given (K3).
 
-    Returns the qualified table name; read it back with ``spark.table``.
+    Returns the number of rows written; read the table back with
+    ``spark.table(table_name(database, table))``.
     """
     partition_by = list(partition_by)
-    name = f"`{database}`.`{table}`"
+    name = table_name(database, table)
+    counted, obs = _observed(df)
     writer = (
-        _prepare(df, partition_by, rebalance)
+        _prepare(counted, partition_by, rebalance)
         .write.mode("overwrite")
         .format("parquet")
         .option("compression", compression)
@@ -90,4 +102,9 @@ def save_catalog_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
-    return name
+    return int(obs.get["rows"])
+
+
+def table_name(database: str, table: str) -> str:
+    """Quoted qualified catalog name."""
+    return f"`{database}`.`{table}`"

@@ -159,6 +159,10 @@ def test_layers_round_trip_and_rerun(spark, raw_paths):
     steps = {r.step for r in log.collect()}
     assert {"read_raw", "transform", "write_facts", "read_curated", "write_users"} <= steps
     assert len(log_c.entries) + len(log_r.entries) == log.count()
+    written = {(r.job, r.step): r.rows for r in log.where("message = 'finished'").collect()}
+    assert written[("curated", "write_facts")] == 6
+    assert written[("refined", "write_users")] == 11
+    assert written[("curated", "read_raw")] is None
 
 
 def test_catalog_publish(spark, raw):

@@ -1,6 +1,6 @@
 from conftest import rows
 from strata.session import scratch_path
-from strata.sinks import save_catalog_table, write_table
+from strata.sinks import save_catalog_table, table_name, write_table
 from strata.sinks.writers import ensure_database
 from strata.sources import read_delimited, read_facts
 from strata.sources.readers import read_partitioned_strings
@@ -12,7 +12,8 @@ def _facts(spark, data):
 
 def test_partitioned_write_keeps_string_keys_and_null_partition(spark):
     path = scratch_path(spark, "t-part")
-    write_table(_facts(spark, [("001", "a"), ("1", "b"), (None, "c"), ("001", "d")]), path, partition_by=["user_id"])
+    n = write_table(_facts(spark, [("001", "a"), ("1", "b"), (None, "c"), ("001", "d")]), path, partition_by=["user_id"])
+    assert n == 4  # rows observed by the write job
     back = read_partitioned_strings(spark, path)
     assert dict(back.dtypes)["user_id"] == "string"
     assert rows(back, "user_id", "song_name") == [(None, "c"), ("001", "a"), ("001", "d"), ("1", "b")]
@@ -44,7 +45,9 @@ def test_rerun_is_idempotent(spark):
 def test_catalog_table_round_trip(spark):
     root = scratch_path(spark, "t-cat")
     ensure_database(spark, "strata_t", f"{root}/_db")
-    name = save_catalog_table(_facts(spark, [("a", "1")]), "strata_t", "facts", path=f"{root}/facts", partition_by=["user_id"])
+    n = save_catalog_table(_facts(spark, [("a", "1")]), "strata_t", "facts", path=f"{root}/facts", partition_by=["user_id"])
+    name = table_name("strata_t", "facts")
+    assert n == 1
     assert rows(spark.table(name), "user_id", "song_name") == [("a", "1")]
     save_catalog_table(_facts(spark, [("b", "2")]), "strata_t", "facts", path=f"{root}/facts", partition_by=["user_id"])
     assert rows(spark.table(name), "user_id", "song_name") == [("b", "2")]
