@@ -29,9 +29,11 @@ def _as_list(keys: str | Sequence[str]) -> list[str]:
 def unmatched_values(df: DataFrame, key: str, dim: DataFrame, dim_key: str | None = None) -> DataFrame:
     """Distinct values of ``df[key]`` with no row in ``dim``.
 
-    A null value never matches, so it is listed when present.
+    A null value never matches, so it is listed when present. The values
+    are de-duplicated first (partial aggregation before the shuffle), so
+    only the distinct values, not every row, reach the anti join.
     """
-    return anti_join(df.select(col(key)), dim, key, dim_key or key).distinct()
+    return anti_join(df.select(col(key)).distinct(), dim, key, dim_key or key)
 
 
 def key_uniqueness(df: DataFrame, key: str | Sequence[str]) -> DataFrame:

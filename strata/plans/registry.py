@@ -236,8 +236,9 @@ WHERE NOT EXISTS (SELECT 1 FROM countries_raw k WHERE k." name" = u.country_name
 def unmatched_after_mapping(spark, sf_dir):
     """After prefix mapping, the raw countries whose mapped name still
     has no match."""
-    users = V.raw_users(spark, sf_dir).withColumn("country_name", map_prefix("country", V.DRIVER_PREFIX_RULES))
-    return anti_join(users, _countries_by_name(spark, sf_dir), "country_name", "country").select("country").distinct()
+    users = V.raw_users(spark, sf_dir).select("country", map_prefix("country", V.DRIVER_PREFIX_RULES).alias("country_name"))
+    pairs = users.distinct()  # few distinct values reach the anti join
+    return anti_join(pairs, _countries_by_name(spark, sf_dir), "country_name", "country").select("country").distinct()
 
 
 @register(
