@@ -158,6 +158,7 @@ def exclude_keys(
     key: str,
     excluded_key: str | None = None,
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    cluster_output: bool = False,
 ) -> DataFrame:
     """Rows of ``df`` whose ``key`` is set and not among the excluded keys.
 
@@ -165,20 +166,24 @@ def exclude_keys(
     result is never emptied by a null in the list, and rows with a null key
     are always dropped (also when the list is empty). The list is a
     DataFrame, never collected to the driver.
+
+    With ``cluster_output`` the result comes out clustered by ``key`` (ready
+    for a write partitioned by it) after exactly one shuffle of ``df``:
+    the sort-merge anti join already delivers that clustering; the broadcast
+    path adds a REBALANCE by ``key`` after the (map-side) join.
     """
     ek = excluded_key or key
     bad = excluded.select(col(ek).alias("__excluded_key")).where(F.col("__excluded_key").isNotNull())
     kept = df.where(col(key).isNotNull())
     # Row count (not distinct keys): an upper bound, with no shuffle.
     n_bad = bad.count()
-    if n_bad == 0:
-        return kept
-    if n_bad <= broadcast_max_rows:
-        bad = F.broadcast(bad)
-    # No distinct() on the excluded side: repeated keys do not change an
-    # anti join, and a plain shuffle below the sort-merge join lets AQE
-    # split the partition of a hot key.
-    return kept.join(bad, col(key) == F.col("__excluded_key"), "left_anti")
+    if n_bad > broadcast_max_rows:
+        # No distinct() on the excluded side: repeated keys do not change an
+        # anti join, and a plain shuffle below the sort-merge join lets AQE
+        # split the partition of a hot key.
+        return kept.join(bad, col(key) == F.col("__excluded_key"), "left_anti")
+    out = kept if n_bad == 0 else kept.join(F.broadcast(bad), col(key) == F.col("__excluded_key"), "left_anti")
+    return out.hint("rebalance", col(key)) if cluster_output else out
 
 
 def anti_join(

@@ -76,9 +76,14 @@ def clean_facts(
     id_column: str = "#id",
     timestamp_pattern: str | None = None,
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    cluster_by_user: bool = False,
 ) -> DataFrame:
     """Curated facts (C4): ``fact_timestamp`` parsed from ``fact_date``;
-    facts without a user or of an invalid user removed."""
+    facts without a user or of an invalid user removed.
+
+    ``cluster_by_user`` returns the facts clustered by user for the
+    partitioned write, with a single shuffle of the facts whichever join
+    the exclusion uses (publish them with ``rebalance=False``)."""
     facts = raw_facts.select("*", parse_timestamp("fact_date", timestamp_pattern).alias("fact_timestamp"))
     return exclude_keys(
         facts,
@@ -86,6 +91,7 @@ def clean_facts(
         key="user_id",
         excluded_key=id_column,
         broadcast_max_rows=broadcast_max_rows,
+        cluster_output=cluster_by_user,
     )
 
 
@@ -102,13 +108,15 @@ def build_curated(
     prefix_rules: Sequence[tuple[str, str]] = D.COUNTRY_PREFIX_RULES,
     continent_map: Mapping[str, str] = D.CONTINENT_ES_TO_EN,
     added_countries: Sequence[Sequence[str]] = D.ADDED_COUNTRIES,
+    cluster_facts: bool = False,
 ) -> dict[str, DataFrame]:
-    """The four curated tables as lazy DataFrames."""
+    """The four curated tables as lazy DataFrames (facts clustered by user
+    for publishing when ``cluster_facts``)."""
     return {
         "countries": clean_countries(raw_countries, continent_map, added_countries),
         "horoscopes": load_horoscopes(raw_horoscopes),
         "users": clean_users(raw_users, prefix_rules),
-        "facts": clean_facts(raw_facts, raw_users),
+        "facts": clean_facts(raw_facts, raw_users, cluster_by_user=cluster_facts),
     }
 
 
@@ -136,8 +144,9 @@ def run_curated(
             raw_horoscopes = read_horoscopes(spark, raw_paths["horoscopes"])
             raw_facts = read_facts(spark, raw_paths["facts"])
         with log.step("transform"):
-            tables = build_curated(raw_users, raw_countries, raw_horoscopes, raw_facts, **rules)
-        publish_layer(spark, tables, target_root, database=database, log=log)
+            tables = build_curated(raw_users, raw_countries, raw_horoscopes, raw_facts, cluster_facts=True, **rules)
+        # Facts arrive clustered by user: no second shuffle before the write.
+        publish_layer(spark, tables, target_root, database=database, log=log, rebalance={"facts": False})
     finally:
         if log_path:
             log.flush(spark, log_path)

@@ -187,3 +187,16 @@ def test_lookup_joins_checks_all_lookups_in_one_job(spark):
     dup = signs.unionByName(signs)
     with pytest.raises(DuplicateKeyError):
         lookup_joins(users, [Lookup(countries, "country"), Lookup(dup, ["d", "m"], ["day", "month"])])
+
+
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_clustered_exclusion_shuffles_facts_once(spark, bound):
+    """Ready for a write partitioned by user: one exchange on the fact key,
+    whether the exclusion is broadcast or a sort-merge join."""
+    facts = spark.range(2000).selectExpr("CAST(id % 50 AS STRING) AS user_id", "id")
+    bad = spark.createDataFrame([("3",), ("7",)], "uid string")
+    out = exclude_keys(facts, bad, "user_id", "uid", broadcast_max_rows=bound, cluster_output=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    fact_shuffles = [l for l in plan.splitlines() if "Exchange hashpartitioning(user_id" in l]
+    assert len(fact_shuffles) == 1
+    assert out.count() == 2000 - 80
