@@ -564,16 +564,19 @@ def partitioned_round_trip(spark, sf_dir):
     return back.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_facts"), F.count("fact_timestamp").alias("n_timed"))
 
 
-def _write_raw_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def _write_raw_files(spark: SparkSession, sf_dir: str, tables=("users", "countries", "horoscopes", "facts")) -> dict[str, str]:
     """Driver tables written as the raw delimited files of the dataset."""
     root = scratch_path(spark, "raw")
-    paths = {k: f"{root}/{k}" for k in ("users", "countries", "horoscopes", "facts")}
+    paths = {k: f"{root}/{k}" for k in tables}
     no_trim = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    V.raw_users(spark, sf_dir).write.options(sep="\t", header="true", **no_trim).csv(paths["users"])
-    V.raw_countries(spark, sf_dir).write.options(sep=",", header="true", **no_trim).csv(paths["countries"])
-    V.raw_horoscopes(spark).write.options(sep=",", header="true", **no_trim).csv(paths["horoscopes"])
-    facts = V.raw_facts(spark, sf_dir)
-    facts.write.options(sep="\t", header="false", quote="", **no_trim).csv(paths["facts"])
+    if "users" in paths:
+        V.raw_users(spark, sf_dir).write.options(sep="\t", header="true", **no_trim).csv(paths["users"])
+    if "countries" in paths:
+        V.raw_countries(spark, sf_dir).write.options(sep=",", header="true", **no_trim).csv(paths["countries"])
+    if "horoscopes" in paths:
+        V.raw_horoscopes(spark).write.options(sep=",", header="true", **no_trim).csv(paths["horoscopes"])
+    if "facts" in paths:
+        V.raw_facts(spark, sf_dir).write.options(sep="\t", header="false", quote="", **no_trim).csv(paths["facts"])
     return paths
 
 
@@ -584,7 +587,7 @@ def _write_raw_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 def delimited_round_trip(spark, sf_dir):
     """Headerless tab-separated facts (song names opening an
     unclosed quote) read back by position without shifting columns."""
-    paths = _write_raw_files(spark, sf_dir)
+    paths = _write_raw_files(spark, sf_dir, ["facts"])
     back = read_facts(spark, paths["facts"], extra_columns=["event_id"])
     return back.withColumn("event_id", col("event_id").cast("bigint"))
 
@@ -595,7 +598,7 @@ def delimited_round_trip(spark, sf_dir):
 )
 def delimited_users_round_trip(spark, sf_dir):
     """Headered tab-separated users read back, then curated."""
-    paths = _write_raw_files(spark, sf_dir)
+    paths = _write_raw_files(spark, sf_dir, ["users"])
     return clean_users(read_users(spark, paths["users"]), V.DRIVER_PREFIX_RULES)
 
 
@@ -606,7 +609,7 @@ def delimited_users_round_trip(spark, sf_dir):
 def csv_header_round_trip(spark, sf_dir):
     """Comma-separated countries whose headers carry a leading
     space, read back and curated."""
-    paths = _write_raw_files(spark, sf_dir)
+    paths = _write_raw_files(spark, sf_dir, ["countries"])
     return clean_countries(read_countries(spark, paths["countries"]), V.DRIVER_CONTINENT_MAP)
 
 
@@ -659,8 +662,7 @@ def facts_curated_stream(spark, sf_dir):
     the partitioned curated table (exactly-once file sink), read back."""
     from strata.streaming import start_curated_facts
 
-    raw = scratch_path(spark, "raw-facts")
-    V.raw_facts(spark, sf_dir).write.options(sep="\t", header="false", quote="").csv(raw)
+    raw = _write_raw_files(spark, sf_dir, ["facts"])["facts"]
     target = scratch_path(spark, "facts-stream")
     query = start_curated_facts(spark, raw, V.raw_users(spark, sf_dir), target, extra_columns=["event_id"])
     query.awaitTermination()
