@@ -191,18 +191,24 @@ def anti_join(
     right: DataFrame,
     left_on: str | Sequence[str],
     right_on: str | Sequence[str] | None = None,
+    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Left rows without a match on the right.
 
     Plain ``left_anti`` semantics: a left row with a null key has no match
-    and is therefore returned. Only the right key columns take part; Spark
-    (and AQE from measured sizes) decides whether to broadcast them, and
-    with a shuffle join AQE splits a skewed left partition.
+    and is therefore returned. Only the right key columns take part. They
+    are broadcast when a row count shows at most ``broadcast_max_rows``
+    (so the left side is never shuffled for a small right side); above the
+    bound, or with ``None`` (no count job; Spark and AQE decide from their
+    size estimates), it is a shuffle join in which AQE splits a skewed left
+    partition.
     """
     left_keys = _as_list(left_on)
     right_keys = _as_list(right_on) if right_on is not None else list(left_keys)
     tmp = [f"__anti_key_{i}" for i in range(len(right_keys))]
     keys = right.select(*[col(r).alias(t) for r, t in zip(right_keys, tmp)])
+    if broadcast_max_rows is not None and keys.count() <= broadcast_max_rows:
+        keys = F.broadcast(keys)
     cond = [col(lk) == F.col(t) for lk, t in zip(left_keys, tmp)]
     return left.join(keys, on=cond, how="left_anti")
 
