@@ -66,6 +66,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when it is unset (local tests, the bench) a folder is created and
     registered, so later calls in the same session agree.
     """
+    if not is_classic(spark):  # Spark Connect: no SparkContext on the client
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return root.rstrip("/")
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
@@ -74,6 +79,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def is_classic(spark: SparkSession) -> bool:
+    """True for an in-process (py4j) session, False for Spark Connect."""
+    return hasattr(spark, "_jsparkSession")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -120,9 +120,14 @@ def read_partitioned_strings(spark: SparkSession, path: str) -> DataFrame:
     previous = spark.conf.get(key)
     spark.conf.set(key, "false")
     try:
-        return spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        schema = df.schema  # resolved now, with string partition keys
     finally:
         spark.conf.set(key, previous)
+    if hasattr(spark, "_jsparkSession"):
+        return df
+    # Spark Connect resolves plans again on the server: pin the schema.
+    return spark.read.schema(schema).parquet(path)
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | Sequence[str]) -> DataFrame:
