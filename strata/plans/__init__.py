@@ -11,7 +11,7 @@ from strata.plans.curated import (
     run_curated,
 )
 from strata.plans.layers import publish_layer, read_layer
-from strata.plans.profiling import profile_curated, profile_raw
+from strata.plans.profiling import profile_curated, profile_raw, profile_summary
 from strata.plans.refined import (
     add_continent,
     add_horoscope,
@@ -37,6 +37,7 @@ __all__ = [
     "load_horoscopes",
     "profile_curated",
     "profile_raw",
+    "profile_summary",
     "publish_layer",
     "read_layer",
     "refine_horoscopes",

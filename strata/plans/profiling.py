@@ -8,16 +8,18 @@ driver loops); write them, show them, or pass one to
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strata.functions.columns import col, trim_headers
+from strata.functions.dates import parse_timestamp
 from strata.functions.mapping import map_exact, map_prefix
 from strata.operators import quality as Q
 from strata.plans import defaults as D
 from strata.plans.curated import clean_countries, clean_facts
 from strata.plans.refined import users_without_sign
-from strata.functions.dates import parse_timestamp
 
 
 def profile_raw(
@@ -95,3 +97,13 @@ def profile_curated(users: DataFrame, countries: DataFrame, horoscopes: DataFram
         # Q11: a deterministic preview of the fact table.
         "facts_preview": Q.preview(facts, 20, ["user_id", "fact_date"]),
     }
+
+
+def profile_summary(checks: Mapping[str, DataFrame]) -> DataFrame:
+    """One row ``(check, rows)`` per check: how many rows each check lists.
+
+    All checks run in a single job (their counts are unioned); only these
+    few summary rows reach the driver when it is shown.
+    """
+    parts = [df.agg(F.lit(name).alias("check"), F.count(F.lit(1)).alias("rows")) for name, df in checks.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

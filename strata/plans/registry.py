@@ -545,6 +545,78 @@ def preview_rows(spark, sf_dir):
     return Q.preview(V.raw_facts(spark, sf_dir), 20, "event_id")
 
 
+# Profiling reports (E3) ------------------------------------------------------------
+
+_RAW_PROFILE_SQL = {
+    "unmatched_countries_before": """SELECT count(*) FROM (SELECT DISTINCT country FROM users_raw u
+        WHERE NOT EXISTS (SELECT 1 FROM countries_raw k WHERE k." name" = u.country))""",
+    "unmatched_countries_after": f"""SELECT count(*) FROM (SELECT DISTINCT country_name FROM (
+        SELECT {V._prefix_sql('country', V.DRIVER_PREFIX_RULES)} AS country_name FROM users_raw) u
+        WHERE NOT EXISTS (SELECT 1 FROM countries_raw k WHERE k." name" = u.country_name))""",
+    "duplicate_countries_before": """SELECT count(*) FROM (SELECT " name" FROM countries_raw GROUP BY 1 HAVING count(*) > 1)""",
+    "duplicate_countries_after": """SELECT count(*) FROM (SELECT country FROM countries_curated GROUP BY 1 HAVING count(*) > 1)""",
+    "countries_without_continent": "SELECT count(*) FROM countries_raw WHERE continente IS NULL",
+    "user_key_uniqueness": "SELECT 1",
+    "users_profile": "SELECT 1",
+    "users_without_registration": "SELECT count(*) FROM users_raw WHERE registered IS NULL",
+    "users_without_country": "SELECT count(*) FROM users_raw WHERE country IS NULL AND registered IS NOT NULL",
+    "unparsed_timestamps": "SELECT count(*) FROM facts_parsed WHERE fact_date IS NOT NULL AND fact_timestamp IS NULL",
+    "facts_per_user": "SELECT count(*) FROM (SELECT DISTINCT user_id FROM facts_raw)",
+    "facts_profile": "SELECT 1",
+    "facts_without_song": "SELECT count(*) FROM facts_raw WHERE song_name IS NULL",
+    "facts_without_group": "SELECT count(*) FROM facts_raw WHERE group_name IS NULL",
+    "group_name_ids": "SELECT count(*) FROM (SELECT group_name FROM facts_raw GROUP BY 1 HAVING count(DISTINCT group_id) > 1)",
+    "filter_impact": "SELECT 1",
+}
+
+_CURATED_PROFILE_SQL = {
+    "users_without_sign": """SELECT count(*) FROM users_curated u WHERE NOT EXISTS (SELECT 1 FROM calendar h
+        WHERE TRY_CAST(h."Day" AS INTEGER) = day(u.register_date) AND TRY_CAST(h."Month" AS INTEGER) = month(u.register_date))""",
+    "users_without_continent": """SELECT count(*) FROM (SELECT DISTINCT country_name FROM users_curated u
+        WHERE NOT EXISTS (SELECT 1 FROM countries_curated k WHERE k.country = u.country_name))""",
+    "group_counts": "SELECT 1",
+    "group_name_ids": "SELECT count(*) FROM (SELECT group_name FROM facts_curated GROUP BY 1 HAVING count(DISTINCT group_id) > 1)",
+    "duplicate_naming": """SELECT count(*) FROM (SELECT group_name, song_name FROM facts_curated GROUP BY 1, 2
+        HAVING count(DISTINCT CASE WHEN group_id IS NOT NULL AND song_id IS NOT NULL THEN row(group_id, song_id) END) > 1)""",
+    "facts_without_group_id": "SELECT count(*) FROM facts_curated WHERE group_id IS NULL",
+    "facts_without_user": "SELECT count(*) FROM facts_curated WHERE user_id IS NULL",
+    "facts_preview": "SELECT least(20, count(*)) FROM facts_curated",
+}
+
+
+def _summary_sql(checks: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{name}' AS \"check\", CAST(({sql}) AS BIGINT) AS rows" for name, sql in checks.items())
+
+
+@register("profile_raw_summary", _summary_sql(_RAW_PROFILE_SQL))
+def profile_raw_summary(spark, sf_dir):
+    """The raw-layer profiling report, rows listed per check (one job)."""
+    from strata.plans.profiling import profile_raw, profile_summary
+
+    checks = profile_raw(
+        V.raw_users(spark, sf_dir),
+        V.raw_countries(spark, sf_dir),
+        V.raw_facts(spark, sf_dir),
+        prefix_rules=V.DRIVER_PREFIX_RULES,
+        continent_map=V.DRIVER_CONTINENT_MAP,
+    )
+    return profile_summary(checks)
+
+
+@register("profile_curated_summary", _summary_sql(_CURATED_PROFILE_SQL))
+def profile_curated_summary(spark, sf_dir):
+    """The curated-layer profiling report, rows listed per check (one job)."""
+    from strata.plans.profiling import profile_curated, profile_summary
+
+    checks = profile_curated(
+        users=_users_curated(spark, sf_dir),
+        countries=_countries_curated(spark, sf_dir),
+        horoscopes=V.raw_horoscopes(spark),
+        facts=_facts_curated(spark, sf_dir),
+    )
+    return profile_summary(checks)
+
+
 # Sinks and sources round trips (K1-K5, S1-S4, C8, C9) ---------------------------
 
 
