@@ -22,6 +22,12 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Floor for AQE's partition coalescing. For a write partitioned by user the
+    # cost is the number of directories and files, not bytes: coalescing a small
+    # shuffle into two 1 MB partitions leaves two tasks creating every user's
+    # file. At cluster scale partitions are far above this floor, so it only
+    # matters for small shuffles, where it keeps them parallel.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
 }
 
 
