@@ -31,11 +31,22 @@ RUNTIME_SETTINGS = {
 }
 
 
+LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+SPARK_DEFAULT_LISTING_PARALLELISM = "10000"
+
+
 def ensure_settings(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the library's results depend on."""
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    # Listing a table partitioned by user (one directory per user) runs as a
+    # Spark job; Spark's default starts up to 10,000 tasks of one directory
+    # each. Size it to the cluster instead: 8 tasks per core, at most
+    # Spark's own cap, unless the session chose a value.
+    if is_classic(spark) and spark.conf.get(LISTING_PARALLELISM) == SPARK_DEFAULT_LISTING_PARALLELISM:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(LISTING_PARALLELISM, str(min(int(SPARK_DEFAULT_LISTING_PARALLELISM), max(64, 8 * cores))))
     return spark
 
 
