@@ -21,7 +21,7 @@ from strata.functions.columns import col
 from strata.functions.dates import day_of, parse_date, parse_timestamp, to_int
 from strata.functions.mapping import fill_null, map_exact, map_prefix
 from strata.operators import quality as Q
-from strata.operators.relational import anti_join
+from strata.operators.relational import Lookup, anti_join, lookup_joins
 from strata.plans.curated import clean_countries, clean_facts, clean_users, invalid_users
 from strata.plans.layers import read_layer
 from strata.plans.refined import add_continent, add_horoscope, enrich_users, users_without_sign, with_register_parts
@@ -126,7 +126,7 @@ def parse_bad_date_to_null(spark, sf_dir):
     o = o.select(
         "o_orderkey",
         "o_orderpriority",
-        F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit("Sept"), F.expr("substr(date_format(o_orderdate, 'MMM d, yyyy'), 4)")))
+        F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit("Sept"), text.substr(F.lit(4), F.length(text))))
         .otherwise(text)
         .alias("registered"),
     )
@@ -182,7 +182,7 @@ def map_continent_exact(spark, sf_dir):
     countries = read_countries_frame(V.raw_countries(spark, sf_dir)).select("country", "continente").distinct()
     nation = V.table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
     cust = V.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    df = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left").join(countries, "country", "left")
+    df = lookup_joins(cust, [Lookup(nation, "c_nationkey", "n_nationkey"), Lookup(countries, "country")])
     return df.select(
         "c_custkey",
         fill_null("continente", "Sin continente").alias("continente"),
