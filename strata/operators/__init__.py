@@ -18,9 +18,11 @@ from strata.operators.quality import (
     unparsed_values,
 )
 from strata.operators.relational import (
+    DEFAULT_BROADCAST_MAX_BYTES,
     DEFAULT_BROADCAST_MAX_ROWS,
     DuplicateKeyError,
     Lookup,
+    SideStats,
     anti_join,
     distinct_values,
     drop_duplicate_rows,
@@ -29,15 +31,20 @@ from strata.operators.relational import (
     key_stats_many,
     lookup_join,
     lookup_joins,
+    row_bytes,
     rows_missing_lookup,
+    side_size,
+    side_stats_many,
     union_rows,
 )
 
 __all__ = [
+    "DEFAULT_BROADCAST_MAX_BYTES",
     "DEFAULT_BROADCAST_MAX_ROWS",
     "CheckFailed",
     "DuplicateKeyError",
     "Lookup",
+    "SideStats",
     "anti_join",
     "distinct_counts",
     "distinct_values",
@@ -58,7 +65,10 @@ __all__ = [
     "null_profile",
     "null_rows",
     "preview",
+    "row_bytes",
     "rows_missing_lookup",
+    "side_size",
+    "side_stats_many",
     "union_rows",
     "unmatched_values",
     "unparsed_values",

@@ -3,9 +3,9 @@
 Scale notes
 -----------
 * Lookup joins (users -> calendar, users -> countries) read a dimension
-  whose size is checked with one small aggregate job before it is
-  broadcast; above the bound the join stays a shuffle join and AQE may
-  still convert or split it at run time.
+  whose size (rows, and bytes summed from the values) is checked with one
+  small aggregate job before it is broadcast; above the bounds the join
+  stays a shuffle join and AQE may still convert or split it at run time.
 * The same job proves the lookup key unique, so a lookup can never
   multiply fact rows.
 * Exclusion (facts of invalid users) drops null keys first, then runs a
@@ -20,50 +20,116 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.columns import col
 
-# Rows a lookup side may have and still be broadcast (narrow dimension rows,
-# roughly the 10 MB Spark uses for its own automatic broadcast).
-DEFAULT_BROADCAST_MAX_ROWS = 100_000
+# Bounds for broadcasting a join side, checked on the data itself: rows,
+# and bytes summed from the actual values (string lengths, fixed widths).
+# Spark's hash relation takes a few times the raw bytes on each executor.
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 
 class DuplicateKeyError(ValueError):
     """A lookup table holds more than one row for a key."""
 
 
+@dataclass(frozen=True)
+class SideStats:
+    """Measured size of a join side."""
+
+    keys: int  # distinct non-null keys
+    max_copies: int  # largest number of rows for one key
+    rows: int
+    bytes: int
+
+    def fits(self, max_rows: int | None, max_bytes: int | None) -> bool:
+        """Whether the side may be broadcast under the given bounds."""
+        if max_rows is None or max_bytes is None:
+            return False
+        return self.rows <= max_rows and self.bytes <= max_bytes
+
+
 def _as_list(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _key_summary(df: DataFrame, keys: Sequence[str], tag: int) -> DataFrame:
-    """One row: (tag, distinct non-null keys, largest number of rows per key)."""
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row in bytes: the encoded length of text and binary values,
+    the JSON length of nested values, the fixed width of other types."""
+    parts = []
+    for f in df.schema.fields:
+        c = col(f.name)
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, T.VarcharType, T.CharType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(_fixed_width(f.dataType)))
+    return reduce(lambda a, b: a + b, parts, F.lit(0)).cast("long")
+
+
+def _fixed_width(t: T.DataType) -> int:
+    """Bytes of a fixed-width value (Spark's in-memory widths)."""
+    if isinstance(t, (T.ByteType, T.BooleanType, T.NullType)):
+        return 1
+    if isinstance(t, T.ShortType):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    return 8  # long, double, timestamps, intervals
+
+
+def _summary(df: DataFrame, keys: Sequence[str], tag: int) -> DataFrame:
+    """One row: (tag, keys, max_copies, rows, bytes) of the non-null-key rows."""
     non_null = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))) if keys else df
-    per_key = non_null.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("copies"))
+    per_key = non_null.groupBy(*[col(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("copies"), F.sum(row_bytes(non_null)).alias("size")
+    )
     return per_key.agg(
         F.lit(tag).alias("tag"),
         F.count(F.lit(1)).alias("keys"),
         F.coalesce(F.max("copies"), F.lit(0)).alias("max_copies"),
+        F.coalesce(F.sum("copies"), F.lit(0)).cast("long").alias("rows"),
+        F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("bytes"),
     )
 
 
-def key_stats_many(frames: Sequence[tuple[DataFrame, Sequence[str]]]) -> list[tuple[int, int]]:
-    """``key_stats`` of several tables in a single job.
+def side_stats_many(frames: Sequence[tuple[DataFrame, Sequence[str]]]) -> list[SideStats]:
+    """:class:`SideStats` of several join sides in a single job.
 
     The one-row summaries are unioned, so one action returns one small row
-    per table; partial aggregation collapses repeated keys before each
+    per side; partial aggregation collapses repeated keys before each
     shuffle.
     """
     if not frames:
         return []
-    parts = [_key_summary(df, keys, i) for i, (df, keys) in enumerate(frames)]
+    parts = [_summary(df, keys, i) for i, (df, keys) in enumerate(frames)]
     union = reduce(lambda a, b: a.unionByName(b), parts)
-    found = {r["tag"]: (int(r["keys"]), int(r["max_copies"])) for r in union.collect()}
+    found = {
+        r["tag"]: SideStats(int(r["keys"]), int(r["max_copies"]), int(r["rows"]), int(r["bytes"])) for r in union.collect()
+    }
     return [found[i] for i in range(len(frames))]
 
 
+def side_size(df: DataFrame) -> SideStats:
+    """Rows and bytes of a join side, from one aggregate job (no shuffle
+    beyond the final single-row merge)."""
+    r = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()
+    return SideStats(keys=-1, max_copies=-1, rows=int(r["rows"]), bytes=int(r["bytes"]))
+
+
+def key_stats_many(frames: Sequence[tuple[DataFrame, Sequence[str]]]) -> list[tuple[int, int]]:
+    """(distinct non-null keys, largest number of rows per key) of several
+    tables, from a single job."""
+    return [(st.keys, st.max_copies) for st in side_stats_many(frames)]
+
+
 def key_stats(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     """(number of distinct non-null keys, largest number of rows per key),
     from one aggregate job; only the summary row reaches the driver."""
@@ -102,14 +168,15 @@ def lookup_joins(
     df: DataFrame,
     lookups: Sequence[Lookup],
     check_unique: bool = True,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Apply several lookups in order, checking all of them in one job.
 
     Each lookup side is proven key-unique (so no fact row is multiplied)
-    and broadcast only when its number of keys is within
-    ``broadcast_max_rows``; above the bound it is a shuffle join that AQE
-    may still convert or split at run time.
+    and broadcast only when its measured rows and bytes are within the
+    bounds; above them it is a shuffle join that AQE may still convert or
+    split at run time.
     """
     columns = list(df.columns)
     prepared = []
@@ -117,14 +184,14 @@ def lookup_joins(
         right, left_keys, tmp = _prepare(columns, lk, i)
         prepared.append((lk, right, left_keys, tmp))
         columns += [c for c in right.columns if c not in tmp]
-    stats = key_stats_many([(right, tmp) for _, right, _, tmp in prepared])
+    stats = side_stats_many([(right, tmp) for _, right, _, tmp in prepared])
     out = df
-    for (lk, right, left_keys, tmp), (n_keys, max_copies) in zip(prepared, stats):
-        if check_unique and max_copies > 1:
+    for (lk, right, left_keys, tmp), st in zip(prepared, stats):
+        if check_unique and st.max_copies > 1:
             raise DuplicateKeyError(
-                f"lookup key {_as_list(lk.right_on or lk.left_on)} is not unique ({max_copies} rows for one key)"
+                f"lookup key {_as_list(lk.right_on or lk.left_on)} is not unique ({st.max_copies} rows for one key)"
             )
-        if n_keys <= broadcast_max_rows:
+        if st.fits(broadcast_max_rows, broadcast_max_bytes):
             right = F.broadcast(right)
         cond = [col(lk_) == F.col(t) for lk_, t in zip(left_keys, tmp)]
         out = out.join(right, on=cond, how=lk.how).drop(*tmp)
@@ -138,7 +205,8 @@ def lookup_join(
     right_on: str | Sequence[str] | None = None,
     how: str = "left",
     check_unique: bool = True,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Enrich ``df`` with the columns of a lookup table.
 
@@ -149,7 +217,7 @@ def lookup_join(
     Raises :class:`DuplicateKeyError` when ``check_unique`` and a key has
     more than one row.
     """
-    return lookup_joins(df, [Lookup(dim, left_on, right_on, how)], check_unique, broadcast_max_rows)
+    return lookup_joins(df, [Lookup(dim, left_on, right_on, how)], check_unique, broadcast_max_rows, broadcast_max_bytes)
 
 
 def exclude_keys(
@@ -157,8 +225,9 @@ def exclude_keys(
     excluded: DataFrame,
     key: str,
     excluded_key: str | None = None,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
     cluster_output: bool = False,
+    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Rows of ``df`` whose ``key`` is set and not among the excluded keys.
 
@@ -175,14 +244,14 @@ def exclude_keys(
     ek = excluded_key or key
     bad = excluded.select(col(ek).alias("__excluded_key")).where(F.col("__excluded_key").isNotNull())
     kept = df.where(col(key).isNotNull())
-    # Row count (not distinct keys): an upper bound, with no shuffle.
-    n_bad = bad.count()
-    if n_bad > broadcast_max_rows:
+    # Rows and bytes of the list (not distinct keys): an upper bound, no shuffle.
+    size = side_size(bad)
+    if size.rows > 0 and not size.fits(broadcast_max_rows, broadcast_max_bytes):
         # No distinct() on the excluded side: repeated keys do not change an
         # anti join, and a plain shuffle below the sort-merge join lets AQE
         # split the partition of a hot key.
         return kept.join(bad, col(key) == F.col("__excluded_key"), "left_anti")
-    out = kept if n_bad == 0 else kept.join(F.broadcast(bad), col(key) == F.col("__excluded_key"), "left_anti")
+    out = kept if size.rows == 0 else kept.join(F.broadcast(bad), col(key) == F.col("__excluded_key"), "left_anti")
     return out.hint("rebalance", col(key)) if cluster_output else out
 
 
@@ -192,23 +261,25 @@ def anti_join(
     left_on: str | Sequence[str],
     right_on: str | Sequence[str] | None = None,
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Left rows without a match on the right.
 
     Plain ``left_anti`` semantics: a left row with a null key has no match
     and is therefore returned. Only the right key columns take part. They
-    are broadcast when a row count shows at most ``broadcast_max_rows``
-    (so the left side is never shuffled for a small right side); above the
-    bound, or with ``None`` (no count job; Spark and AQE decide from their
-    size estimates), it is a shuffle join in which AQE splits a skewed left
-    partition.
+    are broadcast when their measured rows and bytes are within the bounds
+    (so the left side is never shuffled for a small right side); above
+    them, or with a bound of ``None`` (no size job; Spark and AQE decide
+    from their estimates), it is a shuffle join in which AQE splits a
+    skewed left partition.
     """
     left_keys = _as_list(left_on)
     right_keys = _as_list(right_on) if right_on is not None else list(left_keys)
     tmp = [f"__anti_key_{i}" for i in range(len(right_keys))]
     keys = right.select(*[col(r).alias(t) for r, t in zip(right_keys, tmp)])
-    if broadcast_max_rows is not None and keys.count() <= broadcast_max_rows:
-        keys = F.broadcast(keys)
+    if broadcast_max_rows is not None and broadcast_max_bytes is not None:
+        if side_size(keys).fits(broadcast_max_rows, broadcast_max_bytes):
+            keys = F.broadcast(keys)
     cond = [col(lk) == F.col(t) for lk, t in zip(left_keys, tmp)]
     return left.join(keys, on=cond, how="left_anti")
 

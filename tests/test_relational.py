@@ -200,3 +200,31 @@ def test_clustered_exclusion_shuffles_facts_once(spark, bound):
     fact_shuffles = [l for l in plan.splitlines() if "Exchange hashpartitioning(user_id" in l]
     assert len(fact_shuffles) == 1
     assert out.count() == 2000 - 80
+
+
+def test_side_size_measures_rows_and_bytes(spark):
+    from strata.operators import side_size, side_stats_many
+
+    df = spark.createDataFrame([("ab", 1), ("çé", None), (None, 3)], "s string, n int")
+    st = side_size(df)
+    # "ab" 2 bytes, "çé" 4 bytes (UTF-8), null 0; an int is 4 bytes wide
+    assert (st.rows, st.bytes) == (3, 2 + 4 + 0 + 3 * 4)
+    (lk,) = side_stats_many([(df, ["s"])])
+    assert (lk.keys, lk.max_copies, lk.rows, lk.bytes) == (2, 1, 2, 2 + 4 + 2 * 4)
+
+
+def test_lookup_join_respects_the_byte_bound(spark):
+    users = spark.createDataFrame([("u1", "Spain")], "user_id string, country string")
+    dim = spark.createDataFrame([("Spain", "Europe" * 100)], "country string, continent string")
+    wide = lookup_join(users, dim, "country", broadcast_max_bytes=100)
+    assert "broadcast" not in wide._jdf.queryExecution().optimizedPlan().toString().lower()
+    narrow = lookup_join(users, dim, "country")
+    assert "broadcast" in narrow._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert rows(wide) == rows(narrow)
+
+
+def test_exclusion_respects_the_byte_bound(spark, facts):
+    bad = spark.createDataFrame([("a",), ("c",)], "uid string")
+    out = exclude_keys(facts, bad, "user_id", "uid", broadcast_max_bytes=1)
+    assert "broadcast" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert rows(out) == [(3, "b")]
