@@ -479,6 +479,16 @@ def group_name_ids(spark, sf_dir):
     return Q.fd_violations(V.raw_facts(spark, sf_dir), "group_name", "group_id", "n_group_ids")
 
 
+@register(
+    "group_ids_of_name",
+    "SELECT DISTINCT group_id, group_name FROM facts_raw WHERE group_name = 'purchase'",
+)
+def group_ids_of_name(spark, sf_dir):
+    """The ids one named group is carried by (a SQL-text
+    predicate on a constant, a column subset, distinct)."""
+    return V.raw_facts(spark, sf_dir).where("group_name = 'purchase'").select("group_id", "group_name").distinct()
+
+
 @register(
     "multi_count_distinct",
     """
