@@ -18,8 +18,9 @@ def col(name: str) -> Column:
 
 
 def trim_headers(df: DataFrame) -> DataFrame:
-    """Strip surrounding spaces from every column name in one projection."""
-    names = [c.strip() for c in df.columns]
+    """Strip surrounding spaces (and a byte-order mark on the first header)
+    from every column name in one projection (P1)."""
+    names = [c.lstrip("\ufeff").strip() for c in df.columns]
     if names == df.columns:
         return df
     dupes = {n for n in names if names.count(n) > 1}

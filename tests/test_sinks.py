@@ -79,3 +79,13 @@ def test_header_padding_is_kept_then_trimmed(spark, tmp_path):
     raw = read_delimited(spark, str(p), sep=",")
     assert raw.columns == ["nombre", " name", " iso2"]
     assert trim_headers(raw).columns == ["nombre", "name", "iso2"]
+
+
+def test_header_with_byte_order_mark(spark, tmp_path):
+    from strata.sources import read_users
+
+    p = tmp_path / "u.tsv"
+    p.write_text("﻿#id\tcountry\tregistered\nu1\tSpain\tFeb 4, 2005\n", encoding="utf-8")
+    df = read_users(spark, str(p))
+    assert df.columns[0] == "#id"
+    assert rows(df) == [("u1", "Spain", "Feb 4, 2005")]
