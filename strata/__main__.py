@@ -85,7 +85,10 @@ def main(argv: list[str] | None = None) -> int:
         from strata.sources.readers import read_countries, read_facts, read_users
 
         checks = profile_raw(
-            read_users(spark, args.users), read_countries(spark, args.countries), read_facts(spark, args.facts)
+            read_users(spark, args.users),
+            read_countries(spark, args.countries),
+            read_facts(spark, args.facts),
+            stage_path=f"{args.out.rstrip('/')}/_staged",
         )
         _write_checks(checks, args.out)
     elif args.command == "profile-curated":

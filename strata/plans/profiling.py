@@ -18,7 +18,9 @@ from strata.functions.dates import parse_timestamp
 from strata.functions.mapping import map_exact, map_prefix
 from strata.operators import quality as Q
 from strata.plans import defaults as D
-from strata.plans.curated import clean_countries, clean_facts
+from strata.operators.relational import exclude_keys
+from strata.plans.curated import clean_countries, invalid_users
+from strata.sinks.writers import stage_table
 from strata.plans.refined import users_without_sign
 
 
@@ -29,13 +31,21 @@ def profile_raw(
     prefix_rules: Sequence[tuple[str, str]] = D.COUNTRY_PREFIX_RULES,
     continent_map: Mapping[str, str] = D.CONTINENT_ES_TO_EN,
     added_countries: Sequence[Sequence[str]] = D.ADDED_COUNTRIES,
+    stage_path: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Checks over the raw tables, before and after each cleaning step."""
+    """Checks over the raw tables, before and after each cleaning step.
+
+    With ``stage_path`` the parsed facts are written once as Parquet there
+    and every fact check reads that copy: raw text cannot be column-pruned,
+    so otherwise each of the seven fact checks parses the whole raw file.
+    """
     raw_countries = trim_headers(countries).withColumnRenamed("name", "country")
     mapped_users = users.withColumn("country_name", map_prefix("country", prefix_rules))
     curated_countries = clean_countries(countries, continent_map, added_countries)
     parsed = facts.select("*", parse_timestamp("fact_date").alias("fact_timestamp"))
-    kept = clean_facts(facts, users)
+    if stage_path:
+        parsed = stage_table(parsed, f"{stage_path.rstrip('/')}/facts_parsed")
+    kept = exclude_keys(parsed, invalid_users(users), key="user_id", excluded_key="#id")
     return {
         # Q1: user countries unknown to the country table, before / after mapping.
         "unmatched_countries_before": Q.unmatched_values(users, "country", raw_countries, "country"),

@@ -108,3 +108,14 @@ def save_catalog_table(
 def table_name(database: str, table: str) -> str:
     """Quoted qualified catalog name."""
     return f"`{database}`.`{table}`"
+
+
+def stage_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once as Parquet and return the written table.
+
+    Several checks over the same parsed text then read a columnar,
+    column-pruned copy instead of re-parsing the text each time, and the
+    lineage is cut at a table in the shared folder (not a local checkpoint).
+    """
+    write_table(df, path)
+    return df.sparkSession.read.parquet(path)

@@ -134,6 +134,17 @@ def test_profiles_run(raw):
     assert counts["users_without_sign"] >= 1
 
 
+def test_profile_raw_staged_matches_unstaged(spark, raw):
+    from strata.plans import profile_summary
+
+    plain = profile_summary(profile_raw(raw["users"], raw["countries"], raw["facts"]))
+    staged_checks = profile_raw(raw["users"], raw["countries"], raw["facts"], stage_path=scratch_path(spark, "t-stage"))
+    assert rows(profile_summary(staged_checks)) == rows(plain)
+    # the fact checks read the staged Parquet copy, not the raw text
+    plan = staged_checks["facts_profile"]._jdf.queryExecution().executedPlan().toString()
+    assert "Parquet" in plan and "csv" not in plan.lower()
+
+
 def test_layers_round_trip_and_rerun(spark, raw_paths):
     root = scratch_path(spark, "test-layers")
     log_c = run_curated(spark, raw_paths, f"{root}/curated", log_path=f"{root}/log")
