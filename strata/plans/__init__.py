@@ -10,7 +10,7 @@ from strata.plans.curated import (
     load_horoscopes,
     run_curated,
 )
-from strata.plans.layers import publish_layer, read_layer
+from strata.plans.layers import publish_layer, read_layer, register_views
 from strata.plans.profiling import profile_curated, profile_raw, profile_summary
 from strata.plans.refined import (
     add_continent,
@@ -41,6 +41,7 @@ __all__ = [
     "publish_layer",
     "read_layer",
     "refine_horoscopes",
+    "register_views",
     "run_curated",
     "run_refined",
     "users_without_sign",

@@ -114,7 +114,8 @@ def read_partitioned_strings(spark: SparkSession, path: str) -> DataFrame:
     Partition-value type inference is switched off for this one read (the
     file listing and partition spec are built when the relation is
     created), so a key such as ``001`` is not turned into the number 1 and
-    the directory tree is listed only once.
+    the directory tree is listed only once. The switch is a session setting:
+    do not run other reads on the same session concurrently.
     """
     key = "spark.sql.sources.partitionColumnTypeInference.enabled"
     previous = spark.conf.get(key)

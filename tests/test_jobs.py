@@ -196,3 +196,12 @@ def test_run_log_records_errors(spark):
             1 / 0
     assert [e[4] for e in log.entries] == ["INFO", "ERROR"]
     assert log.to_dataframe(spark).count() == 2
+
+
+def test_register_views_for_sql(spark, raw):
+    from strata.plans import register_views
+
+    cur = build_curated(raw["users"], raw["countries"], raw["horoscopes"], raw["facts"])
+    assert register_views(cur, "cur_") == ["cur_countries", "cur_horoscopes", "cur_users", "cur_facts"]
+    got = spark.sql("SELECT count(*) AS n FROM cur_facts WHERE user_id = 'u1'").first().n
+    assert got == 2
