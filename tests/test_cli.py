@@ -16,3 +16,17 @@ def test_cli_runs_both_layers_and_profiles(spark, raw_paths):
     args = ["profile-raw", "--out", f"{root}/raw-checks"] + [f"--{k}={raw_paths[k]}" for k in ("users", "countries", "facts")]
     assert main(args) == 0
     assert rows(spark.read.parquet(f"{root}/raw-checks/filter_impact")) == [(8, 6, 2)]
+
+
+def test_cli_stream_facts(spark, raw_paths, tmp_path):
+    import shutil
+
+    incoming = tmp_path / "incoming"
+    incoming.mkdir()
+    shutil.copy(raw_paths["facts"], incoming / "part1.tsv")
+    root = scratch_path(spark, "t-cli-stream")
+    args = ["stream-facts", "--facts-dir", str(incoming), "--users", raw_paths["users"], "--target", f"{root}/facts"]
+    assert main(args + ["--checkpoint", f"{root}/ckpt"]) == 0
+    from strata.sources.readers import read_partitioned_strings
+
+    assert read_partitioned_strings(spark, f"{root}/facts").count() == 6
