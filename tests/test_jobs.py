@@ -205,3 +205,14 @@ def test_register_views_for_sql(spark, raw):
     assert register_views(cur, "cur_") == ["cur_countries", "cur_horoscopes", "cur_users", "cur_facts"]
     got = spark.sql("SELECT count(*) AS n FROM cur_facts WHERE user_id = 'u1'").first().n
     assert got == 2
+
+
+def test_failed_run_is_logged(spark, raw_paths):
+    root = scratch_path(spark, "t-fail")
+    bad_paths = dict(raw_paths, countries=f"{root}/no-such-file.csv")
+    with pytest.raises(Exception):
+        run_curated(spark, bad_paths, f"{root}/curated", log_path=f"{root}/log")
+    log = spark.read.parquet(f"{root}/log")
+    errors = log.where("level = 'ERROR'").collect()
+    assert [e.step for e in errors] == ["read_raw"]
+    assert "no-such-file" in errors[0].message
