@@ -18,6 +18,9 @@ from pyspark.sql import SparkSession
 # partitions (a single user may own a third of all facts).
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Date text is parsed with the java.time patterns (Spark 4's default);
+    # pinned so a session set to the legacy parser cannot change results.
+    "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
