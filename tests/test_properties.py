@@ -60,3 +60,27 @@ def test_counts_match_python(spark, keys):
     assert rows(key_uniqueness(df, "user_id")) == [(total, distinct, total - distinct)]
     per_key = {r.user_id: r.total_facts for r in group_counts(df, "user_id").collect()}
     assert per_key == {k: (0 if k is None else keys.count(k)) for k in set(keys)}
+
+
+@SETTINGS
+@given(
+    left=st.lists(KEYS, max_size=10),
+    dim=st.dictionaries(st.sampled_from(["a", "b", "c", "d", "e"]), st.text(alphabet="xyz", max_size=3), max_size=4),
+)
+def test_lookup_join_is_a_left_lookup(spark, left, dim):
+    from strata.operators import lookup_join
+
+    users = spark.createDataFrame(list(enumerate(left)), "id int, k string")
+    d = spark.createDataFrame(list(dim.items()), "key string, v string")
+    got = {r.id: r.v for r in lookup_join(users, d, "k", "key").collect()}
+    assert got == {i: (dim.get(k) if k is not None else None) for i, k in enumerate(left)}
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(KEYS, KEYS), max_size=12))
+def test_distinct_counts_count_null_rows(spark, data):
+    from strata.operators import distinct_counts
+
+    df = spark.createDataFrame(data, "a string, b string")
+    out = distinct_counts(df, {"a": ["a"], "ab": ["a", "b"]}).first()
+    assert (out.a, out.ab) == (len({a for a, _ in data}), len(set(data)))
