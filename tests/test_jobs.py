@@ -216,3 +216,20 @@ def test_failed_run_is_logged(spark, raw_paths):
     errors = log.where("level = 'ERROR'").collect()
     assert [e.step for e in errors] == ["read_raw"]
     assert "no-such-file" in errors[0].message
+
+
+def test_added_country_present_once_when_source_has_it(spark, raw):
+    from pyspark.sql import functions as F
+
+    extra = raw["countries"].limit(1).select(
+        F.lit("Cote D'Ivoire").alias("nombre"),
+        F.lit("Cote D'Ivoire").alias("name"),
+        F.lit("Cote d'Ivoire").alias("nom"),
+        F.lit("CI").alias("iso2"),
+        F.lit("CIV").alias("iso3"),
+        F.lit("225").alias("phone_code"),
+        F.lit("África").alias("continente"),
+    )
+    out = clean_countries(raw["countries"].unionByName(extra))
+    assert out.where("country = 'Cote D''Ivoire'").count() == 1
+    assert out.count() == 9
