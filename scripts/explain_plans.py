@@ -4,7 +4,8 @@ Usage: python scripts/explain_plans.py [sf_dir] [out_file]
 
 For each query: shuffle exchanges (with their keys), broadcast exchanges,
 join operators, scans with the filters pushed into them and the columns
-they read, then the plan tree (from ``explain("formatted")``).
+they read, what AQE changed when the query ran, then the plan tree (from
+``explain("formatted")``).
 """
 
 from __future__ import annotations
@@ -49,17 +50,29 @@ def main() -> None:
         "# Physical plans of the registered queries",
         "",
         f"Generated by `scripts/explain_plans.py` on `{sf_dir}` (local[8], 16 shuffle partitions, AQE on).",
-        "Plans are the initial adaptive plans; AQE may still coalesce, split skewed",
-        "partitions, or turn a shuffle join into a broadcast join at run time.",
+        "Trees are the initial adaptive plans; the 'after execution' line lists what the",
+        "final adaptive plan of a run shows (coalesced or skew-split shuffle reads, joins).",
         "Queries that publish tables run their writes first; the plan shown is the",
         "read-back query.",
         "",
     ]
     for name, q in E.queries().items():
+        df = q(spark, sf_dir)
         buf = io.StringIO()
         with redirect_stdout(buf):
-            q(spark, sf_dir).explain("formatted")
+            df.explain("formatted")
         s = summarize(buf.getvalue())
+        df.collect()  # run it, then read the final adaptive plan of this execution
+        final = df._jdf.queryExecution().executedPlan().toString()
+        aqe = sorted(set(re.findall(r"AQEShuffleRead \w+", final)))
+        aqe += sorted(
+            {
+                f"{kind} {how}"
+                for kind, how in re.findall(
+                    r"(BroadcastHashJoin|SortMergeJoin(?:\(skew=true\))?|ShuffledHashJoin) \[[^\]]*\], \[[^\]]*\], (\w+)", final
+                )
+            }
+        )
         lines += [f"## {name}", ""]
         lines.append(f"* shuffles: {len(s['shuffles'])}" + (" — " + "; ".join(s["shuffles"]) if s["shuffles"] else ""))
         lines.append(f"* broadcast exchanges: {s['broadcasts']}")
@@ -68,6 +81,7 @@ def main() -> None:
             lines.append(f"* pushed filters: `{p}`")
         for r in s["read"]:
             lines.append(f"* read schema: `{r}`")
+        lines.append(f"* after execution (AQE): {', '.join(aqe) or 'no adaptive change'}")
         lines += ["", "```", s["tree"], "```", ""]
     with open(out_file, "w", encoding="utf-8") as fh:
         fh.write("\n".join(lines))
