@@ -31,6 +31,22 @@ from strata.functions.columns import col
 # Spark's hash relation takes a few times the raw bytes on each executor.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 DEFAULT_BROADCAST_MAX_BYTES = 32 * 1024 * 1024
+# Session settings that replace the default bounds (an explicit argument
+# still wins); "-1" turns explicit broadcasting off.
+BROADCAST_MAX_ROWS_CONF = "spark.strata.broadcast.maxRows"
+BROADCAST_MAX_BYTES_CONF = "spark.strata.broadcast.maxBytes"
+
+
+def _bound(df: DataFrame, value: int | None, default: int, conf: str) -> int | None:
+    """The bound to apply: an explicit argument, else the session setting,
+    else the library default. ``None`` or a negative value: no broadcast."""
+    if value is not default:
+        return value
+    configured = df.sparkSession.conf.get(conf, None)
+    if configured is None:
+        return default
+    n = int(configured)
+    return None if n < 0 else n
 
 
 class DuplicateKeyError(ValueError):
@@ -185,13 +201,15 @@ def lookup_joins(
         prepared.append((lk, right, left_keys, tmp))
         columns += [c for c in right.columns if c not in tmp]
     stats = side_stats_many([(right, tmp) for _, right, _, tmp in prepared])
+    max_rows = _bound(df, broadcast_max_rows, DEFAULT_BROADCAST_MAX_ROWS, BROADCAST_MAX_ROWS_CONF)
+    max_bytes = _bound(df, broadcast_max_bytes, DEFAULT_BROADCAST_MAX_BYTES, BROADCAST_MAX_BYTES_CONF)
     out = df
     for (lk, right, left_keys, tmp), st in zip(prepared, stats):
         if check_unique and st.max_copies > 1:
             raise DuplicateKeyError(
                 f"lookup key {_as_list(lk.right_on or lk.left_on)} is not unique ({st.max_copies} rows for one key)"
             )
-        if st.fits(broadcast_max_rows, broadcast_max_bytes):
+        if st.fits(max_rows, max_bytes):
             right = F.broadcast(right)
         cond = [col(lk_) == F.col(t) for lk_, t in zip(left_keys, tmp)]
         out = out.join(right, on=cond, how=lk.how).drop(*tmp)
@@ -246,7 +264,9 @@ def exclude_keys(
     kept = df.where(col(key).isNotNull())
     # Rows and bytes of the list (not distinct keys): an upper bound, no shuffle.
     size = side_size(bad)
-    if size.rows > 0 and not size.fits(broadcast_max_rows, broadcast_max_bytes):
+    max_rows = _bound(df, broadcast_max_rows, DEFAULT_BROADCAST_MAX_ROWS, BROADCAST_MAX_ROWS_CONF)
+    max_bytes = _bound(df, broadcast_max_bytes, DEFAULT_BROADCAST_MAX_BYTES, BROADCAST_MAX_BYTES_CONF)
+    if size.rows > 0 and not size.fits(max_rows, max_bytes):
         # No distinct() on the excluded side: repeated keys do not change an
         # anti join, and a plain shuffle below the sort-merge join lets AQE
         # split the partition of a hot key.
@@ -277,9 +297,10 @@ def anti_join(
     right_keys = _as_list(right_on) if right_on is not None else list(left_keys)
     tmp = [f"__anti_key_{i}" for i in range(len(right_keys))]
     keys = right.select(*[col(r).alias(t) for r, t in zip(right_keys, tmp)])
-    if broadcast_max_rows is not None and broadcast_max_bytes is not None:
-        if side_size(keys).fits(broadcast_max_rows, broadcast_max_bytes):
-            keys = F.broadcast(keys)
+    max_rows = _bound(left, broadcast_max_rows, DEFAULT_BROADCAST_MAX_ROWS, BROADCAST_MAX_ROWS_CONF)
+    max_bytes = _bound(left, broadcast_max_bytes, DEFAULT_BROADCAST_MAX_BYTES, BROADCAST_MAX_BYTES_CONF)
+    if max_rows is not None and max_bytes is not None and side_size(keys).fits(max_rows, max_bytes):
+        keys = F.broadcast(keys)
     cond = [col(lk) == F.col(t) for lk, t in zip(left_keys, tmp)]
     return left.join(keys, on=cond, how="left_anti")
 
