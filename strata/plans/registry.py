@@ -17,18 +17,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import col
+from strata.functions.columns import col, trim_headers
 from strata.functions.dates import day_of, parse_date, parse_timestamp, to_int
 from strata.functions.mapping import fill_null, map_exact, map_prefix
 from strata.operators import quality as Q
 from strata.operators.relational import Lookup, anti_join, lookup_joins
-from strata.plans.curated import clean_countries, clean_facts, clean_users, invalid_users
+from strata.plans.curated import (
+    clean_countries,
+    clean_facts,
+    clean_users,
+    facts_with_year_month,
+    invalid_users,
+    run_curated,
+)
 from strata.plans.layers import read_layer
-from strata.plans.refined import add_continent, add_horoscope, enrich_users, users_without_sign, with_register_parts
+from strata.plans.profiling import profile_curated, profile_raw, profile_summary
+from strata.plans.refined import (
+    add_continent,
+    add_horoscope,
+    enrich_users,
+    run_refined,
+    users_without_sign,
+    with_register_parts,
+)
 from strata.session import ensure_settings, scratch_path
 from strata.sinks.writers import ensure_database, save_catalog_table, table_name, write_table
 from strata.sources import driver_tables as V
 from strata.sources.readers import read_countries, read_facts, read_partitioned_strings, read_users
+from strata.streaming import start_curated_facts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -88,8 +104,6 @@ def _countries_by_name(spark, sf_dir) -> DataFrame:
 
 def read_countries_frame(raw: DataFrame) -> DataFrame:
     """Raw countries with clean headers and ``name`` as ``country``."""
-    from strata.functions.columns import trim_headers
-
     return trim_headers(raw).withColumnRenamed("name", "country")
 
 
@@ -151,8 +165,6 @@ FROM facts_parsed""",
 )
 def fact_date_parts(spark, sf_dir):
     """Year, month and day of the fact time."""
-    from strata.plans.curated import facts_with_year_month
-
     df = facts_with_year_month(_facts_parsed(spark, sf_dir))
     return df.select("event_id", "year", "month", day_of("fact_timestamp").alias("day"))
 
@@ -318,8 +330,6 @@ FROM facts_curated""",
 )
 def facts_year_month(spark, sf_dir):
     """Curated facts with year and month columns."""
-    from strata.plans.curated import facts_with_year_month
-
     return facts_with_year_month(_facts_curated(spark, sf_dir)).select("event_id", "user_id", "year", "month")
 
 
@@ -601,8 +611,6 @@ def _summary_sql(checks: dict[str, str]) -> str:
 @register("profile_raw_summary", _summary_sql(_RAW_PROFILE_SQL))
 def profile_raw_summary(spark, sf_dir):
     """The raw-layer profiling report, rows listed per check (one job)."""
-    from strata.plans.profiling import profile_raw, profile_summary
-
     checks = profile_raw(
         V.raw_users(spark, sf_dir),
         V.raw_countries(spark, sf_dir),
@@ -616,8 +624,6 @@ def profile_raw_summary(spark, sf_dir):
 @register("profile_curated_summary", _summary_sql(_CURATED_PROFILE_SQL))
 def profile_curated_summary(spark, sf_dir):
     """The curated-layer profiling report, rows listed per check (one job)."""
-    from strata.plans.profiling import profile_curated, profile_summary
-
     checks = profile_curated(
         users=_users_curated(spark, sf_dir),
         countries=_countries_curated(spark, sf_dir),
@@ -708,9 +714,6 @@ def catalog_round_trip(spark, sf_dir):
 
 
 def _run_layers(spark: SparkSession, sf_dir: str):
-    from strata.plans.curated import run_curated
-    from strata.plans.refined import run_refined
-
     paths = _write_raw_files(spark, sf_dir)
     root = scratch_path(spark, "layers")
     rules = {"prefix_rules": V.DRIVER_PREFIX_RULES, "continent_map": V.DRIVER_CONTINENT_MAP}
@@ -742,8 +745,6 @@ def refined_facts_published(spark, sf_dir):
 def facts_curated_stream(spark, sf_dir):
     """C4 on Structured Streaming: raw fact files cleaned incrementally into
     the partitioned curated table (exactly-once file sink), read back."""
-    from strata.streaming import start_curated_facts
-
     raw = _write_raw_files(spark, sf_dir, ["facts"])["facts"]
     target = scratch_path(spark, "facts-stream")
     query = start_curated_facts(spark, raw, V.raw_users(spark, sf_dir), target, extra_columns=["event_id"])
