@@ -22,6 +22,7 @@ from strata.session import build_session
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strata")
     p.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
+    p.add_argument("--target-file-mb", type=int, default=None, help="file size the layer writes aim at (AQE partition size)")
     sub = p.add_subparsers(dest="command", required=True)
 
     c = sub.add_parser("curated", help="raw files -> curated layer")
@@ -64,11 +65,14 @@ def _write_checks(checks, out: str) -> None:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = build_session(args.master, app_name=f"strata-{args.command}")
+    target = args.target_file_mb * 1024 * 1024 if args.target_file_mb else None
     if args.command == "curated":
         from strata.plans.curated import run_curated
 
         paths = {k: getattr(args, k) for k in ("users", "countries", "horoscopes", "facts")}
-        run_curated(spark, paths, args.target, database=args.database, log_path=f"{args.target}/_run_log")
+        run_curated(
+            spark, paths, args.target, database=args.database, log_path=f"{args.target}/_run_log", target_file_bytes=target
+        )
     elif args.command == "refined":
         from strata.plans.refined import run_refined
 
@@ -79,6 +83,7 @@ def main(argv: list[str] | None = None) -> int:
             curated_database=args.curated_database,
             refined_database=args.database,
             log_path=f"{args.target}/_run_log",
+            target_file_bytes=target,
         )
     elif args.command == "profile-raw":
         from strata.plans.profiling import profile_raw

@@ -126,6 +126,7 @@ def run_curated(
     target_root: str,
     database: str | None = None,
     log_path: str | None = None,
+    target_file_bytes: int | None = None,
     **rules,
 ):
     """Raw files -> published curated layer (E1). Returns the run log.
@@ -146,7 +147,15 @@ def run_curated(
         with log.step("transform"):
             tables = build_curated(raw_users, raw_countries, raw_horoscopes, raw_facts, cluster_facts=True, **rules)
         # Facts arrive clustered by user: no second shuffle before the write.
-        publish_layer(spark, tables, target_root, database=database, log=log, rebalance={"facts": False})
+        publish_layer(
+            spark,
+            tables,
+            target_root,
+            database=database,
+            log=log,
+            rebalance={"facts": False},
+            target_file_bytes=target_file_bytes,
+        )
     finally:
         if log_path:
             log.flush(spark, log_path)

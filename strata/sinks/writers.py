@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,25 @@ from pyspark.sql import functions as F
 from strata.functions.columns import col
 
 
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+@contextmanager
+def _advisory_size(spark: SparkSession, target_bytes: int | None):
+    """Use ``target_bytes`` as AQE's partition size for one write: the pieces
+    a hot key is split into, and so the size of the files it produces. The
+    setting is session-wide while the write runs."""
+    if not target_bytes:
+        yield
+        return
+    previous = spark.conf.get(ADVISORY_SIZE)
+    spark.conf.set(ADVISORY_SIZE, str(int(target_bytes)))
+    try:
+        yield
+    finally:
+        spark.conf.set(ADVISORY_SIZE, previous)
+
+
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Count the written rows inside the write job itself (no extra pass)."""
     obs = Observation(f"rows_written_{uuid.uuid4().hex[:8]}")
@@ -46,12 +66,16 @@ def write_table(
     dynamic_partition_overwrite: bool = False,
     rebalance: bool = True,
     max_records_per_file: int | None = None,
+    target_file_bytes: int | None = None,
 ) -> int:
     """Write ``df`` as Parquet at ``path`` (K1, K2, K4). Returns the number
     of rows written, observed by the write job itself.
 
     ``dynamic_partition_overwrite`` replaces only the partitions present in
     ``df`` (incremental loads); the default replaces the whole table.
+    ``target_file_bytes`` sets the size AQE splits and merges partitions to
+    for this write (larger files for a hot key) without changing it for
+    other jobs.
     A null partition key is written to the default partition and reads
     back as null.
     """
@@ -64,7 +88,8 @@ def write_table(
             writer = writer.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    writer.parquet(path)
+    with _advisory_size(df.sparkSession, target_file_bytes):
+        writer.parquet(path)
     return int(obs.get["rows"])
 
 
@@ -82,6 +107,7 @@ def save_catalog_table(
     partition_by: Sequence[str] = (),
     compression: str = "snappy",
     rebalance: bool = True,
+    target_file_bytes: int | None = None,
 ) -> int:
     """Overwrite a catalog table, stored at ``path`` when given (K3).
 
@@ -101,7 +127,8 @@ def save_catalog_table(
         writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    with _advisory_size(df.sparkSession, target_file_bytes):
+        writer.saveAsTable(name)
     return int(obs.get["rows"])
 
 

@@ -89,3 +89,12 @@ def test_header_with_byte_order_mark(spark, tmp_path):
     df = read_users(spark, str(p))
     assert df.columns[0] == "#id"
     assert rows(df) == [("u1", "Spain", "Feb 4, 2005")]
+
+
+def test_target_file_bytes_is_scoped_to_the_write(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    path = scratch_path(spark, "t-target")
+    n = write_table(_facts(spark, [("a", "1"), ("b", "2")]), path, partition_by=["user_id"], target_file_bytes=512 * 1024 * 1024)
+    assert n == 2
+    assert spark.conf.get(key) == before
