@@ -610,13 +610,15 @@ def _summary_sql(checks: dict[str, str]) -> str:
 
 @register("profile_raw_summary", _summary_sql(_RAW_PROFILE_SQL))
 def profile_raw_summary(spark, sf_dir):
-    """The raw-layer profiling report, rows listed per check (one job)."""
+    """The raw-layer profiling report, rows listed per check (one job);
+    the parsed facts are staged once as Parquet, as the CLI does."""
     checks = profile_raw(
         V.raw_users(spark, sf_dir),
         V.raw_countries(spark, sf_dir),
         V.raw_facts(spark, sf_dir),
         prefix_rules=V.DRIVER_PREFIX_RULES,
         continent_map=V.DRIVER_CONTINENT_MAP,
+        stage_path=scratch_path(spark, "profile-stage"),
     )
     return profile_summary(checks)
 
