@@ -115,5 +115,7 @@ def profile_summary(checks: Mapping[str, DataFrame]) -> DataFrame:
     All checks run in a single job (their counts are unioned); only these
     few summary rows reach the driver when it is shown.
     """
+    if not checks:
+        raise ValueError("profile_summary needs at least one check")
     parts = [df.agg(F.lit(name).alias("check"), F.count(F.lit(1)).alias("rows")) for name, df in checks.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)

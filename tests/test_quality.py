@@ -106,3 +106,20 @@ def test_gate(spark):
     gate(spark.range(0), "empty")
     with pytest.raises(CheckFailed):
         gate(spark.range(1), "nonempty")
+
+
+def test_empty_inputs(spark):
+    from strata.operators import distinct_counts, filter_impact, null_profile
+
+    empty = spark.createDataFrame([], "a string, b string")
+    assert rows(null_profile(empty, ["a"])) == [(0, 0)]
+    assert rows(distinct_counts(empty, {"a": ["a"]})) == [(0,)]
+    assert rows(filter_impact(empty, empty)) == [(0, 0, 0)]
+
+
+def test_profile_summary_needs_checks(spark):
+    from strata.plans import profile_summary
+
+    with pytest.raises(ValueError):
+        profile_summary({})
+    assert rows(profile_summary({"x": spark.range(3)})) == [("x", 3)]
