@@ -110,3 +110,13 @@ def test_trim_headers_refuses_merging(spark):
 def test_rows_helper(spark):
     df = spark.createDataFrame([(2,), (None,), (1,)], "a int")
     assert rows(df) == [(None,), (1,), (2,)]
+
+
+def test_column_helpers(spark):
+    from strata.functions import drop_columns, select_plus, with_columns
+
+    df = spark.createDataFrame([("a", 1)], "s string, n int")
+    assert select_plus(df, doubled=F.col("n") * 2).columns == ["s", "n", "doubled"]
+    out = with_columns(df, {"n": F.col("n") + 1, "t": F.upper("s")})
+    assert [tuple(r) for r in out.collect()] == [("a", 2, "A")]
+    assert drop_columns(df, ["n", "absent"]).columns == ["s"]

@@ -98,3 +98,15 @@ def test_target_file_bytes_is_scoped_to_the_write(spark):
     n = write_table(_facts(spark, [("a", "1"), ("b", "2")]), path, partition_by=["user_id"], target_file_bytes=512 * 1024 * 1024)
     assert n == 2
     assert spark.conf.get(key) == before
+
+
+def test_read_layer_with_pinned_schema(spark):
+    from pyspark.sql import types as T
+
+    from strata.plans import read_layer
+
+    root = scratch_path(spark, "t-layer-schema")
+    write_table(spark.createDataFrame([("001", "x")], "code string, v string"), f"{root}/countries")
+    schema = T.StructType([T.StructField("code", T.StringType()), T.StructField("v", T.StringType())])
+    out = read_layer(spark, root, names=["countries"], schemas={"countries": schema})["countries"]
+    assert rows(out) == [("001", "x")]
