@@ -3,8 +3,10 @@ registered in the catalog (K1-K4).
 
 Writes go through Spark's file commit protocol: a task lost with its
 executor is re-run and only committed task output becomes visible, so a
-job survives executor loss. ``mode("overwrite")`` replaces the old
-contents as part of the job instead of deleting a prefix first.
+job survives executor loss. ``mode("overwrite")`` lets Spark clear the
+target when the write starts (or, with dynamic partition overwrite, only
+the partitions written) instead of a separate prefix delete; a write that
+fails as a whole is repaired by running it again.
 """
 
 from __future__ import annotations
