@@ -120,3 +120,9 @@ def test_column_helpers(spark):
     out = with_columns(df, {"n": F.col("n") + 1, "t": F.upper("s")})
     assert [tuple(r) for r in out.collect()] == [("a", 2, "A")]
     assert drop_columns(df, ["n", "absent"]).columns == ["s"]
+
+
+def test_parse_timestamp_with_pattern(spark):
+    df = spark.createDataFrame([("04/05/2009 23:08",), ("bad",)], "t string")
+    out = [r.ts for r in df.select(parse_timestamp("t", "dd/MM/yyyy HH:mm").cast("timestamp_ntz").alias("ts")).collect()]
+    assert out == [dt.datetime(2009, 5, 4, 23, 8), None]
