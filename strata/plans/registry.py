@@ -49,6 +49,19 @@ from strata.streaming import start_curated_facts
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
+# Queries that write tables or files before returning their result.
+PUBLISHING = (
+    "partitioned_round_trip",
+    "delimited_round_trip",
+    "delimited_users_round_trip",
+    "csv_header_round_trip",
+    "catalog_round_trip",
+    "refined_users_published",
+    "refined_facts_published",
+    "facts_curated_stream",
+    "run_log_rows",
+    "profile_raw_summary",
+)
 
 
 def register(name: str, sql: str | None):
@@ -776,4 +789,4 @@ def run_log_rows(spark, sf_dir):
     return log.select("job", "seq", "step", "level", "message", "rows")
 
 
-__all__ = ["ORACLE_SQL", "QUERIES", "as_ntz", "register"]
+__all__ = ["ORACLE_SQL", "PUBLISHING", "QUERIES", "as_ntz", "register"]
