@@ -30,6 +30,11 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument(f"--{name}", required=True)
     c.add_argument("--target", required=True)
     c.add_argument("--database")
+    c.add_argument(
+        "--rules",
+        help="JSON file with any of: prefix_rules [[prefix, name], ...], continent_map {from: to}, "
+        "added_countries [[pais, country, continente, continent], ...] (defaults: the dataset's own)",
+    )
 
     r = sub.add_parser("refined", help="curated layer -> refined layer")
     r.add_argument("--curated", required=True)
@@ -55,6 +60,27 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _load_rules(path: str | None) -> dict:
+    """Mapping rules from a JSON file, as the curated job's arguments."""
+    if not path:
+        return {}
+    import json
+
+    with open(path, encoding="utf-8") as fh:
+        raw = json.load(fh)
+    unknown = set(raw) - {"prefix_rules", "continent_map", "added_countries"}
+    if unknown:
+        raise SystemExit(f"unknown rule keys: {sorted(unknown)}")
+    rules = {}
+    if "prefix_rules" in raw:
+        rules["prefix_rules"] = tuple((str(p), str(v)) for p, v in raw["prefix_rules"])
+    if "continent_map" in raw:
+        rules["continent_map"] = {str(k): str(v) for k, v in raw["continent_map"].items()}
+    if "added_countries" in raw:
+        rules["added_countries"] = tuple(tuple(r) for r in raw["added_countries"])
+    return rules
+
+
 def _write_checks(checks, out: str) -> None:
     from strata.sinks.writers import write_table
 
@@ -71,7 +97,13 @@ def main(argv: list[str] | None = None) -> int:
 
         paths = {k: getattr(args, k) for k in ("users", "countries", "horoscopes", "facts")}
         run_curated(
-            spark, paths, args.target, database=args.database, log_path=f"{args.target}/_run_log", target_file_bytes=target
+            spark,
+            paths,
+            args.target,
+            database=args.database,
+            log_path=f"{args.target}/_run_log",
+            target_file_bytes=target,
+            **_load_rules(args.rules),
         )
     elif args.command == "refined":
         from strata.plans.refined import run_refined

@@ -30,3 +30,18 @@ def test_cli_stream_facts(spark, raw_paths, tmp_path):
     from strata.sources.readers import read_partitioned_strings
 
     assert read_partitioned_strings(spark, f"{root}/facts").count() == 6
+
+
+def test_cli_rules_file(spark, raw_paths, tmp_path):
+    import json
+
+    rules = tmp_path / "rules.json"
+    rules.write_text(json.dumps({"prefix_rules": [["Spa", "Spain"]], "continent_map": {"Europa": "EU"}, "added_countries": []}))
+    root = scratch_path(spark, "t-cli-rules")
+    args = ["curated", "--target", f"{root}/curated", "--rules", str(rules)] + [f"--{k}={v}" for k, v in raw_paths.items()]
+    assert main(args) == 0
+    users = spark.read.parquet(f"{root}/curated/users")
+    assert users.where("`#id` = 'u2'").first().country_name == "Congo, the Democratic Republic of the"  # default rule replaced
+    countries = spark.read.parquet(f"{root}/curated/countries")
+    assert countries.where("country = 'Spain'").first().continent == "EU"
+    assert countries.where("country = 'Cote D''Ivoire'").count() == 0
