@@ -46,6 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("users", "countries", "facts"):
         pr.add_argument(f"--{name}", required=True)
     pr.add_argument("--out", required=True)
+    pr.add_argument("--rules", help="JSON file of mapping rules, as for curated")
 
     pc = sub.add_parser("profile-curated", help="checks over the curated layer, written as tables")
     pc.add_argument("--curated", required=True)
@@ -126,6 +127,7 @@ def main(argv: list[str] | None = None) -> int:
             read_countries(spark, args.countries),
             read_facts(spark, args.facts),
             stage_path=f"{args.out.rstrip('/')}/_staged",
+            **_load_rules(args.rules),
         )
         _write_checks(checks, args.out)
     elif args.command == "profile-curated":
