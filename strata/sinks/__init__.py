@@ -1,6 +1,24 @@
 """Sinks: overwritten / partitioned / catalogued Parquet tables and the run log."""
 
 from strata.sinks.run_log import RUN_LOG_SCHEMA, RunLog
-from strata.sinks.writers import ensure_database, save_catalog_table, stage_table, table_name, write_table
+from strata.sinks.writers import (
+    ensure_database,
+    key_bucket_filter,
+    save_catalog_table,
+    stage_table,
+    table_name,
+    with_key_bucket,
+    write_table,
+)
 
-__all__ = ["RUN_LOG_SCHEMA", "RunLog", "ensure_database", "save_catalog_table", "stage_table", "table_name", "write_table"]
+__all__ = [
+    "RUN_LOG_SCHEMA",
+    "RunLog",
+    "ensure_database",
+    "key_bucket_filter",
+    "save_catalog_table",
+    "stage_table",
+    "table_name",
+    "with_key_bucket",
+    "write_table",
+]

@@ -148,3 +148,21 @@ def stage_table(df: DataFrame, path: str) -> DataFrame:
     """
     write_table(df, path)
     return df.sparkSession.read.parquet(path)
+
+
+def with_key_bucket(df: DataFrame, key: str = "user_id", buckets: int = 1024, name: str | None = None) -> DataFrame:
+    """Add ``<key>_bucket`` = ``pmod(xxhash64(key), buckets)``.
+
+    Partitioning by this column instead of the key itself bounds the number
+    of directories (and catalog partitions) by ``buckets`` however many
+    users there are; :func:`key_bucket_filter` selects one key's bucket so
+    reads still prune partitions.
+    """
+    return df.withColumn(name or f"{key}_bucket", F.pmod(F.xxhash64(col(key)), F.lit(buckets)).cast("int"))
+
+
+def key_bucket_filter(value, key: str = "user_id", buckets: int = 1024, name: str | None = None):
+    """Predicate for the rows of one key value in a bucketed table: the
+    bucket (pruned at listing time) and the key itself."""
+    bucket = F.pmod(F.xxhash64(F.lit(value)), F.lit(buckets)).cast("int")
+    return (col(name or f"{key}_bucket") == bucket) & (col(key) == F.lit(value))

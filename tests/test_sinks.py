@@ -110,3 +110,20 @@ def test_read_layer_with_pinned_schema(spark):
     schema = T.StructType([T.StructField("code", T.StringType()), T.StructField("v", T.StringType())])
     out = read_layer(spark, root, names=["countries"], schemas={"countries": schema})["countries"]
     assert rows(out) == [("001", "x")]
+
+
+def test_bucketed_layout_bounds_directories_and_prunes(spark):
+    import os
+
+    from strata.sinks import key_bucket_filter, with_key_bucket
+
+    facts = spark.range(2000).selectExpr("CAST(id % 500 AS STRING) AS user_id", "id")
+    path = scratch_path(spark, "t-bucket")
+    write_table(with_key_bucket(facts, buckets=8), path, partition_by=["user_id_bucket"])
+    dirs = [d for d in os.listdir(path.replace("file:", "")) if d.startswith("user_id_bucket=")]
+    assert len(dirs) <= 8
+    back = spark.read.parquet(path)
+    one = back.where(key_bucket_filter("42", buckets=8))
+    assert sorted(r.id for r in one.collect()) == [42, 542, 1042, 1542]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(user_id_bucket" in plan
