@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import trim_headers
+from strata.functions.columns import col, trim_headers
 from strata.sources.schemas import (
     COUNTRIES_REQUIRED,
     HOROSCOPES_REQUIRED,
@@ -50,7 +50,7 @@ def read_delimited(
         reader = reader.option("inferSchema", "false")
     df = reader.csv(path)
     if trim_values:
-        df = df.select([F.trim(F.col(f"`{c}`")).alias(c) for c in df.columns])
+        df = df.select([F.trim(col(c)).alias(c) for c in df.columns])
     return df
 
 

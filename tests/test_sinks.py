@@ -127,3 +127,12 @@ def test_bucketed_layout_bounds_directories_and_prunes(spark):
     assert sorted(r.id for r in one.collect()) == [42, 542, 1042, 1542]
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(user_id_bucket" in plan
+
+
+def test_trim_values_option(spark, tmp_path):
+    p = tmp_path / "u.tsv"
+    p.write_text("#id\tcountry\tregistered\n u1 \t Spain\tFeb 4, 2005 \n", encoding="utf-8")
+    from strata.sources import read_users
+
+    assert rows(read_users(spark, str(p))) == [(" u1 ", " Spain", "Feb 4, 2005 ")]  # kept as written
+    assert rows(read_users(spark, str(p), trim_values=True)) == [("u1", "Spain", "Feb 4, 2005")]
