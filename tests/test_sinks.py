@@ -136,3 +136,17 @@ def test_trim_values_option(spark, tmp_path):
 
     assert rows(read_users(spark, str(p))) == [(" u1 ", " Spain", "Feb 4, 2005 ")]  # kept as written
     assert rows(read_users(spark, str(p), trim_values=True)) == [("u1", "Spain", "Feb 4, 2005")]
+
+
+def test_windows_line_endings(spark, tmp_path):
+    from strata.plans import clean_users
+    from strata.sources import read_users
+
+    p = tmp_path / "u.tsv"
+    p.write_bytes(b"#id\tcountry\tregistered\r\nu1\tSpain\tFeb 4, 2005\r\n")
+    f = tmp_path / "f.tsv"
+    f.write_bytes(b"u1\t2009-05-04T23:08:57Z\tg\tG\ts\tSong\r\n")
+    import datetime as dt
+
+    assert clean_users(read_users(spark, str(p))).first().register_date == dt.date(2005, 2, 4)
+    assert read_facts(spark, str(f)).first().song_name == "Song"
