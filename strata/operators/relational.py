@@ -269,7 +269,11 @@ def exclude_keys(
     if size.rows > 0 and not size.fits(max_rows, max_bytes):
         # No distinct() on the excluded side: repeated keys do not change an
         # anti join, and a plain shuffle below the sort-merge join lets AQE
-        # split the partition of a hot key.
+        # split the partition of a hot key. When the output must stay
+        # clustered, the MERGE hint keeps AQE from turning the join into a
+        # broadcast join at run time (whose output would not be clustered).
+        if cluster_output:
+            bad = bad.hint("merge")
         return kept.join(bad, col(key) == F.col("__excluded_key"), "left_anti")
     out = kept if size.rows == 0 else kept.join(F.broadcast(bad), col(key) == F.col("__excluded_key"), "left_anti")
     return out.hint("rebalance", col(key)) if cluster_output else out
