@@ -41,7 +41,7 @@ from strata.plans.refined import (
     with_register_parts,
 )
 from strata.session import ensure_settings, scratch_path
-from strata.sinks.writers import ensure_database, save_catalog_table, table_name, write_table
+from strata.sinks.writers import ensure_database, save_catalog_table, table_name, with_key_bucket, write_table
 from strata.sources import driver_tables as V
 from strata.sources.readers import read_countries, read_facts, read_partitioned_strings, read_users
 from strata.streaming import start_curated_facts
@@ -61,6 +61,7 @@ PUBLISHING = (
     "facts_curated_stream",
     "run_log_rows",
     "profile_raw_summary",
+    "bucketed_round_trip",
 )
 
 
@@ -667,6 +668,20 @@ def partitioned_round_trip(spark, sf_dir):
     return back.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_facts"), F.count("fact_timestamp").alias("n_timed"))
 
 
+@register(
+    "bucketed_round_trip",
+    "SELECT user_id, count(*) AS n_facts FROM facts_curated GROUP BY user_id",
+)
+def bucketed_round_trip(spark, sf_dir):
+    """K2 alternative layout: curated facts partitioned by a bounded hash
+    bucket of the user (16 directories however many users), read back and
+    counted per user."""
+    path = scratch_path(spark, "facts-bucketed")
+    write_table(with_key_bucket(_facts_curated(spark, sf_dir), buckets=16), path, partition_by=["user_id_bucket"])
+    back = spark.read.parquet(path)
+    return back.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_facts"))
+
+
 def _write_raw_files(spark: SparkSession, sf_dir: str, tables=("users", "countries", "horoscopes", "facts")) -> dict[str, str]:
     """Driver tables written as the raw delimited files of the dataset."""
     root = scratch_path(spark, "raw")
