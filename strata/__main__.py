@@ -90,6 +90,7 @@ def _write_checks(checks, out: str) -> None:
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Parse the command line, run the chosen job, return the exit code."""
     args = _parser().parse_args(argv)
     spark = build_session(args.master, app_name=f"strata-{args.command}")
     target = args.target_file_mb * 1024 * 1024 if args.target_file_mb else None

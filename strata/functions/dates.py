@@ -34,10 +34,12 @@ def parse_timestamp(c: str | Column, pattern: str | None = None) -> Column:
 
 
 def year_of(c: str | Column) -> Column:
+    """Year of a date or timestamp as INT (X6); null gives null."""
     return F.year(_as_col(c))
 
 
 def month_of(c: str | Column) -> Column:
+    """Month of a date or timestamp as INT (X6); null gives null."""
     return F.month(_as_col(c))
 
 

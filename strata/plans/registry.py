@@ -66,6 +66,9 @@ PUBLISHING = (
 
 
 def register(name: str, sql: str | None):
+    """Register a driver query under ``name`` with its DuckDB oracle SQL
+    (written against the views of ``driver_tables.SQL_VIEWS``)."""
+
     def wrap(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_settings(spark)

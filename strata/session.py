@@ -110,5 +110,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def env_int(name: str, default: int) -> int:
+    """Integer from an environment variable, or ``default`` when unset."""
     value = os.environ.get(name)
     return int(value) if value else default
