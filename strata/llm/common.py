@@ -7,8 +7,10 @@ verify do so on these hashes.
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -36,11 +38,13 @@ def ship(spark: SparkSession) -> None:
         for name in sorted(os.listdir(os.path.join(root, "llm"))):
             if name.endswith(".py"):
                 z.write(os.path.join(root, "llm", name), f"strata/llm/{name}")
-    with tempfile.TemporaryDirectory() as d:  # addPyFile copies it to every worker
-        path = os.path.join(d, f"strata_llm_{os.getpid()}.zip")
-        with open(path, "wb") as f:
-            f.write(data.getvalue())
-        sc.addPyFile(path)
+    # The driver's own copy, which Spark's file server hands to every worker.
+    d = tempfile.mkdtemp(prefix="strata-py-")
+    atexit.register(shutil.rmtree, d, True)
+    path = os.path.join(d, "strata_llm.zip")
+    with open(path, "wb") as f:
+        f.write(data.getvalue())
+    sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
 
 
