@@ -115,20 +115,25 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+WHITE = (~_SPACE).astype(np.uint8)  # words: what white space separates
+
+
 class Words:
-    """Words of a slice of texts: ``start``, ``end`` (bytes), ``hash``; ``first[i]`` is row i's first word."""
+    """Words of a slice of texts: ``start``, ``end`` (bytes), ``hash``; ``first[i]`` is row i's first word.
+
+    ``kinds`` gives each byte's kind; a word is a longest run of one kind other than 0.
+    """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True, kinds: np.ndarray = WHITE):
         n = len(data)
-        inside = ~_SPACE[data]
-        before = np.zeros(n + 1, bool)
-        before[1:] = inside
-        before[offsets[:-1]] = False
-        self.start = np.flatnonzero(inside & ~before[:n])
-        after = np.zeros(n + 1, bool)
-        after[:n] = inside
-        after[offsets[1:]] = False
-        self.end = np.flatnonzero(inside & ~after[1:]) + 1
+        kind = kinds[data]
+        other = np.zeros(n + 1, np.uint8)
+        other[1:] = kind
+        other[offsets[:-1]] = 0
+        self.start = np.flatnonzero((kind != 0) & (kind != other[:n]))
+        other[:n] = kind
+        other[offsets[1:]] = 0
+        self.end = np.flatnonzero((kind != 0) & (kind != other[1:])) + 1
         self.first = np.searchsorted(self.start, offsets)
         if len(self.start) == 0:
             self.hash = np.zeros(0, np.uint64)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.exact_dedup import exact_dedup, normalised
+from strata.llm.quality_classifier import quality
 from strata.llm.sentencepiece_codec import encode_decode
 
 
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(modulus: int, remainder: int) -> Column:
+    """The contract's held-out rows, by the CRC-32 of the decimal id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     return coded.select(
@@ -45,9 +51,17 @@ FROM t JOIN g USING (text_sha256)
 """
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~held_out(5, 0))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality(docs, labels, keep=["doc_id"])
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_quality": op9_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
