@@ -13,10 +13,11 @@ import os
 import shutil
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.session import scratch_path
@@ -166,3 +167,37 @@ def shingles(words: Words, size: int) -> list[np.ndarray]:
         else:
             out.append(np.zeros(0, np.uint64))
     return out
+
+
+def summed(df: DataFrame, count: Callable[[pa.RecordBatch, np.ndarray], None], size: int, blocks: int = 16) -> np.ndarray:
+    """A vector of ``size`` counts over all rows: ``count`` adds a batch to a task's vector.
+
+    Vectors are summed in blocks, first those of up to 256 neighbouring tasks,
+    then the sums; the driver gets one vector of fixed size.
+    """
+    ship(df.sparkSession)
+    step = -(-size // blocks)
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, any_row = np.zeros(size, np.int64), False
+        for b in batches:
+            any_row = any_row or b.num_rows > 0
+            count(b, total)
+        if any_row:
+            group = TaskContext.get().partitionId() // 256
+            for k in range(blocks):
+                yield pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "grp": pa.array([group], pa.int32()), "data": pa.array([total[k * step : (k + 1) * step].tobytes()], pa.binary())})
+
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros(step, np.int64)
+        for x in group.column("data"):
+            part = np.frombuffer(x.as_buffer(), np.int64)
+            total[: len(part)] += part
+        return pa.table({"block": group.column("block")[:1], "grp": group.column("grp")[:1], "data": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "block int, grp int, data binary"
+    parts = df.mapInArrow(tasks, schema).groupBy("block", "grp").applyInArrow(add, schema)
+    out = np.zeros(blocks * step, np.int64)
+    for r in parts.groupBy("block").applyInArrow(add, schema).collect():
+        out[r.block * step : (r.block + 1) * step] = np.frombuffer(r.data, np.int64)
+    return out[:size]

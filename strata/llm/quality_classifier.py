@@ -63,14 +63,13 @@ def hashed(batch: pa.RecordBatch, column: str, bits: int) -> tuple[np.ndarray, n
     return (keys[order] >> np.uint64(64 - bits)).astype(np.int64), np.append(0, np.cumsum(counts))
 
 
-def learn(features: list[np.ndarray], labels: np.ndarray, bits: int, p: Ftrl) -> np.ndarray:
-    """Weights (the intercept last) after ``p.epochs`` passes over the rows in their order."""
-    size = 1 << bits
+def learn(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int, p: Ftrl) -> np.ndarray:
+    """Weights (the intercept last) after ``p.epochs`` passes over the rows in their order.
+
+    A row is its features' numbers (below ``size``, each once) and values.
+    """
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    rows = []
-    for f in features:
-        index, count = np.unique(f, return_counts=True)
-        rows.append((np.append(index, size), np.append(p.scale * count / max(len(f), 1), 1.0)))
+    rows = [(np.append(index, size), np.append(value, 1.0)) for index, value in features]
 
     def weight(i: np.ndarray) -> np.ndarray:
         return np.where(np.abs(z[i]) <= p.l1, 0.0, (np.sign(z[i]) * p.l1 - z[i]) / ((p.beta + np.sqrt(n[i])) / p.alpha + p.l2))
@@ -112,8 +111,10 @@ def train(docs: DataFrame, sample: DataFrame, id_column: str = "doc_id", text_co
         for whole in group.select(["_text"]).to_batches():
             for b in slices(whole, "_text"):
                 f, ends = hashed(b, "_text", bits)
-                features += [f[x:y] for x, y in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        w = learn(features, group.column("_y").to_numpy(), bits, params)
+                for x, y in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                    index, times = np.unique(f[x:y], return_counts=True)
+                    features.append((index, params.scale * times / max(y - x, 1)))
+        w = learn(features, group.column("_y").to_numpy(), 1 << bits, params)
         return pa.table({"w": pa.array([w.tobytes()], pa.binary()), "n": pa.array([len(features)], pa.int64())})
 
     found = rows.groupBy("_shard").applyInArrow(fit, "w binary, n bigint").collect()  # a model a shard: fixed size

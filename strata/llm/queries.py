@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from strata.llm.exact_dedup import exact_dedup, normalised
 from strata.llm.quality_classifier import quality
 from strata.llm.sentencepiece_codec import encode_decode
+from strata.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +52,13 @@ FROM t JOIN g USING (text_sha256)
 """
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~held_out(5, 0))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity(docs, labels, keep=["doc_id"])
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(~held_out(5, 0))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,6 +69,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
 }
 
