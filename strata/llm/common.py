@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.session import scratch_path
 
@@ -201,3 +202,28 @@ def summed(df: DataFrame, count: Callable[[pa.RecordBatch, np.ndarray], None], s
     for r in parts.groupBy("block").applyInArrow(add, schema).collect():
         out[r.block * step : (r.block + 1) * step] = np.frombuffer(r.data, np.int64)
     return out[:size]
+
+
+MAX_BITS = 1 << 26  # 8 MB
+
+
+def bitmap(df: DataFrame, column: str) -> np.ndarray:
+    """Bits of the low-order part of a column of hashes (longs), 16 a row and ``MAX_BITS`` at most.
+
+    A filter ahead of an exact join: it lets all rows of ``df`` through, and
+    some others.
+    """
+    bits, n = 1 << 15, df.count()
+    while bits < min(MAX_BITS, 16 * n):
+        bits *= 2
+    place = F.pmod(F.col(column), F.lit(bits)) + 1
+    rows = df.select(place.alias("_b")).groupBy(F.bitmap_bucket_number("_b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_b")).alias("m")).collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in rows:
+        out[(r.k - 1) * 4096 : r.k * 4096] = np.frombuffer(bytes(r.m), np.uint8)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & np.int64(len(bits) * 8 - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.exact_dedup import exact_dedup, normalised
+from strata.llm.ngram_join import ngram_join
 from strata.llm.quality_classifier import quality
 from strata.llm.sentencepiece_codec import encode_decode
 from strata.llm.toxicity import toxicity
@@ -36,6 +37,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("text_sha256", F.sha2(normalised(F.col("text")), 256))
@@ -68,6 +73,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_ngram_join": op6_ngram_join,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
