@@ -16,6 +16,7 @@ from strata.llm.ngram_join import ngram_join
 from strata.llm.quality_classifier import quality
 from strata.llm.sentencepiece_codec import encode_decode
 from strata.llm.toxicity import toxicity
+from strata.llm.warc import warc_round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,12 +72,18 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_round_trip(table(spark, sf_dir, "pages"), with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_ngram_join": op6_ngram_join,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
