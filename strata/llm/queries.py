@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.chat_format import format_conversations, read_back
 from strata.llm.exact_dedup import exact_dedup, normalised
+from strata.llm.language_id import language_id, train
 from strata.llm.ngram_join import ngram_join
 from strata.llm.quality_classifier import quality
 from strata.llm.sentencepiece_codec import encode_decode
@@ -24,6 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out(4, 2)))
+    found = language_id(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -97,6 +105,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op3_chat_format": op3_chat_format,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_ngram_join": op6_ngram_join,
