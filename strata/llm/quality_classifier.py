@@ -155,12 +155,12 @@ def score(docs: DataFrame, weights: np.ndarray, text_column: str = "text", keep:
     return frame.mapInArrow(run, schema)
 
 
-def quality(docs: DataFrame, labels: DataFrame, label_column: str = "quality", id_column: str = "doc_id", text_column: str = "text", keep: list[str] | None = None, max_rows: int = MAX_ROWS) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, label_column: str = "quality", id_column: str = "doc_id", text_column: str = "text", keep: list[str] | None = None, max_rows: int = MAX_ROWS, output: str = "score") -> DataFrame:
     """Train on ``labels`` (all rows given; hold out before) and score every row of ``docs``.
 
-    Returns ``keep`` columns (all by default) and ``score``. Repeated rows score
+    Returns ``keep`` columns (all by default) and ``output``. Repeated rows score
     alike; an empty table gives an empty result; without labels every score is
     0.5.
     """
     sample = labelled_sample(labels, F.col(label_column), max_rows, id_column)
-    return score(docs, train(docs, sample, id_column, text_column), text_column, keep)
+    return score(docs, train(docs, sample, id_column, text_column), text_column, keep, output)

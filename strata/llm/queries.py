@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.chat_format import format_conversations, read_back
+from strata.llm.decontamination import contamination
 from strata.llm.exact_dedup import exact_dedup, normalised
 from strata.llm.language_id import language_id, train
+from strata.llm.line_dedup import line_dedup
 from strata.llm.ngram_join import ngram_join
 from strata.llm.quality_classifier import quality
 from strata.llm.sentencepiece_codec import encode_decode
@@ -32,6 +34,36 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.sha2("text", 256).alias("text_sha256"))
+
+
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM d),
+w AS (
+  SELECT doc_id, pos, line AS a, lead(line, 1) OVER o AS b, lead(line, 2) OVER o AS c
+  FROM lines WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
+),
+f AS (
+  SELECT a, b, c, min({'doc_id': doc_id, 'pos': pos}) AS first
+  FROM w WHERE c IS NOT NULL GROUP BY a, b, c HAVING count(*) > 1
+),
+covered AS (
+  SELECT DISTINCT w.doc_id, w.pos + k.k AS pos
+  FROM w JOIN f ON w.a = f.a AND w.b = f.b AND w.c = f.c, (SELECT unnest(range(3)) AS k) k
+  WHERE w.doc_id <> f.first.doc_id OR w.pos <> f.first.pos
+),
+kept AS (
+  SELECT lines.doc_id, count(*) AS n_lines, count(covered.pos) AS n_removed,
+    string_agg(line, chr(10) ORDER BY lines.pos) FILTER (covered.pos IS NULL) AS text
+  FROM lines LEFT JOIN covered ON lines.doc_id = covered.doc_id AND lines.pos = covered.pos GROUP BY lines.doc_id
+)
+SELECT doc_id, n_lines, n_removed, sha256(coalesce(text, '')) AS text_sha256 FROM kept
+"""
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -50,6 +82,11 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.join(digests, "leaf").drop("leaf")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contamination(docs, table(spark, sf_dir, "benchmark"))
+
+
 def held_out(modulus: int, remainder: int) -> Column:
     """The contract's held-out rows, by the CRC-32 of the decimal id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
@@ -106,7 +143,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_line_dedup": op2_line_dedup,
     "op3_chat_format": op3_chat_format,
+    "op4_decontamination": op4_decontamination,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_ngram_join": op6_ngram_join,
     "op7_exact_dedup": op7_exact_dedup,
@@ -116,5 +155,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
     "op7_exact_dedup": OP7_SQL,
 }
