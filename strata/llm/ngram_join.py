@@ -139,7 +139,25 @@ def bounded(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(fits).select("a", "b", "na", "nb", "ca", "cb").mapInArrow(run, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of ``nodes`` (and a few others), from a scan of the texts; a node once."""
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(nodes, "node"))  # at most MAX_BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for whole in batches:
+            for b in slices(whole, "_text"):
+                rows = [(k, s) for s in _sets(b, words) if len(s) and (k := _node(s)) not in seen]
+                on = in_bitmap(wanted.value, np.array([k for k, _ in rows], np.int64))
+                rows = [r for r, use in zip(rows, on.tolist()) if use]
+                if len(seen) < 1_000_000:
+                    seen.update(k for k, _ in rows)
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([s.tobytes() for _, s in rows], pa.binary())], names=["node", "shingles"])
+
+    return docs.select("_text").mapInArrow(run, "node bigint, shingles binary").dropDuplicates(["node"])
+
+
+def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,6 +171,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 on.append(bool(_enough(np.count_nonzero(y[at] == x), len(x) + len(y), percent)))
             yield b.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
 
+    pairs = stored(pairs, "candidates")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stored(full_sets(docs, nodes, words), "sets")
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
@@ -290,35 +311,17 @@ def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     members = found.where("prefix is not null").select("node", "prefix").mapInArrow(hits, "node bigint, key bigint").join(shared, "key").distinct()
     members = stored(members, "members")
 
-    # full sets of the nodes that are in a block
-    active = docs.sparkSession.sparkContext.broadcast(bitmap(members.select("node").distinct(), "node"))
-
-    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for whole in batches:
-            for b in slices(whole, "_text"):
-                rows = [(k, s) for s in _sets(b, words) if len(s) and (k := _node(s)) not in seen]
-                on = in_bitmap(active.value, np.array([k for k, _ in rows], np.int64))
-                rows = [r for r, use in zip(rows, on.tolist()) if use]
-                if len(seen) < 1_000_000:
-                    seen.update(k for k, _ in rows)
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([s.tobytes() for _, s in rows], pa.binary())], names=["node", "shingles"])
-
-    sets = docs.select("_text").mapInArrow(full, "node bigint, shingles binary").dropDuplicates(["node"])
-    sets = stored(sets, "sets")
-
     pivots = F.explode(F.array(F.col("lo").bitwiseXOR(F.col("key")), F.col("hi").bitwiseXOR(F.col("key"))))
     stars = members.select(F.col("node").alias("a"), pivots.alias("b")).where("a <> b")
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = stored(verified(bounded(stars, table, percent), sets, percent), "star-links")
+    first = stored(verified(bounded(stars, table, percent), docs, words, percent), "star-links")
     labels = stored(components(first), "star-components")
 
     blocks = members.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     mixed = blocks.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("c"), F.sum(F.xxhash64("node") % (1 << 40)).alias("s"), F.sum(F.xxhash64("node", F.lit(1)) % (1 << 40)).alias("t")).where("x <> y")
     mixed = mixed.groupBy("c", "s", "t").agg(F.min("key").alias("key")).select("key")  # blocks of the same nodes once
     blocks = stored(blocks.join(mixed, "key", "left_semi"), "blocks")
-    pairs = stored(searched(blocks, table, percent), "pairs")
-    second = verified(pairs, sets, percent)
+    second = verified(searched(blocks, table, percent), docs, words, percent)
     links = stored(first.unionByName(second), "all-links")
     labels = stored(components(links), "components")
 
