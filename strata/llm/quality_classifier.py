@@ -63,13 +63,13 @@ def hashed(batch: pa.RecordBatch, column: str, bits: int) -> tuple[np.ndarray, n
     return (keys[order] >> np.uint64(64 - bits)).astype(np.int64), np.append(0, np.cumsum(counts))
 
 
-def learn(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int, p: Ftrl) -> np.ndarray:
+def learn(rows: list[tuple[np.ndarray, np.ndarray | float]], labels: np.ndarray, size: int, p: Ftrl) -> np.ndarray:
     """Weights (the intercept last) after ``p.epochs`` passes over the rows in their order.
 
-    A row is its features' numbers (below ``size``, each once) and values.
+    A row is its features' numbers (below ``size``, each once, then ``size``
+    itself for the intercept) and their values.
     """
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    rows = [(np.append(index, size), np.append(value, 1.0)) for index, value in features]
 
     def weight(i: np.ndarray) -> np.ndarray:
         return np.where(np.abs(z[i]) <= p.l1, 0.0, (np.sign(z[i]) * p.l1 - z[i]) / ((p.beta + np.sqrt(n[i])) / p.alpha + p.l2))
@@ -77,7 +77,7 @@ def learn(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, siz
     for _ in range(p.epochs):
         for (i, x), y in zip(rows, labels.tolist()):
             w = weight(i)
-            g = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - y) * x
+            g = (1 / (1 + np.exp(-np.clip(np.sum(w * x), -30, 30))) - y) * x
             s = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / p.alpha
             z[i] += g - s * w
             n[i] += g * g
@@ -113,7 +113,7 @@ def train(docs: DataFrame, sample: DataFrame, id_column: str = "doc_id", text_co
                 f, ends = hashed(b, "_text", bits)
                 for x, y in zip(ends[:-1].tolist(), ends[1:].tolist()):
                     index, times = np.unique(f[x:y], return_counts=True)
-                    features.append((index, params.scale * times / max(y - x, 1)))
+                    features.append((np.append(index, 1 << bits), np.append(params.scale * times / max(y - x, 1), 1.0)))
         w = learn(features, group.column("_y").to_numpy(), 1 << bits, params)
         return pa.table({"w": pa.array([w.tobytes()], pa.binary()), "n": pa.array([len(features)], pa.int64())})
 

@@ -9,7 +9,7 @@
    model and the channel's costs; they replace the token.
 3. The restored text is scored by logistic regression over the words that occur
    in it and their beginnings, learnt with FTRL updates from a bounded sample of
-   labelled rows; L1 leaves a short list of words with a weight.
+   labelled rows, over the features that are commoner under label 1.
 """
 
 from __future__ import annotations
@@ -22,14 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import _BYTE_LOWER, Words, mix, ship, slices, summed, text_buffer
+from strata.llm.common import _BYTE_LOWER, Words, mix, ship, slices, stored, summed, text_buffer
 from strata.llm.quality_classifier import Ftrl, labelled_sample, learn
 
 MAX_ROWS = 16_000
-SHARDS = 4
-PARAMS = Ftrl(alpha=0.3, l1=1.0, l2=0.05, epochs=8)
+SHARDS = 8
+PARAMS = Ftrl(alpha=0.5, l1=0.5, l2=0.02, epochs=8)
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are features
-LEAST_ROWS = 4  # rows of a shard that a feature is in, to be learnt
+LEAST_ROWS = 2  # rows of label 1 of a shard that a feature is in, to be learnt
+LEAST_SHARE = 0.4  # of a shard's rows with a feature that have label 1
 
 # The letters that a character may stand for.
 LEET = {
@@ -180,42 +181,66 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(rows)
 
 
+def _sorted_features(batch: pa.RecordBatch, costs: np.ndarray, cache: dict[str, str]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of a slice's restored texts, each once a row, by row, and each one's row."""
+    keys, row = features(restored(batch, "_text", costs, cache))
+    order = np.lexsort((keys, row))
+    keys, row = keys[order], row[order]
+    new = np.append(True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1]))[: len(keys)]
+    return keys[new], row[new]
+
+
 def train(docs: DataFrame, sample: DataFrame, costs: np.ndarray, id_column: str, text_column: str, shards: int = SHARDS, params: Ftrl = PARAMS) -> tuple[np.ndarray, np.ndarray, float]:
-    """Features with a weight (sorted), their weights, and the intercept: the shards' average."""
-    ship(docs.sparkSession)
+    """Features with a weight (sorted), their weights, and the intercept.
+
+    First each shard of the sample names the features that ``LEAST_ROWS`` of its
+    rows with label 1 have, ``LEAST_SHARE`` of all its rows that have it; then
+    one learner goes over the sample's rows, reduced to those features.
+    """
+    spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(docs[id_column].alias("_id"), docs[text_column].alias("_text")).join(F.broadcast(sample), "_id")
-    rows = rows.withColumns({"_at": F.xxhash64("_id", F.lit(11)), "_shard": F.pmod(F.xxhash64("_id", F.lit(10)), F.lit(shards))})
-    model = docs.sparkSession.sparkContext.broadcast(costs)
+    rows = stored(rows.select("_text", "_y", F.xxhash64("_id", F.lit(11)).alias("_at"), F.pmod(F.xxhash64("_id", F.lit(10)), F.lit(shards)).alias("_shard")), "toxic-sample")
+    model = spark.sparkContext.broadcast(costs)
 
-    def fit(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("_at", "ascending"), ("_id", "ascending"), ("_text", "ascending")])
-        found, cache = [], {}
-        for whole in group.select(["_text"]).to_batches():
+    def name(group: pa.Table) -> pa.Table:
+        all_keys, toxic, cache = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], {}
+        for whole in group.select(["_text", "_y"]).to_batches():
             for b in slices(whole, "_text"):
-                keys, row = features(restored(b, "_text", model.value, cache))
-                order = np.lexsort((keys, row))
-                keys, row = keys[order], row[order]
-                new = np.append(True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1]))[: len(keys)]
-                ends = np.searchsorted(row[new], np.arange(b.num_rows + 1))
-                found += [keys[new][x:y] for x, y in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        known, times = np.unique(np.concatenate(found), return_counts=True)
-        known = known[times >= LEAST_ROWS]
-        index = []
-        for f in found:
-            at = np.minimum(np.searchsorted(known, f), max(len(known) - 1, 0))
-            at = at[known[at] == f] if len(known) else at[:0]
-            index.append((at, np.ones(len(at))))
+                keys, row = _sorted_features(b, model.value, cache)
+                all_keys.append(keys)
+                toxic.append(keys[b.column("_y").to_numpy()[row] == 1])
+        known, times = np.unique(np.concatenate(toxic), return_counts=True)
+        known, times = known[times >= LEAST_ROWS], times[times >= LEAST_ROWS]
+        counts = np.sort(np.concatenate(all_keys))
+        n = np.searchsorted(counts, known, "right") - np.searchsorted(counts, known, "left")
+        return pa.table({"k": pa.array(known[times >= LEAST_SHARE * n].view(np.int64), pa.int64())})
+
+    named = rows.groupBy("_shard").applyInArrow(name, "k bigint").distinct().collect()  # words of a bounded sample
+    known = np.unique(np.array([r.k for r in named], np.int64).view(np.uint64))
+    shared = spark.sparkContext.broadcast(known)
+
+    def reduce_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, cache = shared.value, {}
+        for whole in batches:
+            for b in slices(whole, "_text"):
+                keys, row = _sorted_features(b, model.value, cache)
+                at = np.searchsorted(known, keys)
+                on = known[np.minimum(at, max(len(known) - 1, 0))] == keys if len(known) else np.zeros(len(keys), bool)
+                ends = np.append(0, np.cumsum(np.bincount(row[on], minlength=b.num_rows))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(at[on].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column("_y"), b.column("_at"), lists], names=["_y", "_at", "f"])
+
+    def fit(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("_at", "ascending"), ("_y", "ascending")])
+        index = [(np.append(np.array(f, np.int64), len(known)), 1.0) for f in group.column("f").to_pylist()]
         w = learn(index, group.column("_y").to_numpy(), len(known), params)
-        on = np.flatnonzero(w[:-1])
-        return pa.table({"keys": pa.array([known[on].tobytes()]), "w": pa.array([w[on].tobytes()]), "b": pa.array([w[-1]]), "n": pa.array([len(found)])})
-
-    parts = rows.groupBy("_shard").applyInArrow(fit, "keys binary, w binary, b double, n bigint").collect()  # a bounded sample's words
-    n = sum(r.n for r in parts)
-    keys = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r.keys, np.uint64) for r in parts]])
-    weights = np.concatenate([np.zeros(0), *[np.frombuffer(r.w) * (r.n / n) for r in parts]])
-    known, where = np.unique(keys, return_inverse=True)
-    order = np.lexsort((weights, where))  # the same sum whatever order the shards come in
-    return known, np.bincount(where[order], weights[order], len(known)), float(sum(sorted(r.b * r.n / n for r in parts)))
+        return pa.table({"w": pa.array([w.tobytes()], pa.binary())})
+
+    found = rows.select("_text", "_y", "_at").mapInArrow(reduce_, "_y int, _at bigint, f array<int>").withColumn("_one", F.lit(0)).groupBy("_one").applyInArrow(fit, "w binary").collect()
+    w = np.frombuffer(found[0].w) if found else np.zeros(len(known) + 1)
+    on = np.flatnonzero(w[:-1])
+    return known[on], w[on], float(w[-1])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, label_column: str = "toxic", id_column: str = "doc_id", text_column: str = "text", keep: list[str] | None = None, with_text: bool = False, max_rows: int = MAX_ROWS) -> DataFrame:
