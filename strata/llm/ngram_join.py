@@ -1,11 +1,14 @@
 """N-gram Jaccard self-join with a count-vector R-tree.
 
 A document is the set of its distinct word shingles. Shingles are hashed into
-``GROUPS`` groups; how many a document has in each is a point. For two
-documents the sum over the groups of the lesser count bounds their overlap from
-above, and for a node of an R-tree so does the sum of the lesser of a query's
-counts and the node's greatest ones: what stays below the overlap that the
-threshold asks for is pruned, the rest is verified on the full sets.
+groups; how many a document has in each is a point. For two documents the sum
+over the groups of the lesser count bounds their overlap from above, and for a
+node of an R-tree so does the sum of the lesser of a query's counts and the
+node's greatest ones: what stays below the overlap that the threshold asks for
+is pruned, the rest is verified on the full sets. The number of groups grows
+with a document's shingles (``PER_GROUP`` of them a group, ``GROUPS`` groups at
+least), as the bound of few groups would not part long documents; groups are
+nested, so two documents meet in the coarser grouping, and trees use ``GROUPS``.
 
 Points are dealt to tasks by an exact rule. In one order of all shingles, two
 documents that link share a shingle among the first ``n - ceil(0.8 n) + 1`` of
@@ -40,6 +43,8 @@ from strata.llm.components import components
 WORDS = 5
 PERCENT = 80
 GROUPS = 32
+PER_GROUP = 8
+MOST_GROUPS = 1 << 14
 SKETCH = 1 << 20  # counters of the sketch that orders shingles
 TILE = 2048  # rows of one side of a search task
 BUCKET_ROWS = 20_000  # rows of small blocks that one group of step 3 holds
@@ -57,6 +62,30 @@ def _node(s: np.ndarray) -> int:
     return int(mix(both[:1] ^ mix(both[1:])).view(np.int64)[0])
 
 
+def group_counts(s: np.ndarray) -> bytes:
+    """Shingles in each group, 16 bits a group; groups go by the hashes' first bits."""
+    groups = GROUPS
+    while groups < min(MOST_GROUPS, len(s) // PER_GROUP):
+        groups *= 2
+    bits = groups.bit_length() - 1
+    return np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=groups).astype("<u2").tobytes()
+
+
+def _folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """Counts of one document, summed to fewer groups."""
+    return counts if len(counts) == groups else counts.reshape(groups, -1).sum(axis=1)
+
+
+def _vectors(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), "<u2").astype(np.int64) for x in column]
+
+
+def _overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """The bound of two documents' overlap."""
+    groups = min(len(x), len(y))
+    return int(np.minimum(_folded(x, groups), _folded(y, groups)).sum())
+
+
 def _prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -98,7 +127,7 @@ def points(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
                         continue
                     if len(seen) < 1_000_000:
                         seen.add(node)
-                    counts.append(np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes())
+                    counts.append(group_counts(s))
                     first = _prefix(len(s), percent)
                     lv = level[(s & np.uint64(size - 1)).astype(np.int64)]
                     # s is sorted, so a stable sort by level orders by (level, hash)
@@ -114,10 +143,6 @@ def points(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     return docs.mapInArrow(run, f"_id {kind}, n bigint, node bigint, counts binary, prefix array<bigint>")
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int32)
-
-
 def _enough(overlap: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     """Whether an overlap reaches ``percent`` of the union, for the sum of both sizes."""
     return (100 + percent) * overlap >= percent * sizes
@@ -129,7 +154,7 @@ def bounded(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                least = np.minimum(_matrix(b.column("ca")), _matrix(b.column("cb"))).sum(axis=1, dtype=np.int64)
+                least = np.array([_overlap(x, y) for x, y in zip(_vectors(b.column("ca")), _vectors(b.column("cb")))])
                 on = _enough(least, b.column("na").to_numpy() + b.column("nb").to_numpy(), percent)
                 yield b.select(["a", "b"]).filter(pa.array(on))
 
@@ -258,7 +283,8 @@ def searched(blocks: DataFrame, table: DataFrame, percent: int) -> DataFrame:
         group = group.combine_chunks().sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending"), ("node", "ascending")])
         key, i, j, node, label, n = (group.column(c).to_numpy() for c in ("key", "i", "j", "node", "label", "n"))
         query = group.column("query").to_pylist()
-        counts = _matrix(group.column("counts"))
+        fine = _vectors(group.column("counts"))
+        counts = np.array([_folded(x, GROUPS) for x in fine], np.int32).reshape(-1, GROUPS)
         new = np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
         starts = np.append(np.flatnonzero(new), len(key))
         found = []
@@ -269,7 +295,10 @@ def searched(blocks: DataFrame, table: DataFrame, percent: int) -> DataFrame:
             if not len(q) or not len(p):
                 continue
             x, y = CountTree(counts[p], n[p], label[p]).search(counts[q], n[q], label[q], percent)
-            pair = np.stack([node[q[x]], node[p[y]]], axis=1)
+            x, y = q[x], p[y]
+            least = np.array([_overlap(fine[u], fine[v]) for u, v in zip(x.tolist(), y.tolist())], np.int64)
+            on = _enough(least, n[x] + n[y], percent)
+            pair = np.stack([node[x[on]], node[y[on]]], axis=1)
             pair.sort(axis=1)
             found.append(np.unique(pair, axis=0))
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
@@ -294,7 +323,7 @@ def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
     # shingles that the prefixes of two nodes share, with two pivots each
     other = F.col("node").bitwiseXOR(F.col("key"))
-    keys = found.where("prefix is not null").select("node", F.explode("prefix").alias("key"))
+    keys = found.where("counts is not null").select("node", F.explode("prefix").alias("key"))
     shared = keys.groupBy("key").agg(F.min(other).alias("lo"), F.max(other).alias("hi")).where("lo <> hi")
     shared = stored(shared, "shared")
     bits = bitmap(shared, "key")
@@ -308,7 +337,7 @@ def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
             on = in_bitmap(keep.value, flat)
             yield pa.RecordBatch.from_arrays([pa.array(b.column("node").to_numpy()[row[on]]), pa.array(flat[on])], names=["node", "key"])
 
-    members = found.where("prefix is not null").select("node", "prefix").mapInArrow(hits, "node bigint, key bigint").join(shared, "key").distinct()
+    members = found.where("counts is not null").select("node", "prefix").mapInArrow(hits, "node bigint, key bigint").join(shared, "key").distinct()
     members = stored(members, "members")
 
     pivots = F.explode(F.array(F.col("lo").bitwiseXOR(F.col("key")), F.col("hi").bitwiseXOR(F.col("key"))))
