@@ -21,7 +21,8 @@ passages form no blocks unless a document is made of them; any order is exact.
    hash. Verified links give first components. Work is linear in block rows.
 3. Blocks that still hold two components are searched through R-trees: every
    member against all members of other components; tree nodes that hold only
-   the query's component are skipped. Large blocks are dealt to several tasks.
+   the query's component are skipped. Blocks with the same most frequent
+   component are searched as one, large ones are dealt to several tasks.
 4. Verified links of both steps give the components.
 
 Every pair within the threshold is linked in step 2, found and verified in step
@@ -43,8 +44,7 @@ from strata.llm.components import components
 WORDS = 5
 PERCENT = 80
 GROUPS = 32
-PER_GROUP = 8
-MOST_GROUPS = 1 << 14
+PER_GROUP = 2
 SKETCH = 1 << 20  # counters of the sketch that orders shingles
 TILE = 2048  # rows of one side of a search task
 BUCKET_ROWS = 20_000  # rows of small blocks that one group of step 3 holds
@@ -63,27 +63,40 @@ def _node(s: np.ndarray) -> int:
 
 
 def group_counts(s: np.ndarray) -> bytes:
-    """Shingles in each group, 16 bits a group; groups go by the hashes' first bits."""
+    """Shingles in each group, a byte a group; groups go by the hashes' first bits."""
     groups = GROUPS
-    while groups < min(MOST_GROUPS, len(s) // PER_GROUP):
+    while groups < len(s) // PER_GROUP:
+        groups *= 2
+    while True:
+        bits = groups.bit_length() - 1
+        counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=groups)
+        if counts.max() < 256:
+            return counts.astype(np.uint8).tobytes()
         groups *= 2
-    bits = groups.bit_length() - 1
-    return np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=groups).astype("<u2").tobytes()
 
 
 def _folded(counts: np.ndarray, groups: int) -> np.ndarray:
     """Counts of one document, summed to fewer groups."""
-    return counts if len(counts) == groups else counts.reshape(groups, -1).sum(axis=1)
+    return counts if len(counts) == groups else counts.reshape(groups, -1).sum(axis=1, dtype=np.int32)
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), "<u2").astype(np.int64) for x in column]
+    return [np.frombuffer(x.as_buffer(), np.uint8) for x in column]
 
 
-def _overlap(x: np.ndarray, y: np.ndarray) -> int:
-    """The bound of two documents' overlap."""
-    groups = min(len(x), len(y))
-    return int(np.minimum(_folded(x, groups), _folded(y, groups)).sum())
+def _overlaps(one: list[np.ndarray], two: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The bound of the overlap of documents ``one[x[i]]`` and ``two[y[i]]``, for all i."""
+    out = np.zeros(len(x), np.int64)
+    groups = np.minimum(np.array([len(v) for v in one], np.int64)[x], np.array([len(v) for v in two], np.int64)[y])
+    for g in np.unique(groups).tolist():
+        at = np.flatnonzero(groups == g)
+        for part in np.array_split(at, -(-len(at) * g // (4 << 20))):
+            u, left = np.unique(x[part], return_inverse=True)
+            v, right = np.unique(y[part], return_inverse=True)
+            a = np.stack([_folded(one[k], g) for k in u.tolist()])
+            b = np.stack([_folded(two[k], g) for k in v.tolist()])
+            out[part] = np.minimum(a[left], b[right]).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _prefix(n: int, percent: int) -> int:
@@ -154,7 +167,8 @@ def bounded(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                least = np.array([_overlap(x, y) for x, y in zip(_vectors(b.column("ca")), _vectors(b.column("cb")))])
+                each = np.arange(b.num_rows)
+                least = _overlaps(_vectors(b.column("ca")), _vectors(b.column("cb")), each, each)
                 on = _enough(least, b.column("na").to_numpy() + b.column("nb").to_numpy(), percent)
                 yield b.select(["a", "b"]).filter(pa.array(on))
 
@@ -239,7 +253,7 @@ class CountTree:
                 if not len(queries):
                     continue
                 at = np.arange(j * FANOUT, min((j + 1) * FANOUT, len(self.sizes)))
-                for part in np.array_split(queries, -(-len(queries) // 512)):
+                for part in np.array_split(queries, -(-len(queries) // 256)):
                     least = np.minimum(counts[part][:, None, :], self.counts[at][None, :, :]).sum(axis=2)
                     on = _enough(least, sizes[part][:, None] + self.sizes[at][None, :], percent) & (labels[part][:, None] != self.labels[at][None, :])
                     q, p = np.nonzero(on)
@@ -250,13 +264,28 @@ class CountTree:
         return np.concatenate(left), np.concatenate(right)
 
 
+def _main(blocks: DataFrame) -> DataFrame:
+    """(key, size, most, main) of each block: its most frequent label and how many rows have it."""
+    per_label = blocks.groupBy("key", "label").agg(F.count("*").alias("c"))
+    sizes = per_label.groupBy("key").agg(F.sum("c").alias("size"), F.max("c").alias("most"))
+    return per_label.join(sizes, "key").where("c = most").groupBy("key", "size", "most").agg(F.min("label").alias("main"))
+
+
+def merged(blocks: DataFrame) -> DataFrame:
+    """Blocks (key, node, label) of two labels or more, those of one most frequent label made one.
+
+    A passage's shingles form blocks of nearly the same nodes; merged, a pair
+    meets once. Pairs of a block stay together, so none is lost.
+    """
+    main = _main(blocks).where("most < size").select("key", "main")
+    return blocks.join(main, "key").select(F.col("main").alias("key"), "node", "label").distinct()
+
+
 def searched(blocks: DataFrame, table: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) of different labels within blocks (key, node, label)."""
     rows = blocks.sparkSession
-    per_label = blocks.groupBy("key", "label").agg(F.count("*").alias("c"))
-    # the most frequent label of a block only meets the others; its count comes first in the packed maximum
-    sizes = per_label.groupBy("key").agg(F.sum("c").alias("size"), F.max("c").alias("most"))
-    main = per_label.join(sizes, "key").where("c = most").groupBy("key", "size", "most").agg(F.min("label").alias("main"))
+    # Rows of a large block's most frequent label only meet the others.
+    main = _main(blocks)
     main = main.withColumns({"others": F.ceil((F.col("size") - F.col("most")) / TILE), "all": F.ceil(F.col("size") / TILE)})
     small = blocks.join(main.where(f"size <= {TILE}").select("key", "size"), "key")
     large = blocks.join(main.where(f"size > {TILE}"), "key").withColumn("minor", F.col("label") != F.col("main"))
@@ -296,8 +325,7 @@ def searched(blocks: DataFrame, table: DataFrame, percent: int) -> DataFrame:
                 continue
             x, y = CountTree(counts[p], n[p], label[p]).search(counts[q], n[q], label[q], percent)
             x, y = q[x], p[y]
-            least = np.array([_overlap(fine[u], fine[v]) for u, v in zip(x.tolist(), y.tolist())], np.int64)
-            on = _enough(least, n[x] + n[y], percent)
+            on = _enough(_overlaps(fine, fine, x, y), n[x] + n[y], percent)
             pair = np.stack([node[x[on]], node[y[on]]], axis=1)
             pair.sort(axis=1)
             found.append(np.unique(pair, axis=0))
@@ -347,9 +375,7 @@ def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     labels = stored(components(first), "star-components")
 
     blocks = members.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = blocks.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("c"), F.sum(F.xxhash64("node") % (1 << 40)).alias("s"), F.sum(F.xxhash64("node", F.lit(1)) % (1 << 40)).alias("t")).where("x <> y")
-    mixed = mixed.groupBy("c", "s", "t").agg(F.min("key").alias("key")).select("key")  # blocks of the same nodes once
-    blocks = stored(blocks.join(mixed, "key", "left_semi"), "blocks")
+    blocks = stored(merged(blocks), "blocks")
     second = verified(searched(blocks, table, percent), docs, words, percent)
     links = stored(first.unionByName(second), "all-links")
     labels = stored(components(links), "components")
