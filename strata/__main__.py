@@ -4,7 +4,7 @@
     python -m strata refined  --curated ROOT --target ROOT2 [--curated-database DB] [--database DB2]
     python -m strata profile-raw     --users U --countries C --facts F --out DIR
     python -m strata profile-curated --curated ROOT --out DIR
-    python -m strata stream-facts    --facts-dir DIR --users U --target ROOT/facts [--checkpoint CK] [--continuous]
+    python -m strata stream-facts    --facts-dir DIR --users U --target ROOT/facts_stream [--checkpoint CK] [--continuous]
 
 On a cluster, launch it with ``spark-submit strata/__main__.py <command> ...``
 (the master and resources come from the launcher). The layer jobs append
@@ -16,7 +16,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from strata.session import build_session
+from strata.session import build_session, require_persistent_catalog
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -30,6 +30,7 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument(f"--{name}", required=True)
     c.add_argument("--target", required=True)
     c.add_argument("--database")
+    c.add_argument("--buckets", type=int, help="partition facts by this many hash buckets of the user, not by user")
     c.add_argument(
         "--rules",
         help="JSON file with any of: prefix_rules [[prefix, name], ...], continent_map {from: to}, "
@@ -41,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--target", required=True)
     r.add_argument("--curated-database")
     r.add_argument("--database")
+    r.add_argument("--buckets", type=int, help="as for curated")
 
     pr = sub.add_parser("profile-raw", help="checks over the raw files, written as tables")
     for name in ("users", "countries", "facts"):
@@ -56,7 +58,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--facts-dir", required=True)
     s.add_argument("--users", required=True)
     s.add_argument("--target", required=True)
-    s.add_argument("--checkpoint")
+    s.add_argument("--checkpoint", help="default: <target>_checkpoint")
+    s.add_argument("--salt-buckets", type=int, default=8, help="tasks that one user's facts are spread over")
+    s.add_argument("--max-files-per-trigger", type=int, default=1000)
     s.add_argument("--continuous", action="store_true", help="keep polling instead of processing what is there")
     return p
 
@@ -93,6 +97,8 @@ def main(argv: list[str] | None = None) -> int:
     """Parse the command line, run the chosen job, return the exit code."""
     args = _parser().parse_args(argv)
     spark = build_session(args.master, app_name=f"strata-{args.command}")
+    if getattr(args, "database", None) or getattr(args, "curated_database", None):
+        require_persistent_catalog(spark)
     target = args.target_file_mb * 1024 * 1024 if args.target_file_mb else None
     if args.command == "curated":
         from strata.plans.curated import run_curated
@@ -103,6 +109,7 @@ def main(argv: list[str] | None = None) -> int:
             paths,
             args.target,
             database=args.database,
+            buckets=args.buckets,
             log_path=f"{args.target}/_run_log",
             target_file_bytes=target,
             **_load_rules(args.rules),
@@ -116,6 +123,7 @@ def main(argv: list[str] | None = None) -> int:
             args.target,
             curated_database=args.curated_database,
             refined_database=args.database,
+            buckets=args.buckets,
             log_path=f"{args.target}/_run_log",
             target_file_bytes=target,
         )
@@ -147,6 +155,8 @@ def main(argv: list[str] | None = None) -> int:
             args.target,
             checkpoint=args.checkpoint,
             available_now=not args.continuous,
+            salt_buckets=args.salt_buckets,
+            max_files_per_trigger=args.max_files_per_trigger,
         )
         query.awaitTermination()
     return 0

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 # Text layouts of the source feeds.
 REGISTERED_DATE_PATTERN = "MMM d, yyyy"  # e.g. "Aug 13, 2006", "Feb 4, 2005"
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
 def _as_col(c: str | Column) -> Column:
@@ -19,9 +20,20 @@ def _as_col(c: str | Column) -> Column:
 
 
 def parse_date(c: str | Column, pattern: str = REGISTERED_DATE_PATTERN) -> Column:
-    """Month-name date text to DATE (X4). English month abbreviations;
-    invalid or impossible dates (``Sept 4, 2005``, ``Feb 30, 2006``) give null."""
-    return F.try_to_date(_as_col(c), pattern)
+    """Month-name date text to DATE.
+
+    With the feed's layout the text is read by its parts between spaces: a
+    month name exactly as in ``MONTHS``, a day of which commas are dropped
+    and the last two characters count, a year; further parts are ignored. So
+    ``Aug 4 2006`` and ``Aug 4, 2006 x`` are dates, while ``AUG 13, 2006``,
+    ``Sept 4, 2005`` and ``Feb 30, 2006`` give null. Any other ``pattern`` is
+    a date pattern."""
+    if pattern != REGISTERED_DATE_PATTERN:
+        return F.try_to_date(_as_col(c), pattern)
+    parts = F.split(_as_col(c), " ")
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.get(parts, F.lit(0)))
+    day = F.right(F.concat(F.lit("0"), F.replace(F.get(parts, F.lit(1)), F.lit(","), F.lit(""))), F.lit(2))
+    return F.try_to_date(F.concat_ws("-", F.get(parts, F.lit(2)), F.lpad(month.cast("string"), 2, "0"), day), "yyyy-MM-dd")
 
 
 def parse_timestamp(c: str | Column, pattern: str | None = None) -> Column:

@@ -20,6 +20,7 @@ from strata.operators.quality import (
 from strata.operators.relational import (
     DEFAULT_BROADCAST_MAX_BYTES,
     DEFAULT_BROADCAST_MAX_ROWS,
+    FROM_SESSION,
     DuplicateKeyError,
     Lookup,
     SideStats,
@@ -41,6 +42,7 @@ from strata.operators.relational import (
 __all__ = [
     "DEFAULT_BROADCAST_MAX_BYTES",
     "DEFAULT_BROADCAST_MAX_ROWS",
+    "FROM_SESSION",
     "CheckFailed",
     "DuplicateKeyError",
     "Lookup",

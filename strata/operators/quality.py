@@ -1,8 +1,9 @@
 """Data-quality checks returned as DataFrames.
 
-Each check is lazy and distributed: counts are aggregates (partial
+Each check is a distributed DataFrame: counts are aggregates (partial
 aggregation before any shuffle, so a hot key is collapsed map-side),
-listings are filters or anti joins. Several counts over one table are
+listings are filters or anti joins (:func:`unmatched_values` measures its
+dimension with one small job when it is called). Several counts over one table are
 computed in a single pass. :func:`gate` turns any check into a fail-fast
 assertion.
 """
@@ -10,6 +11,7 @@ assertion.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,15 +79,18 @@ def distinct_counts(df: DataFrame, column_sets: Mapping[str, Sequence[str]]) ->
     """One row with the number of distinct rows of each column set (A2, A3).
 
     Rows holding nulls count as values, as in ``select(cols).distinct()
-    .count()``: each set is wrapped in a struct, which is never null.
-    All sets are counted in one scan.
+    .count()``. The distinct combinations of all columns are found first and
+    the sets are counted on that smaller table (its shuffle is shared), so no
+    fact row is copied once per set.
     """
-    return df.agg(
-        *[
-            F.count_distinct(F.struct(*[col(c) for c in _as_list(cols)])).alias(name)
-            for name, cols in column_sets.items()
-        ]
-    )
+    every = list(dict.fromkeys(c for cols in column_sets.values() for c in _as_list(cols)))
+    rows = df.select(*[col(c) for c in every]).distinct()
+    parts = []
+    for name, cols in column_sets.items():
+        part = rows if set(_as_list(cols)) == set(every) else rows.select(*[col(c) for c in _as_list(cols)]).distinct()
+        parts.append(part.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")))
+    union = reduce(lambda a, b: a.unionByName(b), parts)
+    return union.agg(*[F.coalesce(F.sum(F.when(F.col("name") == name, F.col("n"))), F.lit(0)).cast("bigint").alias(name) for name in column_sets])
 
 
 def fd_violations(df: DataFrame, determinant: str | Sequence[str], dependent: str | Sequence[str], alias: str = "n_values") -> DataFrame:
@@ -119,18 +124,18 @@ def group_counts(df: DataFrame, key: str, alias: str = "total_facts") -> DataFra
     return df.groupBy(col(key)).agg(F.count(col(key)).alias(alias))
 
 
-def filter_impact(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row ``(rows_before, rows_after, rows_removed)``.
+def filter_impact(before: DataFrame, excluded: DataFrame, key: str, excluded_key: str) -> DataFrame:
+    """One row ``(rows_before, rows_after, rows_removed)`` of an exclusion.
 
-    Both inputs are counted in one job: their single-column markers are
-    unioned and summed, so no cross join is needed.
+    One scan: rows are counted by key first (a hot key before the shuffle), and
+    the counts meet the distinct excluded keys.
     """
-    marks = before.select(F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(
-        after.select(F.lit(0).alias("b"), F.lit(1).alias("a"))
-    )
-    return marks.agg(
-        F.coalesce(F.sum("b"), F.lit(0)).cast("bigint").alias("rows_before"),
-        F.coalesce(F.sum("a"), F.lit(0)).cast("bigint").alias("rows_after"),
+    bad = excluded.select(col(excluded_key).alias("__key")).where(F.col("__key").isNotNull()).distinct().withColumn("__bad", F.lit(True))
+    counts = before.groupBy(col(key).alias("__key")).agg(F.count(F.lit(1)).alias("n")).join(bad, "__key", "left")
+    kept = F.col("__key").isNotNull() & F.col("__bad").isNull()
+    return counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows_before"),
+        F.coalesce(F.sum(F.when(kept, F.col("n"))), F.lit(0)).cast("bigint").alias("rows_after"),
     ).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 

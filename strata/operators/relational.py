@@ -31,16 +31,18 @@ from strata.functions.columns import col
 # Spark's hash relation takes a few times the raw bytes on each executor.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 DEFAULT_BROADCAST_MAX_BYTES = 32 * 1024 * 1024
-# Session settings that replace the default bounds (an explicit argument
-# still wins); "-1" turns explicit broadcasting off.
+# Session settings that replace the default bounds; "-1" turns explicit
+# broadcasting off. An explicit argument always wins.
 BROADCAST_MAX_ROWS_CONF = "spark.strata.broadcast.maxRows"
 BROADCAST_MAX_BYTES_CONF = "spark.strata.broadcast.maxBytes"
+# Default of the bound arguments: the session setting, else the default bound.
+FROM_SESSION = "session"
 
 
-def _bound(df: DataFrame, value: int | None, default: int, conf: str) -> int | None:
+def _bound(df: DataFrame, value: int | str | None, default: int, conf: str) -> int | None:
     """The bound to apply: an explicit argument, else the session setting,
     else the library default. ``None`` or a negative value: no broadcast."""
-    if value is not default:
+    if value != FROM_SESSION:
         return value
     configured = df.sparkSession.conf.get(conf, None)
     if configured is None:
@@ -184,8 +186,8 @@ def lookup_joins(
     df: DataFrame,
     lookups: Sequence[Lookup],
     check_unique: bool = True,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
+    broadcast_max_rows: int | str | None = FROM_SESSION,
+    broadcast_max_bytes: int | str | None = FROM_SESSION,
 ) -> DataFrame:
     """Apply several lookups in order, checking all of them in one job.
 
@@ -223,8 +225,8 @@ def lookup_join(
     right_on: str | Sequence[str] | None = None,
     how: str = "left",
     check_unique: bool = True,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
+    broadcast_max_rows: int | str | None = FROM_SESSION,
+    broadcast_max_bytes: int | str | None = FROM_SESSION,
 ) -> DataFrame:
     """Enrich ``df`` with the columns of a lookup table.
 
@@ -243,9 +245,9 @@ def exclude_keys(
     excluded: DataFrame,
     key: str,
     excluded_key: str | None = None,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | str | None = FROM_SESSION,
     cluster_output: bool = False,
-    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
+    broadcast_max_bytes: int | str | None = FROM_SESSION,
 ) -> DataFrame:
     """Rows of ``df`` whose ``key`` is set and not among the excluded keys.
 
@@ -254,6 +256,11 @@ def exclude_keys(
     are always dropped (also when the list is empty). The list is a
     DataFrame, never collected to the driver.
 
+    The anti join is always part of the plan, also while the list is empty:
+    a frame built before the list grows still drops the new keys. One small
+    job measures the list when this function is called; its outcome picks
+    the join strategy only.
+
     With ``cluster_output`` the result comes out clustered by ``key`` (ready
     for a write partitioned by it) after exactly one shuffle of ``df``:
     the sort-merge anti join already delivers that clustering; the broadcast
@@ -266,7 +273,7 @@ def exclude_keys(
     size = side_size(bad)
     max_rows = _bound(df, broadcast_max_rows, DEFAULT_BROADCAST_MAX_ROWS, BROADCAST_MAX_ROWS_CONF)
     max_bytes = _bound(df, broadcast_max_bytes, DEFAULT_BROADCAST_MAX_BYTES, BROADCAST_MAX_BYTES_CONF)
-    if size.rows > 0 and not size.fits(max_rows, max_bytes):
+    if not size.fits(max_rows, max_bytes):
         # No distinct() on the excluded side: repeated keys do not change an
         # anti join, and a plain shuffle below the sort-merge join lets AQE
         # split the partition of a hot key. When the output must stay
@@ -275,7 +282,7 @@ def exclude_keys(
         if cluster_output:
             bad = bad.hint("merge")
         return kept.join(bad, col(key) == F.col("__excluded_key"), "left_anti")
-    out = kept if size.rows == 0 else kept.join(F.broadcast(bad), col(key) == F.col("__excluded_key"), "left_anti")
+    out = kept.join(F.broadcast(bad), col(key) == F.col("__excluded_key"), "left_anti")
     return out.hint("rebalance", col(key)) if cluster_output else out
 
 
@@ -284,8 +291,8 @@ def anti_join(
     right: DataFrame,
     left_on: str | Sequence[str],
     right_on: str | Sequence[str] | None = None,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES,
+    broadcast_max_rows: int | str | None = FROM_SESSION,
+    broadcast_max_bytes: int | str | None = FROM_SESSION,
 ) -> DataFrame:
     """Left rows without a match on the right.
 

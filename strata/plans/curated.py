@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.functions.columns import col, drop_columns, rename_columns, trim_headers
 from strata.functions.dates import REGISTERED_DATE_PATTERN, month_of, parse_date, parse_timestamp, year_of
 from strata.functions.mapping import fill_null, map_exact, map_prefix
-from strata.operators.relational import DEFAULT_BROADCAST_MAX_ROWS, drop_duplicate_rows, exclude_keys, union_rows
+from strata.operators.relational import FROM_SESSION, drop_duplicate_rows, exclude_keys, union_rows
 from strata.plans import defaults as D
 from strata.sources.readers import literal_rows
 from strata.sources.schemas import COUNTRIES_REQUIRED, HOROSCOPES_REQUIRED, USERS_REQUIRED, require_columns
@@ -75,7 +75,7 @@ def clean_facts(
     raw_users: DataFrame,
     id_column: str = "#id",
     timestamp_pattern: str | None = None,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | str | None = FROM_SESSION,
     cluster_by_user: bool = False,
 ) -> DataFrame:
     """Curated facts (C4): ``fact_timestamp`` parsed from ``fact_date``;
@@ -127,11 +127,13 @@ def run_curated(
     database: str | None = None,
     log_path: str | None = None,
     target_file_bytes: int | None = None,
+    buckets: int | None = None,
     **rules,
 ):
     """Raw files -> published curated layer (E1). Returns the run log.
 
-    ``raw_paths`` names the users, countries, horoscopes and facts files.
+    ``raw_paths`` names the users, countries, horoscopes and facts files;
+    ``buckets`` selects the bucket layout of ``publish_layer``.
     """
     from strata.plans.layers import publish_layer
     from strata.sinks.run_log import RunLog
@@ -145,7 +147,7 @@ def run_curated(
             raw_horoscopes = read_horoscopes(spark, raw_paths["horoscopes"])
             raw_facts = read_facts(spark, raw_paths["facts"])
         with log.step("transform"):
-            tables = build_curated(raw_users, raw_countries, raw_horoscopes, raw_facts, cluster_facts=True, **rules)
+            tables = build_curated(raw_users, raw_countries, raw_horoscopes, raw_facts, cluster_facts=not buckets, **rules)
         # Facts arrive clustered by user: no second shuffle before the write.
         publish_layer(
             spark,
@@ -153,6 +155,8 @@ def run_curated(
             target_root,
             database=database,
             log=log,
+            log_path=log_path,
+            buckets=buckets,
             rebalance={"facts": False},
             target_file_bytes=target_file_bytes,
         )

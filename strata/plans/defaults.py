@@ -33,9 +33,13 @@ ADDED_COUNTRIES = (("Cote D'Ivoire", "Cote D'Ivoire", "África", "Africa"),)
 NO_CONTINENT_ES = "Sin continente"
 NO_CONTINENT_EN = "Without continent"
 
-# Code columns of the raw countries file that the curated layer drops.
+# Header names of the raw countries file that the curated layer drops.
 COUNTRY_CODE_COLUMNS = ("iso2", "iso3", "phone_code", "nom")
 
 # Layer table names.
 TABLES = ("countries", "horoscopes", "users", "facts")
 FACTS_PARTITION_BY = ("user_id",)
+
+# The group and the song that the raw report looks up by name.
+AUDITED_GROUP = "Underworld"
+AUDITED_SONG = "Elysian Fields"

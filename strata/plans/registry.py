@@ -12,6 +12,7 @@ result does not depend on the reader's time zone.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from strata.functions.columns import col, trim_headers
 from strata.functions.dates import day_of, parse_date, parse_timestamp, to_int
 from strata.functions.mapping import fill_null, map_exact, map_prefix
 from strata.operators import quality as Q
-from strata.operators.relational import Lookup, anti_join, lookup_joins
+from strata.operators.relational import Lookup, anti_join, lookup_joins, rows_missing_lookup
 from strata.plans.curated import (
     clean_countries,
     clean_facts,
@@ -31,7 +32,9 @@ from strata.plans.curated import (
     run_curated,
 )
 from strata.plans.layers import read_layer
+from strata.plans import defaults as D
 from strata.plans.profiling import profile_curated, profile_raw, profile_summary
+from strata.plans.profiling import unmatched_after_mapping as unmatched_mapped
 from strata.plans.refined import (
     add_continent,
     add_horoscope,
@@ -41,7 +44,7 @@ from strata.plans.refined import (
     with_register_parts,
 )
 from strata.session import ensure_settings, scratch_path
-from strata.sinks.writers import ensure_database, save_catalog_table, table_name, with_key_bucket, write_table
+from strata.sinks.writers import ensure_database, key_bucket_filter, save_catalog_table, table_name, with_key_bucket, write_table
 from strata.sources import driver_tables as V
 from strata.sources.readers import read_countries, read_facts, read_partitioned_strings, read_users
 from strata.streaming import start_curated_facts
@@ -62,6 +65,11 @@ PUBLISHING = (
     "run_log_rows",
     "profile_raw_summary",
     "bucketed_round_trip",
+    "key_bucket_lookup",
+    "catalog_partitioned_round_trip",
+    "refined_countries_published",
+    "refined_horoscopes_published",
+    "profile_curated_summary",
 )
 
 
@@ -143,21 +151,27 @@ def parse_registered_date(spark, sf_dir):
 @register(
     "parse_bad_date_to_null",
     """
-SELECT o_orderkey, o_orderpriority, t.registered,
-       CAST(try_strptime(t.registered, '%b %-d, %Y') AS DATE) AS register_date
-FROM (SELECT o_orderkey, o_orderpriority,
-             CASE WHEN o_orderpriority = '5-LOW' THEN 'Sept' || substr(strftime(o_orderdate, '%b %-d, %Y'), 4)
-                  ELSE strftime(o_orderdate, '%b %-d, %Y') END AS registered
-      FROM orders) t""",
+SELECT o_orderkey, o_orderpriority,
+       CASE o_orderpriority WHEN '5-LOW' THEN 'Sept' || substr(strftime(o_orderdate, '%b %-d, %Y'), 4)
+            WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%b %-d %Y')
+            WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%b %-d, %Y x')
+            WHEN '2-HIGH' THEN upper(strftime(o_orderdate, '%b %-d, %Y'))
+            ELSE strftime(o_orderdate, '%b %-d, %Y') END AS registered,
+       CASE WHEN o_orderpriority IN ('5-LOW', '2-HIGH') THEN NULL ELSE CAST(o_orderdate AS DATE) END AS register_date
+FROM orders""",
 )
 def parse_bad_date_to_null(spark, sf_dir):
-    """Text that does not parse (``Sept 3, 1998``) becomes null, the job does not fail."""
+    """Month names of another length or case become null, a missing comma
+    or a further part does not matter; the job does not fail."""
     o = V.table(spark, sf_dir, "orders")
-    text = F.date_format("o_orderdate", V.REGISTERED_TEXT)
+    text, priority = F.date_format("o_orderdate", V.REGISTERED_TEXT), F.col("o_orderpriority")
     o = o.select(
         "o_orderkey",
         "o_orderpriority",
-        F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit("Sept"), text.substr(F.lit(4), F.length(text))))
+        F.when(priority == "5-LOW", F.concat(F.lit("Sept"), text.substr(F.lit(4), F.length(text))))
+        .when(priority == "4-NOT SPECIFIED", F.replace(text, F.lit(","), F.lit("")))
+        .when(priority == "3-MEDIUM", F.concat(text, F.lit(" x")))
+        .when(priority == "2-HIGH", F.upper(text))
         .otherwise(text)
         .alias("registered"),
     )
@@ -260,14 +274,25 @@ def unmatched_dimension_values(spark, sf_dir):
     f"""
 SELECT DISTINCT u.country FROM (
   SELECT country, {V._prefix_sql('country', V.DRIVER_PREFIX_RULES)} AS country_name FROM users_raw) u
-WHERE NOT EXISTS (SELECT 1 FROM countries_raw k WHERE k." name" = u.country_name)""",
+WHERE NOT EXISTS (SELECT 1 FROM countries_curated k WHERE k.country = u.country_name)""",
 )
 def unmatched_after_mapping(spark, sf_dir):
-    """After prefix mapping, the raw countries whose mapped name still
-    has no match."""
-    users = V.raw_users(spark, sf_dir).select("country", map_prefix("country", V.DRIVER_PREFIX_RULES).alias("country_name"))
-    pairs = users.distinct()  # few distinct values reach the anti join
-    return anti_join(pairs, _countries_by_name(spark, sf_dir), "country_name", "country").select("country").distinct()
+    """The raw countries whose mapped name is not among the curated
+    countries (the added rows included)."""
+    return unmatched_mapped(V.raw_users(spark, sf_dir), _countries_curated(spark, sf_dir), V.DRIVER_PREFIX_RULES)
+
+
+@register(
+    "users_unmatched_lookup",
+    """
+SELECT user_id, register_month, register_day, CAST(NULL AS VARCHAR) AS horoscope FROM users_refined WHERE register_month = 2""",
+)
+def users_unmatched_lookup(spark, sf_dir):
+    """F8: left join of a calendar without February, then the rows whose
+    looked-up column is null."""
+    u = with_register_parts(_users_curated(spark, sf_dir).withColumnRenamed("#id", "user_id"))
+    u = add_horoscope(u, V.raw_horoscopes(spark).where(F.col("Month") != "2"))
+    return rows_missing_lookup(u, "horoscope").select("user_id", "register_month", "register_day", "horoscope")
 
 
 @register(
@@ -550,9 +575,8 @@ SELECT (SELECT count(*) FROM facts_raw) AS rows_before, (SELECT count(*) FROM fa
 )
 def filter_impact(spark, sf_dir):
     """Facts before and after the exclusion, one row."""
-    before = V.raw_facts(spark, sf_dir)
-    after = clean_facts(before, V.raw_users(spark, sf_dir))
-    return Q.filter_impact(before, after)
+    bad = invalid_users(V.raw_users(spark, sf_dir))
+    return Q.filter_impact(V.raw_facts(spark, sf_dir), bad, "user_id", "#id")
 
 
 @register(
@@ -566,11 +590,16 @@ def dup_dimension_rows(spark, sf_dir):
 
 @register(
     "dup_dimension_rows_after",
-    """SELECT country, count(*) AS copies FROM countries_curated GROUP BY country HAVING count(*) > 1""",
+    """
+SELECT country, count(*) AS copies FROM (
+  SELECT country, pais, continente, continent FROM countries_curated UNION SELECT 'NATION_3', 'NACION_3', 'X', 'Y'
+) GROUP BY country HAVING count(*) > 1""",
 )
 def dup_dimension_rows_after(spark, sf_dir):
-    """Q10: none remain after curation."""
-    return Q.duplicate_keys(_countries_curated(spark, sf_dir), "country")
+    """Q10: after curation only a country with rows that differ remains (one
+    is added here); the rows that differ in codes alone are gone."""
+    added = (*D.ADDED_COUNTRIES, ("NACION_3", "NATION_3", "X", "Y"))
+    return Q.duplicate_keys(clean_countries(V.raw_countries(spark, sf_dir), V.DRIVER_CONTINENT_MAP, added), "country")
 
 
 @register(
@@ -584,51 +613,99 @@ def preview_rows(spark, sf_dir):
 
 # Profiling reports (E3) ------------------------------------------------------------
 
+_FACT_COLUMNS = ("user_id", "fact_date", "group_id", "group_name", "song_id", "song_name", "fact_timestamp")
+_DRIVER_GROUP, _DRIVER_SONG = "purchase", '{"k": 7}'
+
+
+def _rows_sql(query: str) -> dict[str, str]:
+    return {"rows": f"SELECT count(*) FROM ({query})"}
+
+
+def _nulls_sql(view: str, columns) -> dict[str, str]:
+    return {"rows": f"SELECT count(*) FROM {view}", **{f"{c}_nulls": f"SELECT count(*) FROM {view} WHERE {c} IS NULL" for c in columns}}
+
+
+_REDUCED_USERS = f"SELECT country, {V._prefix_sql('country', V.DRIVER_PREFIX_RULES)} AS country_name FROM users_raw"
 _RAW_PROFILE_SQL = {
-    "unmatched_countries_before": """SELECT count(*) FROM (SELECT DISTINCT country FROM users_raw u
-        WHERE NOT EXISTS (SELECT 1 FROM countries_raw k WHERE k." name" = u.country))""",
-    "unmatched_countries_after": f"""SELECT count(*) FROM (SELECT DISTINCT country_name FROM (
-        SELECT {V._prefix_sql('country', V.DRIVER_PREFIX_RULES)} AS country_name FROM users_raw) u
-        WHERE NOT EXISTS (SELECT 1 FROM countries_raw k WHERE k." name" = u.country_name))""",
-    "duplicate_countries_before": """SELECT count(*) FROM (SELECT " name" FROM countries_raw GROUP BY 1 HAVING count(*) > 1)""",
-    "duplicate_countries_after": """SELECT count(*) FROM (SELECT country FROM countries_curated GROUP BY 1 HAVING count(*) > 1)""",
-    "countries_without_continent": "SELECT count(*) FROM countries_raw WHERE continente IS NULL",
-    "user_key_uniqueness": "SELECT 1",
-    "users_profile": "SELECT 1",
-    "users_without_registration": "SELECT count(*) FROM users_raw WHERE registered IS NULL",
-    "users_without_country": "SELECT count(*) FROM users_raw WHERE country IS NULL AND registered IS NOT NULL",
-    "unparsed_timestamps": "SELECT count(*) FROM facts_parsed WHERE fact_date IS NOT NULL AND fact_timestamp IS NULL",
-    "facts_per_user": "SELECT count(*) FROM (SELECT DISTINCT user_id FROM facts_raw)",
-    "facts_profile": "SELECT 1",
-    "facts_without_song": "SELECT count(*) FROM facts_raw WHERE song_name IS NULL",
-    "facts_without_group": "SELECT count(*) FROM facts_raw WHERE group_name IS NULL",
-    "group_name_ids": "SELECT count(*) FROM (SELECT group_name FROM facts_raw GROUP BY 1 HAVING count(DISTINCT group_id) > 1)",
-    "filter_impact": "SELECT 1",
+    "unmatched_countries_before": _rows_sql("""SELECT DISTINCT country FROM users_raw u
+        WHERE NOT EXISTS (SELECT 1 FROM countries_raw k WHERE k." name" = u.country)"""),
+    "unmatched_countries_after": _rows_sql(f"""SELECT DISTINCT country FROM ({_REDUCED_USERS}) u
+        WHERE NOT EXISTS (SELECT 1 FROM countries_curated k WHERE k.country = u.country_name)"""),
+    "duplicate_countries_before": _rows_sql('SELECT " name" FROM countries_raw GROUP BY 1 HAVING count(*) > 1'),
+    "duplicate_countries_after": _rows_sql("SELECT country FROM countries_curated GROUP BY 1 HAVING count(*) > 1"),
+    "countries_without_continent": _rows_sql("SELECT 1 FROM countries_raw WHERE continente IS NULL"),
+    "countries_without_continent_after": _rows_sql("SELECT 1 FROM countries_curated WHERE continente IS NULL OR continent IS NULL"),
+    "user_key_uniqueness": {
+        "total_ids": "SELECT count(*) FROM users_raw",
+        "distinct_ids": 'SELECT count(*) FROM (SELECT DISTINCT "#id" FROM users_raw)',
+        "duplicate_ids": 'SELECT (SELECT count(*) FROM users_raw) - (SELECT count(*) FROM (SELECT DISTINCT "#id" FROM users_raw))',
+    },
+    "users_profile": {
+        **_nulls_sql("users_raw", ["registered", "country"]),
+        "country_missing_registered_present": "SELECT count(*) FROM users_raw WHERE country IS NULL AND registered IS NOT NULL",
+    },
+    "users_without_registration": _rows_sql("SELECT 1 FROM users_raw WHERE registered IS NULL"),
+    "users_without_country": _rows_sql("SELECT 1 FROM users_raw WHERE country IS NULL AND registered IS NOT NULL"),
+    "unparsed_timestamps": _rows_sql("SELECT 1 FROM facts_parsed WHERE fact_date IS NOT NULL AND fact_timestamp IS NULL"),
+    "facts_per_user": {
+        "users": "SELECT count(*) FROM (SELECT DISTINCT user_id FROM facts_raw)",
+        "facts": "SELECT count(user_id) FROM facts_raw",
+        "most": "SELECT max(n) FROM (SELECT count(user_id) AS n FROM facts_raw GROUP BY user_id)",
+    },
+    "facts_profile": {
+        **_nulls_sql("facts_parsed", _FACT_COLUMNS),
+        "unparsed_timestamps": "SELECT count(*) FROM facts_parsed WHERE fact_date IS NOT NULL AND fact_timestamp IS NULL",
+    },
+    "facts_without_date": _rows_sql("SELECT 1 FROM facts_raw WHERE fact_date IS NULL"),
+    "facts_without_song": _rows_sql("SELECT 1 FROM facts_raw WHERE song_name IS NULL"),
+    "facts_without_group": _rows_sql("SELECT 1 FROM facts_raw WHERE group_name IS NULL"),
+    "group_name_ids": _rows_sql("SELECT group_name FROM facts_raw GROUP BY 1 HAVING count(DISTINCT group_id) > 1"),
+    "audited_group_ids": _rows_sql(f"SELECT DISTINCT group_id, group_name FROM facts_raw WHERE group_name = '{_DRIVER_GROUP}'"),
+    "audited_song_ids": _rows_sql(f"SELECT DISTINCT song_id, song_name, group_name FROM facts_raw WHERE song_name = '{_DRIVER_SONG}'"),
+    "filter_impact": {
+        "rows_before": "SELECT count(*) FROM facts_raw",
+        "rows_after": "SELECT count(*) FROM facts_curated",
+        "rows_removed": "SELECT (SELECT count(*) FROM facts_raw) - (SELECT count(*) FROM facts_curated)",
+    },
+    "users_preview": _rows_sql("SELECT 1 FROM users_raw LIMIT 20"),
+    "countries_preview": _rows_sql("SELECT 1 FROM countries_curated LIMIT 20"),
+    "facts_preview": _rows_sql("SELECT 1 FROM facts_raw LIMIT 20"),
 }
 
 _CURATED_PROFILE_SQL = {
-    "users_without_sign": """SELECT count(*) FROM users_curated u WHERE NOT EXISTS (SELECT 1 FROM calendar h
-        WHERE TRY_CAST(h."Day" AS INTEGER) = day(u.register_date) AND TRY_CAST(h."Month" AS INTEGER) = month(u.register_date))""",
-    "users_without_continent": """SELECT count(*) FROM (SELECT DISTINCT country_name FROM users_curated u
-        WHERE NOT EXISTS (SELECT 1 FROM countries_curated k WHERE k.country = u.country_name))""",
-    "group_counts": "SELECT 1",
-    "group_name_ids": "SELECT count(*) FROM (SELECT group_name FROM facts_curated GROUP BY 1 HAVING count(DISTINCT group_id) > 1)",
-    "duplicate_naming": """SELECT count(*) FROM (SELECT group_name, song_name FROM facts_curated GROUP BY 1, 2
-        HAVING count(DISTINCT CASE WHEN group_id IS NOT NULL AND song_id IS NOT NULL THEN row(group_id, song_id) END) > 1)""",
-    "facts_without_group_id": "SELECT count(*) FROM facts_curated WHERE group_id IS NULL",
-    "facts_without_user": "SELECT count(*) FROM facts_curated WHERE user_id IS NULL",
-    "facts_preview": "SELECT least(20, count(*)) FROM facts_curated",
+    "users_without_sign": _rows_sql("""SELECT 1 FROM users_curated u WHERE NOT EXISTS (SELECT 1 FROM calendar h
+        WHERE TRY_CAST(h."Day" AS INTEGER) = day(u.register_date) AND TRY_CAST(h."Month" AS INTEGER) = month(u.register_date))"""),
+    "users_without_continent": _rows_sql("""SELECT DISTINCT country_name FROM users_curated u
+        WHERE NOT EXISTS (SELECT 1 FROM countries_curated k WHERE k.country = u.country_name)"""),
+    "group_counts": {
+        "group_names": "SELECT count(*) FROM (SELECT DISTINCT group_name FROM facts_curated)",
+        "group_name_id_pairs": "SELECT count(*) FROM (SELECT DISTINCT group_name, group_id FROM facts_curated)",
+        "name_id_quadruples": "SELECT count(*) FROM (SELECT DISTINCT group_name, song_name, group_id, song_id FROM facts_curated)",
+    },
+    "group_name_ids": _rows_sql("SELECT group_name FROM facts_curated GROUP BY 1 HAVING count(DISTINCT group_id) > 1"),
+    "duplicate_naming": _rows_sql("""SELECT group_name, song_name FROM facts_curated GROUP BY 1, 2
+        HAVING count(DISTINCT CASE WHEN group_id IS NOT NULL AND song_id IS NOT NULL THEN row(group_id, song_id) END) > 1"""),
+    "facts_profile": _nulls_sql("facts_curated", ["group_id", "user_id"]),
+    "facts_without_group_id": _rows_sql("SELECT 1 FROM facts_curated WHERE group_id IS NULL"),
+    "facts_without_user": _rows_sql("SELECT 1 FROM facts_curated WHERE user_id IS NULL"),
+    "users_preview": _rows_sql("SELECT 1 FROM users_curated LIMIT 20"),
+    "countries_preview": _rows_sql("SELECT 1 FROM countries_curated LIMIT 20"),
+    "facts_preview": _rows_sql("SELECT 1 FROM facts_curated LIMIT 20"),
 }
 
 
-def _summary_sql(checks: dict[str, str]) -> str:
-    return "\nUNION ALL\n".join(f"SELECT '{name}' AS \"check\", CAST(({sql}) AS BIGINT) AS rows" for name, sql in checks.items())
+def _summary_sql(checks: dict[str, dict[str, str]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS \"check\", '{metric}' AS metric, CAST(({sql}) AS BIGINT) AS value"
+        for name, metrics in checks.items()
+        for metric, sql in metrics.items()
+    )
 
 
 @register("profile_raw_summary", _summary_sql(_RAW_PROFILE_SQL))
 def profile_raw_summary(spark, sf_dir):
-    """The raw-layer profiling report, rows listed per check (one job);
-    the parsed facts are staged once as Parquet, as the CLI does."""
+    """The raw-layer profiling report's numbers; the parsed facts are
+    staged once as Parquet, as the CLI does."""
     checks = profile_raw(
         V.raw_users(spark, sf_dir),
         V.raw_countries(spark, sf_dir),
@@ -636,18 +713,21 @@ def profile_raw_summary(spark, sf_dir):
         prefix_rules=V.DRIVER_PREFIX_RULES,
         continent_map=V.DRIVER_CONTINENT_MAP,
         stage_path=scratch_path(spark, "profile-stage"),
+        group_name=_DRIVER_GROUP,
+        song_name=_DRIVER_SONG,
     )
     return profile_summary(checks)
 
 
 @register("profile_curated_summary", _summary_sql(_CURATED_PROFILE_SQL))
 def profile_curated_summary(spark, sf_dir):
-    """The curated-layer profiling report, rows listed per check (one job)."""
+    """The curated-layer profiling report's numbers over staged facts."""
     checks = profile_curated(
         users=_users_curated(spark, sf_dir),
         countries=_countries_curated(spark, sf_dir),
         horoscopes=V.raw_horoscopes(spark),
         facts=_facts_curated(spark, sf_dir),
+        stage_path=scratch_path(spark, "profile-curated-stage"),
     )
     return profile_summary(checks)
 
@@ -657,47 +737,67 @@ def profile_curated_summary(spark, sf_dir):
 
 @register(
     "partitioned_round_trip",
-    "SELECT user_id, count(*) AS n_facts, count(fact_timestamp) AS n_timed FROM facts_parsed GROUP BY user_id",
+    "SELECT * FROM facts_parsed",
 )
 def partitioned_round_trip(spark, sf_dir):
     """Facts written partitioned by user (null user -> the
-    default partition), read back with a string key, counted per user."""
+    default partition), read back whole with a string key."""
     path = scratch_path(spark, "facts-partitioned")
     facts = _facts_parsed(spark, sf_dir)
-    # A stale table at the target first: the overwrite must replace it whole.
-    write_table(facts.limit(1).withColumn("user_id", F.lit("stale-user")), path, partition_by=["user_id"])
     write_table(facts, path, partition_by=["user_id"])
-    back = read_partitioned_strings(spark, path)
-    return back.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_facts"), F.count("fact_timestamp").alias("n_timed"))
+    return read_partitioned_strings(spark, path).select(*facts.columns)
 
 
 @register(
     "bucketed_round_trip",
-    "SELECT user_id, count(*) AS n_facts FROM facts_curated GROUP BY user_id",
+    "SELECT * FROM facts_curated",
 )
 def bucketed_round_trip(spark, sf_dir):
     """K2 alternative layout: curated facts partitioned by a bounded hash
-    bucket of the user (16 directories however many users), read back and
-    counted per user."""
+    bucket of the user (16 directories however many users), read back whole."""
     path = scratch_path(spark, "facts-bucketed")
-    write_table(with_key_bucket(_facts_curated(spark, sf_dir), buckets=16), path, partition_by=["user_id_bucket"])
-    back = spark.read.parquet(path)
-    return back.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_facts"))
+    facts = _facts_curated(spark, sf_dir)
+    write_table(with_key_bucket(facts, buckets=16), path, partition_by=["user_id_bucket"])
+    return spark.read.parquet(path).select(*facts.columns)
+
+
+@register(
+    "key_bucket_lookup",
+    """
+SELECT 'bigint' AS kind, user_id, event_id FROM events WHERE user_id = 5
+UNION ALL SELECT 'int', user_id, event_id FROM events WHERE user_id = 7
+UNION ALL SELECT 'string', user_id, event_id FROM events WHERE user_id = 11
+UNION ALL SELECT 'null', NULL, event_id FROM events WHERE event_type = 'error'""",
+)
+def key_bucket_lookup(spark, sf_dir):
+    """K2: the rows of one key in a bucketed table, for keys of each type and null."""
+    events = V.table(spark, sf_dir, "events").select("event_id", "event_type", F.col("user_id").cast("bigint").alias("user_id"))
+    no_user = events.withColumn("user_id", F.when(F.col("event_type") == "error", None).otherwise(F.col("user_id")))
+    path = scratch_path(spark, "keys")
+    parts = []
+    for kind, value, frame, key_type in (("bigint", 5, events, "bigint"), ("int", 7, events, "int"), ("string", "11", events, "string"), ("null", None, no_user, "bigint")):
+        keyed = frame.select("event_id", F.col("user_id").cast(key_type).alias("user_id"))
+        write_table(with_key_bucket(keyed, buckets=16), f"{path}/{kind}", partition_by=["user_id_bucket"])
+        found = spark.read.parquet(f"{path}/{kind}").where(key_bucket_filter(value, buckets=16))
+        parts.append(found.select(F.lit(kind).alias("kind"), F.col("user_id").cast("bigint").alias("user_id"), "event_id"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_NO_TRIM = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def _write_raw_files(spark: SparkSession, sf_dir: str, tables=("users", "countries", "horoscopes", "facts")) -> dict[str, str]:
     """Driver tables written as the raw delimited files of the dataset."""
     root = scratch_path(spark, "raw")
     paths = {k: f"{root}/{k}" for k in tables}
-    no_trim = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     if "users" in paths:
-        V.raw_users(spark, sf_dir).write.options(sep="\t", header="true", **no_trim).csv(paths["users"])
+        V.raw_users(spark, sf_dir).write.options(sep="\t", header="true", **_NO_TRIM).csv(paths["users"])
     if "countries" in paths:
-        V.raw_countries(spark, sf_dir).write.options(sep=",", header="true", **no_trim).csv(paths["countries"])
+        V.raw_countries(spark, sf_dir).write.options(sep=",", header="true", **_NO_TRIM).csv(paths["countries"])
     if "horoscopes" in paths:
-        V.raw_horoscopes(spark).write.options(sep=",", header="true", **no_trim).csv(paths["horoscopes"])
+        V.raw_horoscopes(spark).write.options(sep=",", header="true", **_NO_TRIM).csv(paths["horoscopes"])
     if "facts" in paths:
-        V.raw_facts(spark, sf_dir).write.options(sep="\t", header="false", quote="", **no_trim).csv(paths["facts"])
+        V.raw_facts(spark, sf_dir).write.options(sep="\t", header="false", quote="", **_NO_TRIM).csv(paths["facts"])
     return paths
 
 
@@ -746,42 +846,82 @@ def catalog_round_trip(spark, sf_dir):
     return spark.table(table_name("strata_curated", "users"))
 
 
-def _run_layers(spark: SparkSession, sf_dir: str):
+@register(
+    "catalog_partitioned_round_trip",
+    "SELECT * FROM facts_curated",
+)
+def catalog_partitioned_round_trip(spark, sf_dir):
+    """K2, K3: curated facts saved as a catalog table partitioned by user, read back by name."""
+    root = scratch_path(spark, "catalog-facts")
+    ensure_database(spark, "strata_curated", f"{root}/_db")
+    facts = _facts_curated(spark, sf_dir)
+    save_catalog_table(facts, "strata_curated", "facts", path=f"{root}/facts", partition_by=["user_id"])
+    return spark.table(table_name("strata_curated", "facts")).select(*facts.columns)
+
+
+_LAYERS: dict[tuple[str, str], str] = {}
+
+
+def publish_layers(spark: SparkSession, sf_dir: str) -> str:
+    """Raw files -> curated layer -> refined layer; returns the root of both."""
     paths = _write_raw_files(spark, sf_dir)
     root = scratch_path(spark, "layers")
     rules = {"prefix_rules": V.DRIVER_PREFIX_RULES, "continent_map": V.DRIVER_CONTINENT_MAP}
-    log_c = run_curated(spark, paths, f"{root}/curated", log_path=f"{root}/run_log", **rules)
-    log_r = run_refined(spark, f"{root}/curated", f"{root}/refined", log_path=f"{root}/run_log")
-    return root, log_c, log_r
+    run_curated(spark, paths, f"{root}/curated", log_path=f"{root}/run_log", **rules)
+    run_refined(spark, f"{root}/curated", f"{root}/refined", log_path=f"{root}/run_log")
+    return root
+
+
+def _layers(spark: SparkSession, sf_dir: str) -> str:
+    """The layers published by this application: once, for all queries that read them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYERS:
+        _LAYERS[key] = publish_layers(spark, sf_dir)
+    return _LAYERS[key]
+
+
+def _refined(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_layer(spark, f"{_layers(spark, sf_dir)}/refined", names=[name])[name]
 
 
 @register("refined_users_published", "SELECT * FROM users_refined")
 def refined_users_published(spark, sf_dir):
     """E1 + E2, C8, C9: raw files -> curated layer -> refined layer, the
     refined users read back from the published table."""
-    root, _, _ = _run_layers(spark, sf_dir)
-    return read_layer(spark, f"{root}/refined", names=["users"])["users"]
+    return _refined(spark, sf_dir, "users")
 
 
 @register(
     "refined_facts_published",
-    "SELECT user_id, count(*) AS n_facts FROM facts_curated GROUP BY user_id",
+    "SELECT user_id, fact_date, group_id, group_name, song_id, song_name, fact_timestamp FROM facts_curated",
 )
 def refined_facts_published(spark, sf_dir):
     """The refined facts table (copied from curated, partitioned by user)."""
-    root, _, _ = _run_layers(spark, sf_dir)
-    facts = read_layer(spark, f"{root}/refined", names=["facts"])["facts"]
-    return facts.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_facts"))
+    return _refined(spark, sf_dir, "facts").select(*_FACT_COLUMNS)
+
+
+@register("refined_countries_published", "SELECT * FROM countries_curated")
+def refined_countries_published(spark, sf_dir):
+    """The refined countries table."""
+    return _refined(spark, sf_dir, "countries")
+
+
+@register("refined_horoscopes_published", 'SELECT "Date", "Day", "Month", "Horocope" AS horoscope FROM calendar')
+def refined_horoscopes_published(spark, sf_dir):
+    """The refined calendar, its sign column renamed."""
+    return _refined(spark, sf_dir, "horoscopes")
 
 
 @register("facts_curated_stream", "SELECT * FROM facts_curated")
 def facts_curated_stream(spark, sf_dir):
     """C4 on Structured Streaming: raw fact files cleaned incrementally into
-    the partitioned curated table (exactly-once file sink), read back."""
-    raw = _write_raw_files(spark, sf_dir, ["facts"])["facts"]
-    target = scratch_path(spark, "facts-stream")
-    query = start_curated_facts(spark, raw, V.raw_users(spark, sf_dir), target, extra_columns=["event_id"])
-    query.awaitTermination()
+    the partitioned curated table in two runs, read back."""
+    raw, target = scratch_path(spark, "stream-raw"), scratch_path(spark, "facts-stream")
+    facts = V.raw_facts(spark, sf_dir)
+    late = F.col("event_id") % 2 == 1
+    for part in (facts.where(~late), facts.where(late)):
+        part.write.mode("append").options(sep="\t", header="false", quote="", **_NO_TRIM).csv(raw)
+        start_curated_facts(spark, raw, V.raw_users(spark, sf_dir), target, extra_columns=["event_id"]).awaitTermination()
     back = read_partitioned_strings(spark, target)
     return back.withColumn("event_id", col("event_id").cast("bigint"))
 
@@ -802,8 +942,7 @@ def _run_log_sql() -> str:
 def run_log_rows(spark, sf_dir):
     """K5: run-log rows of a curated and a refined run, with the rows each
     write step published (time and run id left out)."""
-    root, _, _ = _run_layers(spark, sf_dir)
-    log = spark.read.parquet(f"{root}/run_log")
+    log = spark.read.parquet(f"{_layers(spark, sf_dir)}/run_log")
     return log.select("job", "seq", "step", "level", "message", "rows")
 
 

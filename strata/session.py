@@ -7,7 +7,6 @@ options whose values change results (time zone) or scale behaviour (AQE).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -33,16 +32,22 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
 }
 
+# Of these, the ones that results depend on.
+RESULT_SETTINGS = ("spark.sql.session.timeZone", "spark.sql.legacy.timeParserPolicy")
 
 LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 SPARK_DEFAULT_LISTING_PARALLELISM = "10000"
 
 
 def ensure_settings(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the library's results depend on."""
-    for key, value in RUNTIME_SETTINGS.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
+    """Apply the runtime settings the library's results depend on.
+
+    The performance settings are left as the caller has them; ``build_session``
+    sets those of a session of its own.
+    """
+    for key in RESULT_SETTINGS:
+        if spark.conf.get(key, None) != RUNTIME_SETTINGS[key]:
+            spark.conf.set(key, RUNTIME_SETTINGS[key])
     # Listing a table partitioned by user (one directory per user) runs as a
     # Spark job; Spark's default starts up to 10,000 tasks of one directory
     # each. Size it to the cluster instead: 8 tasks per core, at most
@@ -83,8 +88,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and is read, never replaced.
-    Only when it is unset (local tests, the bench) a folder is created and
-    registered, so later calls in the same session agree.
+    Only when it is unset and the master is local (tests, the bench) a folder
+    is created and registered, so later calls in the same session agree; with
+    any other master an unset folder is an error, as a driver's own temporary
+    folder is not there on executors.
     """
     if not is_classic(spark):  # Spark Connect: no SparkContext on the client
         root = spark.conf.get("spark.checkpoint.dir", None)
@@ -94,6 +101,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
@@ -109,7 +118,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def env_int(name: str, default: int) -> int:
-    """Integer from an environment variable, or ``default`` when unset."""
-    value = os.environ.get(name)
-    return int(value) if value else default
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system Spark reads; empty when there is none."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
+
+
+def require_persistent_catalog(spark: SparkSession) -> None:
+    """Fail when catalog tables would be gone after this process.
+
+    Set ``spark.sql.catalogImplementation=hive`` (with a shared metastore) to
+    register tables that later jobs read by name.
+    """
+    if spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory":
+        raise RuntimeError("a database needs a persistent catalog: set spark.sql.catalogImplementation=hive, or leave the database out")

@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import col
@@ -97,7 +97,8 @@ def write_table(
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create the catalog database when missing."""
-    where = f" LOCATION '{location}'" if location else ""
+    quoted = location.replace("\\", "\\\\").replace("'", "\\'") if location else ""
+    where = f" LOCATION '{quoted}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
 
 
@@ -151,18 +152,26 @@ def stage_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def with_key_bucket(df: DataFrame, key: str = "user_id", buckets: int = 1024, name: str | None = None) -> DataFrame:
-    """Add ``<key>_bucket`` = ``pmod(xxhash64(key), buckets)``.
+    """Add ``<key>_bucket``: a hash of the key's text, modulo ``buckets``.
 
     Partitioning by this column instead of the key itself bounds the number
     of directories (and catalog partitions) by ``buckets`` however many
     users there are; :func:`key_bucket_filter` selects one key's bucket so
     reads still prune partitions.
     """
-    return df.withColumn(name or f"{key}_bucket", F.pmod(F.xxhash64(col(key)), F.lit(buckets)).cast("int"))
+    return df.withColumn(name or f"{key}_bucket", _bucket(col(key), buckets))
 
 
-def key_bucket_filter(value, key: str = "user_id", buckets: int = 1024, name: str | None = None):
+def _bucket(key: Column, buckets: int) -> Column:
+    # The text of a key is the same for an int, a bigint and a string of it;
+    # their own hashes are not. Null has a bucket too.
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
+
+
+def key_bucket_filter(value, key: str = "user_id", buckets: int = 1024, name: str | None = None, key_type: str | None = None):
     """Predicate for the rows of one key value in a bucketed table: the
-    bucket (pruned at listing time) and the key itself."""
-    bucket = F.pmod(F.xxhash64(F.lit(value)), F.lit(buckets)).cast("int")
-    return (col(name or f"{key}_bucket") == bucket) & (col(key) == F.lit(value))
+    bucket (pruned at listing time) and the key itself; ``None`` finds the
+    rows with a null key. Give ``key_type`` where the value's text differs
+    from the column's (a decimal, a timestamp)."""
+    literal = F.lit(value).cast(key_type) if key_type else F.lit(value)
+    return (col(name or f"{key}_bucket") == _bucket(literal, buckets)) & col(key).eqNullSafe(literal)

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.plans.defaults import ADDED_COUNTRIES
+
 # Rules used with these tables (the dataset defaults live in plans.defaults).
 DRIVER_PREFIX_RULES = (("NATION_1", "NATION_1"), ("NATION_2", "NATION_2"))
 DRIVER_CONTINENT_MAP = {"AFRICA": "Africa", "AMERICA": "America", "EUROPE": "Europe"}
@@ -39,26 +41,14 @@ ZODIAC_STARTS = (
     (12, 22, "Capricorn"),
 )
 
+ADDED_COUNTRY = ADDED_COUNTRIES[0][1]
 FACT_TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 REGISTERED_TEXT = "MMM d, yyyy"
 
 
-_RESOLVED: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, resolved (listed, schema read) once per session.
-
-    The returned DataFrame is only a plan over the file; no data is cached.
-    The tables are read-only, so the resolved relation stays valid.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    hit = _RESOLVED.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, spark.read.parquet(path))
-        _RESOLVED[key] = hit
-    return hit[1]
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +62,9 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``registered`` is the customer's first order date as ``Mon d, yyyy``;
     null for the AUTOMOBILE segment (the invalid users). ``country`` is the
-    nation name, null for the HOUSEHOLD segment, and a long form
-    (``NATION_7 Federation``) for Asian nations.
+    nation name, null for the HOUSEHOLD segment, a country that only an added
+    row of the curated countries knows for some FURNITURE customers, and a long
+    form (``NATION_7 Federation``) for Asian nations.
     """
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     first = (
@@ -87,6 +78,7 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").cast("string").alias("#id"),
         "c_name",
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None).cast("string"))
+        .when((F.col("c_mktsegment") == "FURNITURE") & (F.col("n_nationkey") == 5), F.lit(ADDED_COUNTRY))
         .when(F.col("r_name") == "ASIA", F.concat(F.col("n_name"), F.lit(" Federation")))
         .otherwise(F.col("n_name"))
         .alias("country"),
@@ -186,6 +178,7 @@ SQL_VIEWS = {
     "users_raw": """
   SELECT CAST(c.c_custkey AS VARCHAR) AS "#id", c.c_name,
          CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN NULL
+              WHEN c.c_mktsegment = 'FURNITURE' AND n.n_nationkey = 5 THEN 'Cote D''Ivoire'
               WHEN r.r_name = 'ASIA' THEN n.n_name || ' Federation'
               ELSE n.n_name END AS country,
          CASE WHEN c.c_mktsegment = 'AUTOMOBILE' THEN NULL

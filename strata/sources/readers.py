@@ -8,12 +8,14 @@ both prune columns; Parquet also pushes predicates).
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import col, trim_headers
+from strata.session import list_path
 from strata.sources.schemas import (
     COUNTRIES_REQUIRED,
     HOROSCOPES_REQUIRED,
@@ -111,26 +113,25 @@ def read_layer_table(spark: SparkSession, path: str, schema: T.StructType | None
 def read_partitioned_strings(spark: SparkSession, path: str) -> DataFrame:
     """Partitioned Parquet table whose partition keys stay strings.
 
-    Partition-value type inference is switched off for this one read (the
-    file listing and partition spec are built when the relation is
-    created), so a key such as ``001`` is not turned into the number 1 and
-    the directory tree is listed only once. The switch is a session setting:
-    do not run other reads on the same session concurrently.
+    Partition discovery would type a key such as ``001`` as the number 1, so
+    the table is opened once for its columns, and again with a schema that has
+    the partition columns as strings. No session setting is changed.
     """
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        df = spark.read.parquet(path)
-        schema = df.schema  # resolved now, with string partition keys
-    finally:
-        spark.conf.set(key, previous)
-    if hasattr(spark, "_jsparkSession"):
-        return df
-    # Spark Connect resolves plans again on the server: pin the schema.
+    found = spark.read.parquet(path).schema
+    keys = set(_partition_columns(spark, path))
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name in keys else f.dataType) for f in found])
     return spark.read.schema(schema).parquet(path)
 
 
+def _partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of ``key=value`` folders below ``path``, following the first of each level."""
+    names = []
+    while folder := next((n for n in sorted(list_path(spark, path)) if "=" in n and not n.startswith((".", "_"))), None):
+        names.append(unquote(folder.split("=")[0]))
+        path = f"{path.rstrip('/')}/{folder}"
+    return names
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | Sequence[str]) -> DataFrame:
     """A handful of fixed rows shipped from the driver (S5); bounded by the
     caller's literal list, never by data."""

@@ -26,25 +26,9 @@ def facts_schema(extra: Iterable[str] = ()) -> T.StructType:
 
 # Columns each raw table must provide (names after header clean-up).
 USERS_REQUIRED = ("#id", "country", "registered")
-COUNTRIES_REQUIRED = ("nombre", "name", "nom", "iso2", "iso3", "phone_code", "continente")
+COUNTRIES_REQUIRED = ("nombre", "name", "continente")
 HOROSCOPES_REQUIRED = ("Date", "Day", "Month", "Horocope")
 
-# Curated and refined column sets the jobs publish.
-CURATED_USERS = ("#id", "country", "registered", "country_name", "register_date")
-CURATED_COUNTRIES = ("pais", "country", "continente", "continent")
-CURATED_FACTS = FACT_COLUMNS + ("fact_timestamp",)
-REFINED_USERS = (
-    "user_id",
-    "country",
-    "registered",
-    "country_name",
-    "register_date",
-    "register_month",
-    "register_day",
-    "horoscope",
-    "continent",
-)
-
 
 class MissingColumnsError(ValueError):
     """A table lacks columns an operator needs."""

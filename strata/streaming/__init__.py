@@ -1,5 +1,5 @@
 """Structured Streaming form of the facts cleaning job (incremental C4)."""
 
-from strata.streaming.facts_stream import curated_facts_stream, read_facts_stream, start_curated_facts
+from strata.streaming.facts_stream import ForeignTargetError, curated_facts_stream, read_facts_stream, start_curated_facts
 
-__all__ = ["curated_facts_stream", "read_facts_stream", "start_curated_facts"]
+__all__ = ["ForeignTargetError", "curated_facts_stream", "read_facts_stream", "start_curated_facts"]

@@ -4,6 +4,7 @@ import inspect
 import re
 
 import __spark_entry__ as E
+from strata.plans.registry import QUERIES
 
 
 def test_query_callables_take_spark_and_sf_dir():
@@ -25,6 +26,8 @@ def test_oracle_sql_reads_only_the_driver_tables():
         "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
     )
     for name, sql in E.oracle_sql().items():
+        if name not in QUERIES:  # the optional training-data queries are tested beside their operators
+            continue
         for table in re.findall(r"\b(?:FROM|JOIN)\s+([a-z_]+)", sql):
             assert table in allowed or table in {"users_raw", "countries_raw", "calendar", "facts_raw", "facts_parsed",
                                                  "facts_curated", "users_curated", "countries_curated", "users_refined",

@@ -11,6 +11,7 @@ from strata.plans import (
     clean_facts,
     clean_users,
     enrich_users,
+    invalid_users,
     facts_with_year_month,
     profile_curated,
     profile_raw,
@@ -56,8 +57,8 @@ def test_clean_users(raw):
     assert got["u4"] == ("United States of America", None)
     assert got["u5"] == ("South Korea", None)
     assert got["u6"] == (None, None)
-    assert got["u8"][1] == dt.date(2006, 8, 13)
-    assert got["u9"][1] is None and got["u10"][1] is None
+    assert got["u8"][1] is None  # the month's case counts
+    assert got["u9"][1] == got["u10"][1] == dt.date(2006, 8, 4)  # comma and further parts do not
     assert "gender" in out.columns  # pass-through column kept
 
 
@@ -75,7 +76,8 @@ def test_clean_facts_exclusion_and_quotes(raw):
     u4 = out.where("user_id = 'u4'").first()
     assert (u4.group_id, u4.group_name, u4.song_name) == (None, None, None)
     # removed + kept = before
-    impact = filter_impact(raw["facts"], out).first()
+    assert out.count() == 6
+    impact = filter_impact(raw["facts"], invalid_users(raw["users"]), "user_id", "#id").first()
     assert (impact.rows_before, impact.rows_after, impact.rows_removed) == (8, 6, 2)
 
 

@@ -87,9 +87,10 @@ def test_group_counts_null_group_reports_zero(spark):
 
 
 def test_filter_impact(spark):
-    before = spark.range(10)
-    after = before.where("id < 7")
-    assert rows(filter_impact(before, after)) == [(10, 7, 3)]
+    before = spark.createDataFrame([("a",)] * 5 + [("b",)] * 3 + [(None,)] * 2, "u string")
+    excluded = spark.createDataFrame([("b",), ("b",), (None,), ("z",)], "k string")
+    assert rows(filter_impact(before, excluded, "u", "k")) == [(10, 5, 5)]
+    assert rows(filter_impact(before, excluded.where("k = 'z'"), "u", "k")) == [(10, 8, 2)]
 
 
 def test_duplicate_keys(spark):
@@ -114,7 +115,7 @@ def test_empty_inputs(spark):
     empty = spark.createDataFrame([], "a string, b string")
     assert rows(null_profile(empty, ["a"])) == [(0, 0)]
     assert rows(distinct_counts(empty, {"a": ["a"]})) == [(0,)]
-    assert rows(filter_impact(empty, empty)) == [(0, 0, 0)]
+    assert rows(filter_impact(empty, empty, "a", "b")) == [(0, 0, 0)]
 
 
 def test_profile_summary_needs_checks(spark):
@@ -122,4 +123,4 @@ def test_profile_summary_needs_checks(spark):
 
     with pytest.raises(ValueError):
         profile_summary({})
-    assert rows(profile_summary({"x": spark.range(3)})) == [("x", 3)]
+    assert rows(profile_summary({"x": spark.range(3)})) == [("x", "rows", 3)]

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from conftest import FACTS_TSV, rows
 from strata.plans import clean_facts
 from strata.session import scratch_path
@@ -32,3 +34,55 @@ def test_stream_matches_batch_and_resumes_from_checkpoint(spark, raw, tmp_path):
     assert first == 3  # null user dropped from the first file
     assert rows(out, *cols) == rows(batch, *cols)
     assert out.count() == 6
+
+
+def _facts_file(folder, name, lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("".join(f"{u}\t2009-05-04T23:08:57Z\tg\tG\ts\t{s}\n" for u, s in lines), encoding="utf-8")
+
+
+def test_runs_without_a_named_checkpoint_continue(spark, raw, tmp_path):
+    src, target = tmp_path / "in", str(tmp_path / "facts")
+    _facts_file(src, "a.tsv", [("u1", f"a{i}") for i in range(5)])
+    start_curated_facts(spark, str(src), raw["users"], target).awaitTermination()
+    _facts_file(src, "b.tsv", [("u2", f"b{i}") for i in range(7)])
+    start_curated_facts(spark, str(src), raw["users"], target).awaitTermination()
+    assert spark.read.parquet(target).count() == 12
+    start_curated_facts(spark, str(src), raw["users"], target).awaitTermination()
+    assert spark.read.parquet(target).count() == 12
+
+
+def test_a_batch_table_is_refused_and_stays_whole(spark, raw, tmp_path):
+    from strata.plans import clean_facts
+    from strata.sinks import write_table
+    from strata.streaming import ForeignTargetError
+
+    target = str(tmp_path / "facts")
+    write_table(clean_facts(raw["facts"], raw["users"]), target, partition_by=["user_id"])
+    before = spark.read.parquet(target).count()
+    _facts_file(tmp_path / "in", "a.tsv", [("u1", "a")])
+    with pytest.raises(ForeignTargetError):
+        start_curated_facts(spark, str(tmp_path / "in"), raw["users"], target)
+    own = str(tmp_path / "facts_stream")
+    start_curated_facts(spark, str(tmp_path / "in"), raw["users"], own).awaitTermination()
+    assert spark.read.parquet(target).count() == before == 6
+    assert spark.read.parquet(own).count() == 1
+    with pytest.raises(ForeignTargetError):  # the target's log needs the checkpoint that wrote it
+        start_curated_facts(spark, str(tmp_path / "in"), raw["users"], own, checkpoint=str(tmp_path / "other"))
+
+
+def test_list_that_is_empty_at_first(spark, tmp_path):
+    """A user who becomes invalid after the query was built is excluded later on."""
+    from strata.sources import read_users
+
+    users = tmp_path / "users.tsv"
+    users.write_text("#id\tcountry\tregistered\nu1\tSpain\tFeb 4, 2005\nu2\tSpain\tFeb 4, 2005\n", encoding="utf-8")
+    frame = read_users(spark, str(users))
+    src, target = tmp_path / "in", str(tmp_path / "facts")
+    _facts_file(src, "a.tsv", [("u1", "a"), ("u2", "a")] * 20)
+    start_curated_facts(spark, str(src), frame, target).awaitTermination()
+    assert spark.read.parquet(target).count() == 40
+    users.write_text("#id\tcountry\tregistered\nu1\tSpain\tFeb 4, 2005\nu2\tSpain\t\n", encoding="utf-8")
+    _facts_file(src, "b.tsv", [("u1", "b"), ("u2", "b")] * 20)
+    start_curated_facts(spark, str(src), read_users(spark, str(users)), target).awaitTermination()
+    assert spark.read.parquet(target).count() == 60
