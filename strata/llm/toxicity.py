@@ -56,7 +56,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 _TOKEN = re.compile(
-    r"(?<![^\W_])[^\W\d_](?:([ .\-_*])[^\W\d_])(?:\1[^\W\d_])+(?![^\W_])"  # letters set apart, three or more
+    r"(?<![^\W_])[^\W\d_](?:([ .\-_*])[^\W\d_])(?:\1[^\W\d_]){2,}(?![^\W_])"  # letters set apart, four or more
     r"|[^\s.,;:?]*(?:[0-9@$!|+(<*#][^\W\d_]|([^\W\d_])\2\2)[^\s,;:?]*",
     re.IGNORECASE,
 )
@@ -87,7 +87,10 @@ def language_model(docs: DataFrame, text_column: str = "text") -> np.ndarray:
 
 
 def restore(token: str, costs: np.ndarray) -> str:
-    """The likeliest letters behind ``token`` (Viterbi over its lattice)."""
+    """The likeliest letters behind ``token`` (Viterbi over its lattice).
+
+    Letters set apart stay as they are if they are likelier as words of one letter.
+    """
     data = _LOWER[np.frombuffer(token.encode("utf-8", "replace"), np.uint8)].tolist()
     states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # last two symbols -> cost, letters (linked)
     for i, b in enumerate(data):
@@ -110,7 +113,10 @@ def restore(token: str, costs: np.ndarray) -> str:
                 if old is None or new < old[0]:
                     after[(y, z)] = (new, (letters, letter))
         states = after
-    _, letters = min(((cost + float(costs[x, y, 0]), letters) for (x, y), (cost, letters) in states.items()), key=lambda s: s[0])
+    total, letters = min(((cost + float(costs[x, y, 0]), letters) for (x, y), (cost, letters) in states.items()), key=lambda s: s[0])
+    if len(data) > 4 and all(chr(b) in SEPARATORS for b in data[1::2]) and all(_LETTER[b] for b in data[::2]):
+        if total >= sum(float(costs[0, 0, _SYMBOL[b]] + costs[0, _SYMBOL[b], 0]) for b in data[::2]):
+            return token
     out = bytearray()
     while letters:
         letters, letter = letters
@@ -257,7 +263,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_column: str = "toxic", id
     known, weights, intercept = train(docs, labelled_sample(labels, F.col(label_column), max_rows, id_column), costs, id_column, text_column)
     outputs = ["score", *["restored"] * with_text]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in outputs]
-    schema = docs.select(*[docs[c] for c in keep], F.lit(0.0).alias("score"), *[F.lit("").cast("string").alias("restored")] * with_text).schema
+    schema = docs.select(*[docs[c] for c in keep], F.lit(0.0).alias("score"), *[F.lit(None).cast("string").alias("restored")] * with_text).schema
     mask = np.zeros(1 << 16, bool)
     mask[(known >> np.uint64(48)).astype(np.int64)] = True
     model = spark.sparkContext.broadcast((costs, known, weights, intercept, mask))  # fixed size, and words of a bounded sample
