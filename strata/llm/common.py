@@ -227,3 +227,20 @@ def bitmap(df: DataFrame, column: str) -> np.ndarray:
 def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = keys & np.int64(len(bits) * 8 - 1)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def flagged(df: DataFrame, column: str, found: DataFrame, flag: str) -> DataFrame:
+    """``df`` with ``flag``: whether its hash ``column`` may be among that of ``found``.
+
+    The same bitmap (``MAX_BITS`` at most) joined natively, so that rows which
+    need no join are told apart before they would be shuffled.
+    """
+    bits, n = 1 << 15, found.count()
+    while bits < min(MAX_BITS, 16 * n):
+        bits *= 2
+    place = F.pmod(F.col(column), F.lit(bits)) + 1
+    maps = found.select(place.alias("_b")).groupBy(F.bitmap_bucket_number("_b").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_b")).alias("_map"))
+    rows = df.withColumns({"_bucket": F.bitmap_bucket_number(place), "_at": F.bitmap_bit_position(place)}).join(F.broadcast(maps), "_bucket", "left")
+    byte = F.conv(F.hex(F.expr("substring(_map, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1, F.lit(False))
+    return rows.withColumn(flag, hit).drop("_bucket", "_map", "_at")

@@ -4,7 +4,9 @@ Each three consecutive lines of a text are hashed (128 bits). A window that
 occurs again, anywhere, is repeated; its first occurrence is the one with the
 smallest (id, position). The lines that later occurrences cover are merged and
 removed. Hashing is native, windows are counted before the shuffle, and only
-repeated ones are joined back, where AQE splits frequent windows.
+repeated ones are joined back, where AQE splits frequent windows. Of the texts
+only those that may lose lines are shuffled: a bitmap of bounded size tells them
+apart.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import ship, stored
+from strata.llm.common import flagged, ship, stored
 
 LINES = 3
 
@@ -55,8 +57,10 @@ def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     first = stored(first.select("h1", "h2", "first"), "line-windows")
     later = found.join(first, ["h1", "h2"]).where(~at.eqNullSafe(F.col("first")))
     starts = stored(later.groupBy("_id", "_key").agg(F.collect_set("pos").alias("starts")), "line-starts")
+    rows = flagged(rows.withColumn("_hash", F.xxhash64("_id", "_key")), "_hash", starts.select(F.xxhash64("_id", "_key").alias("_hash")), "_may")
     starts = starts.select(F.col("_id").alias("_i"), F.col("_key").alias("_h"), "starts")
-    joined = rows.join(starts, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_h")), "left")
+    joined = rows.where("_may").join(starts, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_h")), "left")
+    joined = joined.unionByName(rows.where("not _may"), allowMissingColumns=True)
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("n_lines", T.LongType()), T.StructField("removed", T.ArrayType(T.IntegerType(), False)), T.StructField(text_column, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
