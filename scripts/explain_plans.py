@@ -19,7 +19,7 @@ from contextlib import redirect_stdout
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as E  # noqa: E402
+from strata.plans.registry import QUERIES  # noqa: E402
 from strata.session import build_session  # noqa: E402
 
 
@@ -50,13 +50,13 @@ def main() -> None:
         "# Physical plans of the registered queries",
         "",
         f"Generated by `scripts/explain_plans.py` on `{sf_dir}` (local[8], 16 shuffle partitions, AQE on).",
-        "Trees are the initial adaptive plans; the 'after execution' line lists what the",
-        "final adaptive plan of a run shows (coalesced or skew-split shuffle reads, joins).",
+        "Lines describe the initial adaptive plan; 'after execution' lists what the final",
+        "one of a run shows (coalesced or skew-split shuffle reads, joins).",
         "Queries that publish tables run their writes first; the plan shown is the",
         "read-back query.",
         "",
     ]
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf_dir)
         buf = io.StringIO()
         with redirect_stdout(buf):
@@ -82,7 +82,7 @@ def main() -> None:
         for r in s["read"]:
             lines.append(f"* read schema: `{r}`")
         lines.append(f"* after execution (AQE): {', '.join(aqe) or 'no adaptive change'}")
-        lines += ["", "```", s["tree"], "```", ""]
+        lines.append("")
     with open(out_file, "w", encoding="utf-8") as fh:
         fh.write("\n".join(lines))
     spark.stop()
