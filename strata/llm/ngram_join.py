@@ -211,7 +211,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
             yield b.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
 
     pairs = stored(pairs, "candidates")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "candidate-nodes")
     sets = stored(full_sets(docs, nodes, words), "sets")
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
