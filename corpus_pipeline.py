@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import flagged, stored
 from strata.llm.decontamination import drop_contaminated
 from strata.llm.exact_dedup import exact_dedup
 from strata.llm.ngram_join import ngram_join
@@ -33,9 +33,15 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates, the document with the smallest id."""
-    found = ngram_join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    return docs.join(stored(found, "near-kept"), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    """Of each component of near duplicates, the document with the smallest id.
+
+    Only documents that may go are joined; the others are not shuffled.
+    """
+    gone = ngram_join(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone"))
+    gone = stored(gone, "near-gone")
+    rows = flagged(docs.withColumn("_hash", F.xxhash64("doc_id")), "_hash", gone.select(F.xxhash64("_gone").alias("_hash")), "_may")
+    checked = rows.where("_may").join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return rows.where("not _may").unionByName(checked).select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

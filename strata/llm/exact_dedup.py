@@ -87,15 +87,11 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         *[f"_c{i}" for i in range(len(carry))],
         F.when(hit, F.sha2(F.col("_t"), 256)).alias("full_hash"),
     )
-    # a row without a digest is alone: a key that no group has, so that such rows spread evenly
-    hashed = hashed.withColumn("_key", F.coalesce("full_hash", F.concat(F.lit("alone "), F.coalesce(F.col("_id").cast("string"), F.lit("")))))
-    sizes = (
-        hashed.where("full_hash is not null")
-        .groupBy(F.col("full_hash").alias("_key"))
-        .agg(F.min("_id").alias("keep_id"), F.count("*").alias("group_size"))
-        .where("group_size > 1")
-    )
-    out = hashed.join(stored(sizes, "exact-sizes"), "_key", "left")
+    twins = hashed.where("full_hash is not null")
+    sizes = twins.groupBy("full_hash").agg(F.min("_id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1")
+    # a row without a digest is alone and, with what it carries, is not shuffled
+    out = twins.join(stored(sizes, "exact-sizes"), "full_hash", "left")
+    out = out.unionByName(hashed.where("full_hash is null"), allowMissingColumns=True)
     keep = F.when(F.col("group_size").isNull(), F.col("_id")).otherwise(F.col("keep_id"))
     return out.select(
         F.col("_id").alias(id_column),
