@@ -113,7 +113,8 @@ def train(docs: DataFrame, sample: DataFrame, id_column: str = "doc_id", text_co
                 f, ends = hashed(b, "_text", bits)
                 for x, y in zip(ends[:-1].tolist(), ends[1:].tolist()):
                     index, times = np.unique(f[x:y], return_counts=True)
-                    features.append((np.append(index, 1 << bits), np.append(params.scale * times / max(y - x, 1), 1.0)))
+                    values = np.append(params.scale * times / max(y - x, 1), 1.0)
+                    features.append((np.append(index, 1 << bits).astype(np.int32), values.astype(np.float32)))
         w = learn(features, group.column("_y").to_numpy(), 1 << bits, params)
         return pa.table({"w": pa.array([w.tobytes()], pa.binary()), "n": pa.array([len(features)], pa.int64())})
 

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from strata.llm.common import ship, slices
 
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 120_000
 SHORT = 48  # chunks up to so many characters go through the numpy agenda
 _NONE = np.int32(2**31 - 1)
 _CHUNK = re.compile(r" ( *[^ ]*)")
@@ -351,5 +351,6 @@ def encode_decode(docs: DataFrame, model_path: str | None = None, text_column: s
                 values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
                 columns = [*b.columns[1:], pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "ids", "decoded"])
+        codec.before = {}  # a worker keeps one generation between tasks
 
     return docs.select(docs[text_column].alias("_text"), *[docs[c] for c in keep]).mapInArrow(run, schema)
