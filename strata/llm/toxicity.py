@@ -1,12 +1,13 @@
 """Toxicity: noisy-channel deobfuscation, then a score of the restored text.
 
-1. A character language model (trigrams of letter bytes) is counted over all
-   texts of the corpus.
-2. Tokens that look disguised - a digit or symbol before a letter, a letter
-   three times in a row, single letters set apart - become a lattice: a
+1. A language model is counted over all texts of the corpus: trigrams of letter
+   bytes, and a sketch of all beginnings of words (``DEPTH`` letters at most),
+   so that a known word costs what its frequency says, any other its trigrams.
+2. Tokens that look disguised - a digit or symbol beside a letter, a letter
+   three times in a row, single letters or signs set apart - become a lattice: a
    character may stand for itself, for a letter it resembles, for nothing (a
-   separator, a repetition). Viterbi finds the best letters under the language
-   model and the channel's costs; they replace the token.
+   separator, a repetition), or end a word. Viterbi finds the best words under
+   the language model and the channel's costs; they replace the token.
 3. The restored text is scored by logistic regression over the words that occur
    in it and their beginnings, learnt with FTRL updates from a bounded sample of
    labelled rows, over the features that are commoner under label 1.
@@ -14,6 +15,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -38,7 +40,10 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "*": "aeiou", "#": "h",
 }
 SEPARATORS = " .-_*"
-COST_LEET, COST_SKIP, COST_REPEAT, COST_ODD = 1.0, 0.3, 0.5, 4.0
+COST_LEET, COST_SKIP, COST_REPEAT, COST_ODD, COST_SIGN = 1.0, 0.3, 0.5, 4.0, 6.0
+SKETCH = 1 << 19  # counters of the beginnings of words
+DEPTH = 20  # letters of a beginning
+PRIOR = 2.0  # weight of the trigrams against the counts of a beginning
 
 # The language model's symbols: 0 for the edge of a word, a-z, and bytes of other letters.
 _SYMBOL = np.zeros(256, np.int64)
@@ -55,11 +60,15 @@ _WORD[48:58] = 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_TOKEN = re.compile(
-    r"(?<![^\W_])[^\W\d_](?:([ .\-_*])[^\W\d_])(?:\1[^\W\d_]){2,}(?![^\W_])"  # letters set apart, four or more
-    r"|[^\s.,;:?]*(?:[0-9@$!|+(<*#][^\W\d_]|([^\W\d_])\2\2)[^\s,;:?]*",
-    re.IGNORECASE,
-)
+_UNIT = r"[^\W_]|[@$!|+(<*#]"
+# Four or more letters (or signs that may be letters) set apart, two letters at least.
+_RUN = re.compile(rf"(?<![^\W_])(?:{_UNIT})(?:([ .\-_*])(?:{_UNIT}))(?:\1(?:{_UNIT})){{2,}}(?![^\W_])")
+_CHUNK = re.compile(r"[^\s,;:?]+")
+# A sign before a letter or after one (where ! * ( < alone are punctuation), or a letter three times.
+_DISGUISED = re.compile(r"[0-9@$!|+(<*#][^\W\d_]|[^\W\d_][!*(<]*[0-9@$|+#]|([^\W\d_])\1\1", re.IGNORECASE)
+_LETTERS = re.compile(r"[^\W\d_]")
+_AFTER = _LEET.copy()
+_AFTER[[ord(c) for c in "!*(<"]] = False
 
 
 def _count_trigrams(batch: pa.RecordBatch, total: np.ndarray) -> None:
@@ -76,52 +85,124 @@ def _count_trigrams(batch: pa.RecordBatch, total: np.ndarray) -> None:
         total += np.bincount((a * 4096 + m * 64 + z)[used], minlength=len(total))
 
 
-def language_model(docs: DataFrame, text_column: str = "text") -> np.ndarray:
-    """Costs (negative logarithms) of a symbol after two others, from all texts."""
-    counts = summed(docs.select(docs[text_column].alias("_text")), _count_trigrams, 64**3).reshape(64, 64, 64).astype(float)
+def _count_words(batch: pa.RecordBatch, total: np.ndarray) -> None:
+    """Adds all beginnings of words, a word with its end, and (last) the words."""
+    for b in slices(batch, "_text"):
+        data, offsets = text_buffer(b.column("_text"))
+        words = Words(data, offsets, kinds=_LETTER.astype(np.uint8))
+        at, end = words.start, words.end
+        h = np.zeros(len(at), np.uint64)
+        found = []
+        for _ in range(DEPTH):
+            h = _longer(h, _SYMBOL[data[at]].astype(np.uint64))
+            found.append(h)
+            at = at + 1
+            over = at == end
+            found.append(_longer(h[over], np.uint64(0)))
+            h, at, end = h[~over], at[~over], end[~over]
+            if not len(at):
+                break
+        total[:-1] += np.bincount((np.concatenate(found) >> np.uint64(45)).astype(np.int64), minlength=SKETCH)
+        total[-1] += len(words.start)
+
+
+_STEP = 0x9E3779B97F4A7C13
+
+
+def _longer(h, symbol):  # noqa: ANN001, ANN202
+    """The hash of a beginning with one more symbol."""
+    return (h + symbol + np.uint64(1)) * np.uint64(_STEP)
+
+
+def language_models(docs: DataFrame, text_column: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """Costs (negative logarithms) of a symbol after two others, and counts of
+    beginnings of words (the last one: of all words), from all texts."""
+
+    def count(batch: pa.RecordBatch, total: np.ndarray) -> None:
+        _count_trigrams(batch, total[: 64**3])
+        _count_words(batch, total[64**3 :])
+
+    total = summed(docs.select(docs[text_column].alias("_text")), count, 64**3 + SKETCH + 1)
+    counts = total[: 64**3].reshape(64, 64, 64).astype(float)
     two, one = counts.sum(axis=0), counts.sum(axis=(0, 1))
     p1 = (one + 1) / (one.sum() + 64)
     p2 = (two + 8 * p1) / (two.sum(axis=1, keepdims=True) + 8)
     p3 = (counts + 8 * p2) / (counts.sum(axis=2, keepdims=True) + 8)
-    return -np.log(p3).astype(np.float32)
+    words = total[64**3 :].astype(np.float32)
+    usual = np.median(words[:-1])  # what beginnings share a counter with
+    words[:-1] = np.maximum(words[:-1] - usual - 6 * np.sqrt(usual), 0)
+    return -np.log(p3).astype(np.float32), words
+
+
+def language_model(docs: DataFrame, text_column: str = "text") -> np.ndarray:
+    """Costs (negative logarithms) of a symbol after two others, from all texts."""
+    return language_models(docs, text_column)[0]
 
 
-def restore(token: str, costs: np.ndarray) -> str:
+def restore(token: str, costs: np.ndarray, words: np.ndarray | None = None) -> str:
     """The likeliest letters behind ``token`` (Viterbi over its lattice).
 
-    Letters set apart stay as they are if they are likelier as words of one letter.
+    What is no letter may also stay and end a word, so letters set apart become
+    one word, several, or stay as they are, whichever is likeliest. ``words``
+    (``language_models``) tells the known beginnings apart; without it, or
+    beyond them, trigrams decide.
     """
     data = _LOWER[np.frombuffer(token.encode("utf-8", "replace"), np.uint8)].tolist()
-    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # last two symbols -> cost, letters (linked)
+    lead = next((i for i, b in enumerate(data) if _WORD[b]), len(data))  # signs ahead of all letters may be brackets
+    root = (0, float(words[-1])) if words is not None and words[-1] else None  # hash and count of a known beginning
+
+    def add(state: tuple, z: int) -> tuple[float, tuple | None]:
+        """The cost of symbol ``z`` in ``state``, and the beginning it makes if that is known."""
+        x, y, start = state
+        cost = float(costs[x, y, z])
+        if start is None:
+            return cost, None
+        h = (start[0] + z + 1) * _STEP & 0xFFFFFFFFFFFFFFFF
+        n = min(float(words[h >> 45]), start[1])
+        return -math.log((n + PRIOR * math.exp(-cost)) / (start[1] + PRIOR)), (h, n) if n else None
+
+    empty = (0, 0, root)
+    states: dict[tuple, tuple[float, tuple]] = {empty: (0.0, ())}  # last two symbols, beginning -> cost, letters (linked)
     for i, b in enumerate(data):
         c = chr(b) if b < 128 else ""
-        arcs: list[tuple[int, float]] = []
+        before = data[i - 2] if i > 1 and _APART[data[i - 1]] else data[i - 1] if i else -1
+        arcs: list[tuple[int, int, float]] = []
         if _LETTER[b]:
-            arcs.append((b, 0.0))
-            skip = COST_REPEAT if i and data[i - 1] == b else None
+            arcs.append((b, int(_SYMBOL[b]), 0.0))
+            skip = keep = None
         else:
-            arcs += [(ord(x), COST_LEET) for x in LEET.get(c, "")]
-            skip = COST_SKIP if c in SEPARATORS else COST_REPEAT if i and data[i - 1] == b else COST_ODD
-        after: dict[tuple[int, int], tuple[float, tuple]] = {}
-        for (x, y), (cost, letters) in states.items():
-            if skip is not None and (old := after.get((x, y))) is None or skip is not None and cost + skip < old[0]:
-                after[(x, y)] = (cost + skip, letters)
-            for letter, extra in arcs:
-                z = int(_SYMBOL[letter])
-                new = cost + extra + float(costs[x, y, z])
-                old = after.get((y, z))
+            arcs += [(ord(x), int(_SYMBOL[ord(x)]), COST_LEET) for x in LEET.get(c, "")]
+            skip = COST_SKIP if c in SEPARATORS else COST_SIGN if c in LEET else COST_ODD
+            keep = 0.0 if c in SEPARATORS or c not in LEET or (i < lead and c in "!|(<") else COST_SIGN
+            beside = data[max(i - 2, 0) : i + 3]
+            ornament = keep and any(beside[k : k + 3] == [b, b, b] for k in range(3))  # three or more of a sign
+        again = {z for _, z, _ in arcs} if before == b else ()
+        after: dict[tuple, tuple[float, tuple]] = {}
+        for state, (cost, letters) in states.items():
+            y = state[1]
+            if keep is not None:
+                stay = keep if not ornament else 0.0 if not y else COST_LEET if data[i - 1] != b else keep
+                new = cost + stay + (add(state, 0)[0] if y else 0.0)
+                old = after.get(empty)
                 if old is None or new < old[0]:
-                    after[(y, z)] = (new, (letters, letter))
+                    after[empty] = (new, (letters, b))
+            leave = COST_REPEAT if y in again else skip
+            if leave is not None and ((old := after.get(state)) is None or cost + leave < old[0]):
+                after[state] = (cost + leave, letters)
+            for letter, z, extra in arcs:
+                more, start = add(state, z)
+                new, to = cost + extra + more, (y, z, start)
+                old = after.get(to)
+                if old is None or new < old[0]:
+                    after[to] = (new, (letters, letter))
         states = after
-    total, letters = min(((cost + float(costs[x, y, 0]), letters) for (x, y), (cost, letters) in states.items()), key=lambda s: s[0])
-    if len(data) > 4 and all(chr(b) in SEPARATORS for b in data[1::2]) and all(_LETTER[b] for b in data[::2]):
-        if total >= sum(float(costs[0, 0, _SYMBOL[b]] + costs[0, _SYMBOL[b], 0]) for b in data[::2]):
-            return token
+    _, letters = min(((cost + (add(state, 0)[0] if state[1] else 0.0), letters) for state, (cost, letters) in states.items()), key=lambda s: s[0])
     out = bytearray()
     while letters:
         letters, letter = letters
         out.append(letter)
-    return out[::-1].decode("utf-8", "ignore")
+    out.reverse()
+    return token if list(out) == data else out.decode("utf-8", "ignore")
 
 
 def suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -129,43 +210,60 @@ def suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(offsets) - 1
     if len(data) < 3:
         return np.zeros(n, bool)
-    letter, low = _LETTER[data], _LOWER[data]
+    letter, low, leet = _LETTER[data], _LOWER[data], _LEET[data]
     marks = np.zeros(len(data), bool)
-    marks[:-1] = _LEET[data[:-1]] & letter[1:]
+    marks[:-1] = leet[:-1] & letter[1:]
+    marks[:-1] |= (letter | leet)[:-1] & _AFTER[data[1:]]  # also behind other signs
     marks[:-2] |= letter[:-2] & (low[:-2] < 128) & (low[:-2] == low[1:-1]) & (low[:-2] == low[2:])
+    unit = letter | leet
     apart = np.zeros(len(data), bool)
-    apart[:-1] = letter[:-1] & _APART[data[1:]]  # a letter with a separator after it
+    apart[:-1] = unit[:-1] & _APART[data[1:]]  # a letter or sign with a separator after it
     alone = apart.copy()
-    alone[1:] &= ~letter[:-1]
-    marks[:-4] |= alone[:-4] & alone[2:-2] & letter[4:] if len(data) > 4 else False
+    alone[1:] &= ~(unit[:-1] & ~_APART[data[:-1]])
+    marks[:-4] |= alone[:-4] & alone[2:-2] & unit[4:] if len(data) > 4 else False
     sums = np.append(0, np.cumsum(marks))
     return sums[offsets[1:]] > sums[offsets[:-1]]
 
 
-def restore_text(text: str, costs: np.ndarray, cache: dict[str, str]) -> str:
+def restore_text(text: str, costs: np.ndarray, cache: dict[str, str], words: np.ndarray | None = None) -> str:
     """``text`` with its disguised tokens restored."""
 
-    def one(m: re.Match) -> str:
-        token = m.group().rstrip(".!*")
-        if len(token) > 64 or (m.group(1) and len(set(token.lower())) < 4):
-            return m.group()  # no word is so long; one letter again and again is none
+    def known(token: str) -> str:
+        if len(token) > 64:
+            return token
         if token not in cache:
             if len(cache) > 50_000:
                 cache.clear()
-            cache[token] = restore(token, costs)
-        return cache[token] + m.group()[len(token) :]
+            cache[token] = restore(token, costs, words)
+        return cache[token]
+
+    def run(m: re.Match) -> str:
+        token = m.group()
+        letters = _LETTERS.findall(token.lower())
+        if len(letters) < 2 or len(set(token.lower()) - {m.group(1)}) < 2:
+            return token  # numbers; one letter again and again is no word
+        return known(token)
+
+    def chunk(m: re.Match) -> str:
+        whole = m.group()
+        found = _DISGUISED.search(whole)
+        if not found:
+            return whole
+        start = whole.rfind(".", 0, found.start()) + 1
+        token = whole[start:].rstrip(".!*")
+        return whole[:start] + known(token) + whole[start + len(token) :]
 
-    return _TOKEN.sub(one, text)
+    return _CHUNK.sub(chunk, _RUN.sub(run, text))
 
 
-def restored(batch: pa.RecordBatch, column: str, costs: np.ndarray, cache: dict[str, str]) -> pa.Array:
+def restored(batch: pa.RecordBatch, column: str, models: tuple[np.ndarray, np.ndarray], cache: dict[str, str]) -> pa.Array:
     texts = batch.column(column)
     rows = np.flatnonzero(suspicious(*text_buffer(texts)))
     if not len(rows):
         return texts
     values = texts.to_pylist()
     for i in rows.tolist():
-        values[i] = restore_text(values[i], costs, cache)
+        values[i] = restore_text(values[i], models[0], cache, models[1])
     return pa.array(values, texts.type)
 
 
@@ -187,16 +285,16 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def _sorted_features(batch: pa.RecordBatch, costs: np.ndarray, cache: dict[str, str]) -> tuple[np.ndarray, np.ndarray]:
+def _sorted_features(batch: pa.RecordBatch, models: tuple[np.ndarray, np.ndarray], cache: dict[str, str]) -> tuple[np.ndarray, np.ndarray]:
     """Features of a slice's restored texts, each once a row, by row, and each one's row."""
-    keys, row = features(restored(batch, "_text", costs, cache))
+    keys, row = features(restored(batch, "_text", models, cache))
     order = np.lexsort((keys, row))
     keys, row = keys[order], row[order]
     new = np.append(True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1]))[: len(keys)]
     return keys[new], row[new]
 
 
-def train(docs: DataFrame, sample: DataFrame, costs: np.ndarray, id_column: str, text_column: str, shards: int = SHARDS, params: Ftrl = PARAMS) -> tuple[np.ndarray, np.ndarray, float]:
+def train(docs: DataFrame, sample: DataFrame, models: tuple[np.ndarray, np.ndarray], id_column: str, text_column: str, shards: int = SHARDS, params: Ftrl = PARAMS) -> tuple[np.ndarray, np.ndarray, float]:
     """Features with a weight (sorted), their weights, and the intercept.
 
     First each shard of the sample names the features that ``LEAST_ROWS`` of its
@@ -207,7 +305,7 @@ def train(docs: DataFrame, sample: DataFrame, costs: np.ndarray, id_column: str,
     ship(spark)
     rows = docs.select(docs[id_column].alias("_id"), docs[text_column].alias("_text")).join(F.broadcast(sample), "_id")
     rows = stored(rows.select("_text", "_y", F.xxhash64("_id", F.lit(11)).alias("_at"), F.pmod(F.xxhash64("_id", F.lit(10)), F.lit(shards)).alias("_shard")), "toxic-sample")
-    model = spark.sparkContext.broadcast(costs)
+    model = spark.sparkContext.broadcast(models)
 
     def name(group: pa.Table) -> pa.Table:
         all_keys, toxic, cache = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], {}
@@ -259,22 +357,22 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_column: str = "toxic", id
     like an output are replaced.
     """
     spark = docs.sparkSession
-    costs = language_model(docs, text_column)
-    known, weights, intercept = train(docs, labelled_sample(labels, F.col(label_column), max_rows, id_column), costs, id_column, text_column)
+    models = language_models(docs, text_column)
+    known, weights, intercept = train(docs, labelled_sample(labels, F.col(label_column), max_rows, id_column), models, id_column, text_column)
     outputs = ["score", *["restored"] * with_text]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in outputs]
     schema = docs.select(*[docs[c] for c in keep], F.lit(0.0).alias("score"), *[F.lit(None).cast("string").alias("restored")] * with_text).schema
     mask = np.zeros(1 << 16, bool)
     mask[(known >> np.uint64(48)).astype(np.int64)] = True
-    model = spark.sparkContext.broadcast((costs, known, weights, intercept, mask))  # fixed size, and words of a bounded sample
+    model = spark.sparkContext.broadcast((models, known, weights, intercept, mask))  # fixed size, and words of a bounded sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        costs, known, weights, intercept, mask = model.value
+        models, known, weights, intercept, mask = model.value
         cache: dict[str, str] = {}
         for whole in batches:
             scores, texts = [], []
             for b in slices(whole, "_text"):
-                text = restored(b, "_text", costs, cache)
+                text = restored(b, "_text", models, cache)
                 keys, row = features(text)
                 may = np.flatnonzero(mask[(keys >> np.uint64(48)).astype(np.int64)])
                 dot = np.full(b.num_rows, intercept)

@@ -8,7 +8,7 @@ import pytest
 
 from strata.llm.common import text_buffer
 from strata.llm.quality_classifier import Ftrl, labelled_sample, learn, quality
-from strata.llm.toxicity import language_model, restore, restore_text, suspicious, toxicity
+from strata.llm.toxicity import language_model, language_models, restore, restore_text, suspicious, toxicity
 
 WORDS = "river garden house stone window letter summer winter bridge market people water morning evening friend".split()
 
@@ -108,6 +108,33 @@ def test_deobfuscation(costs):
         assert not flagged or restore_text(plain, costs, {}) == plain, plain
 
 
+@pytest.fixture(scope="module")
+def models(spark, docs):
+    text = "you are such a loser and an idiot here i hate that hat shit y idiota you stupid moron as a house "
+    return language_models(docs([(1, text * 20), (2, " ".join(WORDS * 20))]))
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("such a l o s e r here", "such a loser here"),
+        ("y o u i d i o t", "you idiot"),
+        ("y i d i o t a", "y idiota"),
+        ("y.o.u.i.d.i.o.t", "you.idiot"),
+        ("i hat3 that", "i hate that"),
+        ("sh1+", "shit"),
+        ("l 0 s e r", "loser"),
+        ("1 d 1 0 t", "idiot"),
+        ("s.t.u.p.1.d", "stupid"),
+        ("1 2 3 4 5", "1 2 3 4 5"),
+        ("house$$$ river!", "house$$$ river!"),
+    ],
+)
+def test_word_breaks_and_signs_anywhere(models, text, want):
+    flagged = suspicious(*text_buffer(pa.array([text])))[0]
+    assert (restore_text(text, models[0], {}, models[1]) if flagged else text) == want
+
+
 def test_toxicity_finds_plain_and_disguised(docs, data):
     new = docs([(10_000, "river garden idiot house"), (10_001, "river garden 1d10t house"), (10_002, "river i d i o t house"), (10_003, "river garden house"), (10_004, None), (10_005, ""), (10_005, ""), (10_006, "house " * 50_000 + "idiooot")])
     frame = data[0].unionByName(new).selectExpr("*", "'x' as score", "'y' as restored", "'z' as node")
