@@ -67,6 +67,7 @@ _CHUNK = re.compile(r"[^\s,;:?]+")
 # A sign before a letter or after one (where ! * ( < alone are punctuation), or a letter three times.
 _DISGUISED = re.compile(r"[0-9@$!|+(<*#][^\W\d_]|[^\W\d_][!*(<]*[0-9@$|+#]|([^\W\d_])\1\1", re.IGNORECASE)
 _LETTERS = re.compile(r"[^\W\d_]")
+_STRETCHED = re.compile(r"([^\W\d_])\1{4,}", re.IGNORECASE)
 _AFTER = _LEET.copy()
 _AFTER[[ord(c) for c in "!*(<"]] = False
 
@@ -229,8 +230,8 @@ def restore_text(text: str, costs: np.ndarray, cache: dict[str, str], words: np.
     """``text`` with its disguised tokens restored."""
 
     def known(token: str) -> str:
-        if len(token) > 64:
-            return token
+        if len(token) > 64:  # not worth a place in the cache
+            return restore(_STRETCHED.sub(r"\1\1\1\1", token), costs, words)
         if token not in cache:
             if len(cache) > 50_000:
                 cache.clear()

@@ -135,6 +135,16 @@ def test_word_breaks_and_signs_anywhere(models, text, want):
     assert (restore_text(text, models[0], {}, models[1]) if flagged else text) == want
 
 
+def test_long_tokens_are_decoded(models):
+    for text, want in [
+        (" ".join("youidiot" * 6), ("you idiot " * 6).strip()),
+        ("idi" + "o" * 60 + "t", "idiot"),
+        ("-".join(["1d10t", "l0ser", "stup1d"] * 6), "-".join(["idiot", "loser", "stupid"] * 6)),
+    ]:
+        assert len(text) > 64 and suspicious(*text_buffer(pa.array([text])))[0]
+        assert restore_text(text, models[0], {}, models[1]) == want
+
+
 def test_toxicity_finds_plain_and_disguised(docs, data):
     new = docs([(10_000, "river garden idiot house"), (10_001, "river garden 1d10t house"), (10_002, "river i d i o t house"), (10_003, "river garden house"), (10_004, None), (10_005, ""), (10_005, ""), (10_006, "house " * 50_000 + "idiooot")])
     frame = data[0].unionByName(new).selectExpr("*", "'x' as score", "'y' as restored", "'z' as node")
