@@ -35,12 +35,15 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates, the document with the smallest id.
 
-    Only documents that may go are joined; the others are not shuffled.
+    Rows are told apart by id and text, as ids may be null (these come last) or
+    repeated. Only documents that may go are joined; the others are not shuffled.
     """
-    gone = ngram_join(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    found = ngram_join(docs.select(row.alias("_row"), "text"), id_column="_row")
+    gone = found.where("_row <> component_id").select(F.col("_row.id").alias("_gone"), F.col("_row.text").alias("_of"))
     gone = stored(gone, "near-gone")
-    rows = flagged(docs.withColumn("_hash", F.xxhash64("doc_id")), "_hash", gone.select(F.xxhash64("_gone").alias("_hash")), "_may")
-    checked = rows.where("_may").join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    rows = flagged(docs.withColumn("_text", F.xxhash64("text")), "_text", gone.select(F.col("_of").alias("_text")), "_may")
+    checked = rows.where("_may").join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.col("_text") == F.col("_of")), "left_anti")
     return rows.where("not _may").unionByName(checked).select(*docs.columns)
 
 

@@ -37,6 +37,17 @@ def test_stages_on_odd_tables(spark):
         assert corpus_pipeline.STAGES[4][1](spark, docs, SF).count() <= len(data)
 
 
+def test_near_stage_drops_rows_not_ids(spark):
+    """Unrelated rows that share a null or repeated id with a near copy stay; of near copies one is left."""
+    schema = queries.table(spark, SF, "documents").schema
+    a, b, c = ("%s %s %s %s %s %s" % tuple(x * 6) for x in "xyz")
+    texts = [(1, a), (None, a + " "), (None, "a clean text of no one else"), (3, b), (4, b + " "), (4, "another clean text of id four"), (None, c), (None, c + " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts], schema)
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.near_stage(spark, docs, SF).collect()]
+    assert sorted(t.strip() for _, t in left) == sorted([a, b, c, texts[2][1], texts[5][1]])
+    assert {(1, a), (3, b), texts[2], texts[5]} <= set(left)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
