@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 from strata.__main__ import main
 from strata.session import scratch_path
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from strata.functions import (
     day_of,
     fill_null,

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from strata.operators import DuplicateKeyError, filter_impact
 from strata.plans import (
     build_curated,

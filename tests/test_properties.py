@@ -3,7 +3,7 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from helpers import rows
 from strata.functions import map_prefix
 from strata.operators import anti_join, exclude_keys, group_counts, key_uniqueness
 

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows
+from helpers import rows
 from strata.operators import (
     CheckFailed,
     distinct_counts,

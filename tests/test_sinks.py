@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 from strata.session import scratch_path
 from strata.sinks import save_catalog_table, table_name, write_table
 from strata.sinks.writers import ensure_database

@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from conftest import FACTS_TSV, rows
+from helpers import FACTS_TSV, rows
 from strata.plans import clean_facts
 from strata.session import scratch_path
 from strata.sources import read_facts
