@@ -30,11 +30,16 @@ def test_odd_texts(codec):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(st.sampled_from(" \n\tthe▁aéß<>/s0日🙂\x00INGing."), max_size=80), max_size=5))
+@given(st.lists(st.text(st.sampled_from(" \n\tthe▁aéß<>/s0日🙂\x00INGing."), max_size=80), min_size=1, max_size=5))
 def test_like_the_library(codec, texts):
     check(codec, texts)
 
 
+def test_no_texts(codec):
+    ids, decoded = codec.batch([])
+    assert list(ids) == [] and list(decoded) == []
+
+
 def test_agenda_alone_is_right(codec):
     """Without the library's check: both forms of the agenda on words of many lengths."""
     words = ["the", "unbelievable", "Donaudampfschifffahrt", "ciónmente", "日本語", "a" * 47, "re" * 30]
