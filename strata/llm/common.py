@@ -146,6 +146,8 @@ class Words:
         longest = int((self.end - self.start).max())
         place = np.minimum(place, longest)
         values = (_BYTE_LOWER if lower else _BYTE)[data[lead:]] * _powers(longest + 1)[place]
+        if kinds is not WHITE:  # whose separators count 0 anyway
+            values *= kind[lead:] != 0
         self.hash = mix(np.add.reduceat(values, self.start - lead))
 
 

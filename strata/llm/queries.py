@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from strata.llm.chat_format import format_conversations, read_back
 from strata.llm.decontamination import contamination
 from strata.llm.exact_dedup import exact_dedup, normalised
+from strata.llm.hard_negatives import hard_negatives
 from strata.llm.language_id import language_id, train
+from strata.llm.lexical_search import lexical_search
 from strata.llm.line_dedup import line_dedup
+from strata.llm.neighbours import nearest
 from strata.llm.ngram_join import ngram_join
 from strata.llm.quality_classifier import quality
 from strata.llm.sentencepiece_codec import encode_decode
@@ -141,6 +144,65 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS l
+  FROM documents WHERE text IS NOT NULL
+),
+s AS (SELECT count(*) AS docs, sum(len(l))::BIGINT AS total FROM d WHERE len(l) > 0),
+t AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(l) AS term FROM d) GROUP BY k, term),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM t, s GROUP BY term, docs),
+scored AS (
+  SELECT item_id, t.k, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(l) * docs) // total))))::BIGINT AS score
+  FROM i JOIN t USING (term) JOIN w USING (term) JOIN d ON t.k = d.k, s GROUP BY item_id, t.k
+),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored JOIN d USING (k) WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(rows, F.col("vec_id") % 20 == 0, 20).withColumnRenamed("id", "vec_id")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+OP13_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER o)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW o AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER o <= 3
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -152,9 +214,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_nearest": op12_nearest,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
     "op7_exact_dedup": OP7_SQL,
+    "op11_lexical_search": OP11_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
