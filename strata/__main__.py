@@ -31,6 +31,9 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--target", required=True)
     c.add_argument("--database")
     c.add_argument("--buckets", type=int, help="partition facts by this many hash buckets of the user, not by user")
+    c.add_argument("--bucketed", type=int, help="publish facts as a native bucketed table of this many buckets")
+    c.add_argument("--switch", action="store_true", help="publish a new version of the layer and switch readers to it at the end")
+    c.add_argument("--counts", help="folder for the quality counts taken while writing")
     c.add_argument(
         "--rules",
         help="JSON file with any of: prefix_rules [[prefix, name], ...], continent_map {from: to}, "
@@ -43,6 +46,8 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--curated-database")
     r.add_argument("--database")
     r.add_argument("--buckets", type=int, help="as for curated")
+    r.add_argument("--bucketed", type=int, help="as for curated")
+    r.add_argument("--switch", action="store_true", help="as for curated")
 
     pr = sub.add_parser("profile-raw", help="checks over the raw files, written as tables")
     for name in ("users", "countries", "facts"):
@@ -59,7 +64,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--users", required=True)
     s.add_argument("--target", required=True)
     s.add_argument("--checkpoint", help="default: <target>_checkpoint")
-    s.add_argument("--salt-buckets", type=int, default=8, help="tasks that one user's facts are spread over")
+    s.add_argument("--buckets", type=int, help="as for curated")
     s.add_argument("--max-files-per-trigger", type=int, default=1000)
     s.add_argument("--continuous", action="store_true", help="keep polling instead of processing what is there")
     return p
@@ -103,17 +108,25 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "curated":
         from strata.plans.curated import run_curated
 
+        from strata.operators import Probes
+
         paths = {k: getattr(args, k) for k in ("users", "countries", "horoscopes", "facts")}
+        probes = Probes() if args.counts else None
         run_curated(
             spark,
             paths,
             args.target,
             database=args.database,
             buckets=args.buckets,
+            bucketed=args.bucketed,
+            switch=args.switch,
+            probes=probes,
             log_path=f"{args.target}/_run_log",
             target_file_bytes=target,
             **_load_rules(args.rules),
         )
+        if probes:
+            _write_checks({"counts": probes.frame(spark)}, args.counts)
     elif args.command == "refined":
         from strata.plans.refined import run_refined
 
@@ -124,6 +137,8 @@ def main(argv: list[str] | None = None) -> int:
             curated_database=args.curated_database,
             refined_database=args.database,
             buckets=args.buckets,
+            bucketed=args.bucketed,
+            switch=args.switch,
             log_path=f"{args.target}/_run_log",
             target_file_bytes=target,
         )
@@ -151,11 +166,11 @@ def main(argv: list[str] | None = None) -> int:
         query = start_curated_facts(
             spark,
             args.facts_dir,
-            read_users(spark, args.users),
+            lambda: read_users(spark, args.users),  # anew for each micro-batch
             args.target,
             checkpoint=args.checkpoint,
             available_now=not args.continuous,
-            salt_buckets=args.salt_buckets,
+            buckets=args.buckets,
             max_files_per_trigger=args.max_files_per_trigger,
         )
         query.awaitTermination()

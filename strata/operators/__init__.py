@@ -1,5 +1,6 @@
 """Relational operators and data-quality checks."""
 
+from strata.operators.observed import Probes
 from strata.operators.quality import (
     CheckFailed,
     distinct_counts,
@@ -46,6 +47,7 @@ __all__ = [
     "CheckFailed",
     "DuplicateKeyError",
     "Lookup",
+    "Probes",
     "SideStats",
     "anti_join",
     "distinct_counts",

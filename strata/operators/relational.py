@@ -8,10 +8,15 @@ Scale notes
   stays a shuffle join and AQE may still convert or split it at run time.
 * The same job proves the lookup key unique, so a lookup can never
   multiply fact rows.
+* Above the bounds a lookup's hot keys (found by a sketch of the left keys)
+  are joined with the few rows of the dimension that they need, which are
+  broadcast; the rest is a shuffle join without hot partitions.
 * Exclusion (facts of invalid users) drops null keys first, then runs a
   left-anti join. The excluded set is broadcast only under the checked
-  bound; otherwise it is a sort-merge anti join, where AQE's skew handling
-  splits the partition of a hot user (left-anti supports left-side splits).
+  bound. Otherwise a bitmap of its keys (bounded size) tells most facts apart
+  before a shuffle: only those that may be excluded go through a sort-merge
+  anti join, where AQE's skew handling splits the partition of a hot user
+  (left-anti supports left-side splits).
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import col
+from strata.operators.bitmaps import MAX_KEYS, bitmap_bits, key_bitmap, with_may_match
 
 # Bounds for broadcasting a join side, checked on the data itself: rows,
 # and bytes summed from the actual values (string lengths, fixed widths).
@@ -188,13 +194,15 @@ def lookup_joins(
     check_unique: bool = True,
     broadcast_max_rows: int | str | None = FROM_SESSION,
     broadcast_max_bytes: int | str | None = FROM_SESSION,
+    isolate_hot_keys: bool = True,
 ) -> DataFrame:
     """Apply several lookups in order, checking all of them in one job.
 
     Each lookup side is proven key-unique (so no fact row is multiplied)
     and broadcast only when its measured rows and bytes are within the
     bounds; above them it is a shuffle join that AQE may still convert or
-    split at run time.
+    split at run time, and with ``isolate_hot_keys`` one whose hot keys are
+    joined apart (:func:`hot_keys` reads the left keys once for that).
     """
     columns = list(df.columns)
     prepared = []
@@ -213,11 +221,51 @@ def lookup_joins(
             )
         if st.fits(max_rows, max_bytes):
             right = F.broadcast(right)
+        elif isolate_hot_keys and None not in (max_rows, max_bytes) and st.max_copies <= 1 and lk.how in ("left", "inner") and (hot := hot_keys(out, left_keys)):
+            out = _isolated_lookup(out, right, left_keys, tmp, lk.how, hot)
+            continue
         cond = [col(lk_) == F.col(t) for lk_, t in zip(left_keys, tmp)]
         out = out.join(right, on=cond, how=lk.how).drop(*tmp)
     return out
 
 
+# Keys that a sketch follows, and the most that are joined apart.
+HOT_TRACKED = 10_000
+HOT_KEYS = 256
+
+
+def _key_hash(columns: Sequence[str]) -> Column:
+    return F.xxhash64(*[col(c).cast("string") for c in columns])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
+    """Hashes of the non-null keys that hold more rows than an even share of a shuffle partition.
+
+    One pass over the key columns with a sketch of frequent items, of fixed
+    size; the driver gets ``HOT_KEYS`` hashes at most. The counts are lower
+    bounds, which is enough: a key that is missed stays in the shuffle join.
+    """
+    rows = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))).select(_key_hash(keys).alias("h"))
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {HOT_KEYS}, {HOT_TRACKED})").alias("top")).first()
+    share = found["n"] / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [r["item"] for r in found["top"] or [] if r["count"] > max(share, 1)]
+
+
+def _isolated_lookup(df: DataFrame, right: DataFrame, left_keys: Sequence[str], tmp: Sequence[str], how: str, hot: Sequence[int]) -> DataFrame:
+    """A lookup whose hot keys meet their few dimension rows in a broadcast join, and all others in a shuffle join.
+
+    Rows with a null key match nothing and need no shuffle either.
+    """
+    cond = [col(k) == F.col(t) for k, t in zip(left_keys, tmp)]
+    is_hot = _key_hash(left_keys).isin(list(hot))
+    for k in left_keys:
+        is_hot = is_hot | col(k).isNull()
+    few = right.where(_key_hash(tmp).isin(list(hot)))  # unique keys: a row a hot key, but for equal hashes
+    apart = df.where(is_hot).join(F.broadcast(few), on=cond, how=how)
+    rest = df.where(~is_hot).join(right, on=cond, how=how)
+    return apart.unionAll(rest).drop(*tmp)
+
+
 def lookup_join(
     df: DataFrame,
     dim: DataFrame,
@@ -261,6 +309,11 @@ def exclude_keys(
     job measures the list when this function is called; its outcome picks
     the join strategy only.
 
+    Above the bounds a bitmap of the keys (16 MB at most) is broadcast in place
+    of the list; facts that it rules out are not shuffled. Lists beyond
+    ``bitmaps.MAX_KEYS`` rows, or of another type than ``key``, are joined
+    without it.
+
     With ``cluster_output`` the result comes out clustered by ``key`` (ready
     for a write partitioned by it) after exactly one shuffle of ``df``:
     the sort-merge anti join already delivers that clustering; the broadcast
@@ -273,6 +326,7 @@ def exclude_keys(
     size = side_size(bad)
     max_rows = _bound(df, broadcast_max_rows, DEFAULT_BROADCAST_MAX_ROWS, BROADCAST_MAX_ROWS_CONF)
     max_bytes = _bound(df, broadcast_max_bytes, DEFAULT_BROADCAST_MAX_BYTES, BROADCAST_MAX_BYTES_CONF)
+    anti = col(key) == F.col("__excluded_key")
     if not size.fits(max_rows, max_bytes):
         # No distinct() on the excluded side: repeated keys do not change an
         # anti join, and a plain shuffle below the sort-merge join lets AQE
@@ -280,12 +334,29 @@ def exclude_keys(
         # clustered, the MERGE hint keeps AQE from turning the join into a
         # broadcast join at run time (whose output would not be clustered).
         if cluster_output:
-            bad = bad.hint("merge")
-        return kept.join(bad, col(key) == F.col("__excluded_key"), "left_anti")
-    out = kept.join(F.broadcast(bad), col(key) == F.col("__excluded_key"), "left_anti")
+            return kept.join(bad.hint("merge"), anti, "left_anti")
+        same_type = df.schema[key].dataType == excluded.schema[ek].dataType
+        off = max_rows is None or max_bytes is None  # no broadcast is wanted, not even of a bitmap
+        if off or size.rows > MAX_KEYS or not same_type:
+            return kept.join(bad, anti, "left_anti")
+        return _exclude_flagged(kept, bad, key, size.rows)
+    out = kept.join(F.broadcast(bad), anti, "left_anti")
     return out.hint("rebalance", col(key)) if cluster_output else out
 
 
+def _exclude_flagged(kept: DataFrame, bad: DataFrame, key: str, keys: int) -> DataFrame:
+    """The anti join, with a shuffle of only those rows whose key may be excluded.
+
+    ``kept`` is read twice, once for either part; neither a hot user that is
+    not excluded nor any other such row (but for about one in sixteen) moves.
+    """
+    bits = bitmap_bits(keys)
+    rows = with_may_match(kept, [key], key_bitmap(bad, ["__excluded_key"], bits), bits, "__may_be_excluded")
+    may = rows.where(F.col("__may_be_excluded")).drop("__may_be_excluded")
+    surely_not = rows.where(~F.col("__may_be_excluded")).drop("__may_be_excluded")
+    return surely_not.unionAll(may.join(bad, col(key) == F.col("__excluded_key"), "left_anti"))
+
+
 def anti_join(
     left: DataFrame,
     right: DataFrame,

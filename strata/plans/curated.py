@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.functions.columns import col, drop_columns, rename_columns, trim_headers
 from strata.functions.dates import REGISTERED_DATE_PATTERN, month_of, parse_date, parse_timestamp, year_of
 from strata.functions.mapping import fill_null, map_exact, map_prefix
+from strata.operators.observed import Probes
 from strata.operators.relational import FROM_SESSION, drop_duplicate_rows, exclude_keys, union_rows
 from strata.plans import defaults as D
 from strata.sources.readers import literal_rows
@@ -109,15 +110,32 @@ def build_curated(
     continent_map: Mapping[str, str] = D.CONTINENT_ES_TO_EN,
     added_countries: Sequence[Sequence[str]] = D.ADDED_COUNTRIES,
     cluster_facts: bool = False,
+    probes: Probes | None = None,
 ) -> dict[str, DataFrame]:
     """The four curated tables as lazy DataFrames (facts clustered by user
-    for publishing when ``cluster_facts``)."""
-    return {
+    for publishing when ``cluster_facts``).
+
+    With ``probes`` the reports' counts of the users and facts (missing
+    values, texts that do not parse, rows before and after the exclusion) are
+    taken as the tables are written: places ``users_raw``, ``users``,
+    ``facts_raw`` and ``facts``.
+    """
+    tables = {
         "countries": clean_countries(raw_countries, continent_map, added_countries),
         "horoscopes": load_horoscopes(raw_horoscopes),
-        "users": clean_users(raw_users, prefix_rules),
-        "facts": clean_facts(raw_facts, raw_users, cluster_by_user=cluster_facts),
     }
+    if probes is None:
+        tables["users"] = clean_users(raw_users, prefix_rules)
+        tables["facts"] = clean_facts(raw_facts, raw_users, cluster_by_user=cluster_facts)
+        return tables
+    no_country = {"missing_country_with_date": col("country").isNull() & col("registered").isNotNull()}
+    users = clean_users(probes.watch(raw_users, "users_raw", ["country", "registered"], no_country), prefix_rules)
+    tables["users"] = probes.watch(users, "users", ["country_name"], {"unparsed_dates": col("register_date").isNull()})
+    facts = probes.watch(raw_facts, "facts_raw", [c for c in raw_facts.columns])
+    facts = clean_facts(facts, raw_users, cluster_by_user=cluster_facts)
+    bad_time = col("fact_date").isNotNull() & col("fact_timestamp").isNull()
+    tables["facts"] = probes.watch(facts, "facts", ["group_id", "song_id"], {"unparsed_timestamps": bad_time})
+    return tables
 
 
 def run_curated(
@@ -128,12 +146,17 @@ def run_curated(
     log_path: str | None = None,
     target_file_bytes: int | None = None,
     buckets: int | None = None,
+    bucketed: int | None = None,
+    switch: bool = False,
+    names: Sequence[str] = D.TABLES,
+    probes: Probes | None = None,
     **rules,
 ):
     """Raw files -> published curated layer (E1). Returns the run log.
 
     ``raw_paths`` names the users, countries, horoscopes and facts files;
-    ``buckets`` selects the bucket layout of ``publish_layer``.
+    ``buckets``, ``bucketed`` and ``switch`` are those of ``publish_layer``,
+    ``names`` the tables to publish, and ``probes`` counts as they are written.
     """
     from strata.plans.layers import publish_layer
     from strata.sinks.run_log import RunLog
@@ -147,17 +170,19 @@ def run_curated(
             raw_horoscopes = read_horoscopes(spark, raw_paths["horoscopes"])
             raw_facts = read_facts(spark, raw_paths["facts"])
         with log.step("transform"):
-            tables = build_curated(raw_users, raw_countries, raw_horoscopes, raw_facts, cluster_facts=not buckets, **rules)
+            tables = build_curated(raw_users, raw_countries, raw_horoscopes, raw_facts, cluster_facts=not (buckets or bucketed), probes=probes, **rules)
         # Facts arrive clustered by user: no second shuffle before the write.
         publish_layer(
             spark,
-            tables,
+            {name: tables[name] for name in D.TABLES if name in names},
             target_root,
             database=database,
             log=log,
             log_path=log_path,
             buckets=buckets,
-            rebalance={"facts": False},
+            bucketed=bucketed,
+            switch=switch,
+            rebalance={"facts": bool(bucketed)},
             target_file_bytes=target_file_bytes,
         )
     finally:

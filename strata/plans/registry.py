@@ -22,7 +22,8 @@ from strata.functions.columns import col, trim_headers
 from strata.functions.dates import day_of, parse_date, parse_timestamp, to_int
 from strata.functions.mapping import fill_null, map_exact, map_prefix
 from strata.operators import quality as Q
-from strata.operators.relational import Lookup, anti_join, lookup_joins, rows_missing_lookup
+from strata.operators.observed import Probes
+from strata.operators.relational import Lookup, anti_join, exclude_keys, lookup_joins, rows_missing_lookup
 from strata.plans.curated import (
     clean_countries,
     clean_facts,
@@ -44,10 +45,11 @@ from strata.plans.refined import (
     with_register_parts,
 )
 from strata.session import ensure_settings, scratch_path
+from strata.sinks.bucketed import read_bucketed, write_bucketed
 from strata.sinks.writers import ensure_database, key_bucket_filter, save_catalog_table, table_name, with_key_bucket, write_table
 from strata.sources import driver_tables as V
 from strata.sources.readers import read_countries, read_facts, read_partitioned_strings, read_users
-from strata.streaming import start_curated_facts
+from strata.streaming import read_streamed_facts, start_curated_facts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -70,6 +72,11 @@ PUBLISHING = (
     "refined_countries_published",
     "refined_horoscopes_published",
     "profile_curated_summary",
+    "refined_facts_bucketed",
+    "refined_facts_switched",
+    "bucketed_facts_per_user",
+    "bucketed_exclusion",
+    "published_counts",
 )
 
 
@@ -859,29 +866,20 @@ def catalog_partitioned_round_trip(spark, sf_dir):
     return spark.table(table_name("strata_curated", "facts")).select(*facts.columns)
 
 
-_LAYERS: dict[tuple[str, str], str] = {}
-
-
-def publish_layers(spark: SparkSession, sf_dir: str) -> str:
-    """Raw files -> curated layer -> refined layer; returns the root of both."""
+def publish_layers(spark: SparkSession, sf_dir: str, names=D.TABLES, **layout) -> str:
+    """Raw files -> curated layer -> refined layer of the tables named; returns the root of both."""
     paths = _write_raw_files(spark, sf_dir)
     root = scratch_path(spark, "layers")
     rules = {"prefix_rules": V.DRIVER_PREFIX_RULES, "continent_map": V.DRIVER_CONTINENT_MAP}
-    run_curated(spark, paths, f"{root}/curated", log_path=f"{root}/run_log", **rules)
-    run_refined(spark, f"{root}/curated", f"{root}/refined", log_path=f"{root}/run_log")
+    needed = {*names, *(("countries", "horoscopes") if "users" in names else ())}
+    run_curated(spark, paths, f"{root}/curated", log_path=f"{root}/run_log", names=needed, **layout, **rules)
+    run_refined(spark, f"{root}/curated", f"{root}/refined", log_path=f"{root}/run_log", names=names, **layout)
     return root
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> str:
-    """The layers published by this application: once, for all queries that read them."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAYERS:
-        _LAYERS[key] = publish_layers(spark, sf_dir)
-    return _LAYERS[key]
-
-
-def _refined(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_layer(spark, f"{_layers(spark, sf_dir)}/refined", names=[name])[name]
+def _refined(spark: SparkSession, sf_dir: str, name: str, **layout) -> DataFrame:
+    """One refined table, published by a run of both jobs for it."""
+    return read_layer(spark, f"{publish_layers(spark, sf_dir, [name], **layout)}/refined", names=[name])[name]
 
 
 @register("refined_users_published", "SELECT * FROM users_refined")
@@ -922,10 +920,91 @@ def facts_curated_stream(spark, sf_dir):
     for part in (facts.where(~late), facts.where(late)):
         part.write.mode("append").options(sep="\t", header="false", quote="", **_NO_TRIM).csv(raw)
         start_curated_facts(spark, raw, V.raw_users(spark, sf_dir), target, extra_columns=["event_id"]).awaitTermination()
-    back = read_partitioned_strings(spark, target)
+    back = read_streamed_facts(spark, target)
     return back.withColumn("event_id", col("event_id").cast("bigint"))
 
 
+# Layouts and joins for large tables ---------------------------------------------
+
+_FACTS_SQL = "SELECT user_id, fact_date, group_id, group_name, song_id, song_name, fact_timestamp FROM facts_curated"
+
+
+@register("refined_facts_bucketed", _FACTS_SQL)
+def refined_facts_bucketed(spark, sf_dir):
+    """Both layer jobs with the facts as native bucketed tables; the refined copy is not shuffled."""
+    return _refined(spark, sf_dir, "facts", bucketed=16).select(*_FACT_COLUMNS)
+
+
+@register("refined_facts_switched", _FACTS_SQL)
+def refined_facts_switched(spark, sf_dir):
+    """Both layers published as versions that readers are switched to."""
+    return _refined(spark, sf_dir, "facts", switch=True).select(*_FACT_COLUMNS)
+
+
+def _bucketed_facts(spark, sf_dir) -> DataFrame:
+    """All parsed facts in a native bucketed table."""
+    path = scratch_path(spark, "facts-native")
+    write_bucketed(_facts_parsed(spark, sf_dir), path, buckets=16)
+    return read_bucketed(spark, path, most_skew=float("inf"))
+
+
+@register("bucketed_facts_per_user", "SELECT user_id, count(user_id) AS total_facts FROM facts_parsed GROUP BY user_id")
+def bucketed_facts_per_user(spark, sf_dir):
+    """A4, Q7 over a bucketed table: facts per user without a shuffle."""
+    return Q.group_counts(_bucketed_facts(spark, sf_dir), "user_id")
+
+
+@register("bucketed_exclusion", "SELECT * FROM facts_curated")
+def bucketed_exclusion(spark, sf_dir):
+    """J5, F6 over a bucketed table: a list of any size is excluded without a shuffle of the facts."""
+    facts = _bucketed_facts(spark, sf_dir)
+    return exclude_keys(facts, invalid_users(V.raw_users(spark, sf_dir)), "user_id", "#id", broadcast_max_rows=None)
+
+
+@register("exclusion_by_bitmap", "SELECT * FROM facts_curated")
+def exclusion_by_bitmap(spark, sf_dir):
+    """J5, F6 with a list above the broadcast bound: a bitmap of it keeps other facts out of the shuffle."""
+    return exclude_keys(_facts_parsed(spark, sf_dir), invalid_users(V.raw_users(spark, sf_dir)), "user_id", "#id", broadcast_max_rows=1)
+
+
+@register("enrich_users_above_bound", "SELECT * FROM users_refined")
+def enrich_users_above_bound(spark, sf_dir):
+    """J3, J4, C6 with lookups above the broadcast bound: hot keys are joined apart from the shuffle joins."""
+    users, countries = _users_curated(spark, sf_dir), _countries_curated(spark, sf_dir)
+    return enrich_users(users, V.raw_horoscopes(spark), countries, broadcast_max_rows=1)
+
+
+@register(
+    "published_counts",
+    """
+SELECT place, metric, CAST(value AS BIGINT) AS value FROM (
+  SELECT 'users_raw' AS place, 'rows' AS metric, count(*) AS value FROM users_raw
+  UNION ALL SELECT 'users_raw', 'country_nulls', count(*) FROM users_raw WHERE country IS NULL
+  UNION ALL SELECT 'users_raw', 'registered_nulls', count(*) FROM users_raw WHERE registered IS NULL
+  UNION ALL SELECT 'users_raw', 'missing_country_with_date', count(*) FROM users_raw WHERE country IS NULL AND registered IS NOT NULL
+  UNION ALL SELECT 'users', 'rows', count(*) FROM users_curated
+  UNION ALL SELECT 'users', 'country_name_nulls', count(*) FROM users_curated WHERE country_name IS NULL
+  UNION ALL SELECT 'users', 'unparsed_dates', count(*) FROM users_curated WHERE register_date IS NULL
+  UNION ALL SELECT 'facts_raw', 'rows', count(*) FROM facts_raw
+  UNION ALL SELECT 'facts_raw', c || '_nulls', n FROM (
+    UNPIVOT (SELECT count(*) - count(user_id) AS user_id, count(*) - count(fact_date) AS fact_date, count(*) - count(group_id) AS group_id,
+      count(*) - count(group_name) AS group_name, count(*) - count(song_id) AS song_id, count(*) - count(song_name) AS song_name FROM facts_raw)
+    ON COLUMNS(*) INTO NAME c VALUE n)
+  UNION ALL SELECT 'facts', 'rows', count(*) FROM facts_curated
+  UNION ALL SELECT 'facts', 'group_id_nulls', count(*) FROM facts_curated WHERE group_id IS NULL
+  UNION ALL SELECT 'facts', 'song_id_nulls', count(*) FROM facts_curated WHERE song_id IS NULL
+  UNION ALL SELECT 'facts', 'unparsed_timestamps', count(*) FROM facts_curated WHERE fact_date IS NOT NULL AND fact_timestamp IS NULL
+)""",
+)
+def published_counts(spark, sf_dir):
+    """The reports' counts, taken while the curated layer is written, without another scan."""
+    probes = Probes()
+    root = scratch_path(spark, "counted")
+    rules = {"prefix_rules": V.DRIVER_PREFIX_RULES, "continent_map": V.DRIVER_CONTINENT_MAP}
+    run_curated(spark, _write_raw_files(spark, sf_dir), f"{root}/curated", bucketed=16, probes=probes, **rules)
+    return probes.frame(spark)
+
+
 def _run_log_sql() -> str:
     entries = []
     for job, first, users in (("curated", "read_raw", "users_curated"), ("refined", "read_curated", "users_refined")):
@@ -942,7 +1021,7 @@ def _run_log_sql() -> str:
 def run_log_rows(spark, sf_dir):
     """K5: run-log rows of a curated and a refined run, with the rows each
     write step published (time and run id left out)."""
-    log = spark.read.parquet(f"{_layers(spark, sf_dir)}/run_log")
+    log = spark.read.parquet(f"{publish_layers(spark, sf_dir)}/run_log")
     return log.select("job", "seq", "step", "level", "message", "rows")
 
 

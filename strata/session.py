@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -118,12 +119,57 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def list_path(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder of any file system Spark reads; empty when there is none."""
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) on the JVM's side, for any file system Spark reads."""
     jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def names_in(spark: SparkSession, path: str) -> Iterator[str]:
+    """Names in a folder, as the file system lists them; none when there is no folder.
+
+    Read as far as the caller goes on, so asking for one of many costs one.
+    """
+    system, where = _folder(spark, path)
+    if not system.exists(where):
+        return
+    found = system.listStatusIterator(where)
+    while found.hasNext():
+        yield found.next().getPath().getName()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, where = _folder(spark, path)
+    return system.exists(where)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a folder with all in it."""
+    system, where = _folder(spark, path)
+    system.delete(where, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file of the driver's, replaced if it is there."""
+    system, where = _folder(spark, path)
+    out = system.create(where, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file; ``None`` when there is none."""
+    system, where = _folder(spark, path)
+    if not system.exists(where):
+        return None
+    source = system.open(where)
+    try:
+        return bytes(source.readAllBytes()).decode("utf-8")
+    finally:
+        source.close()
 
 
 def require_persistent_catalog(spark: SparkSession) -> None:

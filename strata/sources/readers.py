@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import col, trim_headers
-from strata.session import list_path
+from strata.session import names_in
 from strata.sources.schemas import (
     COUNTRIES_REQUIRED,
     HOROSCOPES_REQUIRED,
@@ -124,9 +124,10 @@ def read_partitioned_strings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _partition_columns(spark: SparkSession, path: str) -> list[str]:
-    """Names of ``key=value`` folders below ``path``, following the first of each level."""
+    """Names of ``key=value`` folders below ``path``, following one of each level."""
     names = []
-    while folder := next((n for n in sorted(list_path(spark, path)) if "=" in n and not n.startswith((".", "_"))), None):
+    # Any folder of a level names its key, so the first one listed is enough.
+    while folder := next((n for n in names_in(spark, path) if "=" in n and not n.startswith((".", "_"))), None):
         names.append(unquote(folder.split("=")[0]))
         path = f"{path.rstrip('/')}/{folder}"
     return names

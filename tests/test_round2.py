@@ -6,7 +6,7 @@ import pytest
 
 from strata.operators import exclude_keys
 from strata.plans import clean_facts, read_layer, run_curated, run_refined
-from strata.session import checkpoint_root, list_path, require_persistent_catalog, scratch_path
+from strata.session import checkpoint_root, names_in, require_persistent_catalog, scratch_path
 from strata.sinks.writers import ensure_database, key_bucket_filter, with_key_bucket, write_table
 from strata.sources import read_users
 
@@ -50,7 +50,7 @@ def test_bucket_layout_of_a_layer(spark, raw_paths):
     run_curated(spark, raw_paths, f"{root}/curated", log_path=f"{root}/log", buckets=4)
     run_refined(spark, f"{root}/curated", f"{root}/refined", log_path=f"{root}/log", buckets=4)
     for layer in ("curated", "refined"):
-        folders = [n for n in list_path(spark, f"{root}/{layer}/facts") if "=" in n]
+        folders = [n for n in names_in(spark, f"{root}/{layer}/facts") if "=" in n]
         assert folders and len(folders) <= 4 and all(n.startswith("user_id_bucket=") for n in folders)
         facts = read_layer(spark, f"{root}/{layer}")["facts"]
         assert facts.count() == 6

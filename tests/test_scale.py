@@ -1,0 +1,309 @@
+"""What keeps the joins and writes cheap at scale: bitmaps, hot keys apart, bucketed tables, probes, layer versions."""
+
+import json
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import rows
+from strata.operators import CheckFailed, Probes, exclude_keys, lookup_join
+from strata.operators.bitmaps import bitmap_bits, key_bitmap, with_may_match
+from strata.operators.relational import hot_keys
+from strata.sinks import bucketing, read_bucketed, write_bucketed
+
+
+def plan_of(df) -> str:
+    """The plan that ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def facts(spark, n=30_000):
+    """A third of all rows is of one user, some have none."""
+    return spark.range(n).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 10 = 1 THEN NULL ELSE concat('u', id % 500) END AS user_id", "repeat('x', 50) AS song")
+
+
+def excluded(spark, hot=False):
+    ids = spark.range(0, 500, 10).selectExpr("concat('u', id) AS user").unionAll(spark.sql("SELECT CAST(NULL AS STRING)")).unionAll(spark.sql("SELECT 'u20'"))
+    return ids.unionAll(spark.sql("SELECT 'hot'")) if hot else ids
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_exclusion_is_the_same_at_any_bound(spark, hot):
+    df, bad = facts(spark), excluded(spark, hot)
+    want = rows(exclude_keys(df, bad, "user_id", "user"), "id")
+    for bounds in ({"broadcast_max_rows": 1}, {"broadcast_max_bytes": 1}, {"broadcast_max_rows": None}, {"broadcast_max_rows": 1, "cluster_output": True}):
+        assert rows(exclude_keys(df, bad, "user_id", "user", **bounds), "id") == want
+
+
+def test_only_rows_that_may_be_excluded_are_shuffled(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = facts(spark)
+        out = exclude_keys(df, excluded(spark), "user_id", "user", broadcast_max_rows=1)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan()
+        text = plan.toString()
+        assert "Union" in text and "SortMergeJoin" in text
+        moved = shuffled_rows(spark, plan)
+        may = df.where("user_id IS NOT NULL").join(excluded(spark), F.col("user_id") == F.col("user"), "left_semi").count()
+        assert may <= moved < df.count() / 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def shuffled_rows(spark, plan) -> int:
+    """The most rows that one exchange of an executed plan wrote."""
+    most = 0
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if name == "ShuffleExchangeExec":
+            most = max(most, node.metrics().apply("shuffleRecordsWritten").value())
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return most
+
+
+def test_bitmap_lets_every_key_through(spark):
+    keys = spark.range(0, 100_000, 7).selectExpr("concat('k', id) AS k")
+    bits = bitmap_bits(keys.count())
+    flagged = with_may_match(spark.range(100_000).selectExpr("id", "concat('k', id) AS k"), ["k"], key_bitmap(keys, ["k"], bits), bits, "may")
+    n = flagged.groupBy((F.col("id") % 7 == 0).alias("member")).agg(F.count_if("may").alias("may"), F.count("*").alias("n")).collect()
+    found = {r.member: (r.may, r.n) for r in n}
+    assert found[True][0] == found[True][1]
+    assert found[False][0] < 0.1 * found[False][1]
+
+
+def lookup(spark):
+    return spark.range(500).selectExpr("concat('u', id) AS user", "id * 2 AS score").unionAll(spark.sql("SELECT 'hot', -1L"))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_lookup_with_hot_keys_apart(spark, how):
+    df = facts(spark)
+    want = rows(lookup_join(df, lookup(spark), "user_id", "user", how=how), "id", "score")
+    assert rows(lookup_join(df, lookup(spark), "user_id", "user", how=how, broadcast_max_rows=1), "id", "score") == want
+
+
+def test_hot_keys_do_not_reach_the_shuffle(spark):
+    df = facts(spark)
+    assert hot_keys(df, ["user_id"]) == [df.select(F.xxhash64(F.lit("hot"))).first()[0]]
+    assert hot_keys(df.where("user_id <> 'hot'"), ["user_id"]) == []
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lookup_join(df, lookup(spark), "user_id", "user", broadcast_max_rows=1)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan()
+        assert "SortMergeJoin" in plan.toString()
+        ordinary = df.where("user_id <> 'hot'").count()
+        assert shuffled_rows(spark, plan) == ordinary  # neither the hot user's rows nor those without one
+        # what is left is even: no partition has twice the median's rows
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        sizes = sorted(r[1] for r in df.where("user_id <> 'hot'").groupBy(F.expr(f"pmod(hash(user_id), {n})")).count().collect())
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+# Bucketed tables ------------------------------------------------------------
+
+
+def even(spark, n=20_000):
+    return spark.range(n).selectExpr("id", "CASE WHEN id % 100 = 0 THEN NULL ELSE concat('u', id % 700) END AS user_id", "cast(id % 3 AS string) AS song")
+
+
+def test_bucketed_round_trip_and_plans(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    df = even(spark)
+    tables = spark.catalog.listTables("default")
+    assert write_bucketed(df, path, buckets=8) == 20_000
+    files = list((tmp_path / "facts").glob("*.parquet"))
+    assert len(files) == 8 and not list((tmp_path / "facts").glob("user_id=*"))
+    assert spark.catalog.listTables("default") == tables  # no entry is left
+    back = read_bucketed(spark, path)
+    assert rows(back) == rows(df)
+
+    counts = back.groupBy("user_id").agg(F.count("user_id").alias("n"))
+    assert rows(counts) == rows(df.groupBy("user_id").agg(F.count("user_id").alias("n")))
+    assert "Exchange" not in plan_of(counts)
+
+    kept = exclude_keys(back, excluded(spark), "user_id", "user")
+    assert rows(kept) == rows(exclude_keys(df, excluded(spark), "user_id", "user"))
+    assert not re.search(r"(?<!Broadcast)Exchange (hash|round|range)", plan_of(kept))  # a small list: broadcast
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = exclude_keys(back, excluded(spark), "user_id", "user", broadcast_max_rows=None)
+        assert rows(big) == rows(kept)
+        big.collect()
+        assert shuffled_rows(spark, big._jdf.queryExecution().executedPlan()) < 100  # of the list alone
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_bucketed_copy_needs_no_shuffle(spark, tmp_path):
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    write_bucketed(even(spark), one, buckets=8)
+    assert write_bucketed(read_bucketed(spark, one), two, buckets=8, rebalance=False) == 20_000
+    assert rows(read_bucketed(spark, two)) == rows(even(spark))
+    assert len(list((tmp_path / "two").glob("*.parquet"))) <= 8
+    assert bucketing(spark, two) == bucketing(spark, one)
+
+
+def test_hot_bucket_is_read_by_splits(spark, tmp_path):
+    """A key with a third of all rows: several tasks write it, and it is not read by one."""
+    path = str(tmp_path / "facts")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        write_bucketed(facts(spark).withColumn("song", F.expr("concat(uuid(), uuid())")), path, buckets=16)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    per_bucket = {}
+    for f in (tmp_path / "facts").glob("*.parquet"):
+        bucket = re.search(r"_(\d{5})\.c", f.name)[1]
+        per_bucket[bucket] = per_bucket.get(bucket, 0) + 1
+    assert max(per_bucket.values()) > 1
+    note = bucketing(spark, path)
+    assert (note.rows, note.hottest) == (30_000, 10_000) and note.skew > 4
+    assert "Bucketed: true" not in read_bucketed(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert rows(read_bucketed(spark, path), "id", "user_id") == rows(read_bucketed(spark, path, most_skew=1e9), "id", "user_id") == rows(facts(spark), "id", "user_id")
+
+
+def test_folder_without_its_note_and_empty_table(spark, tmp_path):
+    path = tmp_path / "facts"
+    write_bucketed(even(spark).limit(0), str(path), buckets=4)
+    assert read_bucketed(spark, str(path)).count() == 0
+    write_bucketed(even(spark), str(path), buckets=4)
+    (path / "_bucketing").unlink()
+    assert rows(read_bucketed(spark, str(path))) == rows(even(spark))
+
+
+# Probes ----------------------------------------------------------------------
+
+
+def test_probes_count_in_the_write(spark, tmp_path):
+    probes = Probes()
+    df = probes.watch(facts(spark, 900), "all", nulls_of=["user_id"])
+    df = probes.watch(df.where("user_id = 'hot'"), "hot", conditions={"odd": F.col("id") % 2 == 1})
+    df.write.parquet(str(tmp_path / "t"))
+    assert probes.values() == {"all": {"rows": 900, "user_id_nulls": facts(spark, 900).where("user_id IS NULL").count()}, "hot": {"rows": 300, "odd": 150}}
+    assert {tuple(r) for r in probes.frame(spark).collect()} >= {("hot", "odd", 150), ("all", "rows", 900)}
+    probes.gate("hot", "odd", 150)
+    with pytest.raises(CheckFailed):
+        probes.gate("hot", "odd", 149)
+    with pytest.raises(ValueError):
+        probes.watch(df, "hot")
+
+
+def test_json_note_is_whole(spark, tmp_path):
+    write_bucketed(even(spark), str(tmp_path / "a"), buckets=4)
+    assert json.loads((tmp_path / "a" / "_bucketing").read_text())["keys"] == ["user_id"]
+
+
+# Layers ------------------------------------------------------------------------
+
+
+def _tables(spark, tag, broken=False):
+    def one(name):
+        df = spark.createDataFrame([(name, tag, 1), (name, tag, 2)], "user_id string, tag string, n int")
+        return df.withColumn("n", F.when(F.raise_error(F.lit("broken")).isNull(), F.lit(1)).otherwise(0)) if broken and name == "users" else df
+
+    return {n: one(n) for n in ("countries", "horoscopes", "users", "facts")}
+
+
+@pytest.mark.parametrize("database", [None, "strata_switch"])
+def test_failed_run_leaves_the_old_layer(spark, tmp_path, database):
+    """The third table fails: readers still see all four of the version before; the next run replaces them at once."""
+    from strata.plans import publish_layer, read_layer
+    from strata.plans.layers import current_root, drop_old_versions
+
+    root = str(tmp_path / "layer")
+    tags = lambda: {n: {r.tag for r in df.collect()} for n, df in read_layer(spark, root, database=database).items()}
+    publish_layer(spark, _tables(spark, "old"), root, database=database, switch=True)
+    assert set(map(frozenset, tags().values())) == {frozenset({"old"})}
+    before = current_root(spark, root)
+    with pytest.raises(Exception, match="broken"):
+        publish_layer(spark, _tables(spark, "new", broken=True), root, database=database, switch=True)
+    assert current_root(spark, root) == before
+    assert set(map(frozenset, tags().values())) == {frozenset({"old"})}
+    publish_layer(spark, _tables(spark, "new"), root, database=database, switch=True, bucketed=None if database else 4)
+    assert set(map(frozenset, tags().values())) == {frozenset({"new"})}
+    assert len(list((tmp_path / "layer" / "_versions").iterdir())) == 3
+    assert len(drop_old_versions(spark, root, keep=1)) == 2
+    assert set(map(frozenset, tags().values())) == {frozenset({"new"})}
+    if database:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_plain_layer_becomes_versions(spark, tmp_path):
+    """A layer published by overwriting, then by switching."""
+    from strata.plans import publish_layer, read_layer
+
+    root = str(tmp_path / "layer")
+    publish_layer(spark, _tables(spark, "old"), root)
+    publish_layer(spark, _tables(spark, "new"), root, switch=True)
+    assert {r.tag for r in read_layer(spark, root)["facts"].collect()} == {"new"}
+    assert {r.tag for r in spark.read.parquet(f"{root}/facts").collect()} == {"old"}
+
+
+def test_jobs_with_bucketed_facts(spark, raw_paths, tmp_path):
+    """Both jobs, each its own table; the refined copy has no shuffle, and no folder is a user's."""
+    from strata.plans import read_layer, run_curated, run_refined
+
+    root = str(tmp_path)
+    run_curated(spark, raw_paths, f"{root}/plain")
+    run_curated(spark, raw_paths, f"{root}/curated", bucketed=4)
+    run_refined(spark, f"{root}/curated", f"{root}/refined", bucketed=4)
+    columns = ["user_id", "fact_date", "song_id", "fact_timestamp"]
+    want = rows(read_layer(spark, f"{root}/plain")["facts"], *columns)
+    for layer in ("curated", "refined"):
+        assert rows(read_layer(spark, f"{root}/{layer}")["facts"], *columns) == want
+        assert not list((tmp_path / layer / "facts").glob("user_id*"))
+        assert len(list((tmp_path / layer / "facts").glob("*.parquet"))) <= 4
+
+
+def test_counts_equal_the_reports(spark, raw_paths, raw, tmp_path):
+    """What the probes saw in the write is what the checks find in separate passes."""
+    from strata.operators import filter_impact, null_profile, unparsed_values
+    from strata.plans import clean_facts, clean_users, invalid_users, run_curated
+
+    for bounds in ({}, {"spark.strata.broadcast.maxRows": "-1"}):
+        for k, v in bounds.items():
+            spark.conf.set(k, v)
+        try:
+            probes = Probes()
+            run_curated(spark, raw_paths, str(tmp_path / f"curated{len(bounds)}"), probes=probes)
+        finally:
+            for k in bounds:
+                spark.conf.unset(k)
+        found = probes.values()
+        columns = raw["facts"].columns
+        assert found["facts_raw"] == null_profile(raw["facts"], columns).first().asDict()
+        users = clean_users(raw["users"])
+        assert found["users"]["rows"] == users.count()
+        assert found["users"]["unparsed_dates"] == unparsed_values(users, "registered", "register_date").count()
+        impact = filter_impact(raw["facts"], invalid_users(raw["users"]), "user_id", "#id").first()
+        assert (found["facts_raw"]["rows"], found["facts"]["rows"]) == (impact.rows_before, impact.rows_after)
+        assert found["facts"]["unparsed_timestamps"] == unparsed_values(clean_facts(raw["facts"], raw["users"]), "fact_date", "fact_timestamp").count()
+    with pytest.raises(CheckFailed):
+        probes.gate("facts", "unparsed_timestamps")
+
+
+def test_named_tables_only(spark, raw_paths, tmp_path):
+    from strata.plans import run_curated, run_refined
+
+    run_curated(spark, raw_paths, str(tmp_path / "c"), names=["countries", "facts"])
+    run_refined(spark, str(tmp_path / "c"), str(tmp_path / "r"), names=["facts"])
+    assert sorted(p.name for p in (tmp_path / "c").iterdir()) == ["countries", "facts"]
+    assert [p.name for p in (tmp_path / "r").iterdir()] == ["facts"]

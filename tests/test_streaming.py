@@ -6,8 +6,7 @@ from helpers import FACTS_TSV, rows
 from strata.plans import clean_facts
 from strata.session import scratch_path
 from strata.sources import read_facts
-from strata.sources.readers import read_partitioned_strings
-from strata.streaming import start_curated_facts
+from strata.streaming import ForeignTargetError, batches, read_streamed_facts, start_curated_facts
 
 
 def _drop(dirpath, name, lines):
@@ -24,11 +23,11 @@ def test_stream_matches_batch_and_resumes_from_checkpoint(spark, raw, tmp_path):
     ckpt = scratch_path(spark, "t-stream-ckpt")
     _drop(src, "part1.tsv", FACTS_TSV[:4])
     start_curated_facts(spark, src, raw["users"], target, checkpoint=ckpt).awaitTermination()
-    first = read_partitioned_strings(spark, target).count()
+    first = read_streamed_facts(spark, target).count()
     # a second file arrives; the restarted query only processes the new one
     _drop(src, "part2.tsv", FACTS_TSV[4:])
     start_curated_facts(spark, src, raw["users"], target, checkpoint=ckpt).awaitTermination()
-    out = read_partitioned_strings(spark, target)
+    out = read_streamed_facts(spark, target)
     batch = clean_facts(read_facts(spark, os.path.join(str(tmp_path), "incoming")), raw["users"])
     cols = ["user_id", "fact_date", "group_id", "group_name", "song_id", "song_name"]
     assert first == 3  # null user dropped from the first file
@@ -47,15 +46,14 @@ def test_runs_without_a_named_checkpoint_continue(spark, raw, tmp_path):
     start_curated_facts(spark, str(src), raw["users"], target).awaitTermination()
     _facts_file(src, "b.tsv", [("u2", f"b{i}") for i in range(7)])
     start_curated_facts(spark, str(src), raw["users"], target).awaitTermination()
-    assert spark.read.parquet(target).count() == 12
+    assert read_streamed_facts(spark, target).count() == 12
     start_curated_facts(spark, str(src), raw["users"], target).awaitTermination()
-    assert spark.read.parquet(target).count() == 12
+    assert read_streamed_facts(spark, target).count() == 12
 
 
 def test_a_batch_table_is_refused_and_stays_whole(spark, raw, tmp_path):
     from strata.plans import clean_facts
     from strata.sinks import write_table
-    from strata.streaming import ForeignTargetError
 
     target = str(tmp_path / "facts")
     write_table(clean_facts(raw["facts"], raw["users"]), target, partition_by=["user_id"])
@@ -66,7 +64,7 @@ def test_a_batch_table_is_refused_and_stays_whole(spark, raw, tmp_path):
     own = str(tmp_path / "facts_stream")
     start_curated_facts(spark, str(tmp_path / "in"), raw["users"], own).awaitTermination()
     assert spark.read.parquet(target).count() == before == 6
-    assert spark.read.parquet(own).count() == 1
+    assert read_streamed_facts(spark, own).count() == 1
     with pytest.raises(ForeignTargetError):  # the target's log needs the checkpoint that wrote it
         start_curated_facts(spark, str(tmp_path / "in"), raw["users"], own, checkpoint=str(tmp_path / "other"))
 
@@ -81,8 +79,63 @@ def test_list_that_is_empty_at_first(spark, tmp_path):
     src, target = tmp_path / "in", str(tmp_path / "facts")
     _facts_file(src, "a.tsv", [("u1", "a"), ("u2", "a")] * 20)
     start_curated_facts(spark, str(src), frame, target).awaitTermination()
-    assert spark.read.parquet(target).count() == 40
+    assert read_streamed_facts(spark, target).count() == 40
     users.write_text("#id\tcountry\tregistered\nu1\tSpain\tFeb 4, 2005\nu2\tSpain\t\n", encoding="utf-8")
     _facts_file(src, "b.tsv", [("u1", "b"), ("u2", "b")] * 20)
     start_curated_facts(spark, str(src), read_users(spark, str(users)), target).awaitTermination()
-    assert spark.read.parquet(target).count() == 60
+    assert read_streamed_facts(spark, target).count() == 60
+
+
+def _files(folder):
+    return [f for f in folder.rglob("*.parquet")]
+
+
+def test_replayed_batch_is_published_once(spark, tmp_path):
+    """A batch whose commit was lost runs again over what it wrote, with the list as it is then."""
+    from strata.sources import read_users
+
+    users = tmp_path / "users.tsv"
+    head = "#id\tcountry\tregistered\n"
+    users.write_text(head + "".join(f"u{k}\tSpain\tFeb 4, 2005\n" for k in range(4)), encoding="utf-8")
+    src, target = tmp_path / "in", tmp_path / "facts"
+    run = lambda: start_curated_facts(spark, str(src), lambda: read_users(spark, str(users)), str(target)).awaitTermination()
+    _facts_file(src, "a.tsv", [(f"u{i % 4}", f"a{i}") for i in range(400)])
+    run()
+    _facts_file(src, "b.tsv", [(f"u{i % 4}", f"b{i}") for i in range(40)])
+    run()
+    before = sorted(map(tuple, read_streamed_facts(spark, str(target)).collect()))
+    assert len(before) == 440
+    assert len(_files(target)) <= 2 * 4 * 2  # two files a user and run at most
+    assert sorted(map(tuple, batches(spark, str(target)).select("batch_id", "rows", "read").collect())) == [(0, 400, 400), (1, 40, 40)]
+
+    for f in (tmp_path / "facts_checkpoint" / "commits").glob("*1*"):  # the driver died before the commit of batch 1
+        f.unlink()
+    run()
+    assert sorted(map(tuple, read_streamed_facts(spark, str(target)).collect())) == before
+    for f in (tmp_path / "facts_checkpoint" / "commits").glob("*1*"):
+        f.unlink()
+    users.write_text(head + "u0\tSpain\t\n" + "".join(f"u{k}\tSpain\tFeb 4, 2005\n" for k in range(1, 4)), encoding="utf-8")
+    run()
+    assert read_streamed_facts(spark, str(target)).count() == 430
+
+
+def test_unfinished_batch_is_not_read(spark, raw, tmp_path):
+    src, target = tmp_path / "in", tmp_path / "facts"
+    _facts_file(src, "a.tsv", [("u1", "a"), ("u2", "a")])
+    start_curated_facts(spark, str(src), raw["users"], str(target)).awaitTermination()
+    read_streamed_facts(spark, str(target)).write.parquet(str(target / "batch_id=1" / "user_id=u1"))  # a batch without its note
+    assert spark.read.option("basePath", str(target)).parquet(str(target)).count() == 4
+    assert read_streamed_facts(spark, str(target)).count() == 2
+
+
+def test_hot_user_and_buckets(spark, raw, tmp_path):
+    """Files are bounded by rows; with buckets the folders do not follow the users."""
+    src = tmp_path / "in"
+    _facts_file(src, "a.tsv", [("u1", f"a{i}") for i in range(900)] + [(f"x{i}", "b") for i in range(100)])
+    start_curated_facts(spark, str(src), raw["users"], str(tmp_path / "rows"), max_records_per_file=300).awaitTermination()
+    assert len(_files(tmp_path / "rows" / "batch_id=0" / "user_id=u1")) >= 3
+    assert read_streamed_facts(spark, str(tmp_path / "rows")).count() == 1000
+    start_curated_facts(spark, str(src), raw["users"], str(tmp_path / "hash"), buckets=4).awaitTermination()
+    assert len([p for p in (tmp_path / "hash" / "batch_id=0").iterdir() if p.is_dir()]) == 4
+    got = read_streamed_facts(spark, str(tmp_path / "hash"))
+    assert rows(got, "user_id", "song_name") == rows(read_streamed_facts(spark, str(tmp_path / "rows")), "user_id", "song_name")
