@@ -36,7 +36,7 @@ DATE = "1970-01-01T00:00:00Z"  # pages have no time of capture
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the URL namespace of RFC 4122
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
-MANIFEST = "archive string, sidecar string, start bigint, stop bigint, records bigint"
+MANIFEST = "archive string, sidecar string, start bigint, stop bigint, records bigint, side_start bigint, side_stop bigint"
 RECORD = "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary"
 
 
@@ -163,8 +163,9 @@ def normalise(archives: DataFrame, level: int = LEVEL) -> DataFrame:
     """Rewrite archives with a member for each record, beside them, with a sidecar index.
 
     Takes a column ``archive`` of paths of gzip WARC files (one member or many)
-    and returns ranges of the new ones: archive, sidecar, start, stop, records.
-    A line of the sidecar is offset, length, type and record id of a record.
+    and returns ranges of the new ones: archive, sidecar, start, stop, records, and
+    the bytes of the sidecar that tell of them. A line of the sidecar is offset,
+    length, type and record id of a record. An archive is one task's.
     """
     ship(archives.sparkSession)
 
@@ -175,22 +176,26 @@ def normalise(archives: DataFrame, level: int = LEVEL) -> DataFrame:
                 stem = f"{path.removesuffix('.gz').removesuffix('.warc')}-{uuid.uuid4().hex[:8]}"
                 new, side = f"{stem}.members.warc.gz", f"{stem}.idx"
                 at, start, n, ranges = 0, 0, 0, []
+                told, told_from = 0, 0  # bytes of the sidecar
                 with system.open_input_stream(name, compression=None) as source, system.open_output_stream(file_system(new)[1], compression=None) as out, system.open_output_stream(file_system(side)[1], compression=None) as index:
                     for data in split_records(inflated(source)):
                         head = parse_head(data[: data.index(b"\r\n\r\n")])
                         pack = zlib.compressobj(level, zlib.DEFLATED, 31)
                         member = pack.compress(data) + pack.flush()
                         out.write(member)
-                        index.write(f"{at} {len(member)} {head['warc-type']} {head['warc-record-id']}\n".encode())
-                        at, n = at + len(member), n + 1
+                        line = f"{at} {len(member)} {head['warc-type']} {head['warc-record-id']}\n".encode()
+                        index.write(line)
+                        at, n, told = at + len(member), n + 1, told + len(line)
                         if at - start >= RANGE_BYTES:
-                            ranges.append((new, side, start, at, n))
-                            start, n = at, 0
+                            ranges.append((new, side, start, at, n, told_from, told))
+                            start, n, told_from = at, 0, told
                 if n:
-                    ranges.append((new, side, start, at, n))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*ranges)) or [[]] * 5, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["archive", "sidecar", "start", "stop", "records"])
+                    ranges.append((new, side, start, at, n, told_from, told))
+                kinds = (pa.string(), pa.string(), *[pa.int64()] * 5)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*ranges)) or [[]] * 7, kinds)], names=[c.split()[0] for c in MANIFEST.split(", ")])
 
-    files = archives.select("archive").repartition("archive")
+    # a number of its own, which AQE leaves as it is: the rows are few, the work behind each is not
+    files = archives.select("archive").repartitionByRange(max(archives.count(), 1), "archive")
     return stored(files.mapInArrow(run, MANIFEST), "warc-index")
 
 
@@ -222,28 +227,30 @@ def read_records(ranges: DataFrame, with_payload: bool = True) -> DataFrame:
         types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())
         names = [c.split()[0] for c in RECORD.split(", ")]
         for b in batches:
-            for archive, side, start, stop in zip(*(b.column(c).to_pylist() for c in ("archive", "sidecar", "start", "stop"))):
+            for archive, side, begin, end in zip(*(b.column(c).to_pylist() for c in ("archive", "sidecar", "side_start", "side_stop"))):
                 system, name = file_system(archive)
                 rows, size = [], 0
-                with system.open_input_stream(file_system(side)[1], compression=None) as index, system.open_input_file(name) as source:
-                    for line in _lines(index):
+                with system.open_input_file(file_system(side)[1]) as index, system.open_input_file(name) as source:
+                    for line in _lines(index, begin, end):
                         at, length, _ = line.split(" ", 2)
-                        if start <= int(at) < stop:
-                            source.seek(int(at))
-                            rows.append(one(zlib.decompress(source.read(int(length)), 31)))
-                            size += rows[-1][4]
+                        source.seek(int(at))
+                        rows.append(one(zlib.decompress(source.read(int(length)), 31)))
+                        size += rows[-1][4]
                         if size > 4 << 20:
                             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
                             rows, size = [], 0
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    return ranges.repartition("archive", "start").mapInArrow(run, RECORD)
+    return ranges.repartitionByRange(max(ranges.count(), 1), "archive", "start").mapInArrow(run, RECORD)
 
 
-def _lines(stream: object) -> Iterator[str]:
+def _lines(file: object, begin: int, end: int) -> Iterator[str]:
+    """Lines of a part of a file that ends with a line."""
+    file.seek(begin)
     held = b""
-    while data := stream.read(1 << 20):
+    while begin < end and (data := file.read(min(1 << 20, end - begin))):
+        begin += len(data)
         *whole, held = (held + data).split(b"\n")
         yield from (x.decode() for x in whole)
 

@@ -69,3 +69,41 @@ def test_empty_table(spark):
 
 def test_paths():
     assert file_system("file:///a/b")[1] == file_system("file:/a/b")[1] == file_system("/a/b")[1] == "/a/b"
+
+
+def test_a_task_an_archive_and_a_range(spark, tmp_path, monkeypatch):
+    """Archives are rewritten, and their ranges read, by as many tasks as there are of them."""
+    from strata.llm import warc
+
+    monkeypatch.setattr(warc, "RANGE_BYTES", 2000)
+    rows = [(i, f"http://h/{i}", f"{i} " * (i % 90)) for i in range(600)]
+    pages = marked(spark.createDataFrame(rows, SCHEMA).select("page_id", "url", F.encode("html", "UTF-8").alias("payload")).repartition(6))
+    archives = write_archives(pages, str(tmp_path))
+    assert archives.count() == 6
+    ranges = normalise(archives)
+    assert ranges.select(F.input_file_name()).distinct().count() == 6  # a file a task
+    assert ranges.count() > 20
+    records = read_records(ranges)
+    own = records.where("payload is not null").groupBy(F.spark_partition_id()).count().collect()
+    assert len(own) >= ranges.count() * 0.8
+    assert sorted(r.page_id for r in records.collect()) == list(range(600))
+
+
+def test_like_recomputed(spark, tmp_path):
+    """Kinds, lengths, digests and references of a random table with many equal payloads, from the rows alone."""
+    import random
+
+    rng = random.Random(10)
+    rows = [(rng.randrange(400), rng.choice([None, f"http://u/{i}"]), rng.choice([None, "", "a" * 300, "é\r\n\r\nWARC/1.0", f"<p>{rng.randrange(40)}</p>" * rng.randrange(1, 60)])) for i in range(500)]
+    rows = list({r[0]: r for r in rows}.values())
+    got = {r.page_id: r for r in warc_round_trip(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
+    keeper = {}
+    for page, _, html in rows:
+        keeper[html or ""] = max(page, keeper.get(html or "", -1))
+    assert got.keys() == {r[0] for r in rows}
+    for page, url, html in rows:
+        payload, r = (html or "").encode(), got[page]
+        first = keeper[html or ""]
+        assert (r.payload_bytes, r.payload_digest, r.url) == (len(payload), digest(payload), url or f"urn:page:{page}")
+        assert (r.record_type, r.refers_to) == (("response", None) if first == page else ("revisit", first))
+        assert r.payload == (payload if first == page else None)
