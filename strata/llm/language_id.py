@@ -1,6 +1,6 @@
 """Language ID of whole texts and of spans within them.
 
-1. The script of a word (by the ranges of its code points) narrows the
+1. The script of a word (of its characters, by their names) narrows the
    candidates to languages that use it in the training texts.
 2. A word's score for a language is the log-likelihood of its byte trigrams,
    its edges included, from counts over all training texts.
@@ -13,6 +13,9 @@ themselves are gathered by the driver: labels, of which there are few.
 
 from __future__ import annotations
 
+import functools
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,23 +27,43 @@ from strata.llm.common import ship, slices, summed, text_buffer
 
 BITS = 16
 SWITCH = 12.0
+NARROW = 64  # rows times languages of a step below which rows go one by one
 SMOOTHING = 0.5
 LEAST_SHARE = 0.005  # of a language's words, for a script to be its own
 UNKNOWN = "und"
 
-# First code points of ranges, and the script that starts there (0: no letters).
-RANGES = [
-    (0x0000, "none"), (0x00C0, "latin"), (0x00D7, "none"), (0x00D8, "latin"), (0x00F7, "none"), (0x00F8, "latin"), (0x02B0, "none"),
-    (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"), (0x0700, "none"),
-    (0x0900, "devanagari"), (0x0980, "bengali"), (0x0A00, "gurmukhi"), (0x0A80, "gujarati"), (0x0B00, "none"), (0x0B80, "tamil"),
-    (0x0C00, "telugu"), (0x0C80, "kannada"), (0x0D00, "malayalam"), (0x0D80, "sinhala"), (0x0E00, "thai"), (0x0E80, "lao"),
-    (0x0F00, "tibetan"), (0x1000, "myanmar"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "ethiopic"), (0x1400, "none"),
-    (0x1780, "khmer"), (0x1800, "none"), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "none"), (0x3040, "kana"), (0x3100, "none"),
-    (0x3400, "han"), (0xA000, "none"), (0xAC00, "hangul"), (0xD7B0, "none"), (0xF900, "han"), (0xFB00, "none"), (0x20000, "han"), (0x323B0, "none"),
-]
-SCRIPTS = ["none", "latin", *sorted({s for _, s in RANGES} - {"none", "latin"})]
-_FROM = np.array([c for c, _ in RANGES])
-_SCRIPT = np.array([SCRIPTS.index(s) for _, s in RANGES])
+# Names of scripts as they stand in the names of characters.
+NAMED = (
+    "LATIN", "GREEK", "CYRILLIC", "ARMENIAN", "HEBREW", "ARABIC", "SYRIAC", "THAANA", "NKO", "DEVANAGARI", "BENGALI", "GURMUKHI", "GUJARATI", "ORIYA",
+    "TAMIL", "TELUGU", "KANNADA", "MALAYALAM", "SINHALA", "THAI", "LAO", "TIBETAN", "MYANMAR", "GEORGIAN", "HANGUL", "ETHIOPIC", "CHEROKEE", "KHMER",
+    "MONGOLIAN", "YI", "BOPOMOFO", "HIRAGANA", "KATAKANA", "CJK", "TIFINAGH", "COPTIC", "VAI", "JAVANESE", "BALINESE",
+)
+# Scripts that are called otherwise, or used together.
+CALLED = {"CJK": "han", "HIRAGANA": "kana", "KATAKANA": "kana"}
+# A mark is part of a word and no letter; a letter of no script above is of "other".
+SCRIPTS = ["none", "mark", "latin", "other", *sorted({CALLED.get(x, x.lower()) for x in NAMED} - {"latin"})]
+MARK, LATIN = SCRIPTS.index("mark"), SCRIPTS.index("latin")
+
+
+@functools.cache
+def script_ranges() -> tuple[np.ndarray, np.ndarray]:
+    """First code points of ranges, and the script of each, from the characters' names and categories."""
+    number = {name: SCRIPTS.index(CALLED.get(name, name.lower())) for name in NAMED}
+
+    def script(c: str) -> int:
+        if not c.isalpha():
+            return MARK if unicodedata.category(c)[0] == "M" else 0
+        return next((number[w] for w in unicodedata.name(c, "").split() if w in number), SCRIPTS.index("other"))
+
+    start, found, last = [], [], None
+    for point in range(sys.maxunicode + 1):
+        now = script(chr(point))
+        if now != last:
+            start.append(point)
+            found.append(now)
+            last = now
+    return np.array(start), np.array(found)
+
 
 _ASCII = np.zeros(256, bool)
 _ASCII[[*range(65, 91), *range(97, 123)]] = True
@@ -54,14 +77,15 @@ class Text:
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         n = len(data)
         letter = _ASCII[data]
-        script = letter.astype(np.int8)
+        script = np.where(letter, LATIN, 0).astype(np.int8)
         lead = np.flatnonzero(data >= 0xC0)
         if len(lead):
             b = np.append(data, np.zeros(3, np.uint8)).astype(np.int64)
             size = np.where(b[lead] < 0xE0, 2, np.where(b[lead] < 0xF0, 3, 4))
             low = lambda k: b[lead + k] & 0x3F
             point = np.where(size == 2, (b[lead] & 0x1F) << 6 | low(1), np.where(size == 3, (b[lead] & 0x0F) << 12 | low(1) << 6 | low(2), (b[lead] & 0x07) << 18 | low(1) << 12 | low(2) << 6 | low(3)))
-            found = _SCRIPT[np.searchsorted(_FROM, point, "right") - 1]
+            start, scripts = script_ranges()
+            found = scripts[np.searchsorted(start, point, "right") - 1]
             for k in range(4):
                 at = lead[size > k] + k
                 on = at < n
@@ -125,7 +149,10 @@ class Model:
         own = np.arange(s.shape[1])
         back = np.zeros(s.shape, np.uint8 if s.shape[1] < 256 else np.uint16)
         value = np.zeros((len(sizes), s.shape[1]))
-        for t in range(longest):
+        # steps of few rows cost as much as steps of many: the last words of long texts go one by one
+        wide = int(np.searchsorted(-active, -NARROW // max(s.shape[1], 1), "right")) if longest else 0
+        wide = min(max(wide, 1), longest)
+        for t in range(wide):
             k = active[t]
             at = begin[:k] + t
             v = value[:k]
@@ -137,9 +164,14 @@ class Model:
                 v = np.maximum(v, change)
             value[:k] = v + s[at]
         now = np.zeros(len(sizes), np.int64)
-        for t in range(longest - 1, -1, -1):
+        left = int(active[wide]) if wide < longest else 0  # rows that go on
+        for r in range(left):
+            rest = slice(begin[r] + wide, begin[r] + sizes[r])
+            path, before = _one_by_one(value[r].tolist(), s[rest].tolist(), switch)
+            out[rest], now[r] = path, before
+        for t in range(wide - 1, -1, -1):
             k = active[t]
-            ends = active[t + 1] if t + 1 < longest else 0
+            ends = active[t + 1] if t + 1 < wide else left
             now[ends:k] = value[ends:k].argmax(axis=1)
             at = begin[:k] + t
             out[at] = now[:k]
@@ -147,6 +179,22 @@ class Model:
         return out
 
 
+def _one_by_one(value: list[float], scores: list[list[float]], switch: float) -> tuple[list[int], int]:
+    """The best path of a text's last words, and the label of the word before, from the values there."""
+    back = []
+    for s in scores:
+        top = max(value)
+        best, change = value.index(top), top - switch
+        back.append([j if v >= change else best for j, v in enumerate(value)])
+        value = [(v if v >= change else change) + x for v, x in zip(value, s)]
+    now = value.index(max(value))
+    path = []
+    for row in reversed(back):
+        path.append(now)
+        now = row[now]
+    return path[::-1], now
+
+
 def train(docs: DataFrame, language_column: str = "lang", text_column: str = "text") -> Model:
     """Count the trigrams and scripts of every language over all rows with one."""
     docs = docs.select(docs[text_column].alias("_text"), docs[language_column].cast("string").alias("_lang")).where("_lang is not null and _text is not null")
@@ -205,11 +253,12 @@ def language_id(docs: DataFrame, model: Model, text_column: str = "text", keep:
                 text = Text(data, offsets)
                 labels, row = m.labels(text, switch), text.rows()
                 known = m.uses[text.script].any(axis=1) if len(row) else np.zeros(0, bool)
-                letters = np.where(known, text.stop - text.start, 0)
+                size = np.where(text.script == MARK, 0, text.stop - text.start)  # marks alone are no letters
+                letters = np.where(known, size, 0)
                 share = np.bincount(row * n + labels, letters, b.num_rows * n).reshape(-1, n)
                 total = share.sum(axis=1)
                 # words of scripts that no language uses count only where a text has no others
-                share[total == 0] = np.bincount(row * n + labels, text.stop - text.start, b.num_rows * n).reshape(-1, n)[total == 0]
+                share[total == 0] = np.bincount(row * n + labels, size, b.num_rows * n).reshape(-1, n)[total == 0]
                 total = share.sum(axis=1)
                 best = np.where(total > 0, share.argmax(axis=1), n)
                 parts[0] += names[best].tolist()

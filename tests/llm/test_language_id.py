@@ -77,3 +77,32 @@ def test_held_out_accuracy(spark):
     found = language_id(rows.where(held), train(rows.where(~held)))
     right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right > 0.93
+
+
+def test_every_letter_counts(docs, model):
+    """Only texts that are null or hold no letter are undetermined, whatever the script."""
+    texts = ["ଓଡ଼ିଆ", "ދިވެހި", "ＡＢＣ ｄｅｆ", "ꆈꌠ", "ᠮᠣᠩᠭᠣᠯ", "ㄅㄆㄇ", "ﷺ ﻻ", "ª º", "µ", "ℕ", "𝒜", "ǅ", "ʰ", "\u0301", "\u0301 12", "1234 ?", "🙂", "Ⅷ", "हिन्दी", "ไทย", "ꙮ"]
+    for i, r in enumerate(language_id(docs(list(enumerate(texts))), model).orderBy("doc_id").collect()):
+        assert (r.lang_pred == "und") == (not any(c.isalpha() for c in texts[i])), texts[i]
+        assert 0 <= r.score <= 1 and (r.score > 0) == (r.lang_pred != "und")
+
+
+def test_long_rows_alone_and_together(model):
+    """The words that go one by one get the labels of the steps that go together."""
+    import time
+
+    from strata.llm import language_id as L
+
+    texts = [EN * k + DE * (k % 3) + RU * (k % 2) + "x" * (k % 5) for k in range(1, 120, 7)]
+    text = Text(*text_buffer(pa.array(texts)))
+    got = model.labels(text, 12.0)
+    old = L.NARROW
+    try:
+        L.NARROW = 0  # all steps together
+        assert (model.labels(text, 12.0) == got).all()
+    finally:
+        L.NARROW = old
+    long = Text(*text_buffer(pa.array([(EN + DE) * 70_000])))  # 10 MB
+    began = time.time()
+    assert len(model.labels(long, 12.0)) == len(long.start) > 1_900_000
+    assert time.time() - began < 60
