@@ -6,12 +6,13 @@ every position of the benchmark's items is joined with those of the training
 texts. A hit fixes an alignment of an item and a text; around it the words are
 compared one by one, and a window of ``WINDOW`` words of which all but
 ``ERRORS`` agree is contamination. The masks find every such window (checked
-for the parameters given). Items of fewer words are matched whole.
+for the parameters given). Items of fewer words are matched whole, and those of
+fewer than ``MIN_WORDS`` words, which name no passage, match nothing.
 
 Words are runs of letters and digits; A-Z and a-z are alike, other characters
 separate. The benchmark is cut into blocks of about ``BLOCK_WORDS`` words by a
-hash of the item; a block is broadcast (its size is checked) and the texts are
-scanned once for each, so texts are never shuffled and a benchmark of any size
+hash of their different texts; a block is broadcast and the texts are scanned
+once for each, so texts are never shuffled and a benchmark of any size
 is matched whole.
 """
 
@@ -26,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Words, mix, ship, slices, text_buffer
+from strata.llm.common import Words, mix, ship, slices, stored, text_buffer
 
 MASKS = ("1111101", "1011000111")
 WINDOW = 13
 ERRORS = 2
 BLOCK_WORDS = 1_000_000
+MIN_WORDS = 5
 MATCH = "words bigint, matched bigint, covered bigint, start bigint, stop bigint"
 
 _KINDS = np.zeros(256, np.uint8)
@@ -68,7 +70,7 @@ class Block:
         self.words: list[np.ndarray] = []
         for i, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist())):
             w = words.hash[a:b]
-            if b > a:
+            if b - a >= MIN_WORDS:
                 k = same.setdefault(w.tobytes(), len(self.words))
                 if k == len(self.words):
                     self.words.append(w)
@@ -123,19 +125,27 @@ def aligned(text: np.ndarray, item: np.ndarray, shift: int, window: int, errors:
     return int(inside.max()), covered
 
 
-def matches_of(batch: pa.RecordBatch, column: str, block: Block, window: int, errors: int) -> Iterator[tuple[int, int, int, int, int, int]]:
-    """(row, item, best window's equal words, covered words, first and last word in the text) of a slice."""
+def matches_of(batch: pa.RecordBatch, column: str, block: Block, window: int, errors: int, any_item: bool = False) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(row, item, best window's equal words, covered words, first and last word in the text) of a slice.
+
+    With ``any_item`` a row that matches is not compared with further items.
+    """
     words = Words(*text_buffer(batch.column(column)), kinds=_KINDS)
     at, item, place = block.hits(words.hash)
     if not len(at):
         return
     row = np.searchsorted(words.first, at, "right") - 1
     found: dict[tuple[int, int], list] = {}
+    done: set[int] = set()
     for r, k, shift in np.unique(np.stack([row, item, at - place], axis=1), axis=0).tolist():
+        if r in done:
+            continue
         first = int(words.first[r])
         text = words.hash[first : int(words.first[r + 1])]
         best, covered = aligned(text, block.words[k], shift - first, window, errors)
         if covered.any():
+            if any_item:
+                done.add(r)
             where = np.flatnonzero(covered) + shift - first
             old = found.get((r, k))
             if old is None:
@@ -146,18 +156,23 @@ def matches_of(batch: pa.RecordBatch, column: str, block: Block, window: int, er
         yield r, k, best, int(covered.sum()), a, z
 
 
-def blocks(benchmark: DataFrame, item_column: str, text_column: str, masks: tuple[str, ...], window: int, errors: int, block_words: int) -> Iterator[Block]:
-    """The benchmark's items, a bounded share of them at a time."""
+def texts_of(benchmark: DataFrame, text_column: str) -> DataFrame:
+    """(_no, _text): the different texts of the benchmark's items, so that copies of one take no room."""
+    texts = benchmark.select(benchmark[text_column].alias("_text")).where("_text is not null").distinct()
+    return stored(texts.withColumn("_no", F.monotonically_increasing_id()), "benchmark-texts")
+
+
+def blocks(rows: DataFrame, masks: tuple[str, ...], window: int, errors: int, block_words: int) -> Iterator[Block]:
+    """The benchmark's texts (``texts_of``), a bounded share of them at a time."""
     if not complete(masks, window, errors):
         raise ValueError(f"masks {masks} miss windows of {window} words with {errors} substitutions")
-    rows = benchmark.select(benchmark[item_column].alias("_item"), benchmark[text_column].alias("_text")).where("_text is not null")
     chars = rows.agg(F.sum(F.length("_text"))).first()[0] or 0
     n = 1 + chars // (5 * block_words)
     for k in range(n):
         part = rows.where(F.pmod(F.xxhash64("_text"), F.lit(n)) == k).collect()  # about block_words words
-        part.sort(key=lambda r: (r[0] is not None, r[0]))
+        part.sort(key=lambda r: r._no)
         if part:
-            yield Block([r[0] for r in part], [r[1] for r in part], masks, window)
+            yield Block([r._no for r in part], [r._text for r in part], masks, window)
 
 
 def contamination(
@@ -168,7 +183,8 @@ def contamination(
 
     Columns: both ids, ``words`` of the item, ``matched`` words of the best
     window, ``covered`` words of the item in windows that pass, and the words
-    ``start`` to ``stop`` of the text that they span. Null or empty texts and
+    ``start`` to ``stop`` of the text that they span. Where both ids have one
+    name, the item's comes out as ``item_<name>``. Null or empty texts and
     items match nothing; items of equal words are all reported; a repeated row
     is reported again, a null id as null; an empty table gives an empty result.
     """
@@ -176,14 +192,16 @@ def contamination(
     ship(spark)
     frame = docs.select(docs[text_column].alias("_text"), docs[id_column].alias("_id"))
     kinds = docs.schema[id_column].dataType.simpleString(), benchmark.schema[item_column].dataType.simpleString()
-    schema = f"`{id_column}` {kinds[0]}, `{item_column}` {kinds[1]}, {MATCH}"
+    item_name = f"item_{item_column}" if item_column == id_column else item_column
+    schema = f"`{id_column}` {kinds[0]}, `{item_name}` {kinds[1]}, {MATCH}"
+    texts = texts_of(benchmark, item_text)
     found = []
-    for block in blocks(benchmark, item_column, item_text, masks, window, errors, block_words):
+    for block in blocks(texts, masks, window, errors, block_words):
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             b = shared.value
-            names = [id_column, item_column, *(c.split()[0] for c in MATCH.split(", "))]
+            names = ["_id", "_no", *(c.split()[0] for c in MATCH.split(", "))]
             for whole in batches:
                 for part in slices(whole, "_text"):
                     ids, rows = part.column("_id"), []
@@ -191,11 +209,14 @@ def contamination(
                         rows += [(r, i, len(b.words[k]), best, covered, a, z + 1) for i in b.ids[k]]
                     if rows:
                         columns = list(zip(*rows))
-                        item_type = whole.schema.field("_id").type if kinds[0] == kinds[1] else None
-                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(columns[0])), pa.array(columns[1], item_type), *(pa.array(c, pa.int64()) for c in columns[2:])], names=names)
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(columns[0])), pa.array(columns[1], pa.int64()), *(pa.array(c, pa.int64()) for c in columns[2:])], names=names)
 
-        found.append(frame.mapInArrow(run, schema))
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
+        found.append(frame.mapInArrow(run, f"_id {kinds[0]}, _no bigint, {MATCH}"))
+    if not found:
+        return spark.createDataFrame([], schema)
+    items = benchmark.select(benchmark[item_column].alias("_item"), benchmark[item_text].alias("_text")).join(texts, "_text").select("_no", "_item")
+    every = reduce(DataFrame.unionByName, found).join(items, "_no")
+    return every.select(F.col("_id").alias(id_column), F.col("_item").alias(item_name), *(c.split()[0] for c in MATCH.split(", ")))
 
 
 def drop_contaminated(
@@ -205,14 +226,14 @@ def drop_contaminated(
     """``docs`` without the rows that hold a window of a benchmark item; all columns stay."""
     spark = docs.sparkSession
     ship(spark)
-    for block in blocks(benchmark, item_column, item_text, masks, window, errors, block_words):
+    for block in blocks(texts_of(benchmark, item_text), masks, window, errors, block_words):
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             for whole in batches:
                 for part in slices(whole, text_column):
                     keep = np.ones(part.num_rows, bool)
-                    keep[[m[0] for m in matches_of(part, text_column, shared.value, window, errors)]] = False
+                    keep[[m[0] for m in matches_of(part, text_column, shared.value, window, errors, any_item=True)]] = False
                     yield part.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
