@@ -1,13 +1,14 @@
 """Exact dedup by progressive refinement, in DataFrame operations only.
 
 1. Count texts by length; a length that one row has needs no more work.
-2. Among the rest, count by (length, hash of the first characters).
+2. Of the rows of other lengths, hash the first characters and count by (length,
+   hash).
 3. Only rows of groups that still have two members get a full SHA-256, and
    only these digests are grouped.
 
-Steps 1 and 2 shuffle counts (hot groups are summed before the shuffle). The
-surviving groups of step 2 return to the scan of step 3 as a bitmap of bounded
-size: ``bits`` is the least power of two that gives ``BITS_PER_GROUP`` bits a
+Steps 1 and 2 shuffle counts (hot groups are summed before the shuffle). What
+survives a step returns to the scan of the next one as a bitmap of bounded
+size. For step 3 ``bits`` is the least power of two that gives ``BITS_PER_GROUP`` bits a
 group, ``MAX_BITS`` at most. A false positive costs one more SHA-256; it never
 changes a result. Texts are never shuffled unless carried.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import stored
+from strata.operators.bitmaps import bitmap_bits, key_bitmap, with_may_match
 
 PREFIX_CHARS = 64
 BITS_PER_GROUP = 16
@@ -40,12 +42,15 @@ def _bit(length: Column, prefix: Column, bits: int) -> Column:
 
 
 def suspects(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, int]:
-    """Steps 1 and 2: (length, prefix) groups of two rows or more, and their count."""
+    """Steps 1 and 2: (length, prefix hash) groups of two rows or more, and their count."""
+    measured = docs.select(normalised(F.col(text_column)).alias("_t")).withColumn("_n", F.length("_t"))
+    lengths = measured.groupBy("_n").agg(F.count("*").alias("_c")).where("_c > 1").select("_n")
+    lengths = stored(lengths, "exact-lengths")
+    bits = bitmap_bits(lengths.count())
+    some = with_may_match(measured, ["_n"], key_bitmap(lengths, ["_n"], bits), bits, "_l").where("_l")
     length, prefix = _keys(F.col("_t"))
-    measured = docs.select(normalised(F.col(text_column)).alias("_t")).select(length.alias("_n"), prefix.alias("_p"))
-    groups = stored(measured.groupBy("_n", "_p").agg(F.count("*").alias("_c")), "exact-groups")
-    lengths = groups.groupBy("_n").agg(F.sum("_c").alias("_total")).where("_total > 1").select("_n")
-    found = groups.join(lengths, "_n", "left_semi").where("_c > 1").select("_n", "_p")
+    groups = some.select(length.alias("_n"), prefix.alias("_p")).groupBy("_n", "_p").agg(F.count("*").alias("_c"))
+    found = groups.where("_c > 1").select("_n", "_p")
     found = stored(found, "exact-suspects")
     return found, found.count()
 
