@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents benchmark labels pages conversations".split()
+TABLES = "documents benchmark labels pages conversations embeddings".split()
 
 
 def test_stages(spark):
@@ -37,6 +38,23 @@ def test_stages_on_odd_tables(spark):
         assert corpus_pipeline.STAGES[4][1](spark, docs, SF).count() <= len(data)
 
 
+#: Names that the stages and their operators use themselves.
+INTERNAL = "kept keep_id group_size full_hash _quality score _text _may _bucket _map _at _gone _of _row _rest _id _t _n _p _b node counts prefix n label ids decoded a.b".split()
+
+
+def test_columns_named_like_internal_ones(spark):
+    """Such columns of the caller come out of each stage as they went in."""
+    docs = queries.table(spark, SF, "documents")
+    own = docs.select("doc_id", "text", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in INTERNAL], "lang")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, own, SF)
+        plain = stage(spark, docs, SF)
+        assert out.columns == own.columns
+        rows = out.collect()
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain.collect())
+        assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in INTERNAL)
+
+
 def test_near_stage_drops_rows_not_ids(spark):
     """Unrelated rows that share a null or repeated id with a near copy stay; of near copies one is left."""
     schema = queries.table(spark, SF, "documents").schema
