@@ -7,6 +7,9 @@ result is written as Parquet in the shared scratch folder and read again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,19 +22,38 @@ from strata.llm.queries import held_out, table
 from strata.llm.sentencepiece_codec import encode_decode
 
 QUALITY = 0.3
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def filtering(stage: Stage) -> Stage:
+    """A stage that sees ids and texts only: the other columns, whatever their names, go along as one, ``_rest``."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [c for c in docs.columns if c not in ("doc_id", "text")]
+        quoted = [f"`{c.replace('`', '``')}`" for c in others]
+        rest = F.struct(*[F.col(q).alias(f"c{i}") for i, q in enumerate(quoted)], F.lit(None).cast("int").alias("end"))
+        kept = stage(spark, docs.select("doc_id", "text", rest.alias("_rest")), sf_dir)
+        back = {c: F.col(f"_rest.c{i}").alias(c) for i, c in enumerate(others)}
+        return kept.select(*[back[c] if c in back else F.col(c) for c in docs.columns])
+
+    return run
 
 
+@filtering
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     labels = table(spark, sf_dir, "labels").where(~held_out(5, 0))
     return quality(docs, labels, output="_quality").where(F.col("_quality") >= QUALITY).select(*docs.columns)
 
 
+@filtering
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents of equal text, the one with the smallest id."""
     return exact_dedup(docs, carry=docs.columns).where("kept").select(*docs.columns)
 
 
+@filtering
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates, the document with the smallest id.
 
@@ -47,6 +69,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.where("not _may").unionByName(checked).select(*docs.columns)
 
 
+@filtering
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
