@@ -5,10 +5,10 @@ groups; how many a document has in each is a point. For two documents the sum
 over the groups of the lesser count bounds their overlap from above, and for a
 node of an R-tree so does the sum of the lesser of a query's counts and the
 node's greatest ones: what stays below the overlap that the threshold asks for
-is pruned, the rest is verified on the full sets. The number of groups grows
-with a document's shingles (``PER_GROUP`` of them a group, ``GROUPS`` groups at
-least), as the bound of few groups would not part long documents; groups are
-nested, so two documents meet in the coarser grouping, and trees use ``GROUPS``.
+is pruned, the rest is verified on the full sets. Trees use ``GROUPS`` groups;
+pairs that they leave are bounded once more by finer ones, whose number grows
+with a document's shingles (``PER_GROUP`` of them a group), as the bound of few
+groups would not part long documents.
 
 Points are dealt to tasks by an exact rule. In one order of all shingles, two
 documents that link share a shingle among the first ``n - ceil(0.8 n) + 1`` of
@@ -17,16 +17,19 @@ shingles last that a sketch of all shingles shows to be frequent, so common
 passages form no blocks unless a document is made of them; any order is exact.
 
 1. Documents with equal sets are one node (the copies of a text count once).
-2. Each node is compared with two members of each of its blocks, picked by a
-   hash. Verified links give first components. Work is linear in block rows.
-3. Blocks that still hold two components are searched through R-trees: every
-   member against all members of other components; tree nodes that hold only
-   the query's component are skipped. Blocks with the same most frequent
-   component are searched as one, large ones are dealt to several tasks.
-4. Verified links of both steps give the components.
-
-Every pair within the threshold is linked in step 2, found and verified in step
-3, or already known to be in one component.
+2. Blocks of nearly the same nodes are made one, so that a pair meets about once:
+   each node is compared with two members of each of its blocks, picked by a
+   hash, and blocks with the same most frequent component of these links are
+   searched as one. This decides which blocks are searched together only.
+3. Every block is searched through an R-tree of its points, each against all
+   others; large blocks are cut into tiles, and a tree is searched for each pair
+   of tiles. Points that no other reaches drop out.
+4. For the rest, the search is made again with their full sets beside them, and
+   the pairs it leaves are verified. A pair that meets in several blocks counts
+   in the first of them. A task sends on the number of links of each node and
+   the node's least one in its part, not the links: they may be as many as the
+   square of a group of near copies.
+5. Components of these.
 """
 
 from __future__ import annotations
@@ -47,8 +50,9 @@ GROUPS = 32
 PER_GROUP = 2
 SKETCH = 1 << 20  # counters of the sketch that orders shingles
 TILE = 2048  # rows of one side of a search task
-BUCKET_ROWS = 20_000  # rows of small blocks that one group of step 3 holds
-FANOUT = 32
+TILE_SHINGLES = 1 << 22  # of all rows of a side, where their sets are there
+BUCKET_ROWS = 20_000  # rows of small blocks that one group of a search holds
+FANOUT = 8
 
 
 def _sets(b: pa.RecordBatch, words: int) -> list[np.ndarray]:
@@ -218,128 +222,226 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
+def _packed(counts: np.ndarray) -> np.ndarray:
+    """An order of points in which neighbours are close: halves along the coordinate of the greatest spread, again and again."""
+    order = np.arange(len(counts))
+    todo = [(0, len(counts))]
+    while todo:
+        a, b = todo.pop()
+        if b - a <= FANOUT:
+            continue
+        part = order[a:b]
+        by = counts[part].var(axis=0).argmax()
+        order[a:b] = part[np.argsort(counts[part, by], kind="stable")]
+        half = a + FANOUT * max(1, (b - a) // (2 * FANOUT))  # leaves are full
+        todo += [(a, half), (half, b)]
+    return order
+
+
 class CountTree:
-    """R-tree of count vectors: leaves of ``FANOUT`` points and one level of nodes above them."""
-
-    def __init__(self, counts: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
-        order = np.lexsort((sizes, labels))
-        self.order, self.counts, self.sizes, self.labels = order, counts[order], sizes[order], labels[order]
-        self.leaves = self._level(np.arange(0, len(order), FANOUT), self.counts, self.sizes, self.labels, self.labels)
-        top, low, first, last = self.leaves
-        self.nodes = self._level(np.arange(0, len(low), FANOUT), top, low, first, last)
-
-    @staticmethod
-    def _level(starts, counts, sizes, first, last):  # noqa: ANN001, ANN205
-        ends = np.append(starts[1:], len(sizes)) - 1
-        return np.maximum.reduceat(counts, starts), np.minimum.reduceat(sizes, starts), first[starts], last[ends]
-
-    def search(self, counts: np.ndarray, sizes: np.ndarray, labels: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, point) numbers whose bound allows the threshold and whose labels differ."""
-        left, right = [], []
-
-        def open_(level, i, queries):  # noqa: ANN001, ANN202
-            top, low, first, last = level
-            if first[i] == last[i]:
-                queries = queries[labels[queries] != first[i]]
-            bound = np.minimum(counts[queries], top[i]).sum(axis=1)
-            return queries[_enough(bound, sizes[queries] + low[i], percent)]
-
-        for i in range(len(self.nodes[1])):
-            above = open_(self.nodes, i, np.arange(len(sizes)))
-            for j in range(i * FANOUT, min((i + 1) * FANOUT, len(self.leaves[1]))):
-                if not len(above):
-                    break
-                queries = open_(self.leaves, j, above)
-                if not len(queries):
-                    continue
-                at = np.arange(j * FANOUT, min((j + 1) * FANOUT, len(self.sizes)))
-                for part in np.array_split(queries, -(-len(queries) // 256)):
-                    least = np.minimum(counts[part][:, None, :], self.counts[at][None, :, :]).sum(axis=2)
-                    on = _enough(least, sizes[part][:, None] + self.sizes[at][None, :], percent) & (labels[part][:, None] != self.labels[at][None, :])
-                    q, p = np.nonzero(on)
-                    left.append(part[q])
-                    right.append(self.order[at[p]])
-        if not left:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(left), np.concatenate(right)
-
-
-def _main(blocks: DataFrame) -> DataFrame:
-    """(key, size, most, main) of each block: its most frequent label and how many rows have it."""
-    per_label = blocks.groupBy("key", "label").agg(F.count("*").alias("c"))
-    sizes = per_label.groupBy("key").agg(F.sum("c").alias("size"), F.max("c").alias("most"))
-    return per_label.join(sizes, "key").where("c = most").groupBy("key", "size", "most").agg(F.min("label").alias("main"))
+    """R-tree of count vectors, packed by their coordinates: ``FANOUT`` entries a node, as many levels as that takes.
+
+    A node has the greatest count of each group below it, and the least and the
+    greatest size.
+    """
+
+    def __init__(self, counts: np.ndarray, sizes: np.ndarray):
+        self.order = _packed(counts)
+        self.levels = [(counts[self.order], sizes[self.order], sizes[self.order])]
+        while len(self.levels[-1][1]) > FANOUT:
+            top, low, high = self.levels[-1]
+            starts = np.arange(0, len(low), FANOUT)
+            self.levels.append((np.maximum.reduceat(top, starts), np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)))
+
+    def search(self, counts: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, point) numbers whose bound allows the threshold."""
+        n = len(self.levels[-1][1])
+        q, p = np.repeat(np.arange(len(sizes)), n), np.tile(np.arange(n), len(sizes))
+        for k in range(len(self.levels) - 1, -1, -1):
+            top, low, high = self.levels[k]
+            on = np.zeros(len(q), bool)
+            for part in (slice(a, a + (1 << 16)) for a in range(0, len(q), 1 << 16)):
+                x, y = q[part], p[part]
+                most = np.minimum(np.minimum(counts[x], top[y]).sum(axis=1), high[y])
+                on[part] = _enough(most, sizes[x] + low[y], percent)
+            q, p = q[on], p[on]
+            if k:
+                first, below = p * FANOUT, len(self.levels[k - 1][1])
+                many = np.minimum(FANOUT, below - first)
+                p = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+                q = np.repeat(q, many)
+        return q, self.order[p]
 
 
 def merged(blocks: DataFrame) -> DataFrame:
-    """Blocks (key, node, label) of two labels or more, those of one most frequent label made one.
+    """Blocks (key, node, label), those of one most frequent label made one: (key, node).
 
     A passage's shingles form blocks of nearly the same nodes; merged, a pair
     meets once. Pairs of a block stay together, so none is lost.
     """
-    main = _main(blocks).where("most < size").select("key", "main")
-    return blocks.join(main, "key").select(F.col("main").alias("key"), "node", "label").distinct()
-
-
-def searched(blocks: DataFrame, table: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of different labels within blocks (key, node, label)."""
-    rows = blocks.sparkSession
-    # Rows of a large block's most frequent label only meet the others.
-    main = _main(blocks)
-    main = main.withColumns({"others": F.ceil((F.col("size") - F.col("most")) / TILE), "all": F.ceil(F.col("size") / TILE)})
-    small = blocks.join(main.where(f"size <= {TILE}").select("key", "size"), "key")
-    large = blocks.join(main.where(f"size > {TILE}"), "key").withColumn("minor", F.col("label") != F.col("main"))
-    spread = F.pmod(F.xxhash64("node", F.lit(3)), F.col("all"))
-    spread_minor = F.pmod(F.xxhash64("node", F.lit(4)), F.col("others"))
-    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("others") - 1))
-    right = large.select("key", "node", "label", F.lit(False).alias("query"), each.alias("i"), spread.alias("j"))
-    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("all") - 1))
-    left = large.where("minor").select("key", "node", "label", F.lit(True).alias("query"), spread_minor.alias("i"), each.alias("j"))
-    total = small.count()
-    buckets = max(1, total // BUCKET_ROWS, int(rows.conf.get("spark.sql.shuffle.partitions")))
-    tasks = (
-        left.unionByName(right)
-        .withColumn("grp", F.xxhash64("key", "i", "j"))
-        .unionByName(
-            small.select("key", "node", "label", F.lit(None).cast("boolean").alias("query"), F.lit(0).cast("bigint").alias("i"), F.lit(0).cast("bigint").alias("j")).withColumn(
-                "grp", F.pmod(F.xxhash64("key", F.lit(5)), F.lit(buckets))
-            )
-        )
-    )
-    tasks = tasks.join(table.select("node", "n", "counts"), "node").select("grp", "key", "i", "j", "node", "label", "query", "n", "counts")
+    per_label = blocks.groupBy("key", "label").agg(F.count("*").alias("c"))
+    most = per_label.groupBy("key").agg(F.max(F.struct("c", F.bitwise_not("label").alias("l"))).alias("m"))
+    return blocks.join(most.select("key", F.bitwise_not("m.l").alias("main")), "key").select(F.col("main").alias("key"), "node").distinct()
+
+
+def dealt(rows: DataFrame, shingles: bool) -> DataFrame:
+    """``rows`` (key, node, n, ...) with ``grp`` and tiles ``i`` and ``j`` in which a row of a block meets the others.
+
+    A row of a block of several tiles is in a group with each of them, its own
+    included; ``side`` is the tile it is of. Blocks of one tile share groups of
+    about ``BUCKET_ROWS`` rows (or ``TILE_SHINGLES``).
+    """
+    sizes = rows.groupBy("key").agg(F.count("*").alias("rows"), F.sum("n").alias("of"))
+    tiles = F.ceil(F.col("rows") / TILE)
+    tiles = F.greatest(tiles, F.ceil(F.col("of") / TILE_SHINGLES)) if shingles else tiles
+    sizes = stored(sizes.where("rows > 1").withColumn("tiles", tiles), "block-sizes")
+    total = sizes.where("tiles = 1").agg(F.sum("rows"), F.sum("of")).first()
+    buckets = max(1, (total[0] or 0) // BUCKET_ROWS, (total[1] or 0) // TILE_SHINGLES if shingles else 0, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.join(sizes.select("key", "tiles"), "key").withColumn("side", F.pmod(F.xxhash64("node", F.lit(3)), F.col("tiles")))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1))
+    rows = rows.withColumn("other", other).withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")}).drop("other")
+    alone = F.pmod(F.xxhash64("key", F.lit(5)), F.lit(buckets))
+    return rows.withColumn("grp", F.when(F.col("tiles") == 1, alone).otherwise(F.xxhash64("key", "i", "j"))).drop("tiles")
+
+
+def _parts(group: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Rows of each block and pair of tiles of a group, and the numbers of either side's rows among them."""
+    group = group.combine_chunks().sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending"), ("node", "ascending")])
+    key, i, j, side = (group.column(c).to_numpy() for c in ("key", "i", "j", "side"))
+    new = np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
+    starts = np.append(np.flatnonzero(new), len(key))
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        yield group.slice(a, b - a), np.flatnonzero(side[a:b] == i[a]), np.flatnonzero(side[a:b] == j[a])
+
+
+def _candidates(part: pa.Table, one: np.ndarray, two: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows, of one side each, that the tree and then the finer counts leave; each pair once."""
+    n = part.column("n").to_numpy()
+    fine = _vectors(part.column("counts"))
+    coarse = np.array([_folded(x, GROUPS) for x in fine], np.int32).reshape(-1, GROUPS)
+    x, y = CountTree(coarse[two], n[two]).search(coarse[one], n[one], percent)
+    x, y = one[x], two[y]
+    on = x != y if len(one) != len(two) or (one != two).any() else x < y
+    x, y = x[on], y[on]
+    on = _enough(_overlaps(fine, fine, x, y), n[x] + n[y], percent)
+    return x[on], y[on]
+
+
+def reached(blocks: DataFrame, table: DataFrame, percent: int) -> DataFrame:
+    """Rows (key, node) of blocks that some other row of the block may link with."""
+    rows = dealt(blocks.join(table.select("node", "n", "counts"), "node"), False)
 
     def search(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks().sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending"), ("node", "ascending")])
-        key, i, j, node, label, n = (group.column(c).to_numpy() for c in ("key", "i", "j", "node", "label", "n"))
-        query = group.column("query").to_pylist()
-        fine = _vectors(group.column("counts"))
-        counts = np.array([_folded(x, GROUPS) for x in fine], np.int32).reshape(-1, GROUPS)
-        new = np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
-        starts = np.append(np.flatnonzero(new), len(key))
-        found = []
-        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-            whole = query[a] is None
-            q = np.arange(a, b) if whole else np.array([k for k in range(a, b) if query[k]], np.int64)
-            p = np.arange(a, b) if whole else np.array([k for k in range(a, b) if not query[k]], np.int64)
-            if not len(q) or not len(p):
-                continue
-            x, y = CountTree(counts[p], n[p], label[p]).search(counts[q], n[q], label[q], percent)
-            x, y = q[x], p[y]
-            on = _enough(_overlaps(fine, fine, x, y), n[x] + n[y], percent)
-            pair = np.stack([node[x[on]], node[y[on]]], axis=1)
-            pair.sort(axis=1)
-            found.append(np.unique(pair, axis=0))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+        keys, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for part, one, two in _parts(group):
+            at = np.unique(np.concatenate(_candidates(part, one, two, percent)))
+            keys.append(part.column("key").to_numpy()[at])
+            nodes.append(part.column("node").to_numpy()[at])
+        return pa.table({"key": pa.array(np.concatenate(keys), pa.int64()), "node": pa.array(np.concatenate(nodes), pa.int64())})
 
-    return tasks.groupBy("grp").applyInArrow(search, "a bigint, b bigint").distinct()
+    return rows.select("grp", "key", "i", "j", "side", "node", "n", "counts").groupBy("grp").applyInArrow(search, "key bigint, node bigint").distinct()
+
+
+def exact_overlaps(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Common elements of ``sets[x[i]]`` and ``sets[y[i]]`` (sorted, distinct), for all i.
+
+    Few pairs are merged one by one; where many pairs are of few sets, products
+    of their membership matrices give all at once.
+    """
+    used, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+    x, y = at[: len(x)], at[len(x) :]
+    sets = [sets[k] for k in used.tolist()]
+    out = np.zeros(len(x), np.int64)
+    if len(x) < 16 * len(sets):
+        for k, (i, j) in enumerate(zip(x.tolist(), y.tolist())):
+            a, b = (sets[i], sets[j]) if len(sets[i]) < len(sets[j]) else (sets[j], sets[i])
+            out[k] = np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a)
+        return out
+    row = np.repeat(np.arange(len(sets)), [len(v) for v in sets])
+    _, column, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    on = many[column] > 1  # elements of one set count for no pair
+    row, column = row[on], column[on]
+    new = np.unique(column)
+    column = np.searchsorted(new, column)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    for a in range(0, len(new), 2048):
+        low, high = np.searchsorted(column, [a, a + 2048])
+        member = np.zeros((len(sets), 2048), np.float32)
+        member[row[low:high], column[low:high] - a] = 1
+        total += member @ member.T
+    return total[x, y].astype(np.int64)
+
+
+def _least(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The least member of each of ``n`` nodes' components over links (x, y)."""
+    label = np.arange(n)
+    while len(x):
+        low = np.minimum(label[x], label[y])
+        old = label.copy()
+        np.minimum.at(label, x, low)
+        np.minimum.at(label, y, low)
+        label = label[label]
+        if (label == old).all():
+            break
+    return label
+
+
+def linked(rows: DataFrame, table: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, links, root): a part of a node's number of linked documents, and the least node it is linked with there.
+
+    ``rows`` (key, node) come from ``reached``.
+    """
+    homes = rows.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("homes"))
+    nodes = stored(homes, "candidate-nodes")  # a node has as many keys as its prefix has shingles at most
+    sets = stored(full_sets(docs, nodes, words), "sets")
+    full = rows.join(nodes, "node").join(table, "node").join(sets, "node")
+    full = dealt(full, True).select("grp", "key", "i", "j", "side", "node", "n", "counts", "weight", "homes", "shingles")
+
+    def verify(group: pa.Table) -> pa.Table:
+        out = []
+        for part, one, two in _parts(group):
+            x, y = _candidates(part, one, two, percent)
+            if not len(x):
+                continue
+            n, node, weight = (part.column(c).to_numpy() for c in ("n", "node", "weight"))
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in part.column("shingles")]
+            on = _enough(exact_overlaps(sets, x, y), n[x] + n[y], percent)
+            x, y = x[on], y[on]
+            root = node[_least(len(node), x, y)]  # rows are in the order of their nodes
+            first = _first_home(part.column("homes").to_pylist(), part.column("key")[0].as_py(), x, y)
+            links = np.bincount(x[first], weight[y[first]], len(node)) + np.bincount(y[first], weight[x[first]], len(node))
+            at = np.unique(np.concatenate([x, y]))
+            out.append((node[at], links[at].astype(np.int64), root[at]))
+        columns = [np.concatenate([np.zeros(0, np.int64), *c]) for c in (zip(*out) if out else ([], [], []))]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["node", "links", "root"])
+
+    return full.groupBy("grp").applyInArrow(verify, "node bigint, links bigint, root bigint")
+
+
+def _first_home(homes: list[list[int]], key: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs have no block before ``key`` in common."""
+    before = [[k for k in h if k < key] for h in homes]
+    number = {k: i for i, k in enumerate(sorted({k for h in before for k in h}))}
+    out = np.ones(len(x), bool)
+    if number:
+        at = np.full((len(homes), max(len(h) for h in before)), -1)
+        for i, h in enumerate(before):
+            at[i, : len(h)] = [number[k] for k in h]
+        both = np.flatnonzero((at[x, 0] >= 0) & (at[y, 0] >= 0))
+        for part in np.array_split(both, 1 + len(both) * at.shape[1] ** 2 // (1 << 22)):
+            a, b = at[x[part]], at[y[part]]
+            out[part] = ~((a[:, :, None] == b[:, None, :]) & (a[:, :, None] >= 0)).any(axis=(1, 2))
+    return out
 
 
 def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, ``n_shingles``, ``component_id``), one row per row of ``docs``.
+    """(id, ``n_shingles``, ``component_id``, ``n_links``), one row per row of ``docs``.
 
     ``component_id`` is the least id reachable over links, the row's own
-    included. Null, empty or white-space text has no shingles and links with
+    included, and ``n_links`` the number of other rows that the row links with.
+    Null, empty or white-space text has no shingles and links with
     nothing; rows of equal sets link, whatever their ids; rows with a null id
     link too, and their component is null if all its ids are. An empty table
     gives an empty result.
@@ -347,7 +449,9 @@ def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     ship(docs.sparkSession)
     docs = docs.select(docs[id_column].alias("_id"), docs[text_column].alias("_text"))
     found = stored(points(docs, words, percent), "points")
-    table = stored(found.where("counts is not null").select("node", "n", "counts").dropDuplicates(["node"]), "nodes")
+    weights = found.where("node is not null").groupBy("node").agg(F.count("*").alias("weight"))
+    table = found.where("counts is not null").select("node", "n", "counts").dropDuplicates(["node"])
+    table = stored(table.join(weights, "node"), "nodes")
 
     # shingles that the prefixes of two nodes share, with two pivots each
     other = F.col("node").bitwiseXOR(F.col("key"))
@@ -368,20 +472,26 @@ def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     members = found.where("counts is not null").select("node", "prefix").mapInArrow(hits, "node bigint, key bigint").join(shared, "key").distinct()
     members = stored(members, "members")
 
+    # which blocks are searched together
     pivots = F.explode(F.array(F.col("lo").bitwiseXOR(F.col("key")), F.col("hi").bitwiseXOR(F.col("key"))))
     stars = members.select(F.col("node").alias("a"), pivots.alias("b")).where("a <> b")
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = stored(verified(bounded(stars, table, percent), docs, words, percent), "star-links")
-    labels = stored(components(first), "star-components")
-
+    near = stored(verified(bounded(stars, table, percent), docs, words, percent), "star-links")
+    labels = stored(components(near), "star-components")
     blocks = members.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     blocks = stored(merged(blocks), "blocks")
-    second = verified(searched(blocks, table, percent), docs, words, percent)
-    links = stored(first.unionByName(second), "all-links")
-    labels = stored(components(links), "components")
 
-    rows = found.select("_id", "n", "node").join(labels, "node", "left")
-    rows = rows.select("_id", "n", F.coalesce("label", "node", F.xxhash64("_id")).alias("label"))
+    # the search
+    rows = stored(reached(blocks, table, percent), "reached")
+    links = stored(linked(rows, table, docs, words, percent), "links")
+    labels = stored(components(links.select(F.col("node").alias("a"), F.col("root").alias("b"))), "components")
+    number = links.groupBy("node").agg(F.sum("links").alias("links"))
+    nodes = table.select("node", "weight").join(labels, "node", "left").join(number, "node", "left")
+    nodes = nodes.select("node", F.coalesce("label", "node").alias("label"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+
+    rows = found.select("_id", "n", "node").join(nodes, "node", "left")
     least = rows.where("n > 0").groupBy("label").agg(F.min("_id").alias("least"))
+    rows = rows.withColumn("label", F.coalesce("label", F.xxhash64("_id")))
     out = rows.join(least, "label", "left")
-    return out.select(F.col("_id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("_id")).alias("component_id"))
+    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("_id"))
+    return out.select(F.col("_id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
