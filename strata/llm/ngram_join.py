@@ -18,9 +18,10 @@ passages form no blocks unless a document is made of them; any order is exact.
 
 1. Documents with equal sets are one node (the copies of a text count once).
 2. Blocks of nearly the same nodes are made one, so that a pair meets about once:
-   each node is compared with two members of each of its blocks, picked by a
-   hash, and blocks with the same most frequent component of these links are
-   searched as one. This decides which blocks are searched together only.
+   the count vectors of each node are compared with those of two members of each
+   of its blocks, picked by a hash, and blocks with the same most frequent
+   component of the pairs that may link are searched as one. This decides which
+   blocks are searched together, and nothing else.
 3. Every block is searched through an R-tree of its points, each against all
    others; large blocks are cut into tiles, and a tree is searched for each pair
    of tiles. Points that no other reaches drop out.
@@ -200,28 +201,6 @@ def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return docs.select("_text").mapInArrow(run, "node bigint, shingles binary").dropDuplicates(["node"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            on = []
-            for x, y in zip(b.column("sa"), b.column("sb")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                on.append(bool(_enough(np.count_nonzero(y[at] == x), len(x) + len(y), percent)))
-            yield b.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
-
-    pairs = stored(pairs, "candidates")
-    nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "candidate-nodes")
-    sets = stored(full_sets(docs, nodes, words), "sets")
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
-
-
 def _packed(counts: np.ndarray) -> np.ndarray:
     """An order of points in which neighbours are close: halves along the coordinate of the greatest spread, again and again."""
     order = np.arange(len(counts))
@@ -285,7 +264,7 @@ def merged(blocks: DataFrame) -> DataFrame:
 
 
 def dealt(rows: DataFrame, shingles: bool) -> DataFrame:
-    """``rows`` (key, node, n, ...) with ``grp`` and tiles ``i`` and ``j`` in which a row of a block meets the others.
+    """``rows`` (key, node, n) with ``grp`` and tiles ``i`` and ``j`` in which a row of a block meets the others.
 
     A row of a block of several tiles is in a group with each of them, its own
     included; ``side`` is the tile it is of. Blocks of one tile share groups of
@@ -329,7 +308,7 @@ def _candidates(part: pa.Table, one: np.ndarray, two: np.ndarray, percent: int)
 
 def reached(blocks: DataFrame, table: DataFrame, percent: int) -> DataFrame:
     """Rows (key, node) of blocks that some other row of the block may link with."""
-    rows = dealt(blocks.join(table.select("node", "n", "counts"), "node"), False)
+    rows = dealt(blocks.join(table.select("node", "n"), "node"), False).join(table.select("node", "counts"), "node")
 
     def search(group: pa.Table) -> pa.Table:
         keys, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -396,8 +375,9 @@ def linked(rows: DataFrame, table: DataFrame, docs: DataFrame, words: int, perce
     homes = rows.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("homes"))
     nodes = stored(homes, "candidate-nodes")  # a node has as many keys as its prefix has shingles at most
     sets = stored(full_sets(docs, nodes, words), "sets")
-    full = rows.join(nodes, "node").join(table, "node").join(sets, "node")
-    full = dealt(full, True).select("grp", "key", "i", "j", "side", "node", "n", "counts", "weight", "homes", "shingles")
+    tasks = dealt(rows.join(table.select("node", "n"), "node"), True)
+    full = tasks.join(nodes, "node").join(table.select("node", "counts", "weight"), "node").join(sets, "node")
+    full = full.select("grp", "key", "i", "j", "side", "node", "n", "counts", "weight", "homes", "shingles")
 
     def verify(group: pa.Table) -> pa.Table:
         out = []
@@ -476,7 +456,7 @@ def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     pivots = F.explode(F.array(F.col("lo").bitwiseXOR(F.col("key")), F.col("hi").bitwiseXOR(F.col("key"))))
     stars = members.select(F.col("node").alias("a"), pivots.alias("b")).where("a <> b")
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    near = stored(verified(bounded(stars, table, percent), docs, words, percent), "star-links")
+    near = stored(bounded(stars, table, percent), "star-links")
     labels = stored(components(near), "star-components")
     blocks = members.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     blocks = stored(merged(blocks), "blocks")
