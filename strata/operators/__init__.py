@@ -39,6 +39,7 @@ from strata.operators.relational import (
     side_stats_many,
     union_rows,
 )
+from strata.operators.rules import map_prefix_rules
 
 __all__ = [
     "DEFAULT_BROADCAST_MAX_BYTES",
@@ -65,6 +66,7 @@ __all__ = [
     "key_uniqueness",
     "lookup_join",
     "lookup_joins",
+    "map_prefix_rules",
     "missing_country_with_date",
     "null_profile",
     "null_rows",

@@ -24,6 +24,7 @@ from strata.functions.mapping import fill_null, map_exact, map_prefix
 from strata.operators import quality as Q
 from strata.operators.observed import Probes
 from strata.operators.relational import Lookup, anti_join, exclude_keys, lookup_joins, rows_missing_lookup
+from strata.operators.rules import map_prefix_rules
 from strata.plans.curated import (
     clean_countries,
     clean_facts,
@@ -46,8 +47,9 @@ from strata.plans.refined import (
 )
 from strata.session import ensure_settings, scratch_path
 from strata.sinks.bucketed import read_bucketed, write_bucketed
-from strata.sinks.writers import ensure_database, key_bucket_filter, save_catalog_table, table_name, with_key_bucket, write_table
+from strata.sinks.writers import ensure_database, key_bucket_filter, save_catalog_table, table_name, update_catalog_table, with_key_bucket, write_table
 from strata.sources import driver_tables as V
+from strata.sources.rejected import quarantine, read_facts_checked, split_rejected
 from strata.sources.readers import read_countries, read_facts, read_partitioned_strings, read_users
 from strata.streaming import read_streamed_facts, start_curated_facts
 
@@ -77,6 +79,8 @@ PUBLISHING = (
     "bucketed_facts_per_user",
     "bucketed_exclusion",
     "published_counts",
+    "catalog_evolved_facts",
+    "rejected_lines",
 )
 
 
@@ -218,6 +222,24 @@ def map_country_prefix(spark, sf_dir):
     return u.select(col("#id"), "country", map_prefix("country", V.DRIVER_PREFIX_RULES).alias("country_name"))
 
 
+@register(
+    "map_prefix_rule_table",
+    """
+SELECT p_partkey, p_type, coalesce(value, p_type) AS mapped FROM part LEFT JOIN (
+  SELECT p.p_partkey AS k, arg_min(r.value, r.n) AS value
+  FROM part p JOIN (SELECT DISTINCT p_type AS prefix, 'whole ' || p_type AS value, 2 AS n FROM part
+    UNION ALL SELECT DISTINCT left(p_type, 8), 'begins ' || left(p_type, 8), CASE WHEN left(p_type, 1) < 'M' THEN 1 ELSE 3 END FROM part) r
+  ON starts_with(p.p_type, r.prefix) GROUP BY p.p_partkey) ON k = p_partkey""",
+)
+def map_prefix_rule_table(spark, sf_dir):
+    """X2, F5 with the rules as a table: whole part types and their beginnings, the first by number."""
+    part = V.table(spark, sf_dir, "part")
+    whole = part.select(F.col("p_type").alias("prefix"), F.concat(F.lit("whole "), "p_type").alias("value"), F.lit(2).alias("n"))
+    begin = F.substring("p_type", 1, 8)
+    short = part.select(begin.alias("prefix"), F.concat(F.lit("begins "), begin).alias("value"), F.when(F.substring("p_type", 1, 1) < "M", 1).otherwise(3).alias("n"))
+    return map_prefix_rules(part.select("p_partkey", "p_type"), "p_type", whole.union(short).distinct(), "mapped")
+
+
 @register(
     "map_continent_exact",
     f"""
@@ -974,6 +996,45 @@ def enrich_users_above_bound(spark, sf_dir):
     return enrich_users(users, V.raw_horoscopes(spark), countries, broadcast_max_rows=1)
 
 
+@register(
+    "catalog_evolved_facts",
+    """
+SELECT user_id, fact_date, song_id, CAST(NULL AS VARCHAR) AS group_id FROM facts_parsed WHERE event_id % 3 <> 0 AND event_id % 8 < 4
+UNION ALL SELECT user_id, fact_date, NULL, group_id FROM facts_parsed WHERE event_id % 8 >= 4""",
+)
+def catalog_evolved_facts(spark, sf_dir):
+    """K3: two runs into one catalog table; the second brings a column, lacks another and replaces its own partitions."""
+    root = scratch_path(spark, "catalog-evolved")
+    ensure_database(spark, "strata_evolved", f"{root}/_db")
+    spark.sql("DROP TABLE IF EXISTS strata_evolved.facts")
+    facts = _facts_parsed(spark, sf_dir).withColumn("part", F.expr("CAST(event_id % 8 AS INT)"))
+    first = facts.where("event_id % 3 <> 0").select("user_id", "fact_date", "song_id", "part")
+    second = facts.where("part >= 4").select("user_id", "group_id", "fact_date", "part")
+    for run in (first, second):
+        update_catalog_table(run, "strata_evolved", "facts", f"{root}/facts", partition_by=["part"])
+    return spark.table("strata_evolved.facts").select("user_id", "fact_date", "song_id", "group_id")
+
+
+@register(
+    "rejected_lines",
+    """
+SELECT CASE WHEN event_id % 50 = 0 THEN 'short' WHEN event_id % 50 = 1 THEN 'long' ELSE 'row' END AS kind, count(*) AS n, count(DISTINCT event_id) AS events
+FROM events GROUP BY kind""",
+)
+def rejected_lines(spark, sf_dir):
+    """Raw fact lines with fields missing or too many, quarantined with their text; rows and lines add up."""
+    root = scratch_path(spark, "rejected")
+    kind = F.expr("CASE WHEN event_id % 50 = 0 THEN 'short' WHEN event_id % 50 = 1 THEN 'long' ELSE 'row' END")
+    fields = [F.col("event_id").cast("string"), F.lit("2009-05-04T23:08:57Z"), F.lit("g"), F.lit("G"), F.lit("s")]
+    line = F.when(kind == "short", F.concat_ws("\t", *fields)).when(kind == "long", F.concat_ws("\t", *fields, F.lit("S"), F.lit("more"))).otherwise(F.concat_ws("\t", *fields, F.lit("S")))
+    V.table(spark, sf_dir, "events").select(line).write.text(f"{root}/raw")
+    good, bad = split_rejected(read_facts_checked(spark, f"{root}/raw"))
+    quarantine(bad, f"{root}/quarantine")
+    held = spark.read.parquet(f"{root}/quarantine").select(F.when(F.size(F.split("line", "\t")) < 6, "short").otherwise("long").alias("kind"), F.split("line", "\t")[0].alias("id"))
+    every = good.select(F.lit("row").alias("kind"), F.col("user_id").alias("id")).unionByName(held)
+    return every.groupBy("kind").agg(F.count("*").alias("n"), F.count_distinct("id").alias("events"))
+
+
 @register(
     "published_counts",
     """

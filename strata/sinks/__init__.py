@@ -3,11 +3,13 @@
 from strata.sinks.bucketed import Bucketing, bucketing, read_bucketed, write_bucketed
 from strata.sinks.run_log import RUN_LOG_SCHEMA, RunLog
 from strata.sinks.writers import (
+    SchemaChangeError,
     ensure_database,
     key_bucket_filter,
     save_catalog_table,
     stage_table,
     table_name,
+    update_catalog_table,
     with_key_bucket,
     write_table,
 )
@@ -16,6 +18,7 @@ __all__ = [
     "RUN_LOG_SCHEMA",
     "Bucketing",
     "RunLog",
+    "SchemaChangeError",
     "bucketing",
     "ensure_database",
     "key_bucket_filter",
@@ -23,6 +26,7 @@ __all__ = [
     "save_catalog_table",
     "stage_table",
     "table_name",
+    "update_catalog_table",
     "with_key_bucket",
     "write_bucketed",
     "write_table",

@@ -41,7 +41,11 @@ def _advisory_size(spark: SparkSession, target_bytes: int | None):
 
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count the written rows inside the write job itself (no extra pass)."""
+    """Count the written rows inside the write job itself (no extra pass).
+
+    To be the last step of the plan: AQE drops what is below a shuffle that
+    turns out empty, and its counts with it.
+    """
     obs = Observation(f"rows_written_{uuid.uuid4().hex[:8]}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
@@ -82,8 +86,8 @@ def write_table(
     back as null.
     """
     partition_by = list(partition_by)
-    counted, obs = _observed(df)
-    writer = _prepare(counted, partition_by, rebalance).write.mode(mode).option("compression", compression)
+    counted, obs = _observed(_prepare(df, partition_by, rebalance))
+    writer = counted.write.mode(mode).option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         if dynamic_partition_overwrite:
@@ -119,10 +123,9 @@ def save_catalog_table(
     """
     partition_by = list(partition_by)
     name = table_name(database, table)
-    counted, obs = _observed(df)
+    counted, obs = _observed(_prepare(df, partition_by, rebalance))
     writer = (
-        _prepare(counted, partition_by, rebalance)
-        .write.mode("overwrite")
+        counted.write.mode("overwrite")
         .format("parquet")
         .option("compression", compression)
     )
@@ -135,6 +138,51 @@ def save_catalog_table(
     return int(obs.get["rows"])
 
 
+class SchemaChangeError(ValueError):
+    """A table's column would change its type."""
+
+
+def update_catalog_table(
+    df: DataFrame,
+    database: str,
+    table: str,
+    path: str | None = None,
+    partition_by: Sequence[str] = (),
+    compression: str = "snappy",
+    rebalance: bool = True,
+) -> int:
+    """Write ``df`` into a catalog table, whose columns and partitions follow it (K3).
+
+    A table that is not there is created (:func:`save_catalog_table`). Columns
+    that are new are added to it (``ALTER TABLE ADD COLUMNS``) and null in the
+    rows there; columns that ``df`` lacks are null in its rows; a column whose
+    type differs raises :class:`SchemaChangeError` before anything is written.
+    The partitions in ``df`` are replaced and known to the catalog when the
+    write ends; others stay. A table without partitions is replaced whole.
+    Returns the rows written.
+    """
+    spark, name = df.sparkSession, table_name(database, table)
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        return save_catalog_table(df, database, table, path, partition_by, compression, rebalance)
+    have = {f.name: f.dataType for f in spark.table(name).schema.fields}
+    other = sorted(f.name for f in df.schema.fields if f.name in have and f.dataType != have[f.name])
+    if other:
+        raise SchemaChangeError(f"{database}.{table}: columns {other} have other types in the table")
+    added = [f for f in df.schema.fields if f.name not in have]
+    if added:
+        columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    given = set(df.columns)
+    target = spark.table(name).schema.fields
+    df = df.select(*[col(f.name) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name) for f in target])
+    where = next(r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Location")
+    n = write_table(df, where, partition_by, compression=compression, rebalance=rebalance, dynamic_partition_overwrite=bool(partition_by))
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")  # lists in parallel; nothing passes the driver by partition
+    spark.catalog.refreshTable(f"{database}.{table}")
+    return n
+
+
 def table_name(database: str, table: str) -> str:
     """Quoted qualified catalog name."""
     return f"`{database}`.`{table}`"

@@ -307,3 +307,76 @@ def test_named_tables_only(spark, raw_paths, tmp_path):
     run_refined(spark, str(tmp_path / "c"), str(tmp_path / "r"), names=["facts"])
     assert sorted(p.name for p in (tmp_path / "c").iterdir()) == ["countries", "facts"]
     assert [p.name for p in (tmp_path / "r").iterdir()] == ["facts"]
+
+
+# Rules, rejected lines, catalog ---------------------------------------------------
+
+
+def test_rule_table_equals_the_case(spark):
+    """5,000 rules of several lengths, some of one prefix or within another, as a CASE and as a table."""
+    from strata.functions import map_prefix
+    from strata.operators import map_prefix_rules
+
+    rules = [(f"{k % 700}"[: 1 + k % 4] + "x" * (k % 3), f"rule {k}") for k in range(5000)]
+    table = spark.createDataFrame([(p, v, n) for n, (p, v) in enumerate(rules)] + [(None, "never", -1)], "prefix string, value string, n int")
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 50 = 0 THEN NULL WHEN id % 51 = 0 THEN '' ELSE concat(id, repeat('x', CAST(id % 4 AS INT))) END AS t")
+    want = {}
+    for r in df.collect():  # the CASE's rule, in Python: an expression of 5,000 arms takes minutes to compile
+        want[r.id] = r.t if r.t is None else next((v for p, v in rules if r.t.startswith(p)), r.t)
+    few = rules[:60]
+    small = spark.createDataFrame([(p, v, n) for n, (p, v) in enumerate(few)], "prefix string, value string, n int")
+    assert rows(map_prefix_rules(df, "t", small, "out")) == rows(df.select("id", "t", map_prefix("t", few).alias("out")))
+    for bound in ({}, {"broadcast_max_rows": 1}):
+        got = map_prefix_rules(df, "t", table, "out", **bound)
+        assert got.columns == ["id", "t", "out"] and {r.id: r.out for r in got.collect()} == want
+    whole = spark.createDataFrame([("", "any", 5), ("1", None, 1)], "prefix string, value string, n int")
+    got = {r.id: r.out for r in map_prefix_rules(df, "t", whole, "out").collect()}
+    assert (got[50], got[51], got[1], got[2]) == (None, "any", None, "any")
+    assert rows(map_prefix_rules(df, "t", table.limit(0), "out")) == rows(df.withColumn("out", F.col("t")))
+
+
+def test_rejected_lines_are_kept(spark, tmp_path):
+    from strata.sinks import write_table
+    from strata.sources import read_facts
+    from strata.sources.rejected import quarantine, read_facts_checked, split_rejected
+
+    lines = ["u1\t2009\tg\tG\ts\tS", "u2\t2009\tg", "u3\t2009\tg\tG\ts\tS\tmore", "", 'u4\t\tg\t"G\ts\tS', "u5"]
+    (tmp_path / "facts.tsv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    good, bad = split_rejected(read_facts_checked(spark, str(tmp_path / "facts.tsv")))
+    assert rows(good) == rows(read_facts(spark, str(tmp_path / "facts.tsv")).where("user_id IN ('u1', 'u4')"))
+    assert good.count() == 2 and bad.count() == 3
+    for _ in range(2):
+        assert quarantine(bad, str(tmp_path / "held")) == 3
+    held = spark.read.parquet(str(tmp_path / "held"))
+    assert sorted(r.line for r in held.collect()) == sorted(2 * [lines[1], lines[2], lines[5]])
+    assert {r.file.rsplit("/", 1)[1] for r in held.collect()} == {"facts.tsv"}
+    assert quarantine(bad.limit(0), str(tmp_path / "none")) == 0
+    assert write_table(good.limit(0), str(tmp_path / "empty"), partition_by=["user_id"]) == 0
+
+
+def test_catalog_table_follows_its_runs(spark, tmp_path):
+    """A column of run 2 is null in the rows of run 1; replaced and new partitions are known at once."""
+    from strata.sinks import SchemaChangeError, ensure_database, update_catalog_table
+
+    ensure_database(spark, "strata_update", str(tmp_path / "db"))
+    run = lambda rows, schema: update_catalog_table(spark.createDataFrame(rows, schema), "strata_update", "t", str(tmp_path / "t"), partition_by=["p"])
+    assert run([("a", 1), ("b", 2)], "k string, p int") == 2
+    assert run([(5, "c", 2), (6, "d", 3)], "extra int, k string, p int") == 2
+    assert run([(7, 9)], "extra int, p int") == 1
+    got = spark.table("strata_update.t")
+    assert rows(got, "k", "extra", "p") == sorted([("a", None, 1), ("c", 5, 2), ("d", 6, 3), (None, 7, 9)], key=lambda t: tuple((x is not None, str(x)) for x in t))
+    assert sorted(r[0] for r in spark.sql("SHOW PARTITIONS strata_update.t").collect()) == ["p=1", "p=2", "p=3", "p=9"]
+    with pytest.raises(SchemaChangeError):
+        run([(1.5, "x", 1)], "extra double, k string, p int")
+    assert run([], "k string, p int") == 0 and spark.table("strata_update.t").count() == 4
+    spark.sql("DROP DATABASE strata_update CASCADE")
+
+
+def test_probes_of_a_table_that_ends_empty(spark, tmp_path):
+    probes = Probes()
+    df = probes.watch(facts(spark, 100), "all").where("id < 0").hint("rebalance", F.col("user_id"))
+    df.write.parquet(str(tmp_path / "t"))
+    assert probes.values()["all"]["rows"] in (None, 100)
+    if probes.values()["all"]["rows"] is None:
+        with pytest.raises(CheckFailed):
+            probes.gate("all", "rows")
