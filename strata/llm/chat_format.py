@@ -85,7 +85,8 @@ def conversations(rows: DataFrame, id_column: str = "conv_id", turn_column: str
     ``leaf`` is the last. A conversation is the unit of work, as a text is.
     """
     one = F.struct(rows[turn_column].alias("turn"), F.coalesce(rows[role_column], F.lit("")).alias("role"), F.coalesce(rows[text_column], F.lit("")).alias("text"))
-    whole = rows.select(rows[id_column].alias("conv_id"), one.alias("t")).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    alone = F.when(rows[id_column].isNull(), F.monotonically_increasing_id())  # nothing says that such rows belong together
+    whole = rows.select(rows[id_column].alias("conv_id"), alone.alias("own"), one.alias("t")).groupBy("conv_id", "own").agg(F.sort_array(F.collect_list("t")).alias("t"))
     whole = whole.select("conv_id", F.transform("t", lambda t: F.struct(t.role.alias("role"), t.text.alias("text"))).alias("turns"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +115,8 @@ def segments(convs: DataFrame, loss_role: str = "assistant") -> DataFrame:
         names = [c.split()[0] for c in SEGMENT.replace("array<struct<start:bigint,stop:bigint>>", "x").split(", ")]
         types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])), pa.string(), pa.int64(), pa.int64(), pa.binary()]
         pack = (TaskContext.get().partitionId() << 32) - 1
-        stack: list[tuple[bytes, int, int, int]] = []  # node, start, stop, position after it
+        # node, position after it, and the intervals of all turns up to it: what its children attend to
+        stack: list[tuple[bytes, int, tuple[tuple[int, int], ...]]] = []
         at = seq = size = 0
         rows: list[tuple] = []
         for b in batches:
@@ -130,16 +132,11 @@ def segments(convs: DataFrame, loss_role: str = "assistant") -> DataFrame:
                 for d in range(same, len(nodes)):
                     role, text = turns[d]["role"], turns[d]["text"]
                     out, x, y = format_turn(role, text, d == 0)
-                    intervals: list[dict[str, int]] = []
-                    for _, start, stop, _ in stack:
-                        if intervals and intervals[-1]["stop"] == start:
-                            intervals[-1]["stop"] = stop
-                        else:
-                            intervals.append({"start": start, "stop": stop})
-                    position = stack[-1][3] if stack else 0
+                    _, position, seen = stack[-1] if stack else (None, 0, ())
+                    intervals = [{"start": x0, "stop": x1} for x0, x1 in seen]
                     loss = role == loss_role
                     rows.append((pack, seq, d, at, at + len(out), position, intervals, out, x if loss else None, y if loss else None, nodes[d] if d == len(nodes) - 1 else None))
-                    stack.append((nodes[d], at, at + len(out), position + len(out)))
+                    stack.append((nodes[d], position + len(out), _with(seen, at, at + len(out))))
                     at, seq, size = at + len(out), seq + 1, size + len(out)
                     if size > 4 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
@@ -152,6 +149,13 @@ def segments(convs: DataFrame, loss_role: str = "assistant") -> DataFrame:
     return distinct.mapInArrow(run, SEGMENT)
 
 
+def _with(seen: tuple[tuple[int, int], ...], start: int, stop: int) -> tuple[tuple[int, int], ...]:
+    """Intervals with one more behind them; one that touches the last goes on with it."""
+    if seen and seen[-1][1] == start:
+        return (*seen[:-1], (seen[-1][0], stop))
+    return (*seen, (start, stop))
+
+
 def read_back(stream: DataFrame) -> DataFrame:
     """Conversations (``READ``) of emitted streams, by the attention intervals of their last turns.
 
@@ -164,21 +168,23 @@ def read_back(stream: DataFrame) -> DataFrame:
         span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
         turn = pa.struct([("role", pa.string()), ("text", pa.string())])
         types = [pa.binary(), pa.string(), pa.list_(turn), pa.list_(span), pa.list_(pa.string())]
-        pack, held = None, []  # segments that may still be attended to: start, stop, text, loss span
+        pack, held = None, []  # segments that may still be attended to: start, stop, text, loss span, intervals up to it
         for b in batches:
             rows, size = [], 0
             for r in b.to_pylist():
                 if r["pack"] != pack:
                     pack, held = r["pack"], []
-                seen = [(i["start"], i["stop"]) for i in r["intervals"]]
-                held = [h for h in held if any(x <= h[0] and h[1] <= y for x, y in seen)]
-                if sum(y - x for x, y in seen) != r["position"] or sum(h[1] - h[0] for h in held) != r["position"]:
+                seen = tuple((i["start"], i["stop"]) for i in r["intervals"])
+                # the stream is depth first: what is not attended to now is behind what is
+                while held and (not seen or held[-1][1] > seen[-1][1]):
+                    held.pop()
+                if (held[-1][5] if held else ()) != seen or sum(y - x for x, y in seen) != r["position"]:
                     raise ValueError(f"intervals of segment {r['seq']} of stream {pack} do not cover its position")
-                held.append((r["start"], r["stop"], r["text"], r["loss_start"], r["loss_stop"]))
+                held.append((r["start"], r["stop"], r["text"], r["loss_start"], r["loss_stop"], _with(seen, r["start"], r["stop"])))
                 if r["leaf"] is None:
                     continue
                 formatted, loss, at = "".join(h[2] for h in held), [], 0
-                for start, stop, _, x, y in held:
+                for start, stop, _, x, y, _ in held:
                     if x is not None:
                         loss.append({"start": at + x, "stop": at + y})
                     at += stop - start
@@ -199,7 +205,7 @@ def format_conversations(rows: DataFrame, loss_role: str = "assistant", **column
     """Streams (``SEGMENT``) and members (conv_id, leaf) of a table of turns; both are written.
 
     Turns go by ``turn`` (null first), those with one number by role and text.
-    Null text and null role are empty. Rows with a null id are one conversation.
+    Null text and null role are empty. A row with a null id is a conversation of its own.
     Repeated rows are turns of their own. Extra columns are ignored; an empty
     table gives empty results.
     """

@@ -5,6 +5,9 @@ import random
 from hypothesis import given
 from hypothesis import strategies as st
 
+import pytest
+from pyspark.sql import functions as F
+
 from strata.llm.chat_format import BEGIN, CONTROL, escape, format_conversations, format_turn, parse, read_back, unescape
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string"
@@ -72,7 +75,27 @@ def test_edge_cases(spark):
     frame = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' as leaf", "'y' as path", "'z' as pack")
     stream, members = format_conversations(frame)
     read = {r.leaf: r for r in read_back(stream).collect()}
-    got = {m.conv_id: [(t.role, t.text) for t in read[m.leaf].turns] for m in members.collect()}
-    assert got == {1: [("user", ""), ("", "x"), ("", "x")], None: [("user", "first"), ("user", "n")], 2: [("line\nfeed", "t")]}
+    got = sorted(((m.conv_id, [(t.role, t.text) for t in read[m.leaf].turns]) for m in members.collect()), key=str)
+    assert got == sorted([(1, [("user", ""), ("", "x"), ("", "x")]), (None, [("user", "first")]), (None, [("user", "n")]), (2, [("line\nfeed", "t")])], key=str)
     stream, members = format_conversations(spark.createDataFrame([], SCHEMA))
     assert stream.count() == members.count() == read_back(stream).count() == 0
+
+
+def test_one_conversation_of_many_turns(spark):
+    """Work grows with the turns, not with their square."""
+    import time
+
+    began = time.time()
+    n = 50_000
+    rows = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "CASE WHEN id % 2 = 0 THEN 'user' ELSE 'assistant' END AS role", "concat('turn ', id) AS text")
+    stream, members = format_conversations(rows)
+    read = read_back(stream).first()
+    assert len(read.turns) == n and read.turns[-1].text == f"turn {n - 1}" and len(read.loss) == n // 2
+    assert members.count() == 1 and time.time() - began < 60
+
+
+def test_wrong_intervals_are_noticed(spark):
+    stream, _ = format_conversations(spark.createDataFrame([(1, k, "user", f"t{k}") for k in range(4)], SCHEMA))
+    wrong = stream.withColumn("intervals", F.when(F.col("depth") == 2, F.slice("intervals", 1, 0)).otherwise(F.col("intervals")))
+    with pytest.raises(Exception, match="do not cover"):
+        read_back(wrong).collect()
