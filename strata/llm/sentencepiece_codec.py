@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from strata.llm.common import ship, slices
 
 CACHE_CHUNKS = 120_000
+CACHE_CHARS = 4_000_000  # of the chunks in a generation, with CACHE_CHUNKS of ordinary words about a third of that
 SHORT = 48  # chunks up to so many characters go through the numpy agenda
 _NONE = np.int32(2**31 - 1)
 _CHUNK = re.compile(r" ( *[^ ]*)")
@@ -76,7 +77,7 @@ class Codec:
         self.cache: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.other: dict[str, str] = {}
-        self.cache_chunks = cache_chunks
+        self.cache_chunks, self.cached_chars = cache_chunks, 0
 
     def _index(self, pairs: dict[int, int]) -> None:
         """Open addressing: pair -> merged id, for lookups of whole arrays."""
@@ -284,8 +285,8 @@ class Codec:
 
     def batch(self, texts: list[str | None]) -> tuple[list[bytes], list[str]]:
         """Ids (little-endian 32-bit, the end id last) and decoded text of each text."""
-        if len(self.cache) > self.cache_chunks:
-            self.before, self.cache = self.cache, {}
+        if len(self.cache) > self.cache_chunks or self.cached_chars > CACHE_CHARS:
+            self.before, self.cache, self.cached_chars = self.cache, {}, 0
         rows = [self._split(t) for t in texts]
         new: set[str] = set()
         get, ids = self.cache.__getitem__, []
@@ -299,6 +300,7 @@ class Codec:
         again = new & self.before.keys()
         for c in again:
             self.cache[c] = self.before[c]
+        self.cached_chars += sum(map(len, new))
         if new := list(new - again):
             self.learn(new)
         end = np.array([self.eos], "<i4").tobytes()

@@ -60,3 +60,12 @@ def test_operator(docs):
         text = {1: rows[0][1], 3: rows[4][1]}.get(r.doc_id, "")
         assert r.ids == sp.encode(text, add_eos=True) and r.decoded == text and r.node == "x"
     assert encode_decode(docs([])).count() == 0
+
+
+def test_long_chunks_leave_the_cache(codec):
+    """Text without spaces is one chunk; the cache is bounded by what it holds, not by how many."""
+    for k in range(6):
+        check(codec, ["ab%d" % k * 100_000, "日本語%d" % k * 1000])
+        assert sum(map(len, codec.cache)) <= 4_000_000 + 2 * 1_000_000
+    assert sum(map(len, codec.before)) <= 4_000_000 + 2 * 1_000_000
+    check(codec, ["x" * 1_000_000])
