@@ -1,5 +1,6 @@
 """Relational operators and data-quality checks."""
 
+from strata.operators.distinct import count_bitmaps, distinct_bitmaps, publish_bitmaps, read_bitmaps
 from strata.operators.observed import Probes
 from strata.operators.quality import (
     CheckFailed,
@@ -51,6 +52,8 @@ __all__ = [
     "Probes",
     "SideStats",
     "anti_join",
+    "count_bitmaps",
+    "distinct_bitmaps",
     "distinct_counts",
     "distinct_values",
     "drop_duplicate_rows",
@@ -71,6 +74,8 @@ __all__ = [
     "null_profile",
     "null_rows",
     "preview",
+    "publish_bitmaps",
+    "read_bitmaps",
     "row_bytes",
     "rows_missing_lookup",
     "side_size",

@@ -22,6 +22,7 @@ from strata.functions.columns import col, trim_headers
 from strata.functions.dates import day_of, parse_date, parse_timestamp, to_int
 from strata.functions.mapping import fill_null, map_exact, map_prefix
 from strata.operators import quality as Q
+from strata.operators.distinct import count_bitmaps, distinct_bitmaps, publish_bitmaps, read_bitmaps
 from strata.operators.observed import Probes
 from strata.operators.relational import Lookup, anti_join, exclude_keys, lookup_joins, rows_missing_lookup
 from strata.operators.rules import map_prefix_rules
@@ -58,6 +59,7 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 # Queries that write tables or files before returning their result.
 PUBLISHING = (
+    "distinct_bitmaps_published",
     "partitioned_round_trip",
     "delimited_round_trip",
     "delimited_users_round_trip",
@@ -996,6 +998,54 @@ def enrich_users_above_bound(spark, sf_dir):
     return enrich_users(users, V.raw_horoscopes(spark), countries, broadcast_max_rows=1)
 
 
+_NAME_SETS = {
+    "group_names": ["group_name"],
+    "group_name_id_pairs": ["group_name", "group_id"],
+    "song_names": ["song_name"],
+    "name_id_quadruples": ["group_name", "song_name", "group_id", "song_id"],
+    "users": ["user_id"],
+}
+
+
+def _distinct_sql(levels: dict[str, list[str]], view: str) -> str:
+    parts = []
+    for level, keys in levels.items():
+        for name, cols in _NAME_SETS.items():
+            each = f"SELECT DISTINCT {', '.join([*keys, *cols])} FROM {view}"
+            shown = ", ".join(k if k in keys else f"CAST(NULL AS INTEGER) AS {k}" for k in ("year", "month"))
+            parts.append(f"SELECT '{level}' AS level, {shown}, '{name}' AS column_set, count(*) AS n FROM ({each}) GROUP BY {'ALL' if keys else '()'} HAVING count(*) > 0")
+    return "\nUNION ALL ".join(parts)
+
+
+_LEVELS = {"month": ["year", "month"], "year": ["year"], "all": []}
+_DATED = "(SELECT *, CAST(year(fact_timestamp) AS INTEGER) AS year, CAST(month(fact_timestamp) AS INTEGER) AS month FROM facts_parsed)"
+
+
+def _rolled_up(bitmaps: DataFrame) -> DataFrame:
+    parts = []
+    for level, keys in _LEVELS.items():
+        n = count_bitmaps(bitmaps, keys)
+        shown = [F.col(k) if k in keys else F.lit(None).cast("int").alias(k) for k in ("year", "month")]
+        parts.append(n.select(F.lit(level).alias("level"), *shown, "column_set", "n"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("distinct_by_bitmap", _distinct_sql(_LEVELS, _DATED))
+def distinct_by_bitmap(spark, sf_dir):
+    """Distinct names, ids and users a month, year and in all; one shuffle of the facts, the rest from bitmaps."""
+    return _rolled_up(distinct_bitmaps(facts_with_year_month(_facts_parsed(spark, sf_dir)), _NAME_SETS, ["year", "month"]))
+
+
+@register("distinct_bitmaps_published", _distinct_sql(_LEVELS, _DATED))
+def distinct_bitmaps_published(spark, sf_dir):
+    """A2, A3 over several runs: the second run adds its facts' bits, the first one's facts are not read again."""
+    path = scratch_path(spark, "distinct")
+    facts = facts_with_year_month(_facts_parsed(spark, sf_dir))
+    for run in (facts.where("event_id % 3 = 0"), facts.where("event_id % 3 <> 0")):
+        publish_bitmaps(run, path, _NAME_SETS, ["year", "month"])
+    return _rolled_up(read_bitmaps(spark, path))
+
+
 @register(
     "catalog_evolved_facts",
     """
