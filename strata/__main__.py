@@ -52,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
     pr = sub.add_parser("profile-raw", help="checks over the raw files, written as tables")
     for name in ("users", "countries", "facts"):
         pr.add_argument(f"--{name}", required=True)
+    pr.add_argument("--horoscopes", help="adds the preview of this table")
     pr.add_argument("--out", required=True)
     pr.add_argument("--rules", help="JSON file of mapping rules, as for curated")
 
@@ -144,13 +145,14 @@ def main(argv: list[str] | None = None) -> int:
         )
     elif args.command == "profile-raw":
         from strata.plans.profiling import profile_raw
-        from strata.sources.readers import read_countries, read_facts, read_users
+        from strata.sources.readers import read_countries, read_facts, read_horoscopes, read_users
 
         checks = profile_raw(
             read_users(spark, args.users),
             read_countries(spark, args.countries),
             read_facts(spark, args.facts),
             stage_path=f"{args.out.rstrip('/')}/_staged",
+            horoscopes=read_horoscopes(spark, args.horoscopes) if args.horoscopes else None,
             **_load_rules(args.rules),
         )
         _write_checks(checks, args.out)

@@ -148,11 +148,11 @@ def duplicate_keys(df: DataFrame, keys: str | Sequence[str], alias: str = "copie
     )
 
 
-def preview(df: DataFrame, n: int = 20, order_by: str | Sequence[str] | None = None) -> DataFrame:
-    """First ``n`` rows (Q11); ordered when ``order_by`` is given, so the
+def preview(df: DataFrame, n: int = 20, order_by: str | Sequence[str | Column] | None = None) -> DataFrame:
+    """First ``n`` rows (Q11); ordered when ``order_by`` (names or columns) is given, so the
     result is deterministic (planned as a per-partition top-n, then merge)."""
     if order_by:
-        df = df.orderBy(*[col(c) for c in _as_list(order_by)])
+        df = df.orderBy(*[col(c) if isinstance(c, str) else c for c in _as_list(order_by)])
     return df.limit(n)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.columns import col, trim_headers
@@ -41,9 +41,12 @@ def profile_raw(
     stage_path: str | None = None,
     group_name: str = D.AUDITED_GROUP,
     song_name: str = D.AUDITED_SONG,
+    horoscopes: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Checks over the raw tables, before and after each cleaning step.
 
+    ``horoscopes`` adds the preview of that table.
+
     With ``stage_path`` the parsed facts are written once as Parquet there
     and every fact check reads that copy, pruned to its columns: raw text
     cannot be column-pruned, so otherwise each check parses the whole file.
@@ -53,7 +56,7 @@ def profile_raw(
     parsed = facts.select("*", parse_timestamp("fact_date").alias("fact_timestamp"))
     if stage_path:
         parsed = stage_table(parsed, f"{stage_path.rstrip('/')}/facts_parsed")
-    return {
+    checks = {
         # Q1: user countries unknown to the country table, before / after mapping.
         "unmatched_countries_before": Q.unmatched_values(users, "country", raw_countries, "country"),
         "unmatched_countries_after": unmatched_after_mapping(users, curated_countries, prefix_rules),
@@ -99,6 +102,14 @@ def profile_raw(
         "countries_preview": Q.preview(curated_countries, 20, ["country", "pais"]),
         "facts_preview": Q.preview(parsed, 20, ["user_id", "fact_date", "group_id", "song_id"]),
     }
+    if horoscopes is not None:
+        checks["horoscopes_preview"] = Q.preview(horoscopes, 20, _calendar_order())
+    return checks
+
+
+def _calendar_order() -> list[Column]:
+    """By day of the year; days that are no numbers last."""
+    return [F.expr("try_cast(Month AS INT)").asc_nulls_last(), F.expr("try_cast(Day AS INT)").asc_nulls_last(), col("Date")]
 
 
 def profile_curated(
@@ -128,6 +139,7 @@ def profile_curated(
         # Q11: deterministic previews of the tables.
         "users_preview": Q.preview(users, 20, "#id"),
         "countries_preview": Q.preview(countries, 20, ["country", "pais"]),
+        "horoscopes_preview": Q.preview(horoscopes, 20, _calendar_order()),
         "facts_preview": Q.preview(facts, 20, ["user_id", "fact_date"]),
     }
 

@@ -701,6 +701,7 @@ _RAW_PROFILE_SQL = {
     "users_preview": _rows_sql("SELECT 1 FROM users_raw LIMIT 20"),
     "countries_preview": _rows_sql("SELECT 1 FROM countries_curated LIMIT 20"),
     "facts_preview": _rows_sql("SELECT 1 FROM facts_raw LIMIT 20"),
+    "horoscopes_preview": _rows_sql("SELECT 1 FROM calendar LIMIT 20"),
 }
 
 _CURATED_PROFILE_SQL = {
@@ -722,6 +723,7 @@ _CURATED_PROFILE_SQL = {
     "users_preview": _rows_sql("SELECT 1 FROM users_curated LIMIT 20"),
     "countries_preview": _rows_sql("SELECT 1 FROM countries_curated LIMIT 20"),
     "facts_preview": _rows_sql("SELECT 1 FROM facts_curated LIMIT 20"),
+    "horoscopes_preview": _rows_sql("SELECT 1 FROM calendar LIMIT 20"),
 }
 
 
@@ -746,6 +748,7 @@ def profile_raw_summary(spark, sf_dir):
         stage_path=scratch_path(spark, "profile-stage"),
         group_name=_DRIVER_GROUP,
         song_name=_DRIVER_SONG,
+        horoscopes=V.raw_horoscopes(spark),
     )
     return profile_summary(checks)
 

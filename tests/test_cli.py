@@ -13,7 +13,7 @@ def test_cli_runs_both_layers_and_profiles(spark, raw_paths):
     assert log.where("level = 'ERROR'").count() == 0
     assert main(["profile-curated", "--curated", f"{root}/curated", "--out", f"{root}/checks"]) == 0
     assert rows(spark.read.parquet(f"{root}/checks/group_name_ids")) == [("Underworld", 2)]
-    args = ["profile-raw", "--out", f"{root}/raw-checks"] + [f"--{k}={raw_paths[k]}" for k in ("users", "countries", "facts")]
+    args = ["profile-raw", "--out", f"{root}/raw-checks"] + [f"--{k}={raw_paths[k]}" for k in ("users", "countries", "facts", "horoscopes")]
     assert main(args) == 0
     assert rows(spark.read.parquet(f"{root}/raw-checks/filter_impact")) == [(8, 6, 2)]
 

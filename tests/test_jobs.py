@@ -123,7 +123,10 @@ def test_refine_horoscopes(raw):
 
 def test_profiles_run(raw):
     cur = build_curated(raw["users"], raw["countries"], raw["horoscopes"], raw["facts"])
-    checks = {**profile_raw(raw["users"], raw["countries"], raw["facts"]), **profile_curated(**cur)}
+    before = profile_raw(raw["users"], raw["countries"], raw["facts"], horoscopes=raw["horoscopes"])
+    assert rows(before["horoscopes_preview"]) == rows(raw["horoscopes"].limit(20))
+    checks = {**before, **profile_curated(**cur)}
+    assert checks["horoscopes_preview"].columns == cur["horoscopes"].columns
     counts = {k: v.count() for k, v in checks.items()}
     assert counts["unmatched_countries_before"] > counts["unmatched_countries_after"]
     assert rows(checks["unmatched_countries_after"]) == [(None,), ("Narnia",)]
