@@ -4,10 +4,13 @@
    bytes, and a sketch of all beginnings of words (``DEPTH`` letters at most),
    so that a known word costs what its frequency says, any other its trigrams.
 2. Tokens that look disguised - a digit or symbol beside a letter, a letter
-   three times in a row, single letters or signs set apart - become a lattice: a
-   character may stand for itself, for a letter it resembles, for nothing (a
-   separator, a repetition), or end a word. Viterbi finds the best words under
-   the language model and the channel's costs; they replace the token.
+   three times in a row, single letters or signs set apart, letters of several
+   alphabets in one word, an accent in a word that the corpus does not know -
+   become a lattice: a character may stand for itself, for a letter it resembles,
+   for nothing (a separator, a repetition), or end a word. Viterbi finds the best
+   words under the language model and the channel's costs; they replace the
+   token, unless its signs would become words that the corpus does not know
+   (``mp3``, ``H2O`` and ``C++`` stay).
 3. The restored text is scored by logistic regression over the words that occur
    in it and their beginnings, learnt with FTRL updates from a bounded sample of
    labelled rows, over the features that are commoner under label 1.
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +43,15 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "*": "aeiou", "#": "h",
 }
-SEPARATORS = " .-_*"
-COST_LEET, COST_SKIP, COST_REPEAT, COST_ODD, COST_SIGN = 1.0, 0.3, 0.5, 4.0, 6.0
+# Letters of other alphabets that look like those of a to z.
+LOOKS = {
+    **dict(zip("авекмнорстухѕіјԁһ", "abekmhopctyxsijdh")),
+    **dict(zip("αβεικνορτυχ", "abeiknoptux")),
+    "ı": "i", "ł": "l", "ø": "o", "đ": "d", "ß": "b",
+}
+SEPARATORS = " .-_*/,~"
+COST_LEET, COST_SKIP, COST_REPEAT, COST_ODD, COST_SIGN, COST_LOOK = 1.0, 0.3, 0.5, 4.0, 6.0, 2.0
+SHORTEST = 3  # letters of a word that signs are read as
 SKETCH = 1 << 19  # counters of the beginnings of words
 DEPTH = 20  # letters of a beginning
 PRIOR = 2.0  # weight of the trigrams against the counts of a beginning
@@ -62,14 +73,37 @@ _LOWER[65:91] += 32
 
 _UNIT = r"[^\W_]|[@$!|+(<*#]"
 # Four or more letters (or signs that may be letters) set apart, two letters at least.
-_RUN = re.compile(rf"(?<![^\W_])(?:{_UNIT})(?:([ .\-_*])(?:{_UNIT}))(?:\1(?:{_UNIT})){{2,}}(?![^\W_])")
+_GAP = r"(?:[ .\-_/,~]{1,3}+|\*)"
+_RUN = re.compile(rf"(?<![^\W_])(?:{_UNIT})(?:{_GAP}(?:{_UNIT})){{3,}}(?![^\W_])")
 _CHUNK = re.compile(r"[^\s,;:?]+")
 # A sign before a letter or after one (where ! * ( < alone are punctuation), or a letter three times.
 _DISGUISED = re.compile(r"[0-9@$!|+(<*#][^\W\d_]|[^\W\d_][!*(<]*[0-9@$|+#]|([^\W\d_])\1\1", re.IGNORECASE)
+_SIGN = re.compile(r"[0-9@$!|+(<*#]")
 _LETTERS = re.compile(r"[^\W\d_]")
+_SPELT = re.compile(r"[^\W\d_]+")
 _STRETCHED = re.compile(r"([^\W\d_])\1{4,}", re.IGNORECASE)
+_PARTS = re.compile(r"([-_./~]+)")
+_HIGH = re.compile(r"[^\x00-\x7f]")
+_BLANK = re.compile("[\u00a0\u2000-\u200a\u202f\u3000]")  # as a space
+_NOTHING = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]")  # no width
 _AFTER = _LEET.copy()
 _AFTER[[ord(c) for c in "!*(<"]] = False
+_ASCII = _LETTER.copy()
+_ASCII[128:] = False
+
+
+def base(c: str) -> str:
+    """A character without its marks and its form (wide, bold)."""
+    plain = unicodedata.normalize("NFKD", c)
+    return plain[0] if len(plain) == 1 or unicodedata.combining(plain[1]) else c
+
+
+def look_alike(c: str) -> str:
+    """The letter of a to z that a character resembles, or ""."""
+    if c < "\x80":
+        return ""
+    c = base(c.lower())
+    return c if "a" <= c <= "z" else LOOKS.get(c, "")
 
 
 def _count_trigrams(batch: pa.RecordBatch, total: np.ndarray) -> None:
@@ -140,16 +174,16 @@ def language_model(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     return language_models(docs, text_column)[0]
 
 
-def restore(token: str, costs: np.ndarray, words: np.ndarray | None = None) -> str:
-    """The likeliest letters behind ``token`` (Viterbi over its lattice).
+def decode(token: str, costs: np.ndarray, words: np.ndarray | None = None) -> tuple[float, str]:
+    """The likeliest letters behind ``token`` (Viterbi over its lattice), and their cost.
 
     What is no letter may also stay and end a word, so letters set apart become
-    one word, several, or stay as they are, whichever is likeliest. ``words``
-    (``language_models``) tells the known beginnings apart; without it, or
-    beyond them, trigrams decide.
+    one word, several, or stay as they are, whichever is likeliest. Digits are
+    never left out. ``words`` (``language_models``) tells the known beginnings
+    apart; without it, or beyond them, trigrams decide.
     """
-    data = _LOWER[np.frombuffer(token.encode("utf-8", "replace"), np.uint8)].tolist()
-    lead = next((i for i, b in enumerate(data) if _WORD[b]), len(data))  # signs ahead of all letters may be brackets
+    chars = [c.lower() if c < "\x80" else c for c in token]
+    lead = next((i for i, c in enumerate(chars) if c >= "\x80" or _WORD[ord(c)]), len(chars))  # signs ahead of all letters may be brackets
     root = (0, float(words[-1])) if words is not None and words[-1] else None  # hash and count of a known beginning
 
     def add(state: tuple, z: int) -> tuple[float, tuple | None]:
@@ -163,51 +197,75 @@ def restore(token: str, costs: np.ndarray, words: np.ndarray | None = None) -> s
         return -math.log((n + PRIOR * math.exp(-cost)) / (start[1] + PRIOR)), (h, n) if n else None
 
     empty = (0, 0, root)
-    states: dict[tuple, tuple[float, tuple]] = {empty: (0.0, ())}  # last two symbols, beginning -> cost, letters (linked)
-    for i, b in enumerate(data):
-        c = chr(b) if b < 128 else ""
-        before = data[i - 2] if i > 1 and _APART[data[i - 1]] else data[i - 1] if i else -1
-        arcs: list[tuple[int, int, float]] = []
-        if _LETTER[b]:
-            arcs.append((b, int(_SYMBOL[b]), 0.0))
+    states: dict[tuple, tuple[float, tuple]] = {empty: (0.0, ())}  # last two symbols, beginning -> cost, bytes (linked)
+    last = None  # the character ahead of separators
+    for i, c in enumerate(chars):
+        own = c.encode("utf-8", "replace")
+        arcs: list[tuple[bytes, float]] = []
+        if c >= "\x80" or _LETTER[own[0]]:
+            arcs.append((own, 0.0))
+            if look := look_alike(c):
+                arcs.append((look.encode(), COST_LOOK))
             skip = keep = None
         else:
-            arcs += [(ord(x), int(_SYMBOL[ord(x)]), COST_LEET) for x in LEET.get(c, "")]
-            skip = COST_SKIP if c in SEPARATORS else COST_SIGN if c in LEET else COST_ODD
+            arcs += [(x.encode(), COST_LEET) for x in LEET.get(c, "")]
+            skip = None if c.isdigit() else COST_SKIP if c in SEPARATORS else COST_SIGN if c in LEET else COST_ODD
             keep = 0.0 if c in SEPARATORS or c not in LEET or (i < lead and c in "!|(<") else COST_SIGN
-            beside = data[max(i - 2, 0) : i + 3]
-            ornament = keep and any(beside[k : k + 3] == [b, b, b] for k in range(3))  # three or more of a sign
-        again = {z for _, z, _ in arcs} if before == b else ()
+            beside = chars[max(i - 2, 0) : i + 3]
+            ornament = keep and any(beside[k : k + 3] == [c, c, c] for k in range(3))  # three or more of a sign
+        before = last if i and chars[i - 1] in SEPARATORS and chars[i - 1] != c else chars[i - 1] if i else None
+        again = {int(_SYMBOL[x[-1]]) for x, _ in arcs} if before == c else ()
         after: dict[tuple, tuple[float, tuple]] = {}
         for state, (cost, letters) in states.items():
             y = state[1]
             if keep is not None:
-                stay = keep if not ornament else 0.0 if not y else COST_LEET if data[i - 1] != b else keep
+                stay = keep if not ornament else 0.0 if not y else COST_LEET if chars[i - 1] != c else keep
                 new = cost + stay + (add(state, 0)[0] if y else 0.0)
                 old = after.get(empty)
                 if old is None or new < old[0]:
-                    after[empty] = (new, (letters, b))
+                    after[empty] = (new, (letters, own))
             leave = COST_REPEAT if y in again else skip
             if leave is not None and ((old := after.get(state)) is None or cost + leave < old[0]):
                 after[state] = (cost + leave, letters)
-            for letter, z, extra in arcs:
-                more, start = add(state, z)
-                new, to = cost + extra + more, (y, z, start)
+            for letter, extra in arcs:
+                to, new = state, cost + extra
+                for b in letter:
+                    z = int(_SYMBOL[b])
+                    more, start = add(to, z)
+                    to, new = (to[1], z, start), new + more
                 old = after.get(to)
                 if old is None or new < old[0]:
                     after[to] = (new, (letters, letter))
         states = after
-    _, letters = min(((cost + (add(state, 0)[0] if state[1] else 0.0), letters) for state, (cost, letters) in states.items()), key=lambda s: s[0])
-    out = bytearray()
+        if c not in SEPARATORS:
+            last = c
+    best, letters = min(((cost + (add(state, 0)[0] if state[1] else 0.0), letters) for state, (cost, letters) in states.items()), key=lambda s: s[0])
+    out = []
     while letters:
         letters, letter = letters
         out.append(letter)
-    out.reverse()
-    return token if list(out) == data else out.decode("utf-8", "ignore")
+    text = b"".join(reversed(out)).decode("utf-8", "ignore")
+    return best, token if text == "".join(chars) else text
+
+
+def restore(token: str, costs: np.ndarray, words: np.ndarray | None = None) -> str:
+    """The likeliest letters behind ``token`` (``decode``)."""
+    return decode(token, costs, words)[1]
+
 
+def is_known(word: str, words: np.ndarray) -> bool:
+    """Whether the corpus holds a word (of ``DEPTH`` letters; a longer one's beginning)."""
+    data = _LOWER[np.frombuffer(word.encode("utf-8", "replace"), np.uint8)]
+    h = 0
+    for z in _SYMBOL[data[:DEPTH]].tolist():
+        h = (h + z + 1) * _STEP & 0xFFFFFFFFFFFFFFFF
+    if len(data) < DEPTH:
+        h = (h + 1) * _STEP & 0xFFFFFFFFFFFFFFFF
+    return bool(words[h >> 45] > 0)
 
-def suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows that may hold a disguised token, by byte patterns."""
+
+def suspicious(data: np.ndarray, offsets: np.ndarray, known: np.ndarray | None = None) -> np.ndarray:
+    """Rows that may hold a disguised token, by byte patterns; ``known`` are counts of ``language_models``."""
     n = len(offsets) - 1
     if len(data) < 3:
         return np.zeros(n, bool)
@@ -216,16 +274,74 @@ def suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     marks[:-1] = leet[:-1] & letter[1:]
     marks[:-1] |= (letter | leet)[:-1] & _AFTER[data[1:]]  # also behind other signs
     marks[:-2] |= letter[:-2] & (low[:-2] < 128) & (low[:-2] == low[1:-1]) & (low[:-2] == low[2:])
-    unit = letter | leet
+    sums = np.append(0, np.cumsum(marks))
+    found = sums[offsets[1:]] > sums[offsets[:-1]]
+    found |= _set_apart(data, offsets)
+    if (data >= 128).any():
+        found |= _foreign(data, offsets, known)
+    return found
+
+
+def _set_apart(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Rows with three letters or signs alone, neighbours but for separators."""
+    apart = _APART[data]
+    more = apart.copy()
+    more[1:] &= apart[:-1]
+    more[0] = False
+    more &= data != ord("*")
+    sums = np.append(0, np.cumsum(~more))
+    data, offsets = data[~more], sums[offsets]  # a separator for each row of them
+    marks = np.zeros(len(data), bool)
+    unit = _LETTER[data] | _LEET[data]
     apart = np.zeros(len(data), bool)
     apart[:-1] = unit[:-1] & _APART[data[1:]]  # a letter or sign with a separator after it
     alone = apart.copy()
     alone[1:] &= ~(unit[:-1] & ~_APART[data[:-1]])
-    marks[:-4] |= alone[:-4] & alone[2:-2] & unit[4:] if len(data) > 4 else False
+    if len(data) > 4:
+        marks[:-4] = alone[:-4] & alone[2:-2] & unit[4:]
     sums = np.append(0, np.cumsum(marks))
     return sums[offsets[1:]] > sums[offsets[:-1]]
 
 
+def _foreign(data: np.ndarray, offsets: np.ndarray, known: np.ndarray | None) -> np.ndarray:
+    """Rows with blanks or letter forms beyond the alphabets, words of several of them, or unknown words with accents."""
+    n = len(offsets) - 1
+    b1, b2 = np.append(data[1:], np.uint8(0)), np.append(data[2:], np.zeros(min(2, len(data)), np.uint8))
+    odd = (data == 0xC2) & ((b1 == 0xA0) | (b1 == 0xAD))
+    odd |= (data == 0xE2) & (((b1 == 0x80) & ((b2 < 0x8E) | (b2 == 0xAF))) | ((b1 == 0x81) & (b2 == 0xA0)))
+    odd |= (data == 0xE3) & (b1 == 0x80) & (b2 == 0x80) | (data == 0xEF) & (b1 >= 0xBB) & (b1 <= 0xBD) | (data == 0xF0) & (b1 == 0x9D)
+    sums = np.append(0, np.cumsum(odd))
+    found = sums[offsets[1:]] > sums[offsets[:-1]]
+    words = Words(data, offsets, kinds=_LETTER.astype(np.uint8))
+    count = lambda on: np.append(0, np.cumsum(on))
+    within = lambda sums: sums[words.end] - sums[words.start]
+    latin, greek = within(count(_ASCII[data])), within(count((data >= 0xCE) & (data <= 0xD4)))
+    accent = within(count((data >= 0xC3) & (data <= 0xC9)))
+    pick = (greek > 0) & (latin > 0)
+    if known is not None:
+        pick |= (accent > 0) & ~_known(data, words, accent > 0, known)
+    row = np.repeat(np.arange(n), np.diff(words.first))
+    found[row[pick]] = True
+    return found
+
+
+def _known(data: np.ndarray, words: Words, on: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Which of the words where ``on`` the corpus holds (``is_known``)."""
+    out = np.zeros(len(on), bool)
+    which = np.flatnonzero(on)
+    at, end, h = words.start[which], words.end[which], np.zeros(len(which), np.uint64)
+    for _ in range(DEPTH):
+        h = _longer(h, _SYMBOL[data[at]].astype(np.uint64))
+        at = at + 1
+        over = at == end
+        out[which[over]] = counts[(_longer(h[over], np.uint64(0)) >> np.uint64(45)).astype(np.int64)] > 0
+        h, at, end, which = h[~over], at[~over], end[~over], which[~over]
+        if not len(at):
+            return out
+    out[which] = counts[(h >> np.uint64(45)).astype(np.int64)] > 0
+    return out
+
+
 def restore_text(text: str, costs: np.ndarray, cache: dict[str, str], words: np.ndarray | None = None) -> str:
     """``text`` with its disguised tokens restored."""
 
@@ -241,25 +357,57 @@ def restore_text(text: str, costs: np.ndarray, cache: dict[str, str], words: np.
     def run(m: re.Match) -> str:
         token = m.group()
         letters = _LETTERS.findall(token.lower())
-        if len(letters) < 2 or len(set(token.lower()) - {m.group(1)}) < 2:
+        if len(letters) < 2 or len(set(letters) | set(_SIGN.findall(token))) < 2:
             return token  # numbers; one letter again and again is no word
-        return known(token)
+        out = known(token)
+        plain = len(set(re.findall(r"[^\w]|_", token)) - set(LEET)) < 2 and not re.search(r"[/,~]|  ", token)
+        return out if plain or sure(token, out) else token
+
+    def sure(token: str, out: str) -> bool:
+        """Whether all words that ``token`` has only as ``out`` are words of the corpus."""
+        if words is None or not words[-1]:
+            return True
+        new = set(_SPELT.findall(out)) - set(_SPELT.findall(token.lower()))
+        return all(len(w) >= SHORTEST and is_known(w, words) for w in new)
+
+    def token_of(token: str) -> str:
+        out = known(token)
+        if out == token or not (_SIGN.search(token) or _HIGH.search(token)) or sure(token, out):
+            return out
+        parts = _PARTS.split(token)
+        return "".join(token_of(p) for p in parts) if len(parts) > 1 else token
+
+    def foreign(token: str) -> bool:
+        """A word of several alphabets, or one with accents that the corpus does not know."""
+        for w in _SPELT.findall(token):
+            high = _HIGH.findall(w)
+            if high and any(map(look_alike, high)):
+                plain = len(high) < len(w)
+                if words is None or not words[-1]:
+                    found = plain and any(c.lower() in LOOKS and c > "\u02ff" for c in high)
+                else:
+                    found = (plain or all(base(c).isascii() for c in high)) and not is_known(w, words)
+                if found:
+                    return True
+        return False
 
     def chunk(m: re.Match) -> str:
         whole = m.group()
         found = _DISGUISED.search(whole)
         if not found:
-            return whole
+            return token_of(whole) if not whole.isascii() and foreign(whole) else whole
         start = whole.rfind(".", 0, found.start()) + 1
         token = whole[start:].rstrip(".!*")
-        return whole[:start] + known(token) + whole[start + len(token) :]
+        return whole[:start] + token_of(token) + whole[start + len(token) :]
 
+    if not text.isascii():
+        text = _NOTHING.sub("", _BLANK.sub(" ", text))
     return _CHUNK.sub(chunk, _RUN.sub(run, text))
 
 
 def restored(batch: pa.RecordBatch, column: str, models: tuple[np.ndarray, np.ndarray], cache: dict[str, str]) -> pa.Array:
     texts = batch.column(column)
-    rows = np.flatnonzero(suspicious(*text_buffer(texts)))
+    rows = np.flatnonzero(suspicious(*text_buffer(texts), models[1] if models[1][-1] else None))
     if not len(rows):
         return texts
     values = texts.to_pylist()

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 
 from strata.llm.common import text_buffer
 from strata.llm.quality_classifier import Ftrl, labelled_sample, learn, quality
-from strata.llm.toxicity import language_model, language_models, restore, restore_text, suspicious, toxicity
+from strata.llm.toxicity import LEET, decode, language_model, language_models, look_alike, restore, restore_text, suspicious, toxicity
 
 WORDS = "river garden house stone window letter summer winter bridge market people water morning evening friend".split()
 
@@ -128,13 +129,100 @@ def models(spark, docs):
         ("s.t.u.p.1.d", "stupid"),
         ("1 2 3 4 5", "1 2 3 4 5"),
         ("house$$$ river!", "house$$$ river!"),
+        ("you i  d  i  o  t here", "you idiot here"),
+        ("l/o/s/e/r", "loser"),
+        ("l, o, s, e, r", "loser"),
+        ("l~o~s~e~r", "loser"),
+        ("l.o-s_e.r", "loser"),
+        ("l\u00a0o\u00a0s\u00a0e\u00a0r", "loser"),
+        ("an i\u200bd\u200bi\u200bo\u200bt", "an idiot"),
+        ("an іdіоt here", "an idiot here"),
+        ("an ídiöt here", "an idiot here"),
+        ("an ｉｄｉｏｔ here", "an idiot here"),
+        ("a, b, c, d", "a, b, c, d"),
+        ("an mp3 of B2B, R2D2 and H2O in 3D for C++", "an mp3 of B2B, R2D2 and H2O in 3D for C++"),
+        ("stup1d-mp3", "stupid-mp3"),
+        ("по-русски über été", "по-русски über été"),
     ],
 )
 def test_word_breaks_and_signs_anywhere(models, text, want):
-    flagged = suspicious(*text_buffer(pa.array([text])))[0]
+    flagged = suspicious(*text_buffer(pa.array([text])), models[1])[0]
     assert (restore_text(text, models[0], {}, models[1]) if flagged else text) == want
 
 
+def cheapest(token, costs, words):
+    """The cost of the best of all paths through a token's lattice, each added up on its own."""
+    seps = set(" .-_*/,~")
+
+    def options(i):
+        c = token[i]
+        out = [("keep", None)] if not (c.isalpha() or c in LEET) or c in seps else [("sign", None)] if not c.isalpha() else []
+        if not c.isalpha() and not c.isdigit():
+            out.append(("skip", 0.3 if c in seps else 6.0 if c in LEET else 4.0))
+        out += [("letter", (c, 0.0))] if c.isalpha() else [("letter", (x, 1.0)) for x in LEET.get(c, "")]
+        out += [("letter", (look_alike(c), 2.0))] if look_alike(c) else []
+        k = i - 1
+        if k >= 0 and token[k] in seps and token[k] != c:
+            while k >= 0 and token[k] in seps:
+                k -= 1
+        return out + ([("again", None)] if k >= 0 and token[k] == c else [])
+
+    first = next((i for i, c in enumerate(token) if c.isalnum()), len(token))
+    best = np.inf
+    for path in itertools.product(*map(options, range(len(token)))):
+        total, word, done = 0.0, [], []
+
+        def symbol(z):
+            x, y = ([0, 0] + word)[-2:]
+            tri = float(costs[x, y, z])
+            counts = [words[-1]]
+            for k in range(1, len(word) + 2):
+                h = 0
+                for v in [*word, z][:k]:
+                    h = (h + v + 1) * 0x9E3779B97F4A7C13 % 2**64
+                counts.append(min(counts[-1], float(words[h >> 45])))
+            if counts[-2] == 0:
+                return tri
+            return -np.log((counts[-1] + 2 * np.exp(-tri)) / (counts[-2] + 2))
+
+        for i, (kind, how) in enumerate(path):
+            c = token[i]
+            if kind in ("keep", "sign"):
+                stay = 0.0 if kind == "keep" or (i < first and c in "!|(<") else 6.0
+                if stay and any(token[k : k + 3] == c * 3 for k in range(max(i - 2, 0), i + 1)):
+                    stay = 0.0 if not word else 1.0 if token[i - 1] != c else stay
+                total += stay + (symbol(0) if word else 0.0)
+                word = []
+            elif kind == "skip":
+                total += how
+            elif kind == "again":
+                same = {x for k, x in ((k, h[0]) for k, h in options(i) if k == "letter")}
+                total += 0.5 if word and word[-1] in [s for x in same for s in symbols(x)[-1:]] else np.inf
+            else:
+                total += how[1]
+                for z in symbols(how[0]):
+                    total += symbol(z)
+                    word = [*word, z]
+            if total >= best:
+                break
+        else:
+            best = min(best, total + (symbol(0) if word else 0.0))
+    return best
+
+
+def symbols(c):
+    return [ord(c) - 96] if c < "\x80" else [27 + (b - 128) % 37 for b in c.encode()]
+
+
+def test_decoding_is_the_best_of_all_paths(models):
+    rnd = random.Random(5)
+    tokens = ["1d10t", "i d i", "lo$er", "a$$$", "!d!", "h4t", "s.h-1", "ооt", "ídi", "oo0o", "mp3", "*a*", "$$$s", "o  o"]
+    tokens += ["".join(rnd.choice("idot1!0$ .*-saé3") for _ in range(rnd.randint(1, 6))) for _ in range(150)]
+    for token in tokens:
+        cost, text = decode(token, *models)
+        assert abs(cost - cheapest(token, *models)) < 1e-6, (token, text)
+
+
 def test_long_tokens_are_decoded(models):
     for text, want in [
         (" ".join("youidiot" * 6), ("you idiot " * 6).strip()),
