@@ -4,8 +4,9 @@
    bytes, and a sketch of all beginnings of words (``DEPTH`` letters at most),
    so that a known word costs what its frequency says, any other its trigrams.
 2. Tokens that look disguised - a digit or symbol beside a letter, a letter
-   three times in a row, single letters or signs set apart, letters of several
-   alphabets in one word, an accent in a word that the corpus does not know -
+   three times in a row, single letters or signs set apart, an unknown word
+   with letters of several alphabets, or with several accents, whose look-alikes are
+   a known one -
    become a lattice: a character may stand for itself, for a letter it resembles,
    for nothing (a separator, a repetition), or end a word. Viterbi finds the best
    words under the language model and the channel's costs; they replace the
@@ -18,6 +19,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import unicodedata
@@ -50,8 +52,9 @@ LOOKS = {
     "ı": "i", "ł": "l", "ø": "o", "đ": "d", "ß": "b",
 }
 SEPARATORS = " .-_*/,~"
-COST_LEET, COST_SKIP, COST_REPEAT, COST_ODD, COST_SIGN, COST_LOOK = 1.0, 0.3, 0.5, 4.0, 6.0, 2.0
+COST_LEET, COST_SKIP, COST_REPEAT, COST_ODD, COST_SIGN, COST_LOOK = 1.0, 0.3, 0.5, 4.0, 6.0, 3.0
 SHORTEST = 3  # letters of a word that signs are read as
+ACCENTS = 2  # of a word that is read without them; a rare word has one
 SKETCH = 1 << 19  # counters of the beginnings of words
 DEPTH = 20  # letters of a beginning
 PRIOR = 2.0  # weight of the trigrams against the counts of a beginning
@@ -98,6 +101,7 @@ def base(c: str) -> str:
     return plain[0] if len(plain) == 1 or unicodedata.combining(plain[1]) else c
 
 
+@functools.cache
 def look_alike(c: str) -> str:
     """The letter of a to z that a character resembles, or ""."""
     if c < "\x80":
@@ -182,7 +186,7 @@ def decode(token: str, costs: np.ndarray, words: np.ndarray | None = None) -> tu
     never left out. ``words`` (``language_models``) tells the known beginnings
     apart; without it, or beyond them, trigrams decide.
     """
-    chars = [c.lower() if c < "\x80" else c for c in token]
+    chars = [c.lower() if len(c.lower()) == 1 else c for c in token]
     lead = next((i for i, c in enumerate(chars) if c >= "\x80" or _WORD[ord(c)]), len(chars))  # signs ahead of all letters may be brackets
     root = (0, float(words[-1])) if words is not None and words[-1] else None  # hash and count of a known beginning
 
@@ -254,14 +258,14 @@ def restore(token: str, costs: np.ndarray, words: np.ndarray | None = None) -> s
 
 
 def is_known(word: str, words: np.ndarray) -> bool:
-    """Whether the corpus holds a word (of ``DEPTH`` letters; a longer one's beginning)."""
-    data = _LOWER[np.frombuffer(word.encode("utf-8", "replace"), np.uint8)]
+    """Whether the corpus holds a word (of ``DEPTH`` letters; a longer one's beginning), and so all its beginnings."""
+    data = _LOWER[np.frombuffer(word.lower().encode("utf-8", "replace"), np.uint8)]
     h = 0
-    for z in _SYMBOL[data[:DEPTH]].tolist():
+    for z in [*_SYMBOL[data[:DEPTH]].tolist(), *[0] * (len(data) < DEPTH)]:
         h = (h + z + 1) * _STEP & 0xFFFFFFFFFFFFFFFF
-    if len(data) < DEPTH:
-        h = (h + 1) * _STEP & 0xFFFFFFFFFFFFFFFF
-    return bool(words[h >> 45] > 0)
+        if not words[h >> 45] > 0:
+            return False
+    return True
 
 
 def suspicious(data: np.ndarray, offsets: np.ndarray, known: np.ndarray | None = None) -> np.ndarray:
@@ -305,40 +309,71 @@ def _set_apart(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _foreign(data: np.ndarray, offsets: np.ndarray, known: np.ndarray | None) -> np.ndarray:
     """Rows with blanks or letter forms beyond the alphabets, words of several of them, or unknown words with accents."""
-    n = len(offsets) - 1
-    b1, b2 = np.append(data[1:], np.uint8(0)), np.append(data[2:], np.zeros(min(2, len(data)), np.uint8))
-    odd = (data == 0xC2) & ((b1 == 0xA0) | (b1 == 0xAD))
-    odd |= (data == 0xE2) & (((b1 == 0x80) & ((b2 < 0x8E) | (b2 == 0xAF))) | ((b1 == 0x81) & (b2 == 0xA0)))
-    odd |= (data == 0xE3) & (b1 == 0x80) & (b2 == 0x80) | (data == 0xEF) & (b1 >= 0xBB) & (b1 <= 0xBD) | (data == 0xF0) & (b1 == 0x9D)
-    sums = np.append(0, np.cumsum(odd))
-    found = sums[offsets[1:]] > sums[offsets[:-1]]
-    words = Words(data, offsets, kinds=_LETTER.astype(np.uint8))
-    count = lambda on: np.append(0, np.cumsum(on))
-    within = lambda sums: sums[words.end] - sums[words.start]
-    latin, greek = within(count(_ASCII[data])), within(count((data >= 0xCE) & (data <= 0xD4)))
-    accent = within(count((data >= 0xC3) & (data <= 0xC9)))
-    pick = (greek > 0) & (latin > 0)
-    if known is not None:
-        pick |= (accent > 0) & ~_known(data, words, accent > 0, known)
-    row = np.repeat(np.arange(n), np.diff(words.first))
-    found[row[pick]] = True
+    # blanks and letter forms: their leading bytes, then what follows
+    first = np.flatnonzero((data == 0xC2) | (data == 0xE2) | (data == 0xE3) | (data == 0xEF) | (data == 0xF0))
+    b0, b1, b2 = data[first], data[np.minimum(first + 1, len(data) - 1)], data[np.minimum(first + 2, len(data) - 1)]
+    odd = (b0 == 0xC2) & ((b1 == 0xA0) | (b1 == 0xAD)) | (b0 == 0xE2) & (b1 == 0x80) & ((b2 < 0x8E) | (b2 == 0xAF)) | (b0 == 0xE2) & (b1 == 0x81) & (b2 == 0xA0)
+    odd |= (b0 == 0xE3) & (b1 == 0x80) & (b2 == 0x80) | (b0 == 0xEF) & (b1 >= 0xBB) & (b1 <= 0xBD) | (b0 == 0xF0) & (b1 == 0x9D)
+    found = np.zeros(len(offsets) - 1, bool)
+    found[np.searchsorted(offsets, first[odd], "right") - 1] = True
+    # leading bytes of two, of letters that resemble others, and the words around them
+    lead = np.flatnonzero((data >= 0xC3) & (data <= 0xD4))
+    edge = np.zeros(len(data) + 1, bool)  # a word or a row begins or ends here
+    letter = _LETTER[data]
+    edge[1:-1] = letter[1:] != letter[:-1]
+    edge[offsets] = True
+    edges = np.flatnonzero(edge)
+    word, where = np.unique(np.searchsorted(edges, lead, "right"), return_inverse=True)
+    accents = np.bincount(where, data[lead] <= 0xC9, len(word))
+    others = np.bincount(where, data[lead] >= 0xCE, len(word))
+    word = word[(others > 0) | (accents >= ACCENTS if known is not None else False)]
+    if not len(word):
+        return found
+    begin, size = edges[word - 1], edges[word] - edges[word - 1]
+    end = np.cumsum(size)
+    start = end - size
+    d = data[np.repeat(begin - start, size) + np.arange(end[-1])]
+    d[1:][(d[:-1] == 0xC3) & (d[1:] < 0x9F) & (d[1:] != 0x97)] += 0x20  # small letters of Latin-1
+    if known is None:
+        sums = np.append(0, np.cumsum(_ASCII[d]))
+        on = sums[end] > sums[start]
+    else:
+        lead = np.flatnonzero((d >= 0xC3) & (d <= 0xD4))
+        look = _looks()[(d[lead].astype(np.int64) & 0x1F) << 6 | d[np.minimum(lead + 1, len(d) - 1)] & 0x3F]
+        bare, keep = d.copy(), np.ones(len(d) + 1, bool)
+        bare[lead[look > 0]] = look[look > 0]
+        keep[lead[look > 0] + 1] = False
+        place = np.append(0, np.cumsum(keep[:-1]))
+        bare = bare[keep[:-1]]
+        sums = np.append(0, np.cumsum(bare >= 128))
+        on = (sums[place[end]] == sums[place[start]]) & ~_known(d, start, end, known)
+        on[on] = _known(bare, place[start[on]], place[end[on]], known)
+    found[np.searchsorted(offsets, begin[on], "right") - 1] = True
     return found
 
 
-def _known(data: np.ndarray, words: Words, on: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Which of the words where ``on`` the corpus holds (``is_known``)."""
-    out = np.zeros(len(on), bool)
-    which = np.flatnonzero(on)
-    at, end, h = words.start[which], words.end[which], np.zeros(len(which), np.uint64)
+@functools.cache
+def _looks() -> np.ndarray:
+    """Look-alikes (bytes; 0 for none) of the code points of two bytes."""
+    return np.array([ord(look_alike(chr(p)) or "\0") for p in range(0x800)], np.uint8)
+
+
+def _known(data: np.ndarray, start: np.ndarray, end: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Which words, from ``start`` to ``end``, the corpus holds (``is_known``)."""
+    out = np.zeros(len(start), bool)
+    at, which, h = start, np.arange(len(start)), np.zeros(len(start), np.uint64)
+    held = lambda h: counts[(h >> np.uint64(45)).astype(np.int64)] > 0
     for _ in range(DEPTH):
+        if not len(at):
+            return out
         h = _longer(h, _SYMBOL[data[at]].astype(np.uint64))
         at = at + 1
+        on = held(h)
+        h, at, end, which = h[on], at[on], end[on], which[on]
         over = at == end
-        out[which[over]] = counts[(_longer(h[over], np.uint64(0)) >> np.uint64(45)).astype(np.int64)] > 0
+        out[which[over]] = held(_longer(h[over], np.uint64(0)))
         h, at, end, which = h[~over], at[~over], end[~over], which[~over]
-        if not len(at):
-            return out
-    out[which] = counts[(h >> np.uint64(45)).astype(np.int64)] > 0
+    out[which] = True
     return out
 
 
@@ -378,24 +413,32 @@ def restore_text(text: str, costs: np.ndarray, cache: dict[str, str], words: np.
         return "".join(token_of(p) for p in parts) if len(parts) > 1 else token
 
     def foreign(token: str) -> bool:
-        """A word of several alphabets, or one with accents that the corpus does not know."""
+        """An unknown word whose look-alikes are a known one (without ``words``: one of several alphabets)."""
         for w in _SPELT.findall(token):
-            high = _HIGH.findall(w)
-            if high and any(map(look_alike, high)):
-                plain = len(high) < len(w)
-                if words is None or not words[-1]:
-                    found = plain and any(c.lower() in LOOKS and c > "\u02ff" for c in high)
-                else:
-                    found = (plain or all(base(c).isascii() for c in high)) and not is_known(w, words)
-                if found:
-                    return True
+            bare = "".join(look_alike(c) or c for c in w)
+            if bare == w or not bare.isascii():
+                continue
+            odd = [c for c in w if c >= "\x80"]
+            if len(odd) < ACCENTS and odd[0] < "\u0250":
+                continue
+            if words is None or not words[-1]:
+                found = re.search(r"[a-z]", w, re.IGNORECASE) and any(c > "\u02ff" for c in w)
+            else:
+                found = is_known(bare, words) and not is_known(w, words)
+            if found:
+                return True
         return False
 
     def chunk(m: re.Match) -> str:
         whole = m.group()
         found = _DISGUISED.search(whole)
         if not found:
-            return token_of(whole) if not whole.isascii() and foreign(whole) else whole
+            if whole.isascii():
+                return whole
+            key = "\n" + whole  # no token has one
+            if key not in cache:
+                cache[key] = token_of(whole) if foreign(whole) else whole
+            return cache[key]
         start = whole.rfind(".", 0, found.start()) + 1
         token = whole[start:].rstrip(".!*")
         return whole[:start] + token_of(token) + whole[start + len(token) :]

@@ -142,7 +142,7 @@ def models(spark, docs):
         ("a, b, c, d", "a, b, c, d"),
         ("an mp3 of B2B, R2D2 and H2O in 3D for C++", "an mp3 of B2B, R2D2 and H2O in 3D for C++"),
         ("stup1d-mp3", "stupid-mp3"),
-        ("по-русски über été", "по-русски über été"),
+        ("по-русски über été ÜBEL ASÍ querró", "по-русски über été ÜBEL ASÍ querró"),
     ],
 )
 def test_word_breaks_and_signs_anywhere(models, text, want):
@@ -160,7 +160,7 @@ def cheapest(token, costs, words):
         if not c.isalpha() and not c.isdigit():
             out.append(("skip", 0.3 if c in seps else 6.0 if c in LEET else 4.0))
         out += [("letter", (c, 0.0))] if c.isalpha() else [("letter", (x, 1.0)) for x in LEET.get(c, "")]
-        out += [("letter", (look_alike(c), 2.0))] if look_alike(c) else []
+        out += [("letter", (look_alike(c), 3.0))] if look_alike(c) else []
         k = i - 1
         if k >= 0 and token[k] in seps and token[k] != c:
             while k >= 0 and token[k] in seps:
