@@ -110,16 +110,25 @@ def look_alike(c: str) -> str:
     return c if "a" <= c <= "z" else LOOKS.get(c, "")
 
 
+def _edges(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where runs of letters, or of other bytes, and rows begin and end."""
+    edge = np.zeros(len(data) + 1, bool)
+    letter = _LETTER[data]
+    edge[1:-1] = letter[1:] != letter[:-1]
+    edge[offsets] = True
+    return np.flatnonzero(edge)
+
+
 def _count_trigrams(batch: pa.RecordBatch, total: np.ndarray) -> None:
     for b in slices(batch, "_text"):
         data, offsets = text_buffer(b.column("_text"))
         if not len(data):
             continue
-        s = np.zeros(len(data) + 2 * b.num_rows + 2, np.int64)  # two edges before each row
-        where = np.arange(len(data)) + 2 * (np.searchsorted(offsets, np.arange(len(data)), "right"))
+        s = np.zeros(len(data) + 2 * b.num_rows + 2, np.int32)  # two edges before each row
+        where = np.arange(len(data)) + np.repeat(2 * np.arange(1, b.num_rows + 1), np.diff(offsets))
         s[where] = _SYMBOL[data]
         a, m, z = s[:-2], s[1:-1], s[2:]
-        a = np.where(m == 0, 0, a)  # nothing from beyond the edge
+        a = a * (m != 0)  # nothing from beyond the edge
         used = (m != 0) | (z != 0)
         total += np.bincount((a * 4096 + m * 64 + z)[used], minlength=len(total))
 
@@ -128,8 +137,10 @@ def _count_words(batch: pa.RecordBatch, total: np.ndarray) -> None:
     """Adds all beginnings of words, a word with its end, and (last) the words."""
     for b in slices(batch, "_text"):
         data, offsets = text_buffer(b.column("_text"))
-        words = Words(data, offsets, kinds=_LETTER.astype(np.uint8))
-        at, end = words.start, words.end
+        edges = _edges(data, offsets)
+        on = _LETTER[data[edges[:-1]]] if len(data) else np.zeros(0, bool)
+        at, end = edges[:-1][on], edges[1:][on]
+        total[-1] += len(at)
         h = np.zeros(len(at), np.uint64)
         found = []
         for _ in range(DEPTH):
@@ -142,7 +153,6 @@ def _count_words(batch: pa.RecordBatch, total: np.ndarray) -> None:
             if not len(at):
                 break
         total[:-1] += np.bincount((np.concatenate(found) >> np.uint64(45)).astype(np.int64), minlength=SKETCH)
-        total[-1] += len(words.start)
 
 
 _STEP = 0x9E3779B97F4A7C13
@@ -318,11 +328,7 @@ def _foreign(data: np.ndarray, offsets: np.ndarray, known: np.ndarray | None) ->
     found[np.searchsorted(offsets, first[odd], "right") - 1] = True
     # leading bytes of two, of letters that resemble others, and the words around them
     lead = np.flatnonzero((data >= 0xC3) & (data <= 0xD4))
-    edge = np.zeros(len(data) + 1, bool)  # a word or a row begins or ends here
-    letter = _LETTER[data]
-    edge[1:-1] = letter[1:] != letter[:-1]
-    edge[offsets] = True
-    edges = np.flatnonzero(edge)
+    edges = _edges(data, offsets)
     word, where = np.unique(np.searchsorted(edges, lead, "right"), return_inverse=True)
     accents = np.bincount(where, data[lead] <= 0xC9, len(word))
     others = np.bincount(where, data[lead] >= 0xCE, len(word))
