@@ -150,3 +150,30 @@ def test_windows_line_endings(spark, tmp_path):
 
     assert clean_users(read_users(spark, str(p))).first().register_date == dt.date(2005, 2, 4)
     assert read_facts(spark, str(f)).first().song_name == "Song"
+
+
+def test_a_table_by_key_is_listed_once(spark):
+    path = scratch_path(spark, "listed-once")
+    df = spark.range(60).selectExpr("concat('song', id) AS song_name", "lpad(cast(id AS string), 3, '0') AS user_id")
+    write_table(df, path, partition_by=["user_id"])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listed-once", "read")
+    try:
+        back = read_partitioned_strings(spark, path)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("listed-once")]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    listings = [j for j in jobs if tracker.getStageInfo(j.stageIds[0]).numTasks > 1]  # more than 32 folders are listed by a job
+    assert len(listings) == 1
+    assert back.columns == ["song_name", "user_id"]
+    assert rows(back, "user_id", "song_name") == rows(df, "user_id", "song_name")
+
+
+def test_first_folder_without_files(spark, tmp_path):
+    """The columns then come from the other folders; those of two levels of keys stay strings."""
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", "01", "1"), ("b", "02", "x")], "song_name string, day string, user_id string").write.partitionBy("day", "user_id").parquet(path)
+    (tmp_path / "t" / "day=00" / "user_id=0").mkdir(parents=True)
+    back = read_partitioned_strings(spark, path)
+    assert back.columns == ["song_name", "day", "user_id"]
+    assert rows(back, "day", "user_id", "song_name") == [("01", "1", "a"), ("02", "x", "b")]
