@@ -177,3 +177,50 @@ def test_first_folder_without_files(spark, tmp_path):
     back = read_partitioned_strings(spark, path)
     assert back.columns == ["song_name", "day", "user_id"]
     assert rows(back, "day", "user_id", "song_name") == [("01", "1", "a"), ("02", "x", "b")]
+
+
+ODD_KEYS = ["a b", "100%", "a/b", "x=y", "ü+ñ", "001", None, "%41", "a%2Fb", "q?#[]{}^'\"", "tab\tx", "+", "é%zz", "a:b*c\\d"]
+
+
+def test_keys_are_read_from_the_folders_names(spark, tmp_path):
+    """Keys with signs that Spark escapes, in two levels and under a folder that looks like a key's."""
+    path = str(tmp_path / "x=1 %20" / "t")
+    df = spark.createDataFrame([(v, f"+ %{i}", str(i)) for i, v in enumerate(ODD_KEYS)], "user_id string, `#day` string, n string")
+    write_table(df, path, partition_by=["#day", "user_id"])
+    back = read_partitioned_strings(spark, path)
+    assert back.dtypes == [("n", "string"), ("#day", "string"), ("user_id", "string")]
+    assert rows(back, "n", "#day", "user_id") == rows(df, "n", "#day", "user_id")
+    plain = spark.read.schema("n string, `#day` string, user_id string").parquet(path)
+    assert rows(back) == rows(plain)
+
+
+def test_a_key_whose_name_escapes_nothing(spark, tmp_path):
+    spark.createDataFrame([("z",)], "n string").write.parquet(str(tmp_path / "t" / "user_id=100%"))
+    assert rows(read_partitioned_strings(spark, str(tmp_path / "t"))) == [("z", "100%")]
+
+
+def test_folders_are_not_listed_beside_their_files(spark):
+    """Spark's list of partitions takes time by the square of the folders, and memory that the files' list takes already."""
+    path = scratch_path(spark, "t-no-folders")
+    write_table(_facts(spark, [(f"{i:03}", "a") for i in range(40)]), path, partition_by=["user_id"])
+    back = read_partitioned_strings(spark, path)
+    source = back._jdf.queryExecution().optimizedPlan().collectLeaves().head().relation().location()
+    assert source.partitionSpec().partitions().isEmpty()
+    assert back.where("user_id IS NOT NULL").count() == 40
+
+
+def test_a_filter_on_the_key_leaves_other_files_unread(spark, tmp_path):
+    path = tmp_path / "t"
+    write_table(_facts(spark, [("a", "1"), ("b", "2")]), str(path), partition_by=["user_id"])
+    back = read_partitioned_strings(spark, str(path))
+    for f in (path / "user_id=b").iterdir():
+        f.write_bytes(b"no Parquet") if f.suffix == ".parquet" else f.unlink()
+    assert rows(back.where("user_id = 'a'")) == [("1", "a")]
+    assert back.where("user_id = 'c'").count() == 0
+
+
+def test_files_beside_the_folders_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(_facts(spark, [("a", "1")]), path, partition_by=["user_id"])
+    spark.createDataFrame([("2",)], "song_name string").write.mode("append").parquet(path)
+    assert rows(read_partitioned_strings(spark, path)) == [("1", "a")]
