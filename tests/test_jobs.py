@@ -238,3 +238,24 @@ def test_added_country_present_once_when_source_has_it(spark, raw):
     out = clean_countries(raw["countries"].unionByName(extra))
     assert out.where("country = 'Cote D''Ivoire'").count() == 1
     assert out.count() == 9
+
+
+def test_refined_run_keeps_no_list_of_files(spark, raw_paths):
+    """What the run opened is free when it ends, not when Python's collector happens to run."""
+    import gc
+
+    from py4j.java_gateway import JavaObject
+
+    def held():
+        return sum(type(o) is JavaObject for o in gc.get_objects())
+
+    root = scratch_path(spark, "t-released")
+    run_curated(spark, raw_paths, f"{root}/curated")
+    gc.collect()
+    gc.disable()
+    try:
+        before = held()
+        run_refined(spark, f"{root}/curated", f"{root}/refined")
+        assert held() <= before
+    finally:
+        gc.enable()
