@@ -139,3 +139,16 @@ def test_hot_user_and_buckets(spark, raw, tmp_path):
     assert len([p for p in (tmp_path / "hash" / "batch_id=0").iterdir() if p.is_dir()]) == 4
     got = read_streamed_facts(spark, str(tmp_path / "hash"))
     assert rows(got, "user_id", "song_name") == rows(read_streamed_facts(spark, str(tmp_path / "rows")), "user_id", "song_name")
+
+
+def test_streamed_facts_are_read_without_a_list_of_folders(spark, raw, tmp_path):
+    """A folder for each batch and user: the driver holds their files once, not their folders beside them."""
+    src, target = tmp_path / "in", str(tmp_path / "facts")
+    for k in range(2):
+        _facts_file(src, f"{k}.tsv", [(f"x{i:02}", f"{k}") for i in range(20)])
+        start_curated_facts(spark, str(src), raw["users"], target).awaitTermination()
+    back = read_streamed_facts(spark, target)
+    sources = back._jdf.queryExecution().optimizedPlan().collectLeaves()
+    lists = [sources.apply(i).relation().location().partitionSpec().partitions() for i in range(sources.size())]
+    assert lists and all(found.isEmpty() for found in lists)
+    assert rows(back, "user_id", "song_name") == [(f"x{i:02}", f"{k}") for i in range(20) for k in range(2)]
